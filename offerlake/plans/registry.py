@@ -158,3 +158,205 @@ def date_invalid_count(t: Tables) -> DataFrame:
 @register("fx_fanout", f"SELECT o_orderkey, o_totalprice, {o.fx_select('o_totalprice')} FROM orders")
 def fx_fanout(t: Tables) -> DataFrame:
     return convert_currencies(t.orders.select("o_orderkey", "o_totalprice"), rules.FALLBACK_RATES, usd="o_totalprice")
+
+
+# ---------------------------------------------------------------- quality metrics -----------------------------------
+@register("null_profile", PRICED + """
+SELECT 'tienda' AS campo, round_even(avg(CAST(tienda IS NULL AS DOUBLE)) * 100, 2) AS pct_nulos FROM priced
+UNION ALL SELECT 'categoria', round_even(avg(CAST(categoria IS NULL AS DOUBLE)) * 100, 2) FROM priced
+UNION ALL SELECT 'producto', round_even(avg(CAST(producto IS NULL AS DOUBLE)) * 100, 2) FROM priced
+UNION ALL SELECT 'precio_usd', round_even(avg(CAST(precio_usd IS NULL AS DOUBLE)) * 100, 2) FROM priced""")
+def null_profile(t: Tables) -> DataFrame:
+    # Measured after casting and before key extraction, so clave_canonica is not yet a column (it is skipped).
+    return quality.null_profile(chain.priced(chain.offer_view(t)))
+
+
+_FIELDS_OK = " AND ".join(f"{f} IS NOT NULL" for f in rules.KEY_FIELDS)
+
+
+@register("quality_metrics", STAGED_DUP[:-1] + f""",
+m AS (
+SELECT (SELECT count(*) FROM offers_dup) AS raw_n, (SELECT count(*) FROM priced) AS rel_n,
+  (SELECT count(*) FILTER (WHERE NOT coalesce(precio_usd > 0, false)) FROM priced) AS unpriced,
+  (SELECT count(*) FROM keyed) AS before_n, (SELECT count(*) FROM deduped) AS stg_n,
+  (SELECT count(*) FILTER (WHERE {_FIELDS_OK}) FROM deduped) AS complete_n
+)
+SELECT raw_n AS total_registros_raw, raw_n - rel_n AS registros_descartados_relevancia,
+  unpriced AS registros_eliminados_nulos, before_n - stg_n AS registros_depurados_duplicados,
+  stg_n AS total_registros_staging,
+  CASE WHEN stg_n > 0 THEN round_even(complete_n / stg_n * 100, 2) ELSE 0.0 END AS tasa_completitud_general_pct,
+  CASE WHEN raw_n > 0 THEN round_even((raw_n - stg_n) / raw_n * 100, 2) ELSE 0.0 END AS tasa_error_pct
+FROM m""")
+def quality_metrics(t: Tables) -> DataFrame:
+    raw = chain.offer_view_with_copies(t)
+    before = chain.staged_before_dedup(raw)
+    return quality.final_metrics(raw, before, chain.staged(raw), chain.priced(raw))
+
+
+@register("dist_store", STAGED + "SELECT tienda, count(*) AS registros FROM deduped WHERE tienda IS NOT NULL GROUP BY tienda")
+def dist_store(t: Tables) -> DataFrame:
+    return quality.distribution(chain.staged(chain.offer_view(t)), "tienda")
+
+
+@register("dist_category",
+          STAGED + "SELECT categoria, count(*) AS registros FROM deduped WHERE categoria IS NOT NULL GROUP BY categoria")
+def dist_category(t: Tables) -> DataFrame:
+    return quality.distribution(chain.staged(chain.offer_view(t)), "categoria")
+
+
+# ---------------------------------------------------------------- currency (long form, history) ---------------------
+_RATES_VALUES = ", ".join(f"({o.q(c)}, CAST({float(v)!r} AS DOUBLE))" for c, v in rules.FALLBACK_RATES.items())
+
+
+@register("fx_long", f"""
+SELECT o_orderkey, o_totalprice, r.moneda, r.tasa, round_even(o_totalprice * r.tasa, 2) AS precio
+FROM orders CROSS JOIN (VALUES {_RATES_VALUES}) AS r(moneda, tasa)""")
+def fx_long(t: Tables) -> DataFrame:
+    from offerlake.operators.fx import convert_long, fallback_rates
+    return convert_long(t.orders.select("o_orderkey", "o_totalprice"), fallback_rates(t.spark), "o_totalprice")
+
+
+_FX_DAYS = f"""days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+series AS (
+SELECT strftime(d, '%Y-%m-%d') AS fecha, 'USD' AS base, r.moneda,
+  round_even(r.tasa * (1 + (dayofyear(d) % 10) / 1000.0), 6) AS tasa
+FROM days CROSS JOIN (VALUES {_RATES_VALUES}) AS r(moneda, tasa))
+"""
+
+
+@register("fx_series", "WITH " + _FX_DAYS + "SELECT * FROM series")
+def fx_series(t: Tables) -> DataFrame:
+    from offerlake.operators.fx import parse_history
+    from offerlake.sources.derived import fx_documents_from_orders
+    return parse_history(fx_documents_from_orders(t.orders))
+
+
+@register("fx_series_window", "WITH " + _FX_DAYS + f""", fin AS (SELECT max(CAST(fecha AS DATE)) AS f FROM series)
+SELECT count(DISTINCT fecha) AS fechas, count(*) AS registros, min(fecha) AS desde, max(fecha) AS hasta
+FROM series, fin WHERE CAST(fecha AS DATE) >= f - INTERVAL {rules.FX_HISTORY_DAYS} DAY""")
+def fx_series_window(t: Tables) -> DataFrame:
+    from offerlake.operators.fx import history_window, parse_history
+    from offerlake.sources.derived import fx_documents_from_orders
+    w = history_window(parse_history(fx_documents_from_orders(t.orders)))
+    return w.agg(F.countDistinct("fecha").alias("fechas"), F.count(F.lit(1)).alias("registros"),
+                 F.min("fecha").alias("desde"), F.max("fecha").alias("hasta"))
+
+
+# ---------------------------------------------------------------- survey --------------------------------------------
+_SURVEY = """survey AS (
+SELECT printf('ENC-%04d', c_custkey) AS id_anonimo,
+  CASE WHEN c_custkey % 33 = 0 THEN NULL ELSE n_name END AS ciudad,
+  c_mktsegment AS categoria_interes,
+  CASE WHEN c_custkey % 97 = 0 OR c_acctbal < 0 THEN NULL ELSE c_acctbal END AS presupuesto_usd
+FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+
+@register("survey_impute", "WITH " + _SURVEY + """,
+med AS (SELECT categoria_interes, median(presupuesto_usd) AS m FROM survey GROUP BY categoria_interes)
+SELECT id_anonimo, coalesce(ciudad, 'No especificada') AS ciudad, s.categoria_interes,
+  coalesce(presupuesto_usd, m) AS presupuesto_usd
+FROM survey s LEFT JOIN med ON s.categoria_interes = med.categoria_interes""")
+def survey_impute(t: Tables) -> DataFrame:
+    from offerlake.operators.survey import stage_survey
+    from offerlake.sources.derived import survey_from_customers
+    return stage_survey(survey_from_customers(t.customer, t.nation))
+
+
+@register("survey_nulls", "WITH " + _SURVEY + """
+SELECT count(*) AS registros, count(*) FILTER (WHERE presupuesto_usd IS NULL) AS presupuesto_imputado,
+  count(*) FILTER (WHERE ciudad IS NULL) AS ciudad_imputada FROM survey""")
+def survey_nulls(t: Tables) -> DataFrame:
+    from offerlake.operators.survey import survey_nulls as sn
+    from offerlake.sources.derived import survey_from_customers
+    return sn(survey_from_customers(t.customer, t.nation))
+
+
+@register("survey_ids", "WITH " + _SURVEY + "SELECT count(*) AS registros, count(DISTINCT id_anonimo) AS ids_unicos FROM survey")
+def survey_ids(t: Tables) -> DataFrame:
+    from offerlake.operators.survey import survey_ids as si
+    from offerlake.sources.derived import survey_from_customers
+    return si(survey_from_customers(t.customer, t.nation))
+
+
+def _lcg(salt: int) -> str:
+    return f"((c_custkey * 1103515245 + {12345 + 7919 * salt}) % 2147483648)"
+
+
+def _pick_sql(options: list[str], u: str) -> str:
+    return f"[{', '.join(o.q(x) for x in options)}][({u} % {len(options)}) + 1]"
+
+
+def _synthetic_survey_sql() -> str:
+    cats = rules.SURVEY_CATEGORIES
+    cat = _pick_sql(cats, _lcg(0))
+    lo = "CASE cat " + " ".join(f"WHEN {o.q(c)} THEN {float(rules.SURVEY_BUDGET_RANGES[c][0])!r}" for c in cats) + " END"
+    hi = "CASE cat " + " ".join(f"WHEN {o.q(c)} THEN {float(rules.SURVEY_BUDGET_RANGES[c][1])!r}" for c in cats) + " END"
+    brands = "CASE cat " + " ".join(
+        f"WHEN {o.q(c)} THEN [{', '.join(o.q(b) for b in rules.SURVEY_BRANDS[c])}]" for c in cats) + " END"
+    return f"""WITH base AS (SELECT c_custkey, {cat} AS cat FROM customer)
+SELECT printf('ENC-%04d', c_custkey) AS id_anonimo,
+  strftime(CAST(DATE '2026-06-16' + INTERVAL ({_lcg(4)} % 15) DAY AS TIMESTAMP) + INTERVAL ({_lcg(3)} % 24) HOUR,
+    '%Y-%m-%d %H:%M') AS fecha_respuesta,
+  CASE WHEN {_lcg(5)} % 100 < 3 THEN NULL ELSE {_pick_sql(rules.SURVEY_CITIES, _lcg(6))} END AS ciudad,
+  {_pick_sql(rules.SURVEY_AGES, _lcg(7))} AS rango_edad,
+  {_pick_sql(rules.SURVEY_OCCUPATIONS, _lcg(8))} AS ocupacion,
+  cat AS categoria_interes,
+  CASE WHEN {_lcg(9)} % 100 < 6 THEN NULL
+    ELSE round_even({lo} + ({hi} - {lo}) * (({_lcg(1)} % 10000) / 10000.0), 2) END AS presupuesto_usd,
+  ({brands})[({_lcg(2)} % len({brands})) + 1] AS marca_preferida,
+  {_pick_sql(rules.SURVEY_CHANNELS, _lcg(10))} AS canal_preferido,
+  {_pick_sql(rules.SURVEY_STORES, _lcg(11))} AS tienda_habitual,
+  {_pick_sql(rules.SURVEY_FREQUENCIES, _lcg(12))} AS frecuencia_compra_anual,
+  CAST({_lcg(13)} % 5 + 1 AS INTEGER) AS importancia_precio
+FROM base"""
+
+
+@register("synthetic_survey", _synthetic_survey_sql())
+def synthetic_survey(t: Tables) -> DataFrame:
+    from offerlake.operators.survey import generate_survey
+    return generate_survey(t.customer.select("c_custkey"), "c_custkey", "2026-06-16")
+
+
+# ---------------------------------------------------------------- spec file -----------------------------------------
+_SPECS = """specs AS (
+SELECT p_partkey,
+  CASE WHEN p_partkey % 50 = 0 THEN NULL
+       WHEN p_type = 'ECONOMY' THEN 'AMD Ryzen™ ' || CAST(3 + 2 * (p_partkey % 4) AS VARCHAR) || ' '
+         || CAST(5000 + 100 * (p_partkey % 40) AS VARCHAR) || 'X'
+       ELSE p_name END AS modelo,
+  CAST(p_size AS VARCHAR) AS nucleos,
+  CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size * 2 AS VARCHAR) END AS hilos,
+  CAST(p_size * 5 AS VARCHAR) || ' W' AS tdp,
+  CAST(p_size % 5 + 2 AS VARCHAR) || '.' || CAST(p_partkey % 10 AS VARCHAR) || ' GHz' AS clock_base,
+  p_brand AS socket
+FROM part)"""
+_SPECS_STAGED = _SPECS + """, specs_stg AS (
+SELECT modelo, TRY_CAST(nucleos AS DOUBLE) AS nucleos, TRY_CAST(hilos AS DOUBLE) AS hilos, tdp, clock_base, socket, p_partkey
+FROM (SELECT *, row_number() OVER (PARTITION BY modelo ORDER BY p_partkey) AS rn FROM specs WHERE modelo IS NOT NULL)
+WHERE rn = 1)"""
+
+
+@register("specs_project", "WITH " + _SPECS + " SELECT modelo, nucleos, hilos, tdp, clock_base, socket FROM specs")
+def specs_project(t: Tables) -> DataFrame:
+    from offerlake.operators.specs import project_specs
+    from offerlake.sources.derived import spec_file_from_parts
+    return project_specs(spec_file_from_parts(t.part))
+
+
+@register("specs_dedup", "WITH " + _SPECS_STAGED + " SELECT modelo, nucleos, hilos, tdp, clock_base, socket FROM specs_stg")
+def specs_dedup(t: Tables) -> DataFrame:
+    from offerlake.operators.specs import stage_specs
+    from offerlake.sources.derived import spec_file_from_parts
+    return stage_specs(spec_file_from_parts(t.part), ["p_partkey"])
+
+
+@register("schema_validate", """
+SELECT 'cpu_specs' AS dataset, count(*) AS filas, 8 AS columnas, CAST([] AS VARCHAR[]) AS faltantes, 'VALIDO' AS estado
+FROM part
+UNION ALL
+SELECT 'cpu_specs_sin_tdp', count(*), 7, ['Default TDP'], 'ESQUEMA INVALIDO' FROM part""")
+def schema_validate(t: Tables) -> DataFrame:
+    from offerlake.operators.specs import validate_schema
+    from offerlake.sources.derived import spec_file_from_parts
+    f = spec_file_from_parts(t.part)
+    return validate_schema(f, "cpu_specs").unionByName(validate_schema(f.drop("Default TDP"), "cpu_specs_sin_tdp"))
