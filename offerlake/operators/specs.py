@@ -12,10 +12,11 @@ from offerlake.functions.keys import canonical_key
 from offerlake.operators.dedup import keep_first
 
 
-def project_specs(df: DataFrame, column_map: Mapping[str, str] = rules.SPEC_COLUMN_MAP) -> DataFrame:
+def project_specs(df: DataFrame, column_map: Mapping[str, str] = rules.SPEC_COLUMN_MAP,
+                  keep: Sequence[str] = ()) -> DataFrame:
     """Select and rename the mapped columns that are present (backticks: names such as ``# of CPU Cores``)."""
     present = [(k, v) for k, v in column_map.items() if k in df.columns]
-    return df.select(*[F.col(f"`{k}`").alias(v) for k, v in present])
+    return df.select(*keep, *[F.col(f"`{k}`").alias(v) for k, v in present])
 
 
 def stage_specs(df: DataFrame, order: Sequence[str], column_map: Mapping[str, str] = rules.SPEC_COLUMN_MAP) -> DataFrame:
@@ -46,8 +47,13 @@ def spec_key(model: str = "modelo") -> "F.Column":
     return canonical_key(cleaned, F.lit("CPU"))
 
 
-def enrich_offers(offers: DataFrame, specs: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Left join of offers to specs on the canonical key; specs reduced to one row per key first (first in order)."""
+def specs_by_key(specs: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Specs keyed like offers, one row per key (first in ``order``), order columns dropped."""
     keyed = specs.withColumn("clave_canonica", spec_key()).filter(F.col("clave_canonica") != rules.UNCLASSIFIED)
-    one = keep_first(keyed, "clave_canonica", order)
-    return offers.join(one.drop(*[c for c in order if c not in ("clave_canonica",)]), on="clave_canonica", how="left")
+    return keep_first(keyed, "clave_canonica", order).drop(*order)
+
+
+def enrich_offers(offers: DataFrame, specs: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Left join of offers to specs on the canonical key. The spec side has one row per key (a few hundred models
+    in practice): AQE broadcasts it when its measured size allows, else a sort-merge join with skew splitting."""
+    return offers.join(specs_by_key(specs, order), on="clave_canonica", how="left")

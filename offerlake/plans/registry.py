@@ -286,14 +286,14 @@ def _pick_sql(options: list[str], u: str) -> str:
     return f"[{', '.join(o.q(x) for x in options)}][({u} % {len(options)}) + 1]"
 
 
-def _synthetic_survey_sql() -> str:
+def _synth_cte() -> str:
     cats = rules.SURVEY_CATEGORIES
     cat = _pick_sql(cats, _lcg(0))
     lo = "CASE cat " + " ".join(f"WHEN {o.q(c)} THEN {float(rules.SURVEY_BUDGET_RANGES[c][0])!r}" for c in cats) + " END"
     hi = "CASE cat " + " ".join(f"WHEN {o.q(c)} THEN {float(rules.SURVEY_BUDGET_RANGES[c][1])!r}" for c in cats) + " END"
     brands = "CASE cat " + " ".join(
         f"WHEN {o.q(c)} THEN [{', '.join(o.q(b) for b in rules.SURVEY_BRANDS[c])}]" for c in cats) + " END"
-    return f"""WITH base AS (SELECT c_custkey, {cat} AS cat FROM customer)
+    return f"""synth_base AS (SELECT c_custkey, {cat} AS cat FROM customer), synth AS (
 SELECT printf('ENC-%04d', c_custkey) AS id_anonimo,
   strftime(CAST(DATE '2026-06-16' + INTERVAL ({_lcg(4)} % 15) DAY AS TIMESTAMP) + INTERVAL ({_lcg(3)} % 24) HOUR,
     '%Y-%m-%d %H:%M') AS fecha_respuesta,
@@ -303,15 +303,15 @@ SELECT printf('ENC-%04d', c_custkey) AS id_anonimo,
   cat AS categoria_interes,
   CASE WHEN {_lcg(9)} % 100 < 6 THEN NULL
     ELSE round_even({lo} + ({hi} - {lo}) * (({_lcg(1)} % 10000) / 10000.0), 2) END AS presupuesto_usd,
-  ({brands})[({_lcg(2)} % len({brands})) + 1] AS marca_preferida,
+  ({brands.replace('cat', 'cat')})[({_lcg(2)} % len({brands})) + 1] AS marca_preferida,
   {_pick_sql(rules.SURVEY_CHANNELS, _lcg(10))} AS canal_preferido,
   {_pick_sql(rules.SURVEY_STORES, _lcg(11))} AS tienda_habitual,
   {_pick_sql(rules.SURVEY_FREQUENCIES, _lcg(12))} AS frecuencia_compra_anual,
   CAST({_lcg(13)} % 5 + 1 AS INTEGER) AS importancia_precio
-FROM base"""
+FROM synth_base)"""
 
 
-@register("synthetic_survey", _synthetic_survey_sql())
+@register("synthetic_survey", "WITH " + _synth_cte() + " SELECT * FROM synth")
 def synthetic_survey(t: Tables) -> DataFrame:
     from offerlake.operators.survey import generate_survey
     return generate_survey(t.customer.select("c_custkey"), "c_custkey", "2026-06-16")
@@ -360,3 +360,205 @@ def schema_validate(t: Tables) -> DataFrame:
     from offerlake.sources.derived import spec_file_from_parts
     f = spec_file_from_parts(t.part)
     return validate_schema(f, "cpu_specs").unionByName(validate_schema(f.drop("Default TDP"), "cpu_specs_sin_tdp"))
+
+
+# ---------------------------------------------------------------- homologation, snapshots, unions ------------------
+@register("alias_homologate", """
+SELECT s_suppkey, s_name AS tienda,
+  coalesce(CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'Item ' || CAST(s_suppkey AS VARCHAR) END,
+           'Producto ' || CAST(s_suppkey AS VARCHAR)) AS producto,
+  CAST(s_acctbal AS VARCHAR) AS precio_raw, 'https://shop.example/s/' || CAST(s_suppkey AS VARCHAR) AS url_producto,
+  '2026-06-30 10:00:00' AS fecha_extraccion, CAST(NULL AS VARCHAR) AS pais, CAST(NULL AS VARCHAR) AS moneda,
+  CAST(NULL AS VARCHAR) AS categoria
+FROM supplier""")
+def alias_homologate(t: Tables) -> DataFrame:
+    from offerlake.operators.normalize import normalize_columns
+    from offerlake.sources.derived import alias_offers_from_suppliers
+    return normalize_columns(alias_offers_from_suppliers(t.supplier))
+
+
+@register("snapshot_latest", """
+SELECT event_id, user_id, event_type, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS fecha FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""")
+def snapshot_latest(t: Tables) -> DataFrame:
+    from offerlake.sources.offers import latest_snapshot
+    latest = latest_snapshot(t.events, F.to_date("ts"))
+    return latest.select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("fecha"))
+
+
+@register("store_union", o.with_ctes(o.OFFERS) + """
+SELECT k1, k2, tienda, producto, fecha_extraccion, CAST(NULL AS VARCHAR) AS url_producto FROM offers WHERE k1 % 2 = 0
+UNION ALL
+SELECT k1, k2, tienda, producto, CAST(NULL AS VARCHAR), url_producto FROM offers WHERE k1 % 2 = 1""")
+def store_union(t: Tables) -> DataFrame:
+    from offerlake.sources.offers import union_sources
+    v = chain.offer_view(t)
+    a = v.filter(F.col("k1") % 2 == 0).select("k1", "k2", "tienda", "producto", "fecha_extraccion")
+    b = v.filter(F.col("k1") % 2 == 1).select("url_producto", "producto", "tienda", "k2", "k1")
+    return union_sources([a, b])
+
+
+def _whitelist_sql(title: str, category: str) -> str:
+    whens = " ".join(
+        f"WHEN {o.q(c.upper())} THEN ({' OR '.join(f'contains(lower({title}), {o.q(k)})' for k in kws)})"
+        for c, kws in rules.CATEGORY_WHITELIST.items())
+    return f"coalesce(CASE upper(trim({category})) {whens} ELSE false END, false)"
+
+
+@register("whitelist_filter", o.with_ctes(o.OFFERS) +
+          f"SELECT k1, k2, categoria, producto FROM offers WHERE {_whitelist_sql('producto', 'categoria')}")
+def whitelist_filter(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import whitelist_filter as wf
+    return wf(chain.offer_view(t)).select("k1", "k2", "categoria", "producto")
+
+
+# ---------------------------------------------------------------- crawl over stored pages and fetch logs ----------
+_KW_VALUES = ", ".join(f"({o.q(c)}, {o.q(k)})" for c, ks in rules.SEARCH_KEYWORDS.items() for k in ks)
+_SEEDS = f"""seeds AS (
+SELECT n_name AS tienda, kw.categoria, kw.keyword,
+  replace('https://' || lower(n_name) || '.example/?s={{kw}}&post_type=product', '{{kw}}', replace(kw.keyword, ' ', '+')) AS url
+FROM nation CROSS JOIN (VALUES {_KW_VALUES}) AS kw(categoria, keyword))"""
+
+
+def _store_dim(t: Tables) -> DataFrame:
+    return t.nation.select(
+        F.col("n_name").alias("tienda"),
+        F.concat(F.lit("https://"), F.lower("n_name"), F.lit(".example/?s={kw}&post_type=product")).alias("url_busqueda"))
+
+
+@register("crawl_seeds", "WITH " + _SEEDS + " SELECT * FROM seeds")
+def crawl_seeds(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import crawl_seeds as cs, keyword_table
+    return cs(_store_dim(t), keyword_table(t.spark))
+
+
+@register("store_filter", "WITH " + _SEEDS + " SELECT * FROM seeds WHERE lower(tienda) = 'nation_7'")
+def store_filter(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import crawl_seeds as cs, keyword_table, store_filter as sf
+    return cs(sf(_store_dim(t), "Nation_7"), keyword_table(t.spark))
+
+
+_ITEM_RE = o.q(r'<li><a href="([^"]*)">([^<]*)</a></li>')
+_ITEMS = f"""items AS (
+SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(u) AS url_producto, trim(n) AS nombre FROM (
+  SELECT page_id, unnest(regexp_extract_all(html, {_ITEM_RE}, 1)) AS u, unnest(regexp_extract_all(html, {_ITEM_RE}, 2)) AS n,
+    unnest(range(1, len(regexp_extract_all(html, {_ITEM_RE}, 1)) + 1)) AS pos FROM pages))"""
+
+
+@register("page_items", "WITH " + _ITEMS + " SELECT page_id, pos, url_producto, nombre, '' AS precio_raw FROM items "
+          "WHERE nombre IS NOT NULL AND nombre <> ''")
+def page_items(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import extract_items, item_policy
+    return item_policy(extract_items(t.pages))
+
+
+@register("page_items_whitelisted", "WITH " + _ITEMS + f""", cats AS (
+SELECT page_id, [{', '.join(o.q(c) for c in rules.CATEGORY_WHITELIST)}][page_id % {len(rules.CATEGORY_WHITELIST)} + 1] AS categoria
+FROM pages)
+SELECT i.page_id, pos, nombre, categoria FROM items i JOIN cats c ON i.page_id = c.page_id
+WHERE nombre <> '' AND {_whitelist_sql('nombre', 'categoria')}""")
+def page_items_whitelisted(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import extract_items, item_policy, whitelist_filter as wf
+    cats = list(rules.CATEGORY_WHITELIST)
+    pages = t.pages.withColumn("categoria", F.element_at(F.array(*[F.lit(c) for c in cats]),
+                                                         (F.col("page_id") % len(cats) + 1).cast("int")))
+    items = item_policy(extract_items(pages, keep=("page_id", "categoria")))
+    return wf(items, title="nombre").select("page_id", "pos", "nombre", "categoria")
+
+
+_PAGES_RANKED = f"""pg AS (
+SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS sitio, page_id,
+  CAST(CASE WHEN page_id % 4 = 0 THEN 0 ELSE len(regexp_extract_all(html, {_ITEM_RE}, 2)) END AS INTEGER) AS items
+FROM pages), rk AS (
+SELECT *, CAST(row_number() OVER (PARTITION BY sitio ORDER BY page_id) AS INTEGER) AS rank FROM pg), vis AS (
+SELECT * FROM rk WHERE rank <= {rules.MAX_PAGES}), stp AS (
+SELECT sitio, min(rank) AS s FROM vis WHERE items = 0 AND rank > 1 GROUP BY sitio)"""
+
+
+@register("page_cap", "WITH " + _PAGES_RANKED + """
+SELECT v.sitio, v.page_id, v.items, v.rank FROM vis v LEFT JOIN stp ON v.sitio = stp.sitio
+WHERE stp.s IS NULL OR v.rank <= stp.s""")
+def page_cap(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import ITEM_PATTERN, host_of, page_cap as pc
+    pages = t.pages.select(
+        host_of(F.col("url")).alias("sitio"), "page_id",
+        F.when(F.col("page_id") % 4 == 0, F.lit(0))
+        .otherwise(F.size(F.regexp_extract_all(F.col("html"), F.lit(ITEM_PATTERN), 2))).alias("items"))
+    return pc(pages, "sitio", "page_id", "items").select("sitio", "page_id", "items", "rank")
+
+
+@register("fetch_errors", """
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, 'tienda_' || CAST(user_id AS VARCHAR) AS fuente, 'HTTP' AS tipo_error,
+  substring(trim(replace('Codigo 500 en busqueda ' || CAST(event_id AS VARCHAR) || chr(10) || ' props=' || props || chr(10),
+    chr(10), ' ')), 1, 300) AS descripcion,
+  'Busqueda omitida; se continua con la siguiente categoria' AS accion_tomada
+FROM events WHERE event_type = 'error'""")
+def fetch_errors(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import fetch_errors as fe, fetch_status
+    return fe(fetch_status(t.events))
+
+
+@register("crawl_summary", """
+SELECT 'tienda_' || CAST(user_id AS VARCHAR) AS tienda, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS corrida,
+  count(*) FILTER (WHERE event_type = 'purchase') AS items, count(*) FILTER (WHERE event_type = 'error') AS fallos,
+  CASE WHEN count(*) FILTER (WHERE event_type = 'purchase') > 0 THEN 'OK'
+       WHEN count(*) FILTER (WHERE event_type = 'error') > 0
+         THEN 'ERROR: ' || CAST(count(*) FILTER (WHERE event_type = 'error') AS VARCHAR) || ' fallos'
+       ELSE 'SIN DATOS' END AS estado
+FROM events GROUP BY ALL""")
+def crawl_summary(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import fetch_status, run_summary
+    ev = fetch_status(t.events).withColumn("tienda", F.concat(F.lit("tienda_"), F.col("user_id").cast("string")))
+    return run_summary(ev, "tienda", F.date_format(F.to_date("ts"), "yyyy-MM-dd"), F.col("event_type") == "purchase")
+
+
+@register("selector_coverage", f"""
+WITH p AS (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS sitio, regexp_extract_all(html, {_ITEM_RE}, 2) AS items,
+  trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS t, trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)) AS h
+FROM pages)
+SELECT sitio, count(*) AS paginas, count(*) FILTER (WHERE len(items) >= 2) AS con_contenedor,
+  CAST(sum(len(list_filter(list_slice(items, 1, 3), lambda x: trim(x) <> ''))) AS BIGINT) AS items_muestra,
+  count(*) FILTER (WHERE t <> '') AS nombre_por_title, count(*) FILTER (WHERE t = '' AND h <> '') AS nombre_por_h1
+FROM p GROUP BY sitio""")
+def selector_coverage(t: Tables) -> DataFrame:
+    from offerlake.operators.crawl import selector_coverage as sc
+    return sc(t.pages)
+
+
+# ---------------------------------------------------------------- enrichment joins ----------------------------------
+_SPEC_KEY_HELPERS, _SPEC_KEY = o.key_columns("regexp_replace(modelo, '[™®]', '', 'g')", "'CPU'")
+
+
+@register("spec_enrich", STAGED[:-1] + ",\n" + _SPECS + f""", spk_h AS (
+SELECT *, {_SPEC_KEY_HELPERS} FROM specs WHERE modelo IS NOT NULL), spk AS (
+SELECT {_SPEC_KEY} AS clave_canonica, modelo, TRY_CAST(nucleos AS DOUBLE) AS nucleos, tdp, socket, p_partkey FROM spk_h), spk1 AS (
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clave_canonica ORDER BY p_partkey) AS rn FROM spk
+  WHERE clave_canonica <> {o.q(rules.UNCLASSIFIED)}) WHERE rn = 1)
+SELECT d.k1, d.k2, d.clave_canonica, s.modelo, s.nucleos, s.tdp, s.socket
+FROM deduped d LEFT JOIN spk1 s ON d.clave_canonica = s.clave_canonica WHERE d.categoria = 'CPU'""")
+def spec_enrich(t: Tables) -> DataFrame:
+    from offerlake.operators.specs import enrich_offers, project_specs
+    from offerlake.sources.derived import spec_file_from_parts
+    specs = project_specs(spec_file_from_parts(t.part), keep=["p_partkey"]).dropna(subset=["modelo"])
+    specs = specs.select("p_partkey", "modelo", F.col("nucleos").try_cast("double").alias("nucleos"), "tdp", "socket")
+    offers = chain.staged(chain.offer_view(t)).filter(F.col("categoria") == "CPU").select("k1", "k2", "clave_canonica")
+    return enrich_offers(offers, specs, ["p_partkey"]).select("k1", "k2", "clave_canonica", "modelo", "nucleos", "tdp",
+                                                              "socket")
+
+
+@register("demand_vs_price", STAGED[:-1] + ",\n" + _synth_cte() + """, smed AS (
+SELECT categoria_interes, median(presupuesto_usd) AS m FROM synth GROUP BY categoria_interes), simp AS (
+SELECT upper(s.categoria_interes) AS categoria, coalesce(presupuesto_usd, m) AS presupuesto_usd
+FROM synth s LEFT JOIN smed ON s.categoria_interes = smed.categoria_interes), dem AS (
+SELECT categoria, count(*) AS respondentes, median(presupuesto_usd) AS presupuesto_mediano FROM simp GROUP BY categoria), pr AS (
+SELECT categoria, count(*) AS ofertas, median(precio_usd) AS precio_mediano FROM deduped GROUP BY categoria)
+SELECT categoria, respondentes, presupuesto_mediano, ofertas, precio_mediano FROM dem FULL OUTER JOIN pr USING (categoria)""")
+def demand_vs_price(t: Tables) -> DataFrame:
+    from offerlake.operators.survey import generate_survey, stage_survey
+    survey = stage_survey(generate_survey(t.customer.select("c_custkey"), "c_custkey", "2026-06-16"))
+    demand = survey.groupBy(F.upper("categoria_interes").alias("categoria")).agg(
+        F.count(F.lit(1)).alias("respondentes"), F.median("presupuesto_usd").alias("presupuesto_mediano"))
+    prices = chain.staged(chain.offer_view(t)).groupBy("categoria").agg(
+        F.count(F.lit(1)).alias("ofertas"), F.median("precio_usd").alias("precio_mediano"))
+    return demand.join(prices, "categoria", "full").select("categoria", "respondentes", "presupuesto_mediano", "ofertas",
+                                                           "precio_mediano")
