@@ -562,3 +562,193 @@ def demand_vs_price(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("ofertas"), F.median("precio_usd").alias("precio_mediano"))
     return demand.join(prices, "categoria", "full").select("categoria", "respondentes", "presupuesto_mediano", "ofertas",
                                                            "precio_mediano")
+
+
+# ---------------------------------------------------------------- star schema ---------------------------------------
+def _values(rows, cols: str) -> str:
+    def lit(v):
+        return "NULL" if v is None else o.q(v)
+    return "(VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows) + f") AS x({cols})"
+
+
+_CAL = """SELECT CAST(strftime(f, '%Y%m%d') AS INTEGER) AS id_tiempo, strftime(f, '%Y-%m-%d') AS fecha,
+  CAST(weekofyear(f) AS INTEGER) AS semana_iso, CAST(month(f) AS INTEGER) AS mes, CAST(quarter(f) AS INTEGER) AS trimestre,
+  CAST(year(f) AS INTEGER) AS anio, dayname(f) AS nombre_dia
+FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS f FROM b)"""
+_TIEMPO_ORDERS = ("tiempo AS (WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi "
+                  "FROM orders) " + _CAL + ")")
+_FUENTE_ROWS = [tuple(r) for r in rules.SOURCE_SEEDS] + [
+    ("Scraping tiendas", "Web Scraping", "Spark", "Diaria", None), ("Encuesta propia", "Encuesta", "Spark", "Unica", None)]
+_FUENTE = ("fuente AS (SELECT CAST(row_number() OVER (ORDER BY nombre_fuente) AS INTEGER) AS id_fuente, * FROM "
+           + _values(_FUENTE_ROWS, "nombre_fuente, tipo_extraccion, tecnologia, frecuencia_actualizacion, url_o_endpoint")
+           + ")")
+_SEED_STORES = _values([tuple(r) for r in rules.STORE_SEEDS], "nombre_tienda, pais, moneda_nativa, tipo_tienda, url_base")
+
+
+def _tienda_cte(observed_sql: str) -> str:
+    return f"""tienda AS (
+WITH seeds AS (SELECT * FROM {_SEED_STORES}), obs AS ({observed_sql}), u AS (
+SELECT * FROM seeds UNION ALL
+SELECT nombre_tienda, pais, 'USD', 'Tienda especializada', CAST(NULL AS VARCHAR) FROM obs
+WHERE nombre_tienda NOT IN (SELECT nombre_tienda FROM seeds))
+SELECT CAST(row_number() OVER (ORDER BY nombre_tienda) AS BIGINT) AS id_tienda, * FROM u)"""
+
+
+def _brand_sql(col: str) -> str:
+    from offerlake.operators.warehouse import _re_escape, brand_list
+    whens = " ".join(f"WHEN regexp_matches(lower({col}), {o.q('(^|[^a-z0-9])' + _re_escape(b.lower()) + '([^a-z0-9]|$)')}) "
+                     f"THEN {o.q(b)}" for b in brand_list())
+    return f"CASE {whens} ELSE {o.q(rules.UNKNOWN_BRAND)} END"
+
+
+_PRODUCTO = f"""producto AS (
+SELECT CAST(row_number() OVER (ORDER BY clave_canonica) AS BIGINT) AS id_producto, clave_canonica,
+  {_brand_sql('modelo_raw')} AS marca, upper(cat) AS categoria, CAST(NULL AS VARCHAR) AS subcategoria, modelo_raw,
+  CAST(NULL AS VARCHAR) AS especificaciones
+FROM (SELECT clave_canonica, arg_min(producto, (precio_usd, tienda, producto, categoria)) AS modelo_raw,
+        arg_min(categoria, (precio_usd, tienda, producto, categoria)) AS cat FROM deduped GROUP BY clave_canonica))"""
+_TIENDA_STAGED = _tienda_cte("SELECT DISTINCT tienda AS nombre_tienda, pais FROM deduped")
+_FACT = """fact AS (
+SELECT CAST(row_number() OVER (ORDER BY d.tienda NULLS FIRST, d.categoria NULLS FIRST, d.clave_canonica NULLS FIRST,
+    d.precio_usd NULLS FIRST) AS BIGINT) AS id_hecho,
+  p.id_producto, t.id_tienda, CAST(strftime(CAST(d.fecha_extraccion AS DATE), '%Y%m%d') AS INTEGER) AS id_tiempo,
+  (SELECT id_fuente FROM fuente WHERE nombre_fuente = 'Scraping tiendas') AS id_fuente,
+  CAST(d.precio_usd AS DECIMAL(12,4)) AS precio_original, d.moneda AS moneda_original,
+  CAST(1.0 AS DECIMAL(10,6)) AS tasa_cambio_usd, CAST(d.precio_usd AS DECIMAL(12,4)) AS precio_usd,
+  true AS stock_disponible, CAST(d.fecha_extraccion AS TIMESTAMP) AS fecha_extraccion, d.url_producto
+FROM deduped d JOIN producto p ON p.clave_canonica = d.clave_canonica JOIN tienda t ON t.nombre_tienda = d.tienda)"""
+_STAR = STAGED[:-1] + ",\n" + ",\n".join([_TIEMPO_ORDERS, _FUENTE, _TIENDA_STAGED, _PRODUCTO, _FACT]) + "\n"
+
+
+class _Star:
+    """The star schema over the staged offers of one data directory (staged table materialised once)."""
+
+    def __init__(self, t: Tables):
+        from offerlake.operators import warehouse as wh
+        from offerlake.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(t.spark)
+        self.staged = chain.staged(chain.offer_view(t)).checkpoint(eager=True)
+        self.tiempo = wh.calendar(t.orders, "o_orderdate")
+        self.fuente = wh.source_dim(t.spark)
+        self.tienda = wh.store_dim(self.staged.select(F.col("tienda").alias("nombre_tienda"), "pais"))
+        self.producto = wh.product_dim(self.staged)
+        self.fact = wh.fact_prices(self.staged, self.producto, self.tienda, self.fuente)
+
+
+@register("dim_tiempo", "WITH " + _TIEMPO_ORDERS + " SELECT * FROM tiempo")
+def dim_tiempo(t: Tables) -> DataFrame:
+    from offerlake.operators.warehouse import calendar
+    return calendar(t.orders, "o_orderdate")
+
+
+@register("dim_tienda", "WITH " + _tienda_cte(
+    "SELECT DISTINCT s_name AS nombre_tienda, n_name AS pais FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+    + " SELECT * FROM tienda")
+def dim_tienda(t: Tables) -> DataFrame:
+    from offerlake.operators.warehouse import store_dim
+    n = F.broadcast(t.nation.select("n_nationkey", "n_name"))  # 25 rows by definition of the table
+    obs = t.supplier.join(n, t.supplier.s_nationkey == n.n_nationkey).select(
+        F.col("s_name").alias("nombre_tienda"), F.col("n_name").alias("pais"))
+    return store_dim(obs)
+
+
+@register("dim_producto", STAGED[:-1] + ",\n" + _PRODUCTO + "\nSELECT * FROM producto")
+def dim_producto(t: Tables) -> DataFrame:
+    from offerlake.operators.warehouse import product_dim
+    return product_dim(chain.staged(chain.offer_view(t)))
+
+
+_MONEY = ["precio_original", "tasa_cambio_usd", "precio_usd"]
+
+
+def _money_as_double(df: DataFrame) -> DataFrame:
+    """Registered outputs carry DECIMAL money as DOUBLE so both engines hand over the same value type."""
+    return df.withColumns({c: F.col(c).cast("double") for c in _MONEY + ["precio_min", "precio_max", "precio_total"]
+                           if c in df.columns})
+
+
+@register("fact_precios", _STAR + "SELECT * REPLACE (CAST(precio_original AS DOUBLE) AS precio_original, "
+          "CAST(tasa_cambio_usd AS DOUBLE) AS tasa_cambio_usd, CAST(precio_usd AS DOUBLE) AS precio_usd) FROM fact")
+def fact_precios(t: Tables) -> DataFrame:
+    return _money_as_double(_Star(t).fact)
+
+
+@register("star_rollup", _STAR + """
+SELECT p.categoria, ti.anio, count(*) AS ofertas, count(DISTINCT f.id_tienda) AS tiendas,
+  CAST(min(f.precio_usd) AS DOUBLE) AS precio_min, CAST(max(f.precio_usd) AS DOUBLE) AS precio_max,
+  CAST(CAST(sum(f.precio_usd) AS DECIMAL(22,4)) AS DOUBLE) AS precio_total
+FROM fact f JOIN producto p ON f.id_producto = p.id_producto JOIN tienda s ON f.id_tienda = s.id_tienda
+  JOIN tiempo ti ON f.id_tiempo = ti.id_tiempo JOIN fuente fu ON f.id_fuente = fu.id_fuente
+GROUP BY p.categoria, ti.anio""")
+def star_rollup(t: Tables) -> DataFrame:
+    s = _Star(t)
+    j = (s.fact.join(s.producto.select("id_producto", "categoria"), "id_producto")
+         .join(s.tienda.select("id_tienda"), "id_tienda")
+         .join(s.tiempo.select("id_tiempo", "anio"), "id_tiempo")
+         .join(F.broadcast(s.fuente.select("id_fuente")), "id_fuente"))
+    return _money_as_double(j.groupBy("categoria", "anio").agg(
+        F.count(F.lit(1)).alias("ofertas"), F.countDistinct("id_tienda").alias("tiendas"),
+        F.min("precio_usd").alias("precio_min"), F.max("precio_usd").alias("precio_max"),
+        F.sum("precio_usd").cast("decimal(22,4)").alias("precio_total")))
+
+
+def _enum(vals) -> str:
+    return ", ".join(o.q(v) for v in vals)
+
+
+@register("check_constraints", _STAR + f"""
+SELECT 'dim_tiempo' AS tabla, 'mes BETWEEN 1 AND 12' AS regla, count(*) FILTER (WHERE NOT coalesce(mes BETWEEN 1 AND 12, false)) AS violaciones FROM tiempo
+UNION ALL SELECT 'dim_tiempo', 'trimestre BETWEEN 1 AND 4', count(*) FILTER (WHERE NOT coalesce(trimestre BETWEEN 1 AND 4, false)) FROM tiempo
+UNION ALL SELECT 'dim_fuente', 'tipo_extraccion IN (...)', count(*) FILTER (WHERE NOT coalesce(tipo_extraccion IN ({_enum(rules.EXTRACTION_TYPES + ['Encuesta'])}), false)) FROM fuente
+UNION ALL SELECT 'dim_fuente', 'frecuencia_actualizacion IN (...)', count(*) FILTER (WHERE NOT coalesce(frecuencia_actualizacion IN ({_enum(rules.UPDATE_FREQUENCIES)}), false)) FROM fuente
+UNION ALL SELECT 'dim_tienda', 'tipo_tienda IN (...)', count(*) FILTER (WHERE NOT coalesce(tipo_tienda IN ({_enum(rules.STORE_TYPES)}), false)) FROM tienda
+UNION ALL SELECT 'dim_producto', 'categoria IN (...)', count(*) FILTER (WHERE NOT coalesce(categoria IN ({_enum([c.upper() for c in rules.PRODUCT_CATEGORIES])}), false)) FROM producto
+UNION ALL SELECT 'fact_precios', 'precio_original > 0', count(*) FILTER (WHERE NOT coalesce(precio_original > 0, false)) FROM fact
+UNION ALL SELECT 'fact_precios', 'tasa_cambio_usd > 0', count(*) FILTER (WHERE NOT coalesce(tasa_cambio_usd > 0, false)) FROM fact
+UNION ALL SELECT 'fact_precios', 'precio_usd > 0', count(*) FILTER (WHERE NOT coalesce(precio_usd > 0, false)) FROM fact""")
+def check_constraints(t: Tables) -> DataFrame:
+    from offerlake.operators.warehouse import check_rules, constraint_rules
+    s = _Star(t)
+    return check_rules(constraint_rules(s.tiempo, s.fuente, s.tienda, s.producto, s.fact))
+
+
+def _uniq_sql(table: str, cte: str, col: str) -> str:
+    return (f"SELECT '{table}' AS tabla, '{col}' AS columna, (SELECT count(*) FILTER (WHERE {col} IS NULL) FROM {cte}) AS nulos, "
+            f"(SELECT count(*) FROM (SELECT {col} FROM {cte} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)) AS duplicados")
+
+
+_UNIQUE = [("dim_tiempo", "tiempo", "fecha"), ("dim_fuente", "fuente", "nombre_fuente"),
+           ("dim_tienda", "tienda", "nombre_tienda"), ("dim_producto", "producto", "clave_canonica"),
+           ("fact_precios", "fact", "id_hecho")]
+
+
+@register("unique_notnull", _STAR + "\nUNION ALL\n".join(_uniq_sql(*u) for u in _UNIQUE))
+def unique_notnull(t: Tables) -> DataFrame:
+    from offerlake.operators.warehouse import unique_violations
+    s = _Star(t)
+    frames = {"tiempo": s.tiempo, "fuente": s.fuente, "tienda": s.tienda, "producto": s.producto, "fact": s.fact}
+    out = None
+    for table, cte, col in _UNIQUE:
+        r = unique_violations(frames[cte], table, col)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+_FKS = [("fact_precios.id_producto -> dim_producto", "id_producto", "producto"),
+        ("fact_precios.id_tienda -> dim_tienda", "id_tienda", "tienda"),
+        ("fact_precios.id_tiempo -> dim_tiempo", "id_tiempo", "tiempo"),
+        ("fact_precios.id_fuente -> dim_fuente", "id_fuente", "fuente")]
+
+
+@register("fk_violations", _STAR + "\nUNION ALL\n".join(
+    f"SELECT {o.q(n)} AS relacion, count(*) AS huerfanos FROM fact f WHERE NOT EXISTS "
+    f"(SELECT 1 FROM {cte} d WHERE d.{k} = f.{k})" for n, k, cte in _FKS))
+def fk_violations(t: Tables) -> DataFrame:
+    from offerlake.operators.warehouse import fk_violations as fv
+    s = _Star(t)
+    frames = {"producto": s.producto, "tienda": s.tienda, "tiempo": s.tiempo, "fuente": s.fuente}
+    out = None
+    for name, key, cte in _FKS:
+        r = fv(s.fact, key, frames[cte], key, name)
+        out = r if out is None else out.unionByName(r)
+    return out
