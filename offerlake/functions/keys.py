@@ -25,6 +25,47 @@ def strip_brackets(title: Column) -> Column:
     return collapse_ws(F.regexp_replace(F.lower(title), _BRACKETS, " "))
 
 
+def key_hits(txt: Column, category: Column, patterns: Mapping[str, Sequence[str]] = rules.KEY_PATTERNS
+             ) -> dict[str, Column]:
+    """One column per (category, pattern): the trimmed first match in the cleaned title, only for rows of that
+    category (others get null, so each row runs only its own category's patterns). ``txt`` is already
+    whitespace-collapsed, so trimming equals the reference's collapse-and-strip of the match."""
+    out = {}
+    for cat, plist in patterns.items():
+        for i, p in enumerate(plist):
+            out[f"_kh_{cat}_{i}"] = F.when(category == cat, F.trim(F.regexp_extract(txt, java_regex(p), 0)))
+    return out
+
+
+def key_from_hits(title: Column, category: Column, patterns: Mapping[str, Sequence[str]] = rules.KEY_PATTERNS,
+                  generic: Sequence[str] = rules.GENERIC_KEYS, unclassified: str = rules.UNCLASSIFIED) -> Column:
+    """First valid hit of the row's category (not empty, not generic, holds a digit), else ``unclassified``."""
+    expr = None
+    for cat, plist in patterns.items():
+        cands = []
+        for i, _ in enumerate(plist):
+            hit = F.col(f"_kh_{cat}_{i}")
+            ok = (hit != "") & ~hit.isin(*generic) & hit.rlike(_DIGIT)
+            cands.append(F.when(ok, hit))
+        branch = F.coalesce(*cands, F.lit(unclassified))
+        expr = F.when(category == cat, branch) if expr is None else expr.when(category == cat, branch)
+    keyed = expr.otherwise(F.lit(unclassified)) if expr is not None else F.lit(unclassified)
+    return F.when(title.isNull() | (title == ""), F.lit(unclassified)).otherwise(keyed)
+
+
+def add_key(df, title: str = "producto", category: str = "categoria", out: str = "clave_canonica",
+            patterns: Mapping[str, Sequence[str]] = rules.KEY_PATTERNS):
+    """Add the canonical key column in three narrow projections (cleaned title -> pattern hits -> key), so every
+    regex runs once per row; the helper columns are dropped."""
+    cats = list(patterns)
+    txt = F.when(F.col(category).isin(*cats), strip_brackets(F.col(title)))
+    step1 = df.withColumn("_ktxt", txt)
+    hits = key_hits(F.col("_ktxt"), F.col(category), patterns)
+    step2 = step1.withColumns(hits)
+    step3 = step2.withColumn(out, key_from_hits(F.col(title), F.col(category), patterns))
+    return step3.drop("_ktxt", *hits)
+
+
 def canonical_key(
     title: Column,
     category: Column,
@@ -32,12 +73,13 @@ def canonical_key(
     generic: Sequence[str] = rules.GENERIC_KEYS,
     unclassified: str = rules.UNCLASSIFIED,
 ) -> Column:
+    """Single-expression form of the key (for small inputs and ad-hoc use; ``add_key`` is the plan-friendly form)."""
     txt = strip_brackets(title)
     expr = None
     for cat, plist in patterns.items():
         candidates = []
         for p in plist:
-            hit = collapse_ws(F.regexp_extract(txt, java_regex(p), 0))
+            hit = F.trim(F.regexp_extract(txt, java_regex(p), 0))
             ok = (hit != "") & ~hit.isin(*generic) & hit.rlike(_DIGIT)
             candidates.append(F.when(ok, hit))
         branch = F.coalesce(*candidates, F.lit(unclassified))

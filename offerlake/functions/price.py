@@ -28,12 +28,12 @@ def amount_tokens(c: Column) -> Column:
 
 
 def _normalize_token(t: Column) -> Column:
-    drop_dots = F.regexp_replace(t, r"\.", "")
-    no_commas = F.regexp_replace(t, ",", "")
+    # Character-level rewrites with translate (no regex): "eu" maps ',' to '.' and deletes '.', in one pass.
+    no_commas = F.translate(t, ",", "")
     actions = {
-        "eu": F.regexp_replace(drop_dots, ",", "."),
+        "eu": F.translate(t, ",.", "."),
         "drop_commas": no_commas,
-        "comma_decimal": F.regexp_replace(t, ",", "."),
+        "comma_decimal": F.translate(t, ",", "."),
     }
     expr = None
     for pattern, action in rules.AMOUNT_FORMATS:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from offerlake import rules
 from offerlake.functions.dates import parse_any_timestamp, standardize_date
 from offerlake.functions.fx import convert, rates_json, rates_map
-from offerlake.functions.keys import canonical_key
+from offerlake.functions.keys import add_key
 from offerlake.functions.price import parse_price
 from offerlake.functions.regex import java_regex
 
@@ -25,8 +25,20 @@ def relevance_filter(df: DataFrame, pattern: str = rules.BUNDLE_PATTERN) -> Data
     return df.filter(~is_bundle(F.col("producto"), pattern))
 
 
+def computed_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """``df`` plus ``name = expr``, with ``expr`` evaluated once per row even when a later filter tests ``name``.
+
+    Catalyst pushes a filter below the projection that defines its column by inlining the definition, so an
+    expensive expression (regexes, higher-order functions) would run twice: in the filter and in the projection.
+    A one-row ``inline`` generator keeps the column a generated attribute, which filters cannot be inlined through;
+    it stays inside whole-stage codegen.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*cols, F.inline(F.array(F.struct(expr.alias(name)))))
+
+
 def add_price(df: DataFrame, raw: str = "precio_raw", out: str = "precio_usd") -> DataFrame:
-    return df.withColumn(out, parse_price(F.col(raw)))
+    return computed_once(df, out, parse_price(F.col(raw)))
 
 
 def drop_unpriced(df: DataFrame, col: str = "precio_usd") -> DataFrame:
@@ -35,7 +47,9 @@ def drop_unpriced(df: DataFrame, col: str = "precio_usd") -> DataFrame:
 
 
 def add_canonical_key(df: DataFrame, patterns: Mapping[str, Sequence[str]] = rules.KEY_PATTERNS) -> DataFrame:
-    return df.withColumn("clave_canonica", canonical_key(F.col("producto"), F.col("categoria"), patterns))
+    keyed = add_key(df, patterns=patterns)
+    # Fence the key so the comparison's "key is classified" filter does not re-run the regexes below it.
+    return computed_once(keyed, "clave_canonica", F.col("clave_canonica"))
 
 
 def standardize_dates(df: DataFrame, run_date: str, col: str = "fecha_extraccion") -> DataFrame:

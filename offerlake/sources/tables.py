@@ -6,23 +6,51 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables whose rows feed CPU-heavy narrow work (regexes, parsing), with the key to spread them by.
+SPREAD_KEYS = {
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "orders": ["o_orderkey"],
+    "customer": ["c_custkey"],
+    "pages": ["page_id"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+}
+
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One table of ``data_dir``: ``<name>.parquet`` (file or folder); column pruning and filters reach the scan."""
     return spark.read.parquet(os.path.join(data_dir, f"{name}.parquet"))
 
 
+def ensure_parallelism(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash-spread ``df`` over the session's parallelism when its scan yields fewer partitions than that.
+
+    A large table stored as a few unsplittable files (one row group each) scans as a few partitions, and every
+    narrow step after it (the regex work of staging) would run on that many cores. A cluster-sized input already
+    has many splits, and then nothing is added: no shuffle. Pruned columns and pushed filters still reach the scan
+    (Catalyst moves them below the repartition).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
+
+
 class Tables:
     """Lazy accessor: ``Tables(spark, dir).lineitem`` reads on first use and caches the (lazy) DataFrame handle."""
 
-    def __init__(self, spark: SparkSession, data_dir: str):
+    def __init__(self, spark: SparkSession, data_dir: str, spread: bool = True):
         self.spark = spark
         self.data_dir = data_dir
+        self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = read_table(self.spark, self.data_dir, name)
+            df = read_table(self.spark, self.data_dir, name)
+            if self.spread and name in SPREAD_KEYS:
+                df = ensure_parallelism(df, SPREAD_KEYS[name])
+            self._cache[name] = df
         return self._cache[name]
