@@ -29,3 +29,13 @@ def clean_log_text(c: Column, max_chars: int = 300) -> Column:
     """Error-log description: newlines to spaces, trimmed, capped to ``max_chars`` characters."""
     stripped = F.regexp_replace(F.regexp_replace(c, "\n", " "), java_regex(r"^\s+|\s+$"), "")
     return F.substring(stripped, 1, max_chars)
+
+
+def store_slug(store: Column) -> Column:
+    """Store folder/file slug: the lower-cased store name."""
+    return F.lower(store)
+
+
+def landing_file_name(store: Column, day: Column, ext: str = "csv") -> Column:
+    """``<slug>_<YYYY-MM-DD>.<ext>``: one file per store per day in the raw zone."""
+    return F.concat(store_slug(store), F.lit("_"), F.date_format(day, "yyyy-MM-dd"), F.lit("." + ext))

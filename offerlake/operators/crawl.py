@@ -140,3 +140,26 @@ def selector_coverage(pages: DataFrame) -> DataFrame:
         F.count_if(F.col("t") != "").alias("nombre_por_title"),
         F.count_if((F.col("t") == "") & (F.col("h") != "")).alias("nombre_por_h1"),
     )
+
+
+SELECTED_ITEM_SCHEMA = "page_id long, pos int, nombre string, precio_raw string, url_producto string"
+
+
+def select_items(pages: DataFrame, resolve: bool = True) -> DataFrame:
+    """General selector extraction over stored pages: ``pages`` has ``page_id, url, html`` and the store's selectors
+    ``contenedor, sel_nombre, sel_precio, sel_url``. Each page is parsed once inside ``mapInPandas`` (Arrow batches,
+    pages spread over tasks); the item rows come back as a DataFrame for the policy and whitelist steps."""
+    from offerlake.functions.html_select import extract_items as extract
+
+    def per_batch(batches):
+        import pandas as pd
+        for b in batches:
+            rows = []
+            for pid, url, html, cont, sn, sp, su in zip(b["page_id"], b["url"], b["html"], b["contenedor"],
+                                                        b["sel_nombre"], b["sel_precio"], b["sel_url"]):
+                for pos, name, price, href in extract(html, url, cont, sn, sp, su, resolve):
+                    rows.append((pid, pos, name, price, href))
+            yield pd.DataFrame(rows, columns=["page_id", "pos", "nombre", "precio_raw", "url_producto"])
+
+    cols = ["page_id", "url", "html", "contenedor", "sel_nombre", "sel_precio", "sel_url"]
+    return pages.select(*cols).mapInPandas(per_batch, SELECTED_ITEM_SCHEMA)

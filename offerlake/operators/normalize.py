@@ -65,19 +65,9 @@ def invalid_category_list(df: DataFrame, valid: Sequence[str] = rules.VALID_CATE
     return invalid_categories(df, valid).agg(F.sort_array(F.collect_list("categoria")).alias("categorias_no_estandar"))
 
 
-def homologation_map() -> list[tuple[str, str, str]]:
-    """Field map of the unified schema: (unified field, source, source expression)."""
-    return [
-        ("producto", "scraping_tiendas", "producto"),
-        ("producto", "archivo_specs", "Model"),
-        ("producto", "encuesta", "(no aplica)"),
-        ("precio_usd", "scraping_tiendas", "precio_raw -> limpiar_precio()"),
-        ("precio_usd", "encuesta", "presupuesto_usd"),
-        ("categoria", "scraping_tiendas", "categoria"),
-        ("categoria", "encuesta", "categoria_interes"),
-        ("tienda", "scraping_tiendas", "tienda"),
-        ("tienda", "encuesta", "tienda_habitual"),
-    ]
+def homologation_map(spark) -> DataFrame:
+    """Field map of the unified schema as a table ``(campo, fuente, expresion)``."""
+    return spark.createDataFrame(rules.HOMOLOGATION_MAP, "campo string, fuente string, expresion string")
 
 
 def unify_sources(sources: Mapping[str, DataFrame]) -> DataFrame:

@@ -452,6 +452,16 @@ def page_items(t: Tables) -> DataFrame:
     return item_policy(extract_items(t.pages))
 
 
+@register("page_items_selectors", "WITH " + _ITEMS + " SELECT page_id, pos, url_producto, nombre, '' AS precio_raw FROM items "
+          "WHERE nombre IS NOT NULL AND nombre <> ''")
+def page_items_selectors(t: Tables) -> DataFrame:
+    # General selector path (parsed HTML) over the same pages: containers ``li``, name and link ``a``.
+    from offerlake.operators.crawl import item_policy, select_items
+    pages = t.pages.withColumns({"contenedor": F.lit("li"), "sel_nombre": F.lit("a"), "sel_precio": F.lit("span.price"),
+                                 "sel_url": F.lit("a")})
+    return item_policy(select_items(pages, resolve=False)).select("page_id", "pos", "url_producto", "nombre", "precio_raw")
+
+
 @register("page_items_whitelisted", "WITH " + _ITEMS + f""", cats AS (
 SELECT page_id, [{', '.join(o.q(c) for c in rules.CATEGORY_WHITELIST)}][page_id % {len(rules.CATEGORY_WHITELIST)} + 1] AS categoria
 FROM pages)
@@ -752,3 +762,26 @@ def fk_violations(t: Tables) -> DataFrame:
         r = fv(s.fact, key, frames[cte], key, name)
         out = r if out is None else out.unionByName(r)
     return out
+
+
+# ---------------------------------------------------------------- unified schema over three sources ---------------
+@register("unified_schema", STAGED[:-1] + ",\n" + _synth_cte() + ",\n" + _SPECS_STAGED + """, smed AS (
+SELECT categoria_interes, median(presupuesto_usd) AS m FROM synth GROUP BY categoria_interes)
+SELECT 'scraping_tiendas' AS fuente, producto, precio_usd, categoria, tienda FROM deduped
+UNION ALL
+SELECT 'encuesta', CAST(NULL AS VARCHAR), coalesce(presupuesto_usd, m), s.categoria_interes, tienda_habitual
+FROM synth s LEFT JOIN smed ON s.categoria_interes = smed.categoria_interes
+UNION ALL
+SELECT 'archivo_specs', modelo, CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM specs_stg""")
+def unified_schema(t: Tables) -> DataFrame:
+    from offerlake.operators.normalize import unify_sources
+    from offerlake.operators.specs import stage_specs
+    from offerlake.operators.survey import generate_survey, stage_survey
+    from offerlake.sources.derived import spec_file_from_parts
+    offers = chain.staged(chain.offer_view(t)).select("producto", "precio_usd", "categoria", "tienda")
+    survey = stage_survey(generate_survey(t.customer.select("c_custkey"), "c_custkey", "2026-06-16")).select(
+        F.col("presupuesto_usd").alias("precio_usd"), F.col("categoria_interes").alias("categoria"),
+        F.col("tienda_habitual").alias("tienda"))
+    specs = stage_specs(spec_file_from_parts(t.part), ["p_partkey"]).select(F.col("modelo").alias("producto"))
+    u = unify_sources({"scraping_tiendas": offers, "encuesta": survey, "archivo_specs": specs})
+    return u.select("fuente", "producto", "precio_usd", "categoria", "tienda")

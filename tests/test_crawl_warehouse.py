@@ -82,3 +82,19 @@ def test_dims_constraints_and_fk(spark):
     fact = spark.createDataFrame([(1,), (2,), (99,)], "id_producto long")
     dim = spark.createDataFrame([(1,), (2,)], "id_producto long")
     assert fk_violations(fact, "id_producto", dim, "id_producto", "fk").first().huerfanos == 1
+
+
+def test_selector_extraction_storefront(spark):
+    from offerlake.operators.crawl import select_items
+    html = ('<ul class="products"><li class="product"><a href="/p/1"><h2 class="woocommerce-loop-product__title">'
+            ' Procesador AMD Ryzen 5 &amp; cooler </h2></a><span class="price"><del>$440,00</del>\n<ins>$425,00</ins>'
+            '</span></li><li class="product"><a href="/p/2"><h3 class="wd-entities-title">RTX 4060</h3></a></li>'
+            '<li class="product"><span class="price">$1</span></li></ul>')
+    c, n, p, u, _ = rules.DEFAULT_SELECTORS
+    pages = spark.createDataFrame([(1, "https://shop.example/?s=procesador", html, c, n, p, u)],
+                                  "page_id long, url string, html string, contenedor string, sel_nombre string, "
+                                  "sel_precio string, sel_url string")
+    items = item_policy(select_items(pages)).orderBy("pos").collect()
+    assert [(r.pos, r.nombre, r.precio_raw, r.url_producto) for r in items] == [
+        (1, "Procesador AMD Ryzen 5 & cooler", "$440,00\n$425,00", "https://shop.example/p/1"),
+        (2, "RTX 4060", "", "https://shop.example/p/2")]
