@@ -45,10 +45,13 @@ def normalize_columns(
 
 def standardize(df: DataFrame, columns: Sequence[str] = rules.STANDARDIZED_TEXT_COLUMNS) -> DataFrame:
     """Collapse whitespace in the text columns and upper-case the category (nulls stay null)."""
+    from offerlake.operators.staging import computed_once_many
+
     updates = {c: collapse_ws(F.col(c)) for c in columns if c in df.columns}
     if "categoria" in df.columns:
         updates["categoria"] = F.upper(updates.get("categoria", F.col("categoria")))
-    return df.withColumns(updates)
+    # Fenced: the relevance filter that follows tests the standardised title without re-running the regex below.
+    return computed_once_many(df, updates)
 
 
 def invalid_categories(df: DataFrame, valid: Sequence[str] = rules.VALID_CATEGORIES) -> DataFrame:

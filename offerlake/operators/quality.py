@@ -68,25 +68,22 @@ def complete_row(fields: Sequence[str]) -> Column:
     return cond
 
 
-def final_metrics(raw: DataFrame, staged_before_dedup: DataFrame, staged: DataFrame, priced: DataFrame,
-                  fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
-    """Consolidated metrics row; the waterfall adds up: raw - bundles - unpriced - duplicates = staged."""
-    r = raw.agg(F.count(F.lit(1)).alias("total_registros_raw"))
-    p = priced.agg(F.count(F.lit(1)).alias("_relevantes"),
-                   F.count_if(~F.coalesce(F.col("precio_usd") > 0, F.lit(False))).alias("registros_eliminados_nulos"))
-    b = staged_before_dedup.agg(F.count(F.lit(1)).alias("_antes_dedup"))
+def final_metrics(standardized: DataFrame, staged: DataFrame, fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
+    """Consolidated metrics row in two passes: the filter waterfall over the standardised rows (one per raw row) and
+    one aggregate over the staged table. The waterfall adds up: raw - bundles - unpriced - duplicates = staged."""
+    w = relevance_waterfall(standardized)
     s = staged.agg(
         F.count(F.lit(1)).alias("total_registros_staging"),
         F.count_if(complete_row(fields)).alias("_completos"),
     )
-    m = r.crossJoin(p).crossJoin(b).crossJoin(s)  # four one-row aggregates: a scalar join, not a data cross join
-    raw_n = F.col("total_registros_raw")
+    m = w.crossJoin(s)  # two one-row aggregates: a scalar join, not a data cross join
+    raw_n = F.col("total_raw")
     stg_n = F.col("total_registros_staging")
     return m.select(
-        "total_registros_raw",
-        (raw_n - F.col("_relevantes")).alias("registros_descartados_relevancia"),
-        "registros_eliminados_nulos",
-        (F.col("_antes_dedup") - stg_n).alias("registros_depurados_duplicados"),
+        raw_n.alias("total_registros_raw"),
+        F.col("bundles").alias("registros_descartados_relevancia"),
+        F.col("sin_precio").alias("registros_eliminados_nulos"),
+        (F.col("con_precio") - stg_n).alias("registros_depurados_duplicados"),
         "total_registros_staging",
         F.when(stg_n > 0, rint_round(F.col("_completos") / stg_n * 100, 2)).otherwise(F.lit(0.0))
         .alias("tasa_completitud_general_pct"),

@@ -25,6 +25,14 @@ def relevance_filter(df: DataFrame, pattern: str = rules.BUNDLE_PATTERN) -> Data
     return df.filter(~is_bundle(F.col("producto"), pattern))
 
 
+def computed_once_many(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
+    """``computed_once`` for several columns at once (one generator, column order kept)."""
+    order = df.columns + [n for n in exprs if n not in df.columns]
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in exprs]
+    gen = df.select(*keep, F.inline(F.array(F.struct(*[e.alias(n) for n, e in exprs.items()]))))
+    return gen.select(*[F.col(f"`{c}`") for c in order])
+
+
 def computed_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
     """``df`` plus ``name = expr``, with ``expr`` evaluated once per row even when a later filter tests ``name``.
 

@@ -42,7 +42,7 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
     write_table(order_by_saving(best_prices(staged)), out["comparador_mejor_precio"],
                 sort_by=[F.desc("ahorro_usd"), "clave_canonica"])
 
-    metrics = quality.final_metrics(raw, before, staged, pr)
+    metrics = quality.final_metrics(std, staged)
     report = (metrics.crossJoin(quality.key_coverage(staged)).crossJoin(invalid_category_list(std))
               .withColumn("fecha_ejecucion", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")))
     write_quality_report(report, out["reporte_calidad"])

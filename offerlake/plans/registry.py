@@ -189,8 +189,7 @@ SELECT raw_n AS total_registros_raw, raw_n - rel_n AS registros_descartados_rele
 FROM m""")
 def quality_metrics(t: Tables) -> DataFrame:
     raw = chain.offer_view_with_copies(t)
-    before = chain.staged_before_dedup(raw)
-    return quality.final_metrics(raw, before, chain.staged(raw), chain.priced(raw))
+    return quality.final_metrics(chain.standardized(raw), chain.staged(raw))
 
 
 @register("dist_store", STAGED + "SELECT tienda, count(*) AS registros FROM deduped WHERE tienda IS NOT NULL GROUP BY tienda")
