@@ -47,8 +47,15 @@ def parse_amount(t: Column) -> Column:
     return _normalize_token(t).try_cast("double")
 
 
-def parse_price(raw: Column, digits: int = 2) -> Column:
-    """Offer price: smallest positive amount in ``raw``, rounded; null when there is none."""
+def parse_price(raw: Column, digits: int = 2, floor: float | None = None) -> Column:
+    """Offer price: smallest positive amount in ``raw``, rounded; null when there is none.
+
+    ``floor`` (off by default) ignores amounts below a plausibility floor, e.g. instalment counts or a tax rate
+    written next to the price; without it any small number in the text wins, as in the reference.
+    """
     values = F.transform(amount_tokens(raw), parse_amount)
-    positive = F.filter(values, lambda v: v > 0)
+    if floor is None:
+        positive = F.filter(values, lambda v: v > 0)
+    else:
+        positive = F.filter(values, lambda v: (v > 0) & (v >= F.lit(float(floor))))
     return rint_round(F.array_min(positive), digits)

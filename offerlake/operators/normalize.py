@@ -64,8 +64,9 @@ def invalid_categories(df: DataFrame, valid: Sequence[str] = rules.VALID_CATEGOR
 
 
 def invalid_category_list(df: DataFrame, valid: Sequence[str] = rules.VALID_CATEGORIES) -> DataFrame:
-    """One row: the sorted list of non-standard categories (the report form)."""
-    return invalid_categories(df, valid).agg(F.sort_array(F.collect_list("categoria")).alias("categorias_no_estandar"))
+    """The non-standard categories as a sorted table (nulls first). Kept as rows, not gathered into one array: the
+    number of distinct bad values is not bounded by anything in the data."""
+    return invalid_categories(df, valid).orderBy(F.col("categoria").asc_nulls_first())
 
 
 def homologation_map(spark) -> DataFrame:

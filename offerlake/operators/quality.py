@@ -109,3 +109,10 @@ def distribution(df: DataFrame, col: str) -> DataFrame:
     """Rows per value, most frequent first (nulls excluded, like a value count)."""
     return (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("registros"))
             .orderBy(F.desc("registros"), F.asc(col)))
+
+
+def report_long(report: DataFrame, id_cols: Sequence[str] = ("fecha_ejecucion",)) -> DataFrame:
+    """Quality report in long form ``(metrica, valor)`` (values as double), one row per numeric metric."""
+    numeric = [c for c, t in report.dtypes if c not in id_cols and t in ("int", "bigint", "double", "float")]
+    return report.select(*id_cols, *[F.col(c).cast("double").alias(c) for c in numeric]).unpivot(
+        list(id_cols), numeric, "metrica", "valor")

@@ -30,7 +30,7 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
         survey_path: str | None = None, specs_path: str | None = None) -> dict[str, str]:
     out = {k: os.path.join(out_dir, k) for k in
            ("stg_precios", "comparador_mejor_precio", "reporte_calidad", "errores_pipeline", "stg_encuesta",
-            "stg_cpu_specs", "especificaciones_validacion")}
+            "stg_cpu_specs", "especificaciones_validacion", "categorias_no_estandar", "reporte_calidad_largo")}
     raw = read_raw_offers(spark, offer_paths).drop("_source_file")
     rates = rates_from_files(spark, fx_path)
     std = standardized(raw, run_date)
@@ -43,9 +43,12 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
                 sort_by=[F.desc("ahorro_usd"), "clave_canonica"])
 
     metrics = quality.final_metrics(std, staged)
-    report = (metrics.crossJoin(quality.key_coverage(staged)).crossJoin(invalid_category_list(std))
+    write_table(invalid_category_list(std), out["categorias_no_estandar"])
+    n_invalid = spark.read.parquet(out["categorias_no_estandar"]).agg(F.count(F.lit(1)).alias("categorias_no_estandar_n"))
+    report = (metrics.crossJoin(quality.key_coverage(staged)).crossJoin(n_invalid)
               .withColumn("fecha_ejecucion", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")))
     write_quality_report(report, out["reporte_calidad"])
+    write_table(quality.report_long(spark.read.json(out["reporte_calidad"])), out["reporte_calidad_largo"])
 
     waterfall = quality.relevance_waterfall(std)
     log = error_log_frame(waterfall.filter(F.col("bundles") > 0).select(

@@ -50,3 +50,9 @@ def test_half_even_rounding_matches_numpy(spark, x, digits):
     import numpy as np
     v = spark.range(1).select(rint_round(F.lit(x), digits).alias("v")).first().v
     assert v == float(np.round(x, digits))
+
+
+def test_plausibility_floor(spark):
+    df = spark.createDataFrame([("IVA 15% $300,00",)], "raw string")
+    r = df.select(parse_price(F.col("raw")).alias("a"), parse_price(F.col("raw"), floor=20.0).alias("b")).first()
+    assert (r.a, r.b) == (15.0, 300.0)
