@@ -14,16 +14,15 @@ from offerlake.functions.text import clean_log_text
 ITEM_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 
 
-def keyword_table(spark, keywords: Mapping[str, Sequence[str]] = rules.SEARCH_KEYWORDS) -> DataFrame:
-    return spark.createDataFrame([(c, k) for c, ks in keywords.items() for k in ks], "categoria string, keyword string")
-
-
-def crawl_seeds(stores: DataFrame, keywords: DataFrame, template: str = "url_busqueda") -> DataFrame:
+def crawl_seeds(stores: DataFrame, keywords: Mapping[str, Sequence[str]] = rules.SEARCH_KEYWORDS,
+                template: str = "url_busqueda") -> DataFrame:
     """Every store x (category, keyword) with its search URL (spaces in the keyword become ``+``).
 
-    The keyword table is a fixed handful of rules, so the product is a broadcast nested loop over stores.
+    The keyword rules are a literal array exploded per store row (a narrow fan-out, no join).
     """
-    j = stores.crossJoin(F.broadcast(keywords))
+    pairs = F.array(*[F.struct(F.lit(c).alias("categoria"), F.lit(k).alias("keyword"))
+                      for c, ks in keywords.items() for k in ks])
+    j = stores.select("*", F.inline(pairs))
     url = F.replace(F.col(template), F.lit("{kw}"), F.replace(F.col("keyword"), F.lit(" "), F.lit("+")))
     return j.withColumn("url", url).drop(template)
 

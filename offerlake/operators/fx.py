@@ -44,9 +44,8 @@ def latest_rates(fx_files: DataFrame) -> DataFrame:
 
 def with_fallback(latest: DataFrame, fallback: DataFrame) -> DataFrame:
     """All-or-nothing fallback: the fallback table only when no latest rate was read (a one-row count guard)."""
-    n = latest.agg(F.count(F.lit(1)).alias("_n"))
-    fb = fallback.crossJoin(n).filter(F.col("_n") == 0).drop("_n")
-    return latest.unionByName(fb)
+    n = latest.agg(F.count(F.lit(1))).scalar()
+    return latest.unionByName(fallback.filter(n == 0))
 
 
 def parse_history(docs: DataFrame, text: str = "doc") -> DataFrame:
@@ -63,6 +62,7 @@ def history_window(series: DataFrame, days: int = rules.FX_HISTORY_DAYS) -> Data
             .drop("_fin"))
 
 
-def convert_long(df: DataFrame, rates: DataFrame, usd: str) -> DataFrame:
-    """Long form: one row per (input row, currency); the rate table is a handful of rows, broadcast by construction."""
-    return df.crossJoin(F.broadcast(rates)).withColumn("precio", convert(F.col(usd), F.col("tasa")))
+def convert_long(df: DataFrame, rates: Mapping[str, float], usd: str) -> DataFrame:
+    """Long form: one row per (input row, currency), a narrow fan-out over the literal rate map (no join)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("moneda"), F.lit(float(r)).alias("tasa")) for c, r in rates.items()])
+    return df.select("*", F.inline(pairs)).withColumn("precio", convert(F.col(usd), F.col("tasa")))

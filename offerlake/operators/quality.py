@@ -72,11 +72,9 @@ def final_metrics(standardized: DataFrame, staged: DataFrame, fields: Sequence[s
     """Consolidated metrics row in two passes: the filter waterfall over the standardised rows (one per raw row) and
     one aggregate over the staged table. The waterfall adds up: raw - bundles - unpriced - duplicates = staged."""
     w = relevance_waterfall(standardized)
-    s = staged.agg(
-        F.count(F.lit(1)).alias("total_registros_staging"),
-        F.count_if(complete_row(fields)).alias("_completos"),
-    )
-    m = w.crossJoin(s)  # two one-row aggregates: a scalar join, not a data cross join
+    m = w.select("*",
+                 staged.agg(F.count(F.lit(1))).scalar().alias("total_registros_staging"),
+                 staged.agg(F.count_if(complete_row(fields))).scalar().alias("_completos"))
     raw_n = F.col("total_raw")
     stg_n = F.col("total_registros_staging")
     return m.select(
@@ -101,8 +99,8 @@ def key_coverage(staged: DataFrame) -> DataFrame:
 
 def dedup_metrics(before: DataFrame, after: DataFrame) -> DataFrame:
     b = before.agg(F.count(F.lit(1)).alias("antes"))
-    a = after.agg(F.count(F.lit(1)).alias("despues"))
-    return b.crossJoin(a).select("antes", "despues", (F.col("antes") - F.col("despues")).alias("duplicados_eliminados"))
+    a = after.agg(F.count(F.lit(1))).scalar()
+    return b.select("antes", a.alias("despues"), (F.col("antes") - a).alias("duplicados_eliminados"))
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:

@@ -95,13 +95,11 @@ def convert_currencies_table(df: DataFrame, rates: DataFrame, usd: str = "precio
     The table is pivoted to one row (the currency list is fixed at plan time) and joined as a one-row broadcast; the
     rates used are carried as JSON text. A currency absent from the table gives null prices.
     """
-    one = rates.groupBy().agg(
-        *[F.max(F.when(F.col("moneda") == c, F.col("tasa"))).alias(f"_r_{c}") for c in currencies],
-        F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("moneda", "tasa"))))).alias("tasas_referencia"),
-    )
-    j = df.crossJoin(F.broadcast(one))  # exactly one row by construction
-    cols = {f"precio_{c.lower()}": convert(F.col(usd), F.col(f"_r_{c}")) for c in currencies}
-    return j.withColumns(cols).drop(*[f"_r_{c}" for c in currencies])
+    rate = {c: rates.agg(F.max(F.when(F.col("moneda") == c, F.col("tasa")))).scalar() for c in currencies}
+    used = F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in currencies]), F.array(*rate.values())))
+    cols = {f"precio_{c.lower()}": convert(F.col(usd), rate[c]) for c in currencies}
+    cols["tasas_referencia"] = used
+    return df.withColumns(cols)
 
 
 def stage_offers(raw: DataFrame, rates: Mapping[str, float], run_date: str) -> DataFrame:

@@ -116,11 +116,11 @@ def fact_prices(staged: DataFrame, products: DataFrame, stores: DataFrame, sourc
 
     Dimension joins are equi-joins on natural keys; Catalyst/AQE size each dimension and broadcast the small ones.
     """
-    src_id = sources.filter(F.col("nombre_fuente") == source_name).select("id_fuente")
+    src_id = sources.filter(F.col("nombre_fuente") == source_name).agg(F.max("id_fuente")).scalar()
     f = (staged
          .join(products.select("id_producto", "clave_canonica"), "clave_canonica")
          .join(stores.select("id_tienda", F.col("nombre_tienda").alias("tienda")), "tienda")
-         .crossJoin(F.broadcast(src_id)))  # exactly one row by construction
+         .withColumn("id_fuente", src_id))
     fact = f.select(
         "id_producto", "id_tienda",
         date_key(F.to_date("fecha_extraccion")).alias("id_tiempo"),
@@ -173,8 +173,8 @@ def unique_violations(df: DataFrame, table: str, key: str) -> DataFrame:
     """Null count and duplicated-value count of a column that must be NOT NULL UNIQUE."""
     nulls = df.agg(F.count_if(F.col(key).isNull()).alias("nulos"))
     dups = (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count_if(F.col("n") > 1).alias("duplicados")))
-    return nulls.crossJoin(dups).select(F.lit(table).alias("tabla"), F.lit(key).alias("columna"), "nulos", "duplicados")
+            .agg(F.count_if(F.col("n") > 1)).scalar())
+    return nulls.select(F.lit(table).alias("tabla"), F.lit(key).alias("columna"), "nulos", dups.alias("duplicados"))
 
 
 def fk_violations(fact: DataFrame, fk: str, dim: DataFrame, pk: str, name: str) -> DataFrame:

@@ -44,9 +44,13 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
 
     metrics = quality.final_metrics(std, staged)
     write_table(invalid_category_list(std), out["categorias_no_estandar"])
-    n_invalid = spark.read.parquet(out["categorias_no_estandar"]).agg(F.count(F.lit(1)).alias("categorias_no_estandar_n"))
-    report = (metrics.crossJoin(quality.key_coverage(staged)).crossJoin(n_invalid)
-              .withColumn("fecha_ejecucion", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")))
+    n_invalid = spark.read.parquet(out["categorias_no_estandar"]).agg(F.count(F.lit(1))).scalar()
+    cov = quality.key_coverage(staged)
+    report = metrics.select(
+        "*", cov.select("cobertura_clave_canonica_pct").scalar().alias("cobertura_clave_canonica_pct"),
+        cov.select("claves_distintas").scalar().alias("claves_distintas"),
+        n_invalid.alias("categorias_no_estandar_n"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("fecha_ejecucion"))
     write_quality_report(report, out["reporte_calidad"])
     write_table(quality.report_long(spark.read.json(out["reporte_calidad"])), out["reporte_calidad_largo"])
 

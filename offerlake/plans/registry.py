@@ -211,8 +211,8 @@ _RATES_VALUES = ", ".join(f"({o.q(c)}, CAST({float(v)!r} AS DOUBLE))" for c, v i
 SELECT o_orderkey, o_totalprice, r.moneda, r.tasa, round_even(o_totalprice * r.tasa, 2) AS precio
 FROM orders CROSS JOIN (VALUES {_RATES_VALUES}) AS r(moneda, tasa)""")
 def fx_long(t: Tables) -> DataFrame:
-    from offerlake.operators.fx import convert_long, fallback_rates
-    return convert_long(t.orders.select("o_orderkey", "o_totalprice"), fallback_rates(t.spark), "o_totalprice")
+    from offerlake.operators.fx import convert_long
+    return convert_long(t.orders.select("o_orderkey", "o_totalprice"), rules.FALLBACK_RATES, "o_totalprice")
 
 
 _FX_DAYS = f"""days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
@@ -427,14 +427,14 @@ def _store_dim(t: Tables) -> DataFrame:
 
 @register("crawl_seeds", "WITH " + _SEEDS + " SELECT * FROM seeds")
 def crawl_seeds(t: Tables) -> DataFrame:
-    from offerlake.operators.crawl import crawl_seeds as cs, keyword_table
-    return cs(_store_dim(t), keyword_table(t.spark))
+    from offerlake.operators.crawl import crawl_seeds as cs
+    return cs(_store_dim(t))
 
 
 @register("store_filter", "WITH " + _SEEDS + " SELECT * FROM seeds WHERE lower(tienda) = 'nation_7'")
 def store_filter(t: Tables) -> DataFrame:
-    from offerlake.operators.crawl import crawl_seeds as cs, keyword_table, store_filter as sf
-    return cs(sf(_store_dim(t), "Nation_7"), keyword_table(t.spark))
+    from offerlake.operators.crawl import crawl_seeds as cs, store_filter as sf
+    return cs(sf(_store_dim(t), "Nation_7"))
 
 
 _ITEM_RE = o.q(r'<li><a href="([^"]*)">([^<]*)</a></li>')

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from offerlake import rules
-from offerlake.operators.crawl import (crawl_seeds, extract_items, first_k, item_policy, keyword_table, page_cap,
+from offerlake.operators.crawl import (crawl_seeds, extract_items, first_k, item_policy, page_cap,
                                        store_filter, whitelist_filter)
 from offerlake.operators.warehouse import (calendar, check_rules, fk_violations, product_dim, store_dim,
                                            unique_violations, with_dense_id)
@@ -12,9 +12,9 @@ def _stores(spark):
 
 
 def test_seeds_and_store_filter(spark):
-    seeds = crawl_seeds(_stores(spark), keyword_table(spark))
+    seeds = crawl_seeds(_stores(spark))
     assert seeds.count() == 6 * 8
-    one = crawl_seeds(store_filter(_stores(spark), "computron"), keyword_table(spark)).collect()
+    one = crawl_seeds(store_filter(_stores(spark), "computron")).collect()
     assert len(one) == 8
     urls = {r.keyword: r.url for r in one}
     assert urls["tarjeta de video"] == "https://www.computron.com.ec/?s=tarjeta+de+video&post_type=product"
