@@ -57,9 +57,8 @@ def parse_history(docs: DataFrame, text: str = "doc") -> DataFrame:
 
 def history_window(series: DataFrame, days: int = rules.FX_HISTORY_DAYS) -> DataFrame:
     """Rows of the last ``days`` days ending at the newest date of the series."""
-    newest = series.agg(F.max(F.to_date("fecha")).alias("_fin"))  # one row
-    return (series.join(F.broadcast(newest), F.to_date("fecha") >= F.date_sub(F.col("_fin"), days), "inner")
-            .drop("_fin"))
+    newest = series.agg(F.max(F.to_date("fecha"))).scalar()
+    return series.filter(F.to_date("fecha") >= F.date_sub(newest, days))
 
 
 def convert_long(df: DataFrame, rates: Mapping[str, float], usd: str) -> DataFrame:

@@ -141,10 +141,9 @@ def snapshot_date_from_name(file_name: Column) -> Column:
 def latest_snapshot(df: DataFrame, snapshot: Column | str) -> DataFrame:
     """Rows of the newest snapshot only.
 
-    The newest value is one global aggregate (partial per task, one row to merge) broadcast back as a scalar
-    subquery-style join; with a date-partitioned source Catalyst prunes the other partitions.
+    The newest value is one global aggregate (partial per task, one row to merge) used as a scalar subquery; with a
+    date-partitioned source the filter prunes the other partitions.
     """
     snap = F.col(snapshot) if isinstance(snapshot, str) else snapshot
     tagged = df.withColumn("_snap", snap)
-    newest = tagged.agg(F.max("_snap").alias("_newest"))
-    return tagged.join(F.broadcast(newest), F.col("_snap") == F.col("_newest"), "left_semi").drop("_snap")
+    return tagged.filter(F.col("_snap") == tagged.agg(F.max("_snap")).scalar()).drop("_snap")
