@@ -71,7 +71,11 @@ def complete_row(fields: Sequence[str]) -> Column:
 def final_metrics(standardized: DataFrame, staged: DataFrame, fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
     """Consolidated metrics row in two passes: the filter waterfall over the standardised rows (one per raw row) and
     one aggregate over the staged table. The waterfall adds up: raw - bundles - unpriced - duplicates = staged."""
-    w = relevance_waterfall(standardized)
+    return metrics_from_waterfall(relevance_waterfall(standardized), staged, fields)
+
+
+def metrics_from_waterfall(w: DataFrame, staged: DataFrame, fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
+    """Final metrics from a one-row waterfall ``(total_raw, bundles, sin_precio, con_precio)`` and the staged table."""
     m = w.select("*",
                  staged.agg(F.count(F.lit(1))).scalar().alias("total_registros_staging"),
                  staged.agg(F.count_if(complete_row(fields))).scalar().alias("_completos"))

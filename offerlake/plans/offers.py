@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from offerlake import rules
 from offerlake.operators.compare import best_prices
@@ -53,10 +52,3 @@ def comparison(t: Tables) -> DataFrame:
     """Flagship: cheapest store per product over the deduplicated staged offers."""
     return best_prices(staged(offer_view(t)))
 
-
-def staged_columns(df: DataFrame) -> list[str]:
-    return df.columns
-
-
-def keyed_only(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("clave_canonica") != rules.UNCLASSIFIED)

@@ -42,6 +42,8 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
     write_table(order_by_saving(best_prices(staged)), out["comparador_mejor_precio"],
                 sort_by=[F.desc("ahorro_usd"), "clave_canonica"])
 
+    # Counters are plain aggregates, not accumulators or observed metrics: those can count a re-run stage twice
+    # when an executor is lost, aggregates cannot.
     metrics = quality.final_metrics(std, staged)
     write_table(invalid_category_list(std), out["categorias_no_estandar"])
     n_invalid = spark.read.parquet(out["categorias_no_estandar"]).agg(F.count(F.lit(1))).scalar()

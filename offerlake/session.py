@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting points at shared storage and is only read. Where it is unset (local tests) a scratch
     folder is created and registered, so ``DataFrame.checkpoint()`` works in both places.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "")
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None

@@ -30,8 +30,12 @@ def ensure_parallelism(df: DataFrame, keys: list[str]) -> DataFrame:
     has many splits, and then nothing is added: no shuffle. Pruned columns and pushed filters still reach the scan
     (Catalyst moves them below the repartition).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect): leave the scan as it is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *keys)
 

@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from offerlake.operators.compare import best_prices, top_savings
 from offerlake.operators.dedup import keep_first, keep_most_complete

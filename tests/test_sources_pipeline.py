@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from offerlake.plans import pipeline
-from offerlake.sources.files import rates_from_files, read_questionnaire, read_survey
+from offerlake.sources.files import rates_from_files, read_questionnaire
 from offerlake.sources.offers import read_raw_offers
 from offerlake.streaming import land_drops
 from offerlake import rules
