@@ -124,3 +124,28 @@ def extract_items(html: str, page_url: str, container: str, sel_name: str, sel_p
             href = urljoin(page_url or "", link.attrs["href"]) if resolve else link.attrs["href"]
         out.append((pos, name.inner_text().strip() if name else None, price.inner_text().strip() if price else None, href))
     return out
+
+
+def probe(html: str, containers: list[str], name_selectors: list[str], price_selectors: list[str],
+          sample: int = 3) -> tuple[str | None, int, str | None, str | None, int]:
+    """Selector probe of one page: the first container selector matching at least two elements, its item count, the
+    first name and price selectors that give non-empty text on the sampled items, and how many sampled items have a
+    name. ``(container, items, name_selector, price_selector, named)``."""
+    root = parse(html)
+    chosen, items = None, []
+    for c in containers:
+        items = select(root, c)
+        if len(items) >= 2:
+            chosen = c
+            break
+    if chosen is None:
+        return None, len(items), None, None, 0
+    name_hit = price_hit = None
+    named = 0
+    for item in items[:sample]:
+        n_sel = next((s for s in name_selectors if (e := select_first(item, s)) and e.inner_text().strip()), None)
+        p_sel = next((s for s in price_selectors if (e := select_first(item, s)) and e.inner_text().strip()), None)
+        named += n_sel is not None
+        name_hit = name_hit or n_sel
+        price_hit = price_hit or p_sel
+    return chosen, len(items), name_hit, price_hit, named

@@ -162,3 +162,35 @@ def select_items(pages: DataFrame, resolve: bool = True) -> DataFrame:
 
     cols = ["page_id", "url", "html", "contenedor", "sel_nombre", "sel_precio", "sel_url"]
     return pages.select(*cols).mapInPandas(per_batch, SELECTED_ITEM_SCHEMA)
+
+
+PROBE_SCHEMA = "sitio string, contenedor string, items int, sel_nombre string, sel_precio string, con_nombre int"
+
+
+def probe_pages(pages: DataFrame, containers: Sequence[str] = rules.PROBE_CONTAINERS,
+                names: Sequence[str] = rules.PROBE_NAME_SELECTORS,
+                prices: Sequence[str] = rules.PROBE_PRICE_SELECTORS) -> DataFrame:
+    """Per page: which candidate container/name/price selectors work (parsed HTML, ``mapInPandas``)."""
+    from offerlake.functions.html_select import probe
+
+    cont, nm, pr = list(containers), list(names), list(prices)
+
+    def per_batch(batches):
+        import pandas as pd
+        for b in batches:
+            rows = [(site, *probe(html, cont, nm, pr)) for site, html in zip(b["sitio"], b["html"])]
+            yield pd.DataFrame(rows, columns=["sitio", "contenedor", "items", "sel_nombre", "sel_precio", "con_nombre"])
+
+    return pages.select(host_of(F.col("url")).alias("sitio"), "html").mapInPandas(per_batch, PROBE_SCHEMA)
+
+
+def probe_summary(probed: DataFrame) -> DataFrame:
+    """Per site: pages probed, pages with a repeated container, and the selectors that hit most often."""
+    return probed.groupBy("sitio").agg(
+        F.count(F.lit(1)).alias("paginas"),
+        F.count_if(F.col("contenedor").isNotNull()).alias("con_contenedor"),
+        F.sum("con_nombre").cast("bigint").alias("items_con_nombre"),
+        F.mode("contenedor").alias("contenedor"),
+        F.mode("sel_nombre").alias("sel_nombre"),
+        F.mode("sel_precio").alias("sel_precio"),
+    )

@@ -98,3 +98,21 @@ def test_selector_extraction_storefront(spark):
     assert [(r.pos, r.nombre, r.precio_raw, r.url_producto) for r in items] == [
         (1, "Procesador AMD Ryzen 5 & cooler", "$440,00\n$425,00", "https://shop.example/p/1"),
         (2, "RTX 4060", "", "https://shop.example/p/2")]
+
+
+def test_selector_probe(spark):
+    from offerlake.operators.crawl import probe_pages, probe_summary
+    woo = ('<div><li class="product"><h2 class="woocommerce-loop-product__title">A</h2>'
+           '<span class="price"><ins><span class="amount">$5</span></ins></span></li>'
+           '<li class="product"><h3 class="product-title">B</h3><span class="price">$6</span></li></div>')
+    grid = '<div class="product-grid-item"><h3 class="wd-entities-title">C</h3></div><div class="product-grid-item"></div>'
+    pages = spark.createDataFrame([("https://a.example/x", woo), ("https://a.example/y", woo),
+                                   ("https://b.example/x", grid), ("https://c.example/x", "<p>nothing</p>")],
+                                  "url string, html string")
+    per_page = {(r.sitio, r.contenedor, r.items, r.sel_nombre, r.sel_precio, r.con_nombre)
+                for r in probe_pages(pages).collect()}
+    assert ("a.example", "li.product", 2, "h2.woocommerce-loop-product__title", "span.price", 2) in per_page
+    assert ("b.example", "div.product-grid-item", 2, "h3.wd-entities-title", None, 1) in per_page
+    assert ("c.example", None, 0, None, None, 0) in per_page
+    s = {r.sitio: r for r in probe_summary(probe_pages(pages)).collect()}
+    assert (s["a.example"].paginas, s["a.example"].con_contenedor, s["a.example"].items_con_nombre) == (2, 2, 4)

@@ -61,3 +61,27 @@ def test_top_savings_limit(spark):
     top = top_savings(best_prices(spark.createDataFrame(rows, COLS)), 10).collect()
     assert len(top) == 10
     assert [r.ahorro_usd for r in top] == sorted([r.ahorro_usd for r in top], reverse=True)
+
+
+def test_hot_key_dedup_and_compare(spark):
+    # One key holds a third of all rows; results must equal a plain Python computation.
+    rows = []
+    for i in range(3000):
+        if i % 3 == 0:
+            rows.append(("S%d" % (i % 5), "CPU", "ryzen 5 5600x", float(100 + i % 7), f"t{i % 11}", None if i % 2 else "u"))
+        else:
+            rows.append(("S%d" % (i % 5), "GPU", f"rtx {4000 + i % 50}", float(200 + i % 13), f"g{i % 3}", "u"))
+    df = spark.createDataFrame(rows, COLS).repartition(6)
+    out = keep_most_complete(df).collect()
+    expect = {}
+    for r in rows:
+        k = r[:4]
+        cand = (-sum(v is not None for v in r), tuple((v is not None, v) for v in r))
+        if k not in expect or cand < expect[k][0]:
+            expect[k] = (cand, r)
+    assert sorted(tuple(r) for r in out) == sorted(v[1] for v in expect.values())
+    best = {r.clave_canonica: r for r in best_prices(keep_most_complete(df)).collect()}
+    hot = [r for r in expect.values() if r[1][2] == "ryzen 5 5600x"]
+    cheapest = min(hot, key=lambda v: (v[1][3], v[1][0], v[1][4]))[1]
+    assert best["ryzen 5 5600x"].tienda_mas_barata == cheapest[0]
+    assert best["ryzen 5 5600x"].precio_min_usd == cheapest[3]
