@@ -46,3 +46,18 @@ def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
                     *[F.col(f"`{c}`") for c in cols])
     best = df.groupBy(key).agg(F.min(rank).alias("_best"))
     return best.select(*[F.col(f"_best.`{c}`").alias(c) for c in cols])
+
+
+def keep_most_complete_offers(df: DataFrame, split_unclassified: bool = False,
+                              extra_keys: Sequence[str] = ()) -> DataFrame:
+    """Offer dedup on the composite key. By default unclassified products at the same store, category and price
+    collapse into one row, as in the reference; ``split_unclassified`` adds the title to the key for those rows only,
+    and ``extra_keys`` (e.g. the snapshot date) extends the key for every row."""
+    keys = list(rules.DEDUP_KEYS) + list(extra_keys)
+    if not split_unclassified:
+        return keep_most_complete(df, keys)
+    tagged = df.withColumn("_title_key", F.when(F.col("clave_canonica") == rules.UNCLASSIFIED, F.col("producto")))
+    cols = df.columns
+    rank = F.struct((-completeness(cols)).alias("_neg_complete"), *[F.col(f"`{c}`") for c in cols])
+    best = tagged.groupBy(*keys, "_title_key").agg(F.min(rank).alias("_best"))
+    return best.select(*[F.col(f"_best.`{c}`").alias(c) for c in cols])

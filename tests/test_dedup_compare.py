@@ -85,3 +85,13 @@ def test_hot_key_dedup_and_compare(spark):
     cheapest = min(hot, key=lambda v: (v[1][3], v[1][0], v[1][4]))[1]
     assert best["ryzen 5 5600x"].tienda_mas_barata == cheapest[0]
     assert best["ryzen 5 5600x"].precio_min_usd == cheapest[3]
+
+
+def test_split_unclassified_option(spark):
+    from offerlake.operators.dedup import keep_most_complete_offers
+    rows = [("A", "RAM", "sin_clasificar", 50.0, "DDR4 8GB", None), ("A", "RAM", "sin_clasificar", 50.0, "DDR5 16GB", None),
+            ("A", "CPU", "ryzen 5 5600x", 90.0, "t1", None), ("A", "CPU", "ryzen 5 5600x", 90.0, "t2", "u")]
+    df = spark.createDataFrame(rows, COLS)
+    assert keep_most_complete_offers(df).count() == 2
+    split = keep_most_complete_offers(df, split_unclassified=True).collect()
+    assert len(split) == 3 and {r.producto for r in split if r.categoria == "CPU"} == {"t2"}
