@@ -76,9 +76,9 @@ def final_metrics(standardized: DataFrame, staged: DataFrame, fields: Sequence[s
 
 def metrics_from_waterfall(w: DataFrame, staged: DataFrame, fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
     """Final metrics from a one-row waterfall ``(total_raw, bundles, sin_precio, con_precio)`` and the staged table."""
-    m = w.select("*",
-                 staged.agg(F.count(F.lit(1))).scalar().alias("total_registros_staging"),
-                 staged.agg(F.count_if(complete_row(fields))).scalar().alias("_completos"))
+    # One pass over the staged rows: both counters in one struct-valued scalar subquery.
+    st = staged.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(complete_row(fields)).alias("c"))).scalar()
+    m = w.select("*", st.getField("n").alias("total_registros_staging"), st.getField("c").alias("_completos"))
     raw_n = F.col("total_raw")
     stg_n = F.col("total_registros_staging")
     return m.select(
