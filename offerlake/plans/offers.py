@@ -37,15 +37,25 @@ def priced(offers: DataFrame, run_date: str = RUN_DATE) -> DataFrame:
     return add_price(relevance_filter(standardized(offers, run_date)))
 
 
+def keyed(offers: DataFrame, run_date: str = RUN_DATE) -> DataFrame:
+    """Steps 2-9: priced rows with the canonical key."""
+    return add_canonical_key(drop_unpriced(priced(offers, run_date)))
+
+
 def staged_before_dedup(offers: DataFrame, rates: Mapping[str, float] = rules.FALLBACK_RATES,
                         run_date: str = RUN_DATE) -> DataFrame:
     """Steps 2-10: priced rows with canonical key and converted prices."""
-    return convert_currencies(add_canonical_key(drop_unpriced(priced(offers, run_date))), rates)
+    return convert_currencies(keyed(offers, run_date), rates)
 
 
 def staged(offers: DataFrame, rates: Mapping[str, float] = rules.FALLBACK_RATES, run_date: str = RUN_DATE) -> DataFrame:
-    """The staged offer table: steps 2-11 (dedup last)."""
-    return keep_most_complete(staged_before_dedup(offers, rates, run_date))
+    """The staged offer table: steps 2-11 (dedup last), with the currency fan-out applied after dedup.
+
+    The converted prices and the rates text are functions of ``precio_usd`` (a dedup key) and run constants, so they
+    never change which row survives (same completeness offset and tie order for every row of a key); converting
+    after dedup keeps them out of the shuffled survivor struct. Output equals dedup-after-conversion.
+    """
+    return convert_currencies(keep_most_complete(keyed(offers, run_date)), rates)
 
 
 def comparison(t: Tables) -> DataFrame:

@@ -35,8 +35,9 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
     rates = rates_from_files(spark, fx_path)
     std = standardized(raw, run_date)
     pr = priced(raw, run_date)
-    before = convert_currencies_table(add_canonical_key(drop_unpriced(pr)), rates)
-    write_staged(keep_most_complete(before), out["stg_precios"])
+    # Currency fan-out after dedup: the converted prices follow from the price key, so survivors are unchanged.
+    write_staged(convert_currencies_table(keep_most_complete(add_canonical_key(drop_unpriced(pr))), rates),
+                 out["stg_precios"])
     staged = spark.read.parquet(out["stg_precios"])
 
     write_table(order_by_saving(best_prices(staged)), out["comparador_mejor_precio"],
@@ -90,5 +91,5 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
 
 def staged_offers_from_files(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, run_date: str) -> DataFrame:
     raw = read_raw_offers(spark, offer_paths).drop("_source_file")
-    before = convert_currencies_table(add_canonical_key(drop_unpriced(priced(raw, run_date))), rates_from_files(spark, fx_path))
-    return keep_most_complete(before)
+    keyed = add_canonical_key(drop_unpriced(priced(raw, run_date)))
+    return convert_currencies_table(keep_most_complete(keyed), rates_from_files(spark, fx_path))
