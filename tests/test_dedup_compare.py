@@ -95,3 +95,18 @@ def test_split_unclassified_option(spark):
     assert keep_most_complete_offers(df).count() == 2
     split = keep_most_complete_offers(df, split_unclassified=True).collect()
     assert len(split) == 3 and {r.producto for r in split if r.categoria == "CPU"} == {"t2"}
+
+
+def test_conversion_after_dedup_equals_conversion_before(spark):
+    # staged() converts currencies after dedup; the converted columns follow from precio_usd (a dedup key), so the
+    # survivors must equal dedup over already-converted rows, column for column.
+    from offerlake.plans import offers as chain
+    from offerlake.sources.tables import Tables
+    from tests.conftest import SF_SMOKE
+
+    view = chain.offer_view_with_copies(Tables(spark, SF_SMOKE))
+    after = chain.staged(view)
+    before = keep_most_complete(chain.staged_before_dedup(view))
+    assert after.columns == before.columns
+    assert after.count() == before.count() > 0
+    assert after.exceptAll(before).count() == 0 and before.exceptAll(after).count() == 0
