@@ -77,8 +77,10 @@ def final_metrics(standardized: DataFrame, staged: DataFrame, fields: Sequence[s
 def metrics_from_waterfall(w: DataFrame, staged: DataFrame, fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
     """Final metrics from a one-row waterfall ``(total_raw, bundles, sin_precio, con_precio)`` and the staged table."""
     # One pass over the staged rows: both counters in one struct-valued scalar subquery.
+    # Projected once as a column, then read by field, so the plan holds one subquery rather than one per field.
     st = staged.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(complete_row(fields)).alias("c"))).scalar()
-    m = w.select("*", st.getField("n").alias("total_registros_staging"), st.getField("c").alias("_completos"))
+    m = w.select("*", st.alias("_st")).select(
+        "*", F.col("_st.n").alias("total_registros_staging"), F.col("_st.c").alias("_completos")).drop("_st")
     raw_n = F.col("total_raw")
     stg_n = F.col("total_registros_staging")
     return m.select(

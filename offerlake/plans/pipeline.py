@@ -48,10 +48,11 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
     metrics = quality.final_metrics(std, staged)
     write_table(invalid_category_list(std), out["categorias_no_estandar"])
     n_invalid = spark.read.parquet(out["categorias_no_estandar"]).agg(F.count(F.lit(1))).scalar()
-    cov = quality.key_coverage(staged)
-    report = metrics.select(
-        "*", cov.select("cobertura_clave_canonica_pct").scalar().alias("cobertura_clave_canonica_pct"),
-        cov.select("claves_distintas").scalar().alias("claves_distintas"),
+    # Both coverage figures come from one scalar subquery (one pass over the staged table), read by field.
+    cov = quality.key_coverage(staged).select(F.struct("cobertura_clave_canonica_pct", "claves_distintas")).scalar()
+    report = metrics.select("*", cov.alias("_cov")).select(
+        *metrics.columns, F.col("_cov.cobertura_clave_canonica_pct").alias("cobertura_clave_canonica_pct"),
+        F.col("_cov.claves_distintas").alias("claves_distintas"),
         n_invalid.alias("categorias_no_estandar_n"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("fecha_ejecucion"))
     write_quality_report(report, out["reporte_calidad"])
