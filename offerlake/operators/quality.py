@@ -76,8 +76,8 @@ def final_metrics(standardized: DataFrame, staged: DataFrame, fields: Sequence[s
 
 def metrics_from_waterfall(w: DataFrame, staged: DataFrame, fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
     """Final metrics from a one-row waterfall ``(total_raw, bundles, sin_precio, con_precio)`` and the staged table."""
-    # One pass over the staged rows: both counters in one struct-valued scalar subquery.
-    # Projected once as a column, then read by field, so the plan holds one subquery rather than one per field.
+    # One pass over the staged rows: both counters in one struct-valued scalar subquery, projected once as a column
+    # and then read by field, so the plan holds one subquery rather than one per field.
     st = staged.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(complete_row(fields)).alias("c"))).scalar()
     m = w.select("*", st.alias("_st")).select(
         "*", F.col("_st.n").alias("total_registros_staging"), F.col("_st.c").alias("_completos")).drop("_st")
@@ -103,10 +103,15 @@ def key_coverage(staged: DataFrame) -> DataFrame:
     )
 
 
-def dedup_metrics(before: DataFrame, after: DataFrame) -> DataFrame:
-    b = before.agg(F.count(F.lit(1)).alias("antes"))
-    a = after.agg(F.count(F.lit(1))).scalar()
-    return b.select("antes", a.alias("despues"), (F.col("antes") - a).alias("duplicados_eliminados"))
+def dedup_metrics(before: DataFrame, keys: Sequence[str] = rules.DEDUP_KEYS) -> DataFrame:
+    """Rows before dedup, rows after it, and the difference, in one pass over the pre-dedup rows.
+
+    Dedup keeps exactly one row per key group, so the survivors are counted as key groups: a hash aggregate with a
+    partial map-side count (a hot key is one row per task before the shuffle), with no survivor struct to carry.
+    """
+    per_key = before.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    m = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("antes"), F.count(F.lit(1)).alias("despues"))
+    return m.select("antes", "despues", (F.col("antes") - F.col("despues")).alias("duplicados_eliminados"))
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:

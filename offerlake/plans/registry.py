@@ -138,8 +138,7 @@ def dedup_offers(t: Tables) -> DataFrame:
 SELECT (SELECT count(*) FROM keyed) AS antes, (SELECT count(*) FROM deduped) AS despues,
   (SELECT count(*) FROM keyed) - (SELECT count(*) FROM deduped) AS duplicados_eliminados""")
 def dedup_metrics(t: Tables) -> DataFrame:
-    before = chain.staged_before_dedup(chain.offer_view_with_copies(t))
-    return quality.dedup_metrics(before, chain.staged(chain.offer_view_with_copies(t)))
+    return quality.dedup_metrics(chain.keyed(chain.offer_view_with_copies(t)))
 
 
 # ---------------------------------------------------------------- dates ---------------------------------------------

@@ -110,3 +110,14 @@ def test_conversion_after_dedup_equals_conversion_before(spark):
     assert after.columns == before.columns
     assert after.count() == before.count() > 0
     assert after.exceptAll(before).count() == 0 and before.exceptAll(after).count() == 0
+
+
+def test_dedup_metrics_counts_key_groups(spark):
+    # Survivors are counted as key groups; with a hot key and null keys this must equal the dedup's own row count.
+    from offerlake.operators.quality import dedup_metrics
+    rows = [("S1", "CPU", "ryzen 5 5600x", 90.0, f"t{i % 4}", None) for i in range(300)]
+    rows += [(None, "GPU", None, 10.0 + i % 3, "g", "u") for i in range(9)] + [("S2", None, "k", None, "x", None)] * 2
+    df = spark.createDataFrame(rows, COLS).repartition(5)
+    m = dedup_metrics(df).collect()[0]
+    assert (m.antes, m.despues) == (df.count(), keep_most_complete(df).count()) == (311, 5)
+    assert m.duplicados_eliminados == 306
