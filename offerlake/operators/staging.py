@@ -95,11 +95,14 @@ def convert_currencies_table(df: DataFrame, rates: DataFrame, usd: str = "precio
     The table is pivoted to one row (the currency list is fixed at plan time) and joined as a one-row broadcast; the
     rates used are carried as JSON text. A currency absent from the table gives null prices.
     """
-    rate = {c: rates.agg(F.max(F.when(F.col("moneda") == c, F.col("tasa")))).scalar() for c in currencies}
+    # All rates from one scalar subquery (one pass over the rates table), projected once and read by field.
+    row = rates.agg(F.struct(*[F.max(F.when(F.col("moneda") == c, F.col("tasa"))).alias(f"r{i}")
+                               for i, c in enumerate(currencies)])).scalar()
+    rate = {c: F.col(f"_fx.r{i}") for i, c in enumerate(currencies)}
     used = F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in currencies]), F.array(*rate.values())))
     cols = {f"precio_{c.lower()}": convert(F.col(usd), rate[c]) for c in currencies}
     cols["tasas_referencia"] = used
-    return df.withColumns(cols)
+    return df.select("*", row.alias("_fx")).withColumns(cols).drop("_fx")
 
 
 def stage_offers(raw: DataFrame, rates: Mapping[str, float], run_date: str) -> DataFrame:

@@ -119,3 +119,20 @@ def test_landing_stream_is_incremental(spark, tmp_dir):
     landed = spark.read.parquet(out)
     assert landed.count() == 5
     assert sorted(str(r.fecha) for r in landed.select("fecha").distinct().collect()) == ["2026-06-30", "2026-07-01"]
+
+
+def test_convert_currencies_from_rate_table(spark):
+    # Rates read from a (moneda, tasa) table give the same prices as the literal-rate path; a missing currency is null.
+    import json
+
+    from offerlake.operators.staging import convert_currencies, convert_currencies_table
+    df = spark.createDataFrame([(1, 10.0), (2, 123.45), (3, None)], "id int, precio_usd double")
+    rates = spark.createDataFrame([("USD", 1.0), ("EUR", 0.9137), ("COP", 4012.5)], "moneda string, tasa double")
+    got = {r.id: r for r in convert_currencies_table(df, rates, currencies=["USD", "EUR", "COP", "MXN"]).collect()}
+    want = {r.id: r for r in convert_currencies(df, {"USD": 1.0, "EUR": 0.9137, "COP": 4012.5},
+                                                currencies=["USD", "EUR", "COP"]).collect()}
+    for i in (1, 2, 3):
+        assert (got[i].precio_usd, got[i].precio_eur, got[i].precio_cop) == \
+            (want[i].precio_usd, want[i].precio_eur, want[i].precio_cop)
+        assert got[i].precio_mxn is None
+    assert json.loads(got[1].tasas_referencia) == {"USD": 1.0, "EUR": 0.9137, "COP": 4012.5, "MXN": None}
