@@ -45,12 +45,12 @@ def crc_of_id(col: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(col.cast("string"), "UTF-8")), F.lit(0))
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows bounded by rows and by characters of the text column."""
     sizes = np.diff(np.asarray(_offsets(batch.column(batch.schema.get_field_index(text)))))
     start, held = 0, 0
     for i, n in enumerate(sizes):
-        if i > start and (i - start >= SLICE_ROWS or held + n > SLICE_CHARS):
+        if i > start and (i - start >= rows or held + n > SLICE_CHARS):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(n)
@@ -65,7 +65,7 @@ def _offsets(col: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
 
 
-def map_text(df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch], dict[str, object]]) -> DataFrame:
+def map_text(df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch], dict[str, object]], rows: int = SLICE_ROWS) -> DataFrame:
     """``mapInArrow`` over bounded slices: ``fn`` gets a slice and returns the new columns, which follow the old ones.
 
     ``schema`` names the new columns; an old column of the same name gives way.
@@ -82,7 +82,7 @@ def map_text(df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch
 
         types = to_arrow_schema(new)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, rows):
                 made = fn(part)
                 cols = [part.column(part.schema.get_field_index(c)) for c in keep]
                 cols += [pa.array(made[f.name], type=f.type) for f in types]
