@@ -12,7 +12,9 @@ as they occur; a null id is carried through; ids that occur in several rows may
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -27,64 +29,56 @@ LENGTH = 2048
 #: Pieces of a group on average.
 GROUP_PIECES = 8192
 #: Distinct runs in the young generation of known ids (speed only).
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 #: Marks that may be cut off behind a letter (fixed value).
 MARKS = b"!#$%&()*,./:;?@[]_|-"
 
 
-class WordTokens:
-    """Ids of runs of text between ASCII white space, by a tokenizer whose tokens never span white space.
+class WordTokens(dict):
+    """Ids (little-endian 32 bit) of runs of text between ASCII white space, by a tokenizer whose tokens never span white
+    space and that lower-cases.
 
     Each distinct run is encoded once and looked up from then on. Known runs are held in two generations: when the young
     one is full it becomes the old one, so frequent runs stay and memory is bounded.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _learn(self, runs: list[bytes]) -> None:
-        for k in range(0, len(runs), 20_000):
-            part = runs[k:k + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.young[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _missing(self, runs: set[bytes]) -> list[bytes]:
-        young, old, out = self.young, self.old, []
-        for w in runs:
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    out.append(w)
-        return out
+    def __missing__(self, run: bytes) -> bytes:
+        ids = self.old.get(run)
+        if ids is None:
+            head = run.rstrip(MARKS)
+            if b"<" in run or not head:
+                ids = self._encoded(run)
+            elif run.isascii() and (low := run.lower()) != run:
+                ids = self[low]
+            elif head != run and head[-1:].isalpha():
+                # behind an ASCII letter, trailing ASCII marks are always a token run of their own
+                ids = self[head] + self[run[len(head):]]
+            else:
+                ids = self._encoded(run)
+        self[run] = ids
+        return ids
+
+    def _encoded(self, run: bytes) -> bytes:
+        ids = array("I", self.tok.encode(run.decode(), add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text as little-endian 32-bit integers."""
-        if len(self.young) > KEPT_WORDS:
-            self.old, self.young = self.young, {}
-        runs = [t.encode("utf-8", "replace").split() for t in texts]
-        whole: list[bytes] = []
-        cut: dict[bytes, tuple[bytes, bytes]] = {}
-        for w in self._missing(set().union(*runs)):
-            head = w.rstrip(MARKS)
-            # behind an ASCII letter, trailing ASCII marks are always a token run of their own
-            if head != w and head[-1:].isalpha() and b"<" not in w:
-                cut[w] = (head, w[len(head):])
-            else:
-                whole.append(w)
-        self._learn(whole)
-        self._learn(self._missing({x for pair in cut.values() for x in pair}))
-        young = self.young
-        for w, (head, tail) in cut.items():
-            young[w] = young[head] + young[tail]
-        return [b"".join([young[w] for w in ws]) for ws in runs]
+        if len(self) > KEPT_WORDS:
+            self.old = dict(self)
+            self.clear()
+        return [b"".join(map(self.__getitem__, t.encode("utf-8", "replace").split())) for t in texts]
 
 
 @lru_cache(maxsize=2)
