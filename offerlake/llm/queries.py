@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm import bpe_trie, lang_id, line_crf, packing, secret_scan, url_filter
+from offerlake.llm import bpe_trie, exact_topk, lang_id, line_crf, packing, secret_scan, url_filter
 from offerlake.llm.common import crc_of_id, table
 
 
@@ -36,6 +36,10 @@ def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.json"))
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = (crc_of_id(F.col("doc_id")) % 5 == 0).alias("held_out")
@@ -54,6 +58,18 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op9_lang_id, op10_line_crf)
+    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op6_exact_topk, op9_lang_id, op10_line_crf)
+}
+ORACLE: dict[str, str] = {
+    "op6_exact_topk": """
+with good as (
+  select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), pairs as (
+  select q.vec_id as query_id, q.r as query_row, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from good q join good c on q.r <> c.r where q.vec_id % 50 = 0
+), ranked as (
+  select *, row_number() over (partition by query_row order by score desc, vec_id) as rank from pairs
+)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5""",
 }
-ORACLE: dict[str, str] = {}

@@ -119,7 +119,7 @@ def cut(scored: DataFrame, verdict: str) -> float:
              .groupBy(F.floor(F.greatest(F.lit(-20.0), F.least(F.lit(20.0), "score")) * STEPS).alias("at"))
              .agg(F.count_if(F.col(verdict) == "allow").alias("a"), F.count_if(F.col(verdict) == "block").alias("b")))
     # at most 40 * STEPS + 1 rows
-    best = steps.selectExpr("at", "sum(a) over (order by at desc) / sum(a) over () as hit", "1 - sum(b) over (order by at desc) / sum(b) over () as kept_out").orderBy(F.desc(F.col("hit") + F.col("kept_out")), "at").first()
+    best = steps.selectExpr("at", "sum(a) over (order by at desc) / nullif(sum(a) over (), 0) as hit", "1 - sum(b) over (order by at desc) / nullif(sum(b) over (), 0) as kept_out").orderBy(F.desc(F.col("hit") + F.col("kept_out")), "at").first()
     return 0.0 if best is None or best["hit"] is None or best["kept_out"] is None else best["at"] / STEPS
 
 
