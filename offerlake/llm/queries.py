@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm import bpe_trie, exact_topk, lang_id, line_crf, packing, secret_scan, url_filter
+from offerlake.llm import bpe_trie, exact_topk, lang_id, line_crf, ngram_jaccard, packing, secret_scan, url_filter
 from offerlake.llm.common import crc_of_id, table
 
 
@@ -40,6 +40,10 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = (crc_of_id(F.col("doc_id")) % 5 == 0).alias("held_out")
@@ -58,9 +62,38 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op6_exact_topk, op9_lang_id, op10_line_crf)
+    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op6_exact_topk, op8_ngram_jaccard, op9_lang_id, op10_line_crf)
 }
 ORACLE: dict[str, str] = {
+    "op8_ngram_jaccard": """
+with recursive words as (
+  select doc_id, row_number() over () as r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), sets as (
+  select doc_id, r, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+         else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) end as s
+  from words
+), classes as (
+  select min(r) as node, min(doc_id) as least, k, any_value(s) as s, len(any_value(s)) as n
+  from (select *, md5(array_to_string(list_sort(s), '|')) as k from sets where len(s) > 0) group by k
+), grams as (
+  select node, n, unnest(s) as g from classes
+), links as (
+  select a.node as a, b.node as b from grams a join grams b on a.g = b.g and a.node < b.node
+    and 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  group by a.node, b.node, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), edges as (
+  select a, b from links union all select b, a from links
+), reach(node, root) as (
+  select node, node from classes union select e.b, r.root from reach r join edges e on r.node = e.a
+), roots as (
+  select node, min(root) as root from reach group by node
+), named as (
+  select c.k, min(c.least) over (partition by r.root) as component_id from classes c join roots r using (node)
+)
+select s.doc_id, len(s.s)::bigint as n_shingles, coalesce(n.component_id, s.doc_id) as component_id
+from sets s left join named n on len(s.s) > 0 and md5(array_to_string(list_sort(s.s), '|')) = n.k""",
     "op6_exact_topk": """
 with good as (
   select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
