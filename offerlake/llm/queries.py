@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm import bpe_trie, exact_topk, lang_id, line_crf, ngram_jaccard, packing, secret_scan, url_filter
+from offerlake.llm import bpe_trie, exact_topk, katz_lm, lang_id, line_crf, ngram_jaccard, packing, secret_scan, url_filter
 from offerlake.llm.common import crc_of_id, table
 
 
@@ -40,6 +40,12 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 
+def op7_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = katz_lm.score(docs, crc_of_id(F.col("doc_id")) % 5 != 1)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -62,7 +68,7 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op6_exact_topk, op8_ngram_jaccard, op9_lang_id, op10_line_crf)
+    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op6_exact_topk, op7_katz_lm, op8_ngram_jaccard, op9_lang_id, op10_line_crf)
 }
 ORACLE: dict[str, str] = {
     "op8_ngram_jaccard": """
