@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm import bpe_trie, exact_topk, katz_lm, lang_id, line_crf, ngram_jaccard, packing, secret_scan, url_filter
+from offerlake.llm import bpe_trie, embed_dedup, exact_topk, katz_lm, lang_id, line_crf, ngram_jaccard, packing, secret_scan, url_filter
 from offerlake.llm.common import crc_of_id, table
 
 
@@ -36,6 +36,11 @@ def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return linked.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
@@ -68,9 +73,28 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op6_exact_topk, op7_katz_lm, op8_ngram_jaccard, op9_lang_id, op10_line_crf)
+    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op5_embed_dedup, op6_exact_topk,
+                                op7_katz_lm, op8_ngram_jaccard, op9_lang_id, op10_line_crf)
 }
 ORACLE: dict[str, str] = {
+    "op5_embed_dedup": """
+with recursive vectors as (
+  select vec_id, row_number() over () as r, list_transform(embedding, lambda x: x::double) as v from embeddings
+), good as (
+  select * from vectors where vec_id is not null and len(v) > 0 and len(list_filter(v, lambda x: x is not null and isfinite(x))) = len(v)
+    and list_inner_product(v, v) > 0
+), links as (
+  select a.r as a, b.r as b from good a join good b on a.r <> b.r
+    and list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v)) / sqrt(list_inner_product(b.v, b.v)) >= 0.9
+), reach(r, root, id) as (
+  select r, r, vec_id from vectors union select l.b, x.root, x.id from reach x join links l on x.r = l.a
+), named as (
+  select r, min(id) as component_id from reach group by r
+), counted as (
+  select a as r, count(*) as n from links group by a
+)
+select v.vec_id, coalesce(c.n, 0)::bigint as n_links, n.component_id, v.vec_id = n.component_id as kept
+from vectors v join named n using (r) left join counted c using (r)""",
     "op8_ngram_jaccard": """
 with recursive words as (
   select doc_id, row_number() over () as r,
