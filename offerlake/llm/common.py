@@ -94,7 +94,9 @@ def map_text(df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch
 
 
 def pack(a: np.ndarray) -> bytes:
-    """A numpy integer array as bytes: the bytes of equal weight side by side, then deflated lightly."""
+    """A numpy array as bytes: unsigned integers in the narrowest type, bytes of equal weight side by side, lightly deflated."""
+    if a.dtype.kind == "u" and len(a):
+        a = a.astype(np.min_scalar_type(a.max()))
     a = np.ascontiguousarray(a)
     raw = a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if len(a) else b""
     return a.dtype.str.encode() + b" " + zlib.compress(raw, 1)

@@ -10,7 +10,7 @@ do not fall evenly; where that gives no discounts between 0 and 1 either (tiny c
 ``TOP`` times would leave nothing: there the divisor is c(v) + 1, and likewise N + 1 for single words.
 
 The text is read once. A block of documents is kept as token numbers with a table of its distinct words (64-bit hashes), and
-asks the count tables, which are partitioned by hash, only for its distinct words and pairs: a word or pair that fills a third
+asks the count tables, which are partitioned by hash, only for its distinct words (which are numbered on the way) and pairs: a word or pair that fills a third
 of the corpus is one entry of a block's request. A partition holds all the words that follow a context, sums them over the
 blocks and answers each block; the pairs of a context with more than ``HOT`` tokens are spread over all partitions and its
 sums are put together by a further aggregate. The numbers of partitions follow the number of entries, and only a
@@ -34,17 +34,22 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import pack, slices, staged, unpack
+from offerlake.llm.common import pack, slices, staged
+from offerlake.llm.common import unpack as unpacked
 
 #: Good-Turing applies to counts up to TOP.
 TOP = 5
 #: Entries of a partition of the count tables on average; tokens from which a context is spread over all partitions.
-WORDS_PER_PART, PAIRS_PER_PART, HOT = 2_000_000, 1_500_000, 400_000
+WORDS_PER_PART, PAIRS_PER_PART, HOT = 1_500_000, 1_000_000, 400_000
 BLOCK_ROWS = 2048
-END, START = np.uint64(0), np.uint64(1)
+END = np.uint64(0)
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
+def unpack(b: bytes) -> np.ndarray:
+    return unpacked(b).astype(np.uint64)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * MIX
     return h ^ (h >> np.uint64(29))
@@ -134,14 +139,14 @@ def _answers(rows: list[tuple]) -> pd.DataFrame:
 
 
 def word_counts(made: DataFrame, parts: int) -> DataFrame:
-    """Ask the partitioned table of words: rows of ANSWER with kind ``word`` (totals in the order of the block's words of
-    that partition) and ``words`` (n: [0, n_1 .. n_TOP+1, total, distinct])."""
+    """Ask the partitioned table of words: rows of ANSWER with kind ``word`` (totals and numbers in the order of the block's
+    words of that partition) and ``words`` (n: [0, n_1 .. n_TOP+1, total, distinct])."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 words, tokens = unpack(r["words"]), unpack(r["tokens"])
-                mine = np.bincount(tokens[np.repeat(r["train"], r["sizes"])], minlength=len(words)).astype(np.uint32)
+                mine = np.bincount(tokens[np.repeat(r["train"], r["sizes"])].astype(np.int64), minlength=len(words)).astype(np.uint32)
                 part = _part(words, parts)
                 order = np.argsort(part, kind="stable")
                 cut = np.searchsorted(part[order], np.arange(parts + 1))
@@ -156,22 +161,30 @@ def word_counts(made: DataFrame, parts: int) -> DataFrame:
         part = int(pdf["part"].iloc[0])
         n = [0, *(int((total == r).sum()) for r in range(1, TOP + 2)), int(total.sum()), int((total > 0).sum())]
         ends = np.cumsum([len(w) for w in words])
-        return _answers([(-1, "words", part, None, None, None, n), *((int(b), "word", part, pack(total[at[e - len(w):e]]), None, None, None) for b, w, e in zip(pdf["block"], words, ends, strict=True))])
+        return _answers([(-1, "words", part, None, None, None, n), *((int(b), "word", part, pack(total[at[e - len(w):e]]), pack(at[e - len(w):e].astype(np.uint64)), None, None) for b, w, e in zip(pdf["block"], words, ends, strict=True))])
 
     asked = made.select("block", "train", "sizes", "words", "tokens").mapInArrow(ask, "part long, block long, words binary, counts binary")
     return staged(asked.groupBy("part").applyInPandas(add, ANSWER), "lm-words")
 
 
+def word_answers(words: np.ndarray, answers: pd.DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Totals and corpus-wide numbers (from 1) of a block's words, with one more entry: the start, counted as the end, number 0."""
+    total, number = np.zeros(len(words) + 1, np.int64), np.zeros(len(words) + 1, np.uint64)
+    part = _part(words, parts)
+    for p, a, b in zip(answers["part"], answers["a"], answers["b"], strict=True):
+        at = np.flatnonzero(part == p)
+        total[at], number[at] = unpack(a).astype(np.int64), unpack(b) * np.uint64(parts) + np.uint64(p + 1)
+    total[-1] = total[0]
+    return total, number
+
+
 class Block:
     """A block with its words' totals: the distinct pairs of neighbours that the pair table must be asked for."""
 
     def __init__(self, r: pd.Series, answers: pd.DataFrame, parts: int, pair_parts: int, hot: int):
         self.words, tokens = unpack(r["words"]), unpack(r["tokens"]).astype(np.int64)
         self.sizes, self.train = np.asarray(r["sizes"], np.int64), np.asarray(r["train"], bool)
-        self.count = np.zeros(len(self.words), np.int64)
-        part = _part(self.words, parts)
-        for p, a in zip(answers["part"], answers["a"], strict=True):
-            self.count[part == p] = unpack(a).astype(np.int64)
+        self.count, self.number = word_answers(self.words, answers, parts)
         n = len(self.words)  # n as a first word: the start
         self.starts = np.cumsum(self.sizes) - self.sizes
         before = np.concatenate([[n], tokens[:-1]])
@@ -180,14 +193,13 @@ class Block:
         pairs, self.at = np.unique(before * n + tokens, return_inverse=True)
         self.first, self.second = np.divmod(pairs, n)
         mine = np.bincount(self.at, np.repeat(self.train, self.sizes), len(pairs)).astype(np.int64)
-        self.history = np.concatenate([self.count, [self.count[0]]])  # tokens that follow the word; the start: documents
-        self.hash = np.concatenate([self.words, [START]])
+        self.history = self.count  # tokens that follow the word; the start: documents
         self.after = self.history[self.first]  # c(v) of every pair
         known = (self.after > 0) & (self.count[self.second] > 0)
         self.hot = self.history > hot
         spread = self.hot[self.first]
-        key = _mixed(self.hash[self.first] * STEP + self.hash[self.second])
-        part = np.where(spread, _part(key, pair_parts), _part(self.hash[self.first], pair_parts))
+        a, b = self.number[self.first], self.number[self.second]
+        part = np.where(spread, _part(_mixed(a * STEP + b), pair_parts), _part(a, pair_parts))
         # a seen context followed here by unknown words only still needs its weight
         entry = np.flatnonzero(self.after > 0)
         order = entry[np.lexsort((self.first[entry], part[entry]))]
@@ -201,7 +213,7 @@ class Block:
             asks = i[known[i]]
             sizes = np.add.reduceat(known[i].astype(np.int64), at)
             lacks = np.add.reduceat((~known[i]).astype(np.int64), at) > 0
-            self.requests.append((p, v, sizes.astype(np.uint32), lacks | self.hot[v], asks, key[asks], mine[asks].astype(np.uint32)))
+            self.requests.append((p, v, sizes.astype(np.uint32), lacks | self.hot[v], asks, b[asks], mine[asks].astype(np.uint32)))
 
 
 def pair_counts(made: DataFrame, words: DataFrame, known: Words, parts: int, pair_parts: int, hot: int) -> DataFrame:
@@ -214,19 +226,20 @@ def pair_counts(made: DataFrame, words: DataFrame, known: Words, parts: int, pai
         for _, r in mine.iterrows():
             b = Block(r, answers, parts, pair_parts, hot)
             for p, v, sizes, lacks, asks, key, counts in b.requests:
-                out.append((p, r["block"], pack(b.hash[v]), pack(b.hot[v].astype(np.uint8)), pack(sizes), pack(lacks.astype(np.uint8)), pack(key), pack(counts),
+                out.append((p, r["block"], pack(b.number[v]), pack(b.hot[v].astype(np.uint8)), pack(sizes), pack(lacks.astype(np.uint8)), pack(key), pack(counts),
                             pack(b.count[b.second[asks]].astype(np.uint64))))
         return pd.DataFrame(out, columns=["part", "block", "v", "hot", "sizes", "lacks", "pairs", "counts", "seconds"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         get = lambda c: [unpack(b) for b in pdf[c]]
         v, is_hot, sizes, lacks, pairs = get("v"), get("hot"), get("sizes"), get("lacks"), get("pairs")
-        distinct, first_at, at = np.unique(np.concatenate(pairs), return_index=True, return_inverse=True)
-        total = np.bincount(at, np.concatenate(get("counts")), len(distinct)).astype(np.int64)
         contexts, which = np.unique(np.concatenate(v), return_inverse=True)
+        owners = np.repeat(which, np.concatenate(sizes).astype(np.int64))
+        distinct, first_at, at = np.unique((owners.astype(np.uint64) << np.uint64(40)) | np.concatenate(pairs), return_index=True, return_inverse=True)
+        total = np.bincount(at, np.concatenate(get("counts")), len(distinct)).astype(np.int64)
         hot_of = np.zeros(len(contexts), bool)
         hot_of[which] = np.concatenate(is_hot) > 0
-        owner = np.repeat(which, np.concatenate(sizes))[first_at]
+        owner = owners[first_at]
         seen = total > 0
         p = known.p(np.concatenate(get("seconds")).astype(np.int64)[first_at])
         mass = np.bincount(owner[seen], p[seen], len(contexts))
@@ -239,7 +252,7 @@ def pair_counts(made: DataFrame, words: DataFrame, known: Words, parts: int, pai
         for k, block in enumerate(pdf["block"]):
             got = total[at[pair_end[k] - len(pairs[k]):pair_end[k]]]
             ctx = which[ctx_end[k] - len(v[k]):ctx_end[k]]
-            own = np.repeat(np.arange(len(ctx)), sizes[k])
+            own = np.repeat(np.arange(len(ctx)), sizes[k].astype(np.int64))
             need = (lacks[k] > 0) | (np.bincount(own[got == 0], minlength=len(ctx)) > 0) | (few[ctx].sum(1) == 0)
             need &= ~hot_of[ctx]
             told = np.flatnonzero(need)
@@ -277,13 +290,8 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     def wants(mine: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, r in mine.iterrows():
-            held = unpack(r["words"])
-            part = _part(held, parts)
-            counted = np.zeros(len(held), np.int64)
-            for p, a in zip(answers["part"], answers["a"], strict=True):
-                counted[part == p] = unpack(a).astype(np.int64)
-            v = held[counted > hot]
-            v = np.concatenate([v, [START]]) if len(counted) and counted[0] > hot else v
+            total_of, number = word_answers(unpack(r["words"]), answers, parts)
+            v = number[total_of > hot]
             out.append(pd.DataFrame({"block": r["block"], "v": v.astype(np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({"block": [], "v": []}, dtype="int64")
 
@@ -301,7 +309,7 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
         for _, r in mine.iterrows():
             b = Block(r, got[got["kind"] == "word"], parts, pair_parts, hot)
             seen = np.zeros(len(b.first), np.int64)
-            small = np.full((len(b.history), TOP), -1, np.int64)  # -1: not told, so there are discounted words and all pairs seen
+            small = np.full((len(b.count), TOP), -1, np.int64)  # -1: not told, so there are discounted words and all pairs seen
             mass = np.zeros(len(b.history))
             said = {int(x["part"]): x for _, x in got[got["kind"] == "pair"].iterrows()}
             for p, v, _, _, asks, _, _ in b.requests:
@@ -309,7 +317,7 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
                 told = unpack(said[p]["b"]).astype(np.int64).reshape(TOP + 1, -1)
                 small[v[told[0]]] = told[1:].T
                 mass[v[told[0]]] = np.frombuffer(said[p]["c"], np.float64)
-            place = {int(h): i for i, h in enumerate(b.hash.astype(np.int64).tolist()) if b.hot[i]}
+            place = {int(h): i for i, h in enumerate(b.number.tolist()) if b.hot[i]}
             for _, x in got[got["kind"] == "hot"].iterrows():
                 i = place[int(x["n"][0])]
                 small[i], mass[i] = x["n"][1:], float(bytes(x["c"]).decode())
