@@ -18,14 +18,13 @@ from __future__ import annotations
 
 import hashlib
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from offerlake.llm.common import map_text
+from offerlake.llm.common import held, map_text
 
 #: The published split pattern of byte-level BPE (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -152,9 +151,8 @@ class TrieBPE:
         return b"".join([pieces[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> TrieBPE:
-    return TrieBPE(path)
+    return held(("bpe", path), lambda: TrieBPE(path))
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:

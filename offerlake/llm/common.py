@@ -18,6 +18,18 @@ SLICE_ROWS = 512
 SLICE_CHARS = 8_000_000
 
 
+_HELD: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between blocks. It holds one thing at a time: a worker that goes on to another operator's
+    tasks drops the former one's tables."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

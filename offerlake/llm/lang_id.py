@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import map_text, slices
+from offerlake.llm.common import held, map_text, slices
 
 #: Script ranges (fixed values): first and last code point.
 SCRIPTS = (
@@ -196,31 +196,24 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, switch: f
     return labels
 
 
-#: The worker's labeller of the model it used last.
-_HELD: dict[str, Labeller] = {}
-
-
 def predict(df: DataFrame, model: dict, text: str = "text", spans: bool = True) -> DataFrame:
     """Add lang_pred, lang_score and (on request) lang_spans: (first word, last word + 1, language)."""
     shared, key = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # bounded: trigrams of the sample
 
     def run(part: pa.RecordBatch) -> dict:
-        held = _HELD.get(key)
-        if held is None:
-            _HELD.clear()
-            held = _HELD[key] = Labeller(shared.value)
+        labeller = held(key, lambda: Labeller(shared.value))
         texts = [t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()]
         out: dict[str, list] = {"lang_pred": [], "lang_score": [], "lang_spans": []}
-        if not held.langs:
+        if not labeller.langs:
             return {"lang_pred": ["und"] * len(texts), "lang_score": [0.0] * len(texts), "lang_spans": [[]] * len(texts)}
-        for labels, letters in zip(*held.label(texts), strict=True):
-            share = np.bincount(labels, letters, len(held.langs))
+        for labels, letters in zip(*labeller.label(texts), strict=True):
+            share = np.bincount(labels, letters, len(labeller.langs))
             total, win = share.sum(), int(share.argmax())
-            out["lang_pred"].append(held.langs[win] if total else "und")
+            out["lang_pred"].append(labeller.langs[win] if total else "und")
             out["lang_score"].append(float(share[win] / total) if total else 0.0)
             if spans:
                 cut = [0, *(np.flatnonzero(np.diff(labels)) + 1).tolist(), len(labels)] if total else [0]
-                out["lang_spans"].append([{"start": a, "end": b, "lang": held.langs[labels[a]]} for a, b in zip(cut, cut[1:], strict=False)])
+                out["lang_spans"].append([{"start": a, "end": b, "lang": labeller.langs[labels[a]]} for a, b in zip(cut, cut[1:], strict=False)])
         return out
 
     kind = "lang_pred string, lang_score double" + (", lang_spans array<struct<start:int,end:int,lang:string>>" if spans else "")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import components, map_text, staged
+from offerlake.llm.common import components, held, map_text, staged
 
 WORDS = 5
 #: Similarity at least NUM / DEN.
@@ -42,7 +42,6 @@ KEPT_WORDS = 500_000
 #: Bits of a bitmap per shingle, at least.
 BITS = 4
 
-_words: dict[bytes, int] = {}
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,9 +54,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """Ascending distinct 64-bit hashes of each text's shingles."""
-    if len(_words) > KEPT_WORDS:
-        _words.clear()
-    known, out = _words, []
+    known: dict[bytes, int] = held("shingle words", dict)
+    if len(known) > KEPT_WORDS:
+        known.clear()
+    out = []
     for t in texts:
         runs = t.encode("utf-8", "replace").lower().split()
         for w in set(runs).difference(known):

@@ -15,7 +15,6 @@ import os
 import sys
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import map_text, staged
+from offerlake.llm.common import held, map_text, staged
 
 LENGTH = 2048
 #: Pieces of a group on average.
-GROUP_PIECES = 8192
+GROUP_PIECES = 4096
 #: Distinct runs in the young generation of known ids (speed only).
 KEPT_WORDS = 400_000
 #: Marks that may be cut off behind a letter (fixed value).
@@ -81,9 +80,8 @@ class WordTokens(dict):
         return [b"".join(map(self.__getitem__, t.encode("utf-8", "replace").split())) for t in texts]
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokens:
-    return WordTokens(path)
+    return held(("words", path), lambda: WordTokens(path))
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
