@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from offerlake.llm.common import map_text, pack, unpack
 
-#: Labelled documents of each class to learn from, on average.
-PER_CLASS = 2500
+#: Labelled documents of each class to learn from, on average, and documents to learn from at most.
+PER_CLASS, LIMIT = 2500, 10_000
 STEPS, RATE, RIDGE = 150, 0.08, 1e-3
 
 OTHER, UPPER, LOWER, DIGIT, SPACE, MARK, SYMBOL = range(7)
@@ -181,13 +181,14 @@ def raw_quality(model: dict, x: np.ndarray, length: np.ndarray, sizes: np.ndarra
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> dict:
     """Learn from the rows of ``labels`` that satisfy ``learn`` (a condition on their id)."""
-    rows = labels.select(F.col(doc_id).alias("id"), F.col(quality).alias("q")).where(learn).where("id is not null and q in (0, 1)")
+    rows = labels.select(F.col(doc_id).alias("id"), F.col(quality).alias("q")).where(learn).where("id is not null and q in (0, 1)").distinct()
     sizes = {r["q"]: r["count"] for r in rows.groupBy("q").count().collect()}
     if len(sizes) < 2:
         return {"rate": float(next(iter(sizes), 0.5))}
     rate = F.when(F.col("q") == 1, F.lit(min(1.0, PER_CLASS / sizes[1]))).otherwise(F.lit(min(1.0, PER_CLASS / sizes[0])))
     drawn = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003 < rate)
-    sample = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(drawn, "id").select("q", "t")
+    # about 2 * PER_CLASS distinct ids, however many labels there are; LIMIT holds if an id names very many documents
+    sample = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(drawn), "id").select("q", "t").limit(LIMIT)
 
     def features(part: pa.RecordBatch) -> dict:
         x, length, sizes_ = describe([t or "" for t in part.column(1).to_pylist()])
