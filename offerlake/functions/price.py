@@ -22,6 +22,23 @@ def rint_round(c: Column, digits: int) -> Column:
     return F.rint(c * F.lit(scale)) / F.lit(scale)
 
 
+def exact_round2(c: Column) -> Column:
+    """Round to two decimals by the exact binary value, half to even, as Python's ``round`` does.
+
+    ``c * 100`` is rounded itself, so it can fall on a half that the exact product misses. The product's error follows
+    exactly from the two halves of ``c`` (26 bits each, by splitting with 2^27 + 1); it decides only where the rounded
+    product is a half.
+    """
+    product = c * F.lit(100.0)
+    big = c * F.lit(134217729.0)
+    high = big - (big - c)
+    error = (high * F.lit(100.0) - product) + (c - high) * F.lit(100.0)
+    below = F.floor(product).cast("double")
+    half = (product - below) == F.lit(0.5)
+    cents = F.when(half & (error > 0), below + 1).when(half & (error < 0), below).otherwise(F.rint(product))
+    return cents / F.lit(100.0)
+
+
 def amount_tokens(c: Column) -> Column:
     """All amount-like tokens in a text: a digit, optionally followed by digits/dots/commas ending in a digit."""
     return F.regexp_extract_all(c, F.lit(rules.AMOUNT_TOKEN_PATTERN), 0)
@@ -58,4 +75,8 @@ def parse_price(raw: Column, digits: int = 2, floor: float | None = None) -> Col
         positive = F.filter(values, lambda v: v > 0)
     else:
         positive = F.filter(values, lambda v: (v > 0) & (v >= F.lit(float(floor))))
-    return rint_round(F.array_min(positive), digits)
+    least = F.array_min(positive)
+    if digits != 2:
+        return rint_round(least, digits)
+    # through a one-element array, so the tokens are parsed once
+    return F.get(F.transform(F.array(least), exact_round2), F.lit(0))

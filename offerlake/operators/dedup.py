@@ -36,7 +36,8 @@ def keep_most_complete(df: DataFrame, keys: Sequence[str] = rules.DEDUP_KEYS,
         *[F.col(f"`{c}`") for c in cols],
     )
     best = df.groupBy(*keys).agg(F.min(rank).alias("_best"))
-    return best.select(*[F.col(f"_best.`{c}`").alias(c) for c in cols])
+    # keys come from the grouping, so a filter on one passes below the shuffle
+    return best.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_best.`{c}`").alias(c) for c in cols])
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

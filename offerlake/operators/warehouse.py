@@ -62,11 +62,14 @@ def source_dim(spark) -> DataFrame:
 
 
 def store_dim(observed: DataFrame) -> DataFrame:
-    """Seeded stores, plus observed stores (``nombre_tienda, pais``) not among the seeds; ids by name."""
+    """Seeded stores, plus observed stores (``nombre_tienda, pais``) not among the seeds; ids by name.
+
+    A store has one row: seen with several countries it keeps the first in alphabetical order."""
     spark = observed.sparkSession
     seeds = spark.createDataFrame([tuple(r) for r in rules.STORE_SEEDS],
                                   "nombre_tienda string, pais string, moneda_nativa string, tipo_tienda string, url_base string")
-    obs = observed.select("nombre_tienda", "pais").distinct().join(F.broadcast(seeds.select("nombre_tienda")),
+    named = observed.filter(F.col("nombre_tienda").isNotNull()).groupBy("nombre_tienda").agg(F.min("pais").alias("pais"))
+    obs = named.join(F.broadcast(seeds.select("nombre_tienda")),
                                                                   "nombre_tienda", "left_anti")
     obs = obs.select("nombre_tienda", "pais", F.lit(rules.BASE_CURRENCY).alias("moneda_nativa"),
                      F.lit(rules.STORE_TYPES[0]).alias("tipo_tienda"), F.lit(None).cast("string").alias("url_base"))
@@ -114,14 +117,19 @@ def fact_prices(staged: DataFrame, products: DataFrame, stores: DataFrame, sourc
                 source_name: str = "Scraping tiendas") -> DataFrame:
     """Fact rows with the four surrogate keys; money as DECIMAL(12,4), rate DECIMAL(10,6), stock default true.
 
-    Dimension joins are equi-joins on natural keys; Catalyst/AQE size each dimension and broadcast the small ones.
+    Dimension joins are left equi-joins on natural keys, so an offer without a store keeps its fact with a null key (which
+    the NOT NULL check counts); Catalyst/AQE size each dimension. The fact's own id is a 60-bit hash of its natural key: no
+    sort, no checkpoint.
     """
     src_id = sources.filter(F.col("nombre_fuente") == source_name).agg(F.max("id_fuente")).scalar()
     f = (staged
-         .join(products.select("id_producto", "clave_canonica"), "clave_canonica")
-         .join(stores.select("id_tienda", F.col("nombre_tienda").alias("tienda")), "tienda")
+         .join(products.select("id_producto", "clave_canonica"), "clave_canonica", "left")
+         .join(stores.select("id_tienda", F.col("nombre_tienda").alias("tienda")), "tienda", "left")
          .withColumn("id_fuente", src_id))
-    fact = f.select(
+    natural = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("~")) for c in ("tienda", "categoria", "clave_canonica")],
+                          F.coalesce(F.col("precio_usd").cast("decimal(12,4)").cast("string"), F.lit("~")))
+    return f.select(
+        F.conv(F.substring(F.md5(natural), 1, 15), 16, 10).cast("bigint").alias("id_hecho"),
         "id_producto", "id_tienda",
         date_key(F.to_date("fecha_extraccion")).alias("id_tiempo"),
         "id_fuente",
@@ -132,10 +140,7 @@ def fact_prices(staged: DataFrame, products: DataFrame, stores: DataFrame, sourc
         F.lit(True).alias("stock_disponible"),
         F.to_timestamp_ntz(F.col("fecha_extraccion")).alias("fecha_extraccion"),
         "url_producto",
-        "tienda", "categoria", "clave_canonica", F.col("precio_usd").alias("_p"),
     )
-    ided = with_dense_id(fact, ["tienda", "categoria", "clave_canonica", "_p"], "id_hecho")
-    return ided.drop("tienda", "categoria", "clave_canonica", "_p")
 
 
 # Enumerations checked on the dimensions. The declared source types lack the survey; it is added (see README).

@@ -108,7 +108,7 @@ def price_expr(raw: str) -> str:
     whens = " ".join(f"WHEN regexp_full_match(t, {q(p)}) THEN {actions[a]}" for p, a in rules.AMOUNT_FORMATS)
     parsed = f"TRY_CAST(CASE {whens} ELSE replace(t, ',', '') END AS DOUBLE)"
     tokens = f"regexp_extract_all({raw}, {q(rules.AMOUNT_TOKEN_PATTERN)})"
-    return f"round_even(list_min(list_filter(list_transform({tokens}, lambda t: {parsed}), lambda v: v > 0)), 2)"
+    return f"CAST(printf('%.2f', list_min(list_filter(list_transform({tokens}, lambda t: {parsed}), lambda v: v > 0))) AS DOUBLE)"
 
 
 def key_columns(title: str, category: str) -> tuple[str, str]:

@@ -585,6 +585,8 @@ _CAL = """SELECT CAST(strftime(f, '%Y%m%d') AS INTEGER) AS id_tiempo, strftime(f
 FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS f FROM b)"""
 _TIEMPO_ORDERS = ("tiempo AS (WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi "
                   "FROM orders) " + _CAL + ")")
+_TIEMPO = ("tiempo AS (WITH b AS (SELECT min(CAST(fecha_extraccion AS DATE)) AS lo, max(CAST(fecha_extraccion AS DATE)) AS hi "
+           "FROM deduped) " + _CAL + ")")
 _FUENTE_ROWS = [tuple(r) for r in rules.SOURCE_SEEDS] + [
     ("Scraping tiendas", "Web Scraping", "Spark", "Diaria", None), ("Encuesta propia", "Encuesta", "Spark", "Unica", None)]
 _FUENTE = ("fuente AS (SELECT CAST(row_number() OVER (ORDER BY nombre_fuente) AS INTEGER) AS id_fuente, * FROM "
@@ -615,17 +617,17 @@ SELECT CAST(row_number() OVER (ORDER BY clave_canonica) AS BIGINT) AS id_product
   CAST(NULL AS VARCHAR) AS especificaciones
 FROM (SELECT clave_canonica, arg_min(producto, (precio_usd, tienda, producto, categoria)) AS modelo_raw,
         arg_min(categoria, (precio_usd, tienda, producto, categoria)) AS cat FROM deduped GROUP BY clave_canonica))"""
-_TIENDA_STAGED = _tienda_cte("SELECT DISTINCT tienda AS nombre_tienda, pais FROM deduped")
+_TIENDA_STAGED = _tienda_cte("SELECT tienda AS nombre_tienda, min(pais) AS pais FROM deduped GROUP BY tienda")
 _FACT = """fact AS (
-SELECT CAST(row_number() OVER (ORDER BY d.tienda NULLS FIRST, d.categoria NULLS FIRST, d.clave_canonica NULLS FIRST,
-    d.precio_usd NULLS FIRST) AS BIGINT) AS id_hecho,
+SELECT CAST('0x' || substr(md5(concat_ws('|', coalesce(d.tienda, '~'), coalesce(d.categoria, '~'), coalesce(d.clave_canonica, '~'),
+    coalesce(CAST(CAST(d.precio_usd AS DECIMAL(12,4)) AS VARCHAR), '~'))), 1, 15) AS BIGINT) AS id_hecho,
   p.id_producto, t.id_tienda, CAST(strftime(CAST(d.fecha_extraccion AS DATE), '%Y%m%d') AS INTEGER) AS id_tiempo,
   (SELECT id_fuente FROM fuente WHERE nombre_fuente = 'Scraping tiendas') AS id_fuente,
   CAST(d.precio_usd AS DECIMAL(12,4)) AS precio_original, d.moneda AS moneda_original,
   CAST(1.0 AS DECIMAL(10,6)) AS tasa_cambio_usd, CAST(d.precio_usd AS DECIMAL(12,4)) AS precio_usd,
   true AS stock_disponible, CAST(d.fecha_extraccion AS TIMESTAMP) AS fecha_extraccion, d.url_producto
-FROM deduped d JOIN producto p ON p.clave_canonica = d.clave_canonica JOIN tienda t ON t.nombre_tienda = d.tienda)"""
-_STAR = STAGED[:-1] + ",\n" + ",\n".join([_TIEMPO_ORDERS, _FUENTE, _TIENDA_STAGED, _PRODUCTO, _FACT]) + "\n"
+FROM deduped d LEFT JOIN producto p ON p.clave_canonica = d.clave_canonica LEFT JOIN tienda t ON t.nombre_tienda = d.tienda)"""
+_STAR = STAGED[:-1] + ",\n" + ",\n".join([_TIEMPO, _FUENTE, _TIENDA_STAGED, _PRODUCTO, _FACT]) + "\n"
 
 
 class _Star:
@@ -636,7 +638,7 @@ class _Star:
         from offerlake.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(t.spark)
         self.staged = chain.staged(chain.offer_view(t)).checkpoint(eager=True)
-        self.tiempo = wh.calendar(t.orders, "o_orderdate")
+        self.tiempo = wh.calendar(self.staged, "fecha_extraccion")
         self.fuente = wh.source_dim(t.spark)
         self.tienda = wh.store_dim(self.staged.select(F.col("tienda").alias("nombre_tienda"), "pais"))
         self.producto = wh.product_dim(self.staged)
@@ -650,11 +652,11 @@ def dim_tiempo(t: Tables) -> DataFrame:
 
 
 @register("dim_tienda", "WITH " + _tienda_cte(
-    "SELECT DISTINCT s_name AS nombre_tienda, n_name AS pais FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+    "SELECT s_name AS nombre_tienda, min(n_name) AS pais FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY s_name")
     + " SELECT * FROM tienda")
 def dim_tienda(t: Tables) -> DataFrame:
     from offerlake.operators.warehouse import store_dim
-    n = F.broadcast(t.nation.select("n_nationkey", "n_name"))  # 25 rows by definition of the table
+    n = t.nation.select("n_nationkey", "n_name")
     obs = t.supplier.join(n, t.supplier.s_nationkey == n.n_nationkey).select(
         F.col("s_name").alias("nombre_tienda"), F.col("n_name").alias("pais"))
     return store_dim(obs)
@@ -685,15 +687,15 @@ def fact_precios(t: Tables) -> DataFrame:
 SELECT p.categoria, ti.anio, count(*) AS ofertas, count(DISTINCT f.id_tienda) AS tiendas,
   CAST(min(f.precio_usd) AS DOUBLE) AS precio_min, CAST(max(f.precio_usd) AS DOUBLE) AS precio_max,
   CAST(CAST(sum(f.precio_usd) AS DECIMAL(22,4)) AS DOUBLE) AS precio_total
-FROM fact f JOIN producto p ON f.id_producto = p.id_producto JOIN tienda s ON f.id_tienda = s.id_tienda
-  JOIN tiempo ti ON f.id_tiempo = ti.id_tiempo JOIN fuente fu ON f.id_fuente = fu.id_fuente
+FROM fact f LEFT JOIN producto p ON f.id_producto = p.id_producto LEFT JOIN tienda s ON f.id_tienda = s.id_tienda
+  LEFT JOIN tiempo ti ON f.id_tiempo = ti.id_tiempo LEFT JOIN fuente fu ON f.id_fuente = fu.id_fuente
 GROUP BY p.categoria, ti.anio""")
 def star_rollup(t: Tables) -> DataFrame:
     s = _Star(t)
-    j = (s.fact.join(s.producto.select("id_producto", "categoria"), "id_producto")
-         .join(s.tienda.select("id_tienda"), "id_tienda")
-         .join(s.tiempo.select("id_tiempo", "anio"), "id_tiempo")
-         .join(F.broadcast(s.fuente.select("id_fuente")), "id_fuente"))
+    j = (s.fact.join(s.producto.select("id_producto", "categoria"), "id_producto", "left")
+         .join(s.tienda.select("id_tienda"), "id_tienda", "left")
+         .join(s.tiempo.select("id_tiempo", "anio"), "id_tiempo", "left")
+         .join(s.fuente.select("id_fuente"), "id_fuente", "left"))
     return _money_as_double(j.groupBy("categoria", "anio").agg(
         F.count(F.lit(1)).alias("ofertas"), F.countDistinct("id_tienda").alias("tiendas"),
         F.min("precio_usd").alias("precio_min"), F.max("precio_usd").alias("precio_max"),

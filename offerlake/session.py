@@ -40,8 +40,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is only read. Where it is unset (local tests) a scratch
-    folder is created and registered, so ``DataFrame.checkpoint()`` works in both places.
+    On a cluster the setting points at shared storage and is only read; if it is missing there, that is an error, as the
+    driver's own disk is no place for checkpoints. Only a local session gets a scratch folder.
     """
     try:
         sc = spark.sparkContext
@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not path:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="offerlake-ckpt-")
     sc.setCheckpointDir(path)
     return path
