@@ -27,7 +27,7 @@ from offerlake.llm.common import map_text, pack, unpack
 
 #: Labelled documents of each class to learn from, on average, and documents to learn from at most.
 PER_CLASS, LIMIT = 2500, 10_000
-STEPS, RATE, RIDGE = 150, 0.08, 1e-3
+STEPS, RATE, RIDGE = 150, 0.08, 5e-3
 
 OTHER, UPPER, LOWER, DIGIT, SPACE, MARK, SYMBOL = range(7)
 #: Everyday punctuation (fixed value).
