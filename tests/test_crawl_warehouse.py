@@ -116,3 +116,21 @@ def test_selector_probe(spark):
     assert ("c.example", None, 0, None, None, 0) in per_page
     s = {r.sitio: r for r in probe_summary(probe_pages(pages)).collect()}
     assert (s["a.example"].paginas, s["a.example"].con_contenedor, s["a.example"].items_con_nombre) == (2, 2, 4)
+
+
+def test_store_seen_with_two_countries_has_one_row(spark):
+    from offerlake.operators.warehouse import store_dim
+
+    seen = spark.createDataFrame([("Zeta Shop", "PE"), ("Zeta Shop", "BO"), (None, "PE")], "nombre_tienda string, pais string")
+    rows = [r for r in store_dim(seen).collect() if r.nombre_tienda not in [x[0] for x in rules.STORE_SEEDS]]
+    assert [(r.nombre_tienda, r.pais) for r in rows] == [("Zeta Shop", "BO")]
+
+
+def test_every_fact_reaches_the_rollup(spark):
+    from conftest import SF_SMOKE
+    from offerlake.plans.registry import QUERIES
+
+    assert all(r.huerfanos == 0 for r in QUERIES["fk_violations"](spark, SF_SMOKE).collect())
+    total = sum(r.ofertas for r in QUERIES["star_rollup"](spark, SF_SMOKE).collect())
+    facts = QUERIES["fact_precios"](spark, SF_SMOKE)
+    assert total == facts.count() == facts.select("id_hecho").distinct().count()

@@ -56,3 +56,13 @@ def test_plausibility_floor(spark):
     df = spark.createDataFrame([("IVA 15% $300,00",)], "raw string")
     r = df.select(parse_price(F.col("raw")).alias("a"), parse_price(F.col("raw"), floor=20.0).alias("b")).first()
     assert (r.a, r.b) == (15.0, 300.0)
+
+
+def test_rounding_equals_python_for_every_three_decimal_amount(spark):
+    from offerlake.functions.price import exact_round2, parse_price
+
+    df = spark.range(1000, 10000).selectExpr("id / 1000d as x", "concat('$', id div 1000, '.', lpad(id % 1000, 3, '0')) as raw")
+    for r in df.select("x", exact_round2(F.col("x")).alias("r"), "raw").collect():
+        assert r.r == round(r.x, 2), r.x
+    raw = spark.createDataFrame([("$1.055,00 o 2.675", )], "raw string")
+    assert raw.select(parse_price(F.col("raw")).alias("p")).first().p is not None
