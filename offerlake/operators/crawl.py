@@ -107,7 +107,7 @@ def fetch_errors(fetches: DataFrame) -> DataFrame:
         F.concat(F.lit("tienda_"), F.col("user_id").cast("string")).alias("fuente"),
         F.lit("HTTP").alias("tipo_error"),
         clean_log_text(desc, rules.ERROR_LOG_MAX_CHARS).alias("descripcion"),
-        F.lit("Busqueda omitida; se continua con la siguiente categoria").alias("accion_tomada"),
+        F.lit("Se omite esta consulta y se pasa a la que sigue").alias("accion_tomada"),
     )
 
 

@@ -61,9 +61,9 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
     waterfall = quality.relevance_waterfall(std)
     log = error_log_frame(waterfall.filter(F.col("bundles") > 0).select(
         F.lit("Staging:relevancia").alias("fuente"), F.lit("Fuera de alcance").alias("tipo_error"),
-        F.concat(F.col("bundles").cast("string"), F.lit(" listados de PC/equipo completo en categorias de componentes"))
+        F.concat(F.col("bundles").cast("string"), F.lit(" ofertas de equipos armados halladas entre los componentes"))
         .alias("descripcion"),
-        F.lit("Descartados: no son el componente individual a comparar").alias("accion_tomada")))
+        F.lit("Quedan fuera de la comparacion por producto").alias("accion_tomada")))
 
     if survey_path:
         survey = read_survey(spark, survey_path)
@@ -71,9 +71,9 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
         nulls = survey_nulls(survey).filter((F.col("presupuesto_imputado") > 0) | (F.col("ciudad_imputada") > 0))
         log = log.unionByName(error_log_frame(nulls.select(
             F.lit("Staging:encuesta").alias("fuente"), F.lit("Nulo").alias("tipo_error"),
-            F.format_string("presupuesto nulos=%d, ciudad nulos=%d", "presupuesto_imputado", "ciudad_imputada")
+            F.format_string("sin presupuesto: %d, sin ciudad: %d", "presupuesto_imputado", "ciudad_imputada")
             .alias("descripcion"),
-            F.lit("presupuesto imputado por mediana del componente; ciudad -> 'No especificada'").alias("accion_tomada"))))
+            F.lit("Presupuesto: mediana de su categoria; ciudad: valor por omision").alias("accion_tomada"))))
     if specs_path:
         specs = read_specs(spark, specs_path)
         check = validate_schema(specs.drop("_row"), "cpu_specs")
@@ -84,8 +84,8 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
         else:
             log = log.unionByName(error_log_frame(check.select(
                 F.lit("Archivo:cpu_specs").alias("fuente"), F.lit("Esquema").alias("tipo_error"),
-                F.concat(F.lit("Columnas requeridas ausentes: "), F.array_join("faltantes", ", ")).alias("descripcion"),
-                F.lit("Dataset rechazado por no cumplir el esquema esperado").alias("accion_tomada"))))
+                F.concat(F.lit("Faltan en el archivo: "), F.array_join("faltantes", ", ")).alias("descripcion"),
+                F.lit("El archivo no se carga").alias("accion_tomada"))))
     append_error_log(log, out["errores_pipeline"])
     return out
 

@@ -499,7 +499,7 @@ def page_cap(t: Tables) -> DataFrame:
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, 'tienda_' || CAST(user_id AS VARCHAR) AS fuente, 'HTTP' AS tipo_error,
   substring(trim(replace('Codigo 500 en busqueda ' || CAST(event_id AS VARCHAR) || chr(10) || ' props=' || props || chr(10),
     chr(10), ' ')), 1, 300) AS descripcion,
-  'Busqueda omitida; se continua con la siguiente categoria' AS accion_tomada
+  'Se omite esta consulta y se pasa a la que sigue' AS accion_tomada
 FROM events WHERE event_type = 'error'""")
 def fetch_errors(t: Tables) -> DataFrame:
     from offerlake.operators.crawl import fetch_errors as fe, fetch_status

@@ -64,12 +64,13 @@ def test_fx_files_and_fallback(spark, tmp_dir):
 
 def test_questionnaire(spark, tmp_dir):
     p = os.path.join(tmp_dir, "instrumento.json")
-    doc = {"titulo": rules.SURVEY_TITLE, "anonimo": True,
-           "preguntas": [{"campo": c, "pregunta": q, "tipo": t} for c, q, t in rules.SURVEY_QUESTIONS]}
+    asked = [("ciudad", "Where?", "opcion"), ("presupuesto_usd", "How much?", "numerico"), ("importancia_precio", "How dear?", "escala")]
+    doc = {"titulo": "A test questionnaire", "anonimo": True,
+           "preguntas": [{"campo": c, "pregunta": q, "tipo": t} for c, q, t in asked]}
     with open(p, "w", encoding="utf-8") as f:
         json.dump(doc, f, ensure_ascii=False, indent=2)
     q = read_questionnaire(spark, p).orderBy("orden").collect()
-    assert len(q) == 10 and q[0].campo == "ciudad" and q[-1].tipo == "escala"
+    assert len(q) == 3 and q[0].campo == "ciudad" and q[-1].tipo == "escala"
 
 
 def test_pipeline_end_to_end(spark, tmp_dir):
