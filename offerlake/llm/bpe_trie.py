@@ -28,8 +28,9 @@ from offerlake.llm.common import held, map_text
 
 #: The published split pattern of byte-level BPE (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words whose ids a worker keeps between blocks, and border checks it remembers; beyond, it starts over (speed only).
-KEPT_WORDS = 200_000
+#: Words of the young generation whose ids a worker keeps between blocks (a full one becomes the old one), and border checks
+#: it remembers (beyond, it starts over). Speed only.
+KEPT_WORDS = 400_000
 KEPT_BORDERS = 400_000
 NEVER = 1 << 60
 
@@ -68,6 +69,7 @@ class TrieBPE:
         self.size = {i: len(s) for s, i in self.token.items()}
         self.borders: dict[tuple[int, int], bool] = {}
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.marks = regex.compile(f"({marks})") if marks else None
         self.split = regex.compile(SPLIT)
@@ -130,9 +132,9 @@ class TrieBPE:
         """Ids of every text; the distinct words that are not known yet share one trie."""
         parts: list[list[tuple[str, list[str]]]] = []
         fresh: set[str] = set()
-        known = self.words
-        if len(known) > KEPT_WORDS:
-            known.clear()
+        if len(self.words) > KEPT_WORDS:
+            self.old, self.words = self.words, {}
+        known, old = self.words, self.old
         for text in texts:
             mine = []
             for k, seg in enumerate(self.marks.split(text) if self.marks and "<|" in text else [text]):
@@ -140,10 +142,12 @@ class TrieBPE:
                     mine.append((seg, []))
                 elif seg:
                     words = self.split.findall(seg)
-                    fresh.update(w for w in words if w not in known)
+                    fresh.update(words)
                     mine.append(("", words))
             parts.append(mine)
-        known.update(self.encode_words(list(fresh)))
+        fresh.difference_update(known)
+        known.update((w, old[w]) for w in fresh if w in old)
+        known.update(self.encode_words([w for w in fresh if w not in old]))
         return [b"".join(np.array([self.special[m]], "<u4").tobytes() if m else b"".join([known[w] for w in words]) for m, words in mine) for mine in parts]
 
     def decode(self, ids: bytes) -> str:
