@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -65,9 +66,17 @@ class TrieBPE:
                 self.born.setdefault(c, (r, a, b))
         # only tokens that their own text encodes to can be a last token
         self.token = {s: i for s, i in id_of.items() if len(s) == 1 or i in self.born and self.apart(*self.born[i][1:], self.born[i][0])}
-        self.longest = max(map(len, self.token))
-        self.size = {i: len(s) for s, i in self.token.items()}
-        self.borders: dict[tuple[int, int], bool] = {}
+        # the trie of the reversed tokens: (node << 8 | byte) -> node, and the token that ends at a node
+        self.back: dict[int, int] = {}
+        self.ends = [-1]
+        for s, i in self.token.items():
+            node = 0
+            for byte in reversed(s):
+                node = self.back.setdefault(node << 8 | byte, len(self.ends))
+                if node == len(self.ends):
+                    self.ends.append(-1)
+            self.ends[node] = i
+        self.borders: dict[int, bool] = {}  # (left token << 32 | right token) -> do they stay apart
         self.words: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
@@ -94,61 +103,70 @@ class TrieBPE:
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids (little-endian 32 bit) of distinct words, by one depth-first walk over their trie."""
         out: dict[str, bytes] = {}
-        token, size, borders, apart, longest = self.token, self.size, self.borders, self.apart, self.longest
+        back, ends, borders, apart = self.back, self.ends, self.borders, self.apart
         last: list[int] = [-1]  # last[i]: last token of the current word's prefix of i bytes
+        since: list[int] = [0]  # since[i]: where that token begins
         before = b""
-        for word in sorted({w.encode("utf-8", "surrogatepass"): w for w in words}.items()):
-            raw, text = word
+        for raw, text in sorted([(w.encode("utf-8", "surrogatepass"), w) for w in words]):
             top = min(len(before), len(raw))
             depth = 0
             while depth < top and before[depth] == raw[depth]:
                 depth += 1
-            del last[depth + 1:]
-            for i in range(depth + 1, len(raw) + 1):
-                for j in range(max(0, i - longest), i):
-                    t = token.get(raw[j:i])
-                    if t is None:
-                        continue
-                    p = last[j]
-                    if p < 0:
-                        break
-                    ok = borders.get((p, t))
-                    if ok is None:
-                        if len(borders) >= KEPT_BORDERS:
-                            borders.clear()
-                        ok = borders[p, t] = apart(p, t)
-                    if ok:
-                        break
+            del last[depth + 1:], since[depth + 1:]
+            for i in range(depth, len(raw)):
+                node, j = 0, i
+                while True:  # the vocabulary's suffixes of raw[:i + 1], shortest first; exactly one is compatible
+                    node = back[node << 8 | raw[j]]
+                    t = ends[node]
+                    if t >= 0:
+                        p = last[j]
+                        if p < 0:
+                            break
+                        border = p << 32 | t
+                        ok = borders.get(border)
+                        if ok is None:
+                            if len(borders) >= KEPT_BORDERS:
+                                borders.clear()
+                            ok = borders[border] = apart(p, t)
+                        if ok:
+                            break
+                    j -= 1
                 last.append(t)
+                since.append(j)
             ids, i = [], len(raw)
             while i:
                 ids.append(last[i])
-                i -= size[last[i]]
-            out[text] = np.array(ids[::-1], "<u4").tobytes()
+                i = since[i]
+            ids.reverse()
+            out[text] = struct.pack(f"<{len(ids)}I", *ids)
             before = raw
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text; the distinct words that are not known yet share one trie."""
-        parts: list[list[tuple[str, list[str]]]] = []
-        fresh: set[str] = set()
         if len(self.words) > KEPT_WORDS:
             self.old, self.words = self.words, {}
         known, old = self.words, self.old
+        parts: list[list] = []  # per text its runs: ids, or the words and what is known of them
+        fresh: set[str] = set()
         for text in texts:
-            mine = []
+            mine: list = []
             for k, seg in enumerate(self.marks.split(text) if self.marks and "<|" in text else [text]):
                 if k % 2:
-                    mine.append((seg, []))
+                    mine.append(struct.pack("<I", self.special[seg]))
                 elif seg:
                     words = self.split.findall(seg)
-                    fresh.update(words)
-                    mine.append(("", words))
+                    ids = list(map(known.get, words))
+                    try:
+                        mine.append(b"".join(ids))
+                    except TypeError:  # a word without ids yet
+                        fresh.update([w for w, i in zip(words, ids) if i is None])
+                        mine.append((words, ids))
             parts.append(mine)
-        fresh.difference_update(known)
-        known.update((w, old[w]) for w in fresh if w in old)
+        known.update([(w, old[w]) for w in fresh if w in old])
         known.update(self.encode_words([w for w in fresh if w not in old]))
-        return [b"".join(np.array([self.special[m]], "<u4").tobytes() if m else b"".join([known[w] for w in words]) for m, words in mine) for mine in parts]
+        return [b"".join([run if isinstance(run, bytes) else b"".join([known[w] if i is None else i for w, i in zip(*run)])
+                          for run in mine]) for mine in parts]
 
     def decode(self, ids: bytes) -> str:
         pieces = self.pieces
