@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerlake import rules
@@ -65,31 +65,28 @@ def whitelist_filter(df: DataFrame, title: str = "producto", category: str = "ca
     return df.filter(whitelist_match(F.col(title), F.col(category)))
 
 
-def first_k(df: DataFrame, group: str, order: str, k: int) -> DataFrame:
-    """``(group, order, rank)`` for the first ``k`` values of ``order`` per group, ``k`` a small constant.
+def page_cap(pages: DataFrame, search: Sequence[str], page: str, items: str, max_pages: int) -> DataFrame:
+    """Every page with ``rank`` (1 to ``max_pages``, else null), ``visitada`` and ``motivo``.
 
-    Each round is a min aggregate (partial on the map side) and an anti join on the distinct ``(group, order)``
-    pairs, so a group holding a third of all rows is never sorted in one task, unlike a window rank.
+    Pages of a search are visited in page order, ``max_pages`` at most, up to the first empty page after page 1: that one is
+    visited, no later page is. Unvisited pages carry the reason, ``pagina vacia`` or ``tope de paginas``. A page number is
+    taken to be unique in its search. The first pages come from a rank filter, which cuts a search to ``max_pages`` rows in
+    every task before the shuffle; their array (bounded by ``max_pages``) is joined back to the pages.
     """
-    remaining = df.select(group, order)
-    ranked = None
-    for r in range(1, k + 1):
-        m = remaining.groupBy(group).agg(F.min(order).alias(order)).withColumn("rank", F.lit(r))
-        ranked = m if ranked is None else ranked.unionByName(m)
-        if r < k:
-            remaining = remaining.join(m.select(group, order), [group, order], "left_anti")
-    return ranked
-
-
-def page_cap(pages: DataFrame, search: str, page: str, items: str, max_pages: int = rules.MAX_PAGES) -> DataFrame:
-    """Pages visited per search: the first ``max_pages`` in page order, stopping at the first empty page after
-    page 1 (that page is visited, it yields nothing, and no later page is visited)."""
-    ranked = first_k(pages, search, page, max_pages)
-    visited = pages.join(ranked, [search, page])
-    stop = (visited.filter((F.col(items) == 0) & (F.col("rank") > 1))
-            .groupBy(search).agg(F.min("rank").alias("_stop")))
-    return (visited.join(stop, search, "left")
-            .filter(F.col("_stop").isNull() | (F.col("rank") <= F.col("_stop"))).drop("_stop"))
+    order = Window.partitionBy(*search).orderBy(page)
+    first = pages.select(*search, page, items).where(F.col(page).isNotNull()).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= max_pages)
+    plan = first.groupBy(*search).agg(
+        F.min(F.when((F.col(items) == 0) & (F.col("_r") > 1), F.col("_r"))).alias("_stop"),
+        F.array_sort(F.collect_list(page)).alias("_pages"))
+    key = {c: f"_k{i}" for i, c in enumerate(search)}
+    plan = plan.withColumnsRenamed(key)
+    on = [F.col(c).eqNullSafe(F.col(k)) for c, k in key.items()]
+    pos = F.array_position("_pages", F.col(page)).cast("int")
+    found = pages.join(plan, on, "left").drop(*key.values()).withColumn("rank", F.when(pos > 0, pos))
+    beyond = F.coalesce(F.element_at("_pages", F.col("_stop")) < F.col(page), F.lit(False))
+    reason = F.when(beyond, F.lit("pagina vacia")).when(F.col("rank").isNull(), F.lit("tope de paginas"))
+    return (found.withColumn("motivo", reason).withColumn("visitada", F.col("motivo").isNull())
+            .withColumn("rank", F.when(F.col("visitada"), F.col("rank"))).drop("_stop", "_pages"))
 
 
 def fetch_status(events: DataFrame) -> DataFrame:
@@ -111,10 +108,15 @@ def fetch_errors(fetches: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(fetches: DataFrame, store: str, run: Column, found: Column) -> DataFrame:
-    """Per store and run: ``OK`` when items were found, ``ERROR: n fallos`` when only failures, else ``SIN DATOS``."""
+def run_summary(stores: DataFrame, fetches: DataFrame, store: str, run: Column, found: Column) -> DataFrame:
+    """Per store of the list and run: ``OK`` when items were found, ``ERROR: n fallos`` when only failures, else ``SIN DATOS``.
+
+    ``stores`` has column ``tienda``. A store without any fetch has one row without a run; fetches of a store that is not on
+    the list are kept."""
     g = fetches.groupBy(F.col(store).alias("tienda"), run.alias("corrida")).agg(
         F.count_if(found).alias("items"), F.count_if(F.col("status") >= 400).alias("fallos"))
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("items", "fallos")}
+    g = stores.select("tienda").distinct().join(g, "tienda", "full").withColumns(zero)
     estado = (F.when(F.col("items") > 0, F.lit("OK"))
               .when(F.col("fallos") > 0, F.concat(F.lit("ERROR: "), F.col("fallos").cast("string"), F.lit(" fallos")))
               .otherwise(F.lit("SIN DATOS")))

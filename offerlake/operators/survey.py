@@ -1,16 +1,16 @@
-"""Survey staging (W1, V11, V12, A10, A11) and the seeded survey generator.
+"""Survey staging.
 
-Median imputation is a grouped aggregate joined back, not a window: ``median`` aggregates partially on the map side
-(its buffer is a value->count map, so memory follows the distinct budget values, not the rows), and the join with the
-per-category result is sized by AQE at run time (broadcast when small, skew-split sort-merge otherwise).
+Median imputation is a grouped exact median joined back, not a window: see ``operators.median``. The join with the per-category
+result is sized by AQE at run time (broadcast when small, skew-split sort-merge otherwise).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerlake import rules
+from offerlake.operators.median import exact_median
 
 
 def impute_budget(df: DataFrame, value: str = "presupuesto_usd", group: str = "categoria_interes") -> DataFrame:
@@ -19,7 +19,7 @@ def impute_budget(df: DataFrame, value: str = "presupuesto_usd", group: str = "c
     A row whose group key is null keeps its value (nothing to impute from); an all-null group stays null.
     """
     coerced = df.withColumn(value, F.col(value).cast("string").try_cast("double"))
-    medians = coerced.groupBy(group).agg(F.median(value).alias("_median"))
+    medians = exact_median(coerced, group, value, "_median").drop("filas")
     joined = coerced.join(medians, on=group, how="left")
     return joined.withColumn(value, F.coalesce(F.col(value), F.col("_median"))).drop("_median").select(*df.columns)
 
@@ -43,45 +43,3 @@ def survey_nulls(df: DataFrame, value: str = "presupuesto_usd", city: str = "ciu
 
 def survey_ids(df: DataFrame, col: str = "id_anonimo") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("registros"), F.countDistinct(col).alias("ids_unicos"))
-
-
-def _pick(options: list[str], u: Column) -> Column:
-    """Element of a literal list chosen by ``u`` in [0, len)."""
-    return F.element_at(F.array(*[F.lit(x) for x in options]), (u % len(options) + 1).cast("int"))
-
-
-def lcg(seed: Column, salt: int) -> Column:
-    """Deterministic pseudo-random integer in [0, 2^31) from an integer column (SQL-reproducible arithmetic)."""
-    return F.pmod(seed * F.lit(1103515245) + F.lit(12345 + 7919 * salt), F.lit(2147483648))
-
-
-def generate_survey(respondents: DataFrame, id_col: str, base_date: str) -> DataFrame:
-    """Seeded synthetic answers, one per respondent row (same distribution as the reference generator, not the same
-    random stream): uniform choices, category-dependent budget range and brand list, answer time within 14 days of
-    ``base_date``, ~6 % null budgets, ~3 % null cities, sequential anonymous ids ``ENC-%04d``."""
-    k = F.col(id_col).cast("bigint")
-    u = [lcg(k, i) for i in range(12)]
-    cats = rules.SURVEY_CATEGORIES
-    cat = _pick(cats, u[0])
-    lo = F.element_at(F.create_map(*[x for c in cats for x in (F.lit(c), F.lit(float(rules.SURVEY_BUDGET_RANGES[c][0])))]), cat)
-    hi = F.element_at(F.create_map(*[x for c in cats for x in (F.lit(c), F.lit(float(rules.SURVEY_BUDGET_RANGES[c][1])))]), cat)
-    frac = (u[1] % 10000) / F.lit(10000.0)
-    budget = F.rint((lo + (hi - lo) * frac) * 100) / 100
-    brands = F.element_at(F.create_map(*[x for c in cats for x in (F.lit(c), F.array(*[F.lit(b) for b in rules.SURVEY_BRANDS[c]]))]), cat)
-    brand = F.element_at(brands, (u[2] % F.size(brands) + 1).cast("int"))
-    answered = F.timestamp_add("HOUR", (u[3] % 24).cast("int"),
-                               F.date_add(F.to_date(F.lit(base_date)), (u[4] % 15).cast("int")).cast("timestamp"))
-    return respondents.select(
-        F.format_string("ENC-%04d", k).alias("id_anonimo"),
-        F.date_format(answered, "yyyy-MM-dd HH:mm").alias("fecha_respuesta"),
-        F.when(u[5] % 100 < 3, F.lit(None).cast("string")).otherwise(_pick(rules.SURVEY_CITIES, u[6])).alias("ciudad"),
-        _pick(rules.SURVEY_AGES, u[7]).alias("rango_edad"),
-        _pick(rules.SURVEY_OCCUPATIONS, u[8]).alias("ocupacion"),
-        cat.alias("categoria_interes"),
-        F.when(u[9] % 100 < 6, F.lit(None).cast("double")).otherwise(budget).alias("presupuesto_usd"),
-        brand.alias("marca_preferida"),
-        _pick(rules.SURVEY_CHANNELS, u[10]).alias("canal_preferido"),
-        _pick(rules.SURVEY_STORES, u[11]).alias("tienda_habitual"),
-        _pick(rules.SURVEY_FREQUENCIES, lcg(k, 12)).alias("frecuencia_compra_anual"),
-        (lcg(k, 13) % 5 + 1).cast("int").alias("importancia_precio"),
-    )

@@ -90,21 +90,12 @@ def _re_escape(s: str) -> str:
     return "".join("\\" + ch if not ch.isalnum() else ch for ch in s)
 
 
-def brand_list() -> list[str]:
-    seen: list[str] = []
-    for bs in rules.SURVEY_BRANDS.values():
-        for b in bs:
-            if b not in seen:
-                seen.append(b)
-    return seen
-
-
 def product_dim(staged: DataFrame) -> DataFrame:
     """One row per canonical key: the cheapest offer's title and category, brand from the brand rules."""
     g = staged.groupBy("clave_canonica").agg(F.min(F.struct("precio_usd", "tienda", "producto", "categoria")).alias("m"))
     dim = g.select(
         "clave_canonica",
-        brand_of(F.col("m.producto"), brand_list()).alias("marca"),
+        brand_of(F.col("m.producto"), rules.BRANDS).alias("marca"),
         F.upper(F.col("m.categoria")).alias("categoria"),
         F.lit(None).cast("string").alias("subcategoria"),
         F.col("m.producto").alias("modelo_raw"),
@@ -182,6 +173,25 @@ def unique_violations(df: DataFrame, table: str, key: str) -> DataFrame:
     return nulls.select(F.lit(table).alias("tabla"), F.lit(key).alias("columna"), "nulos", dups.alias("duplicados"))
 
 
+#: Columns declared NOT NULL, per table (their generated keys included).
+NOT_NULL = {
+    "dim_tiempo": ["id_tiempo", "fecha", "semana_iso", "mes", "trimestre", "anio", "nombre_dia"],
+    "dim_fuente": ["id_fuente", "nombre_fuente", "tipo_extraccion", "tecnologia", "frecuencia_actualizacion"],
+    "dim_tienda": ["id_tienda", "nombre_tienda", "pais", "moneda_nativa", "tipo_tienda"],
+    "dim_producto": ["id_producto", "clave_canonica", "marca", "categoria"],
+    "fact_precios": ["id_hecho", "id_producto", "id_tienda", "id_tiempo", "id_fuente", "precio_original", "moneda_original",
+                     "tasa_cambio_usd", "precio_usd", "stock_disponible", "fecha_extraccion"],
+}
+
+
+def null_violations(df: DataFrame, table: str) -> DataFrame:
+    """Rows ``(tabla, columna, nulos)``: nulls of every NOT NULL column of ``table``, in one aggregate."""
+    cols = NOT_NULL[table]
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    return counts.select(F.lit(table).alias("tabla"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("columna"), F.col(c).alias("nulos")) for c in cols])))
+
+
 def fk_violations(fact: DataFrame, fk: str, dim: DataFrame, pk: str, name: str) -> DataFrame:
     """Fact rows whose foreign key has no dimension row (anti join), as a count."""
     orphans = fact.select(fk).join(dim.select(F.col(pk).alias(fk)), fk, "left_anti")

@@ -7,6 +7,7 @@ run on the same parquet tables registered as views; column names and types match
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,11 @@ from offerlake import rules
 from offerlake.operators import compare as cmp_ops
 from offerlake.operators import quality
 from offerlake.operators.normalize import invalid_categories
+from offerlake.operators.warehouse import NOT_NULL
 from offerlake.operators.staging import convert_currencies, invalid_date_flag
 from offerlake.plans import offers as chain
 from offerlake.plans import oracle as o
+from offerlake.sources.derived import SEGMENT_COMPONENT
 from offerlake.sources.tables import Tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -276,43 +279,9 @@ def survey_ids(t: Tables) -> DataFrame:
     return si(survey_from_customers(t.customer, t.nation))
 
 
-def _lcg(salt: int) -> str:
-    return f"((c_custkey * 1103515245 + {12345 + 7919 * salt}) % 2147483648)"
-
-
-def _pick_sql(options: list[str], u: str) -> str:
-    return f"[{', '.join(o.q(x) for x in options)}][({u} % {len(options)}) + 1]"
-
-
-def _synth_cte() -> str:
-    cats = rules.SURVEY_CATEGORIES
-    cat = _pick_sql(cats, _lcg(0))
-    lo = "CASE cat " + " ".join(f"WHEN {o.q(c)} THEN {float(rules.SURVEY_BUDGET_RANGES[c][0])!r}" for c in cats) + " END"
-    hi = "CASE cat " + " ".join(f"WHEN {o.q(c)} THEN {float(rules.SURVEY_BUDGET_RANGES[c][1])!r}" for c in cats) + " END"
-    brands = "CASE cat " + " ".join(
-        f"WHEN {o.q(c)} THEN [{', '.join(o.q(b) for b in rules.SURVEY_BRANDS[c])}]" for c in cats) + " END"
-    return f"""synth_base AS (SELECT c_custkey, {cat} AS cat FROM customer), synth AS (
-SELECT printf('ENC-%04d', c_custkey) AS id_anonimo,
-  strftime(CAST(DATE '2026-06-16' + INTERVAL ({_lcg(4)} % 15) DAY AS TIMESTAMP) + INTERVAL ({_lcg(3)} % 24) HOUR,
-    '%Y-%m-%d %H:%M') AS fecha_respuesta,
-  CASE WHEN {_lcg(5)} % 100 < 3 THEN NULL ELSE {_pick_sql(rules.SURVEY_CITIES, _lcg(6))} END AS ciudad,
-  {_pick_sql(rules.SURVEY_AGES, _lcg(7))} AS rango_edad,
-  {_pick_sql(rules.SURVEY_OCCUPATIONS, _lcg(8))} AS ocupacion,
-  cat AS categoria_interes,
-  CASE WHEN {_lcg(9)} % 100 < 6 THEN NULL
-    ELSE round_even({lo} + ({hi} - {lo}) * (({_lcg(1)} % 10000) / 10000.0), 2) END AS presupuesto_usd,
-  ({brands.replace('cat', 'cat')})[({_lcg(2)} % len({brands})) + 1] AS marca_preferida,
-  {_pick_sql(rules.SURVEY_CHANNELS, _lcg(10))} AS canal_preferido,
-  {_pick_sql(rules.SURVEY_STORES, _lcg(11))} AS tienda_habitual,
-  {_pick_sql(rules.SURVEY_FREQUENCIES, _lcg(12))} AS frecuencia_compra_anual,
-  CAST({_lcg(13)} % 5 + 1 AS INTEGER) AS importancia_precio
-FROM synth_base)"""
-
-
-@register("synthetic_survey", "WITH " + _synth_cte() + " SELECT * FROM synth")
-def synthetic_survey(t: Tables) -> DataFrame:
-    from offerlake.operators.survey import generate_survey
-    return generate_survey(t.customer.select("c_custkey"), "c_custkey", "2026-06-16")
+_COMPONENTS = _SURVEY + f""", demanda AS (
+SELECT * REPLACE (CASE categoria_interes {' '.join(f"WHEN {o.q(k)} THEN {o.q(v)}" for k, v in SEGMENT_COMPONENT.items())}
+  ELSE categoria_interes END AS categoria_interes) FROM survey)"""
 
 
 # ---------------------------------------------------------------- spec file -----------------------------------------
@@ -474,25 +443,24 @@ def page_items_whitelisted(t: Tables) -> DataFrame:
     return wf(items, title="nombre").select("page_id", "pos", "nombre", "categoria")
 
 
-_PAGES_RANKED = f"""pg AS (
-SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS sitio, page_id,
-  CAST(CASE WHEN page_id % 4 = 0 THEN 0 ELSE len(regexp_extract_all(html, {_ITEM_RE}, 2)) END AS INTEGER) AS items
-FROM pages), rk AS (
-SELECT *, CAST(row_number() OVER (PARTITION BY sitio ORDER BY page_id) AS INTEGER) AS rank FROM pg), vis AS (
-SELECT * FROM rk WHERE rank <= {rules.MAX_PAGES}), stp AS (
-SELECT sitio, min(rank) AS s FROM vis WHERE items = 0 AND rank > 1 GROUP BY sitio)"""
+#: Pages that a search visits at most.
+SEARCH_PAGES = 3
 
 
-@register("page_cap", "WITH " + _PAGES_RANKED + """
-SELECT v.sitio, v.page_id, v.items, v.rank FROM vis v LEFT JOIN stp ON v.sitio = stp.sitio
-WHERE stp.s IS NULL OR v.rank <= stp.s""")
+@register("page_cap", f"""WITH pg AS (
+SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS sitio, regexp_extract(url, '^https?://[^/?#]+/([^/?#]*)', 1) AS seccion, page_id,
+  CAST(len(regexp_extract_all(html, {_ITEM_RE}, 2)) AS INTEGER) AS items FROM pages), rk AS (
+SELECT *, CAST(row_number() OVER (PARTITION BY sitio, seccion ORDER BY page_id) AS INTEGER) AS r FROM pg), st AS (
+SELECT *, min(CASE WHEN items = 0 AND r > 1 AND r <= {SEARCH_PAGES} THEN r END) OVER (PARTITION BY sitio, seccion) AS s FROM rk)
+SELECT sitio, seccion, page_id, items, CASE WHEN r <= least({SEARCH_PAGES}, coalesce(s, r)) THEN r END AS rank,
+  r <= least({SEARCH_PAGES}, coalesce(s, r)) AS visitada,
+  CASE WHEN r > s THEN 'pagina vacia' WHEN r > {SEARCH_PAGES} THEN 'tope de paginas' END AS motivo FROM st""")
 def page_cap(t: Tables) -> DataFrame:
     from offerlake.operators.crawl import ITEM_PATTERN, host_of, page_cap as pc
     pages = t.pages.select(
-        host_of(F.col("url")).alias("sitio"), "page_id",
-        F.when(F.col("page_id") % 4 == 0, F.lit(0))
-        .otherwise(F.size(F.regexp_extract_all(F.col("html"), F.lit(ITEM_PATTERN), 2))).alias("items"))
-    return pc(pages, "sitio", "page_id", "items").select("sitio", "page_id", "items", "rank")
+        host_of(F.col("url")).alias("sitio"), F.regexp_extract("url", r"^https?://[^/?#]+/([^/?#]*)", 1).alias("seccion"), "page_id",
+        F.size(F.regexp_extract_all(F.col("html"), F.lit(ITEM_PATTERN), 2)).alias("items"))
+    return pc(pages, ["sitio", "seccion"], "page_id", "items", SEARCH_PAGES)
 
 
 @register("fetch_errors", """
@@ -507,17 +475,21 @@ def fetch_errors(t: Tables) -> DataFrame:
 
 
 @register("crawl_summary", """
-SELECT 'tienda_' || CAST(user_id AS VARCHAR) AS tienda, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS corrida,
+WITH g AS (SELECT 'tienda_' || CAST(user_id AS VARCHAR) AS tienda, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS corrida,
   count(*) FILTER (WHERE event_type = 'purchase') AS items, count(*) FILTER (WHERE event_type = 'error') AS fallos,
   CASE WHEN count(*) FILTER (WHERE event_type = 'purchase') > 0 THEN 'OK'
        WHEN count(*) FILTER (WHERE event_type = 'error') > 0
          THEN 'ERROR: ' || CAST(count(*) FILTER (WHERE event_type = 'error') AS VARCHAR) || ' fallos'
        ELSE 'SIN DATOS' END AS estado
-FROM events GROUP BY ALL""")
+FROM events GROUP BY user_id, CAST(ts AS DATE)), s AS (SELECT DISTINCT 'tienda_' || CAST(c_custkey AS VARCHAR) AS tienda FROM customer)
+SELECT coalesce(s.tienda, g.tienda) AS tienda, corrida, coalesce(items, 0) AS items, coalesce(fallos, 0) AS fallos,
+  coalesce(estado, 'SIN DATOS') AS estado FROM s FULL JOIN g ON s.tienda = g.tienda""")
 def crawl_summary(t: Tables) -> DataFrame:
     from offerlake.operators.crawl import fetch_status, run_summary
     ev = fetch_status(t.events).withColumn("tienda", F.concat(F.lit("tienda_"), F.col("user_id").cast("string")))
-    return run_summary(ev, "tienda", F.date_format(F.to_date("ts"), "yyyy-MM-dd"), F.col("event_type") == "purchase")
+    # the store list: an account per customer
+    stores = t.customer.select(F.concat(F.lit("tienda_"), F.col("c_custkey").cast("string")).alias("tienda"))
+    return run_summary(stores, ev, "tienda", F.date_format(F.to_date("ts"), "yyyy-MM-dd"), F.col("event_type") == "purchase")
 
 
 @register("selector_coverage", f"""
@@ -554,20 +526,20 @@ def spec_enrich(t: Tables) -> DataFrame:
                                                               "socket")
 
 
-@register("demand_vs_price", STAGED[:-1] + ",\n" + _synth_cte() + """, smed AS (
-SELECT categoria_interes, median(presupuesto_usd) AS m FROM synth GROUP BY categoria_interes), simp AS (
+@register("demand_vs_price", STAGED[:-1] + ",\n" + _COMPONENTS + """, smed AS (
+SELECT categoria_interes, median(presupuesto_usd) AS m FROM demanda GROUP BY categoria_interes), simp AS (
 SELECT upper(s.categoria_interes) AS categoria, coalesce(presupuesto_usd, m) AS presupuesto_usd
-FROM synth s LEFT JOIN smed ON s.categoria_interes = smed.categoria_interes), dem AS (
+FROM demanda s LEFT JOIN smed ON s.categoria_interes = smed.categoria_interes), dem AS (
 SELECT categoria, count(*) AS respondentes, median(presupuesto_usd) AS presupuesto_mediano FROM simp GROUP BY categoria), pr AS (
 SELECT categoria, count(*) AS ofertas, median(precio_usd) AS precio_mediano FROM deduped GROUP BY categoria)
 SELECT categoria, respondentes, presupuesto_mediano, ofertas, precio_mediano FROM dem FULL OUTER JOIN pr USING (categoria)""")
 def demand_vs_price(t: Tables) -> DataFrame:
-    from offerlake.operators.survey import generate_survey, stage_survey
-    survey = stage_survey(generate_survey(t.customer.select("c_custkey"), "c_custkey", "2026-06-16"))
-    demand = survey.groupBy(F.upper("categoria_interes").alias("categoria")).agg(
-        F.count(F.lit(1)).alias("respondentes"), F.median("presupuesto_usd").alias("presupuesto_mediano"))
-    prices = chain.staged(chain.offer_view(t)).groupBy("categoria").agg(
-        F.count(F.lit(1)).alias("ofertas"), F.median("precio_usd").alias("precio_mediano"))
+    from offerlake.operators.median import exact_median
+    from offerlake.operators.survey import stage_survey
+    from offerlake.sources.derived import component_survey
+    survey = stage_survey(component_survey(t.customer, t.nation)).withColumn("categoria", F.upper("categoria_interes"))
+    demand = exact_median(survey, "categoria", "presupuesto_usd", "presupuesto_mediano", "respondentes")
+    prices = exact_median(chain.staged(chain.offer_view(t)), "categoria", "precio_usd", "precio_mediano", "ofertas")
     return demand.join(prices, "categoria", "full").select("categoria", "respondentes", "presupuesto_mediano", "ofertas",
                                                            "precio_mediano")
 
@@ -605,9 +577,9 @@ SELECT CAST(row_number() OVER (ORDER BY nombre_tienda) AS BIGINT) AS id_tienda,
 
 
 def _brand_sql(col: str) -> str:
-    from offerlake.operators.warehouse import _re_escape, brand_list
+    from offerlake.operators.warehouse import _re_escape
     whens = " ".join(f"WHEN regexp_matches(lower({col}), {o.q('(^|[^a-z0-9])' + _re_escape(b.lower()) + '([^a-z0-9]|$)')}) "
-                     f"THEN {o.q(b)}" for b in brand_list())
+                     f"THEN {o.q(b)}" for b in rules.BRANDS)
     return f"CASE {whens} ELSE {o.q(rules.UNKNOWN_BRAND)} END"
 
 
@@ -744,12 +716,25 @@ def unique_notnull(t: Tables) -> DataFrame:
     return out
 
 
+_CTE_OF = {table: cte for table, cte, _ in _UNIQUE}
+
+
 _FKS = [("fact_precios.id_producto -> dim_producto", "id_producto", "producto"),
         ("fact_precios.id_tienda -> dim_tienda", "id_tienda", "tienda"),
         ("fact_precios.id_tiempo -> dim_tiempo", "id_tiempo", "tiempo"),
         ("fact_precios.id_fuente -> dim_fuente", "id_fuente", "fuente")]
 
 
+@register("not_null", _STAR + "\nUNION ALL\n".join(
+    f"SELECT {o.q(table)} AS tabla, {o.q(c)} AS columna, count(*) FILTER (WHERE {c} IS NULL) AS nulos FROM {_CTE_OF[table]}"
+    for table, cols in NOT_NULL.items() for c in cols))
+def not_null(t: Tables) -> DataFrame:
+    from offerlake.operators.warehouse import null_violations
+    s = _Star(t)
+    frames = {"dim_tiempo": s.tiempo, "dim_fuente": s.fuente, "dim_tienda": s.tienda, "dim_producto": s.producto, "fact_precios": s.fact}
+    return reduce(DataFrame.unionByName, [null_violations(frames[table], table) for table in NOT_NULL])
+
+
 @register("fk_violations", _STAR + "\nUNION ALL\n".join(
     f"SELECT {o.q(n)} AS relacion, count(*) AS huerfanos FROM fact f WHERE NOT EXISTS "
     f"(SELECT 1 FROM {cte} d WHERE d.{k} = f.{k})" for n, k, cte in _FKS))
@@ -765,23 +750,22 @@ def fk_violations(t: Tables) -> DataFrame:
 
 
 # ---------------------------------------------------------------- unified schema over three sources ---------------
-@register("unified_schema", STAGED[:-1] + ",\n" + _synth_cte() + ",\n" + _SPECS_STAGED + """, smed AS (
-SELECT categoria_interes, median(presupuesto_usd) AS m FROM synth GROUP BY categoria_interes)
+@register("unified_schema", STAGED[:-1] + ",\n" + _COMPONENTS + ",\n" + _SPECS_STAGED + """, smed AS (
+SELECT categoria_interes, median(presupuesto_usd) AS m FROM demanda GROUP BY categoria_interes)
 SELECT 'scraping_tiendas' AS fuente, producto, precio_usd, categoria, tienda FROM deduped
 UNION ALL
-SELECT 'encuesta', CAST(NULL AS VARCHAR), coalesce(presupuesto_usd, m), s.categoria_interes, tienda_habitual
-FROM synth s LEFT JOIN smed ON s.categoria_interes = smed.categoria_interes
+SELECT 'encuesta', CAST(NULL AS VARCHAR), coalesce(presupuesto_usd, m), s.categoria_interes, CAST(NULL AS VARCHAR)
+FROM demanda s LEFT JOIN smed ON s.categoria_interes = smed.categoria_interes
 UNION ALL
 SELECT 'archivo_specs', modelo, CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM specs_stg""")
 def unified_schema(t: Tables) -> DataFrame:
     from offerlake.operators.normalize import unify_sources
     from offerlake.operators.specs import stage_specs
-    from offerlake.operators.survey import generate_survey, stage_survey
-    from offerlake.sources.derived import spec_file_from_parts
+    from offerlake.operators.survey import stage_survey
+    from offerlake.sources.derived import component_survey, spec_file_from_parts
     offers = chain.staged(chain.offer_view(t)).select("producto", "precio_usd", "categoria", "tienda")
-    survey = stage_survey(generate_survey(t.customer.select("c_custkey"), "c_custkey", "2026-06-16")).select(
-        F.col("presupuesto_usd").alias("precio_usd"), F.col("categoria_interes").alias("categoria"),
-        F.col("tienda_habitual").alias("tienda"))
+    survey = stage_survey(component_survey(t.customer, t.nation)).select(
+        F.col("presupuesto_usd").alias("precio_usd"), F.col("categoria_interes").alias("categoria"))
     specs = stage_specs(spec_file_from_parts(t.part), ["p_partkey"]).select(F.col("modelo").alias("producto"))
     u = unify_sources({"scraping_tiendas": offers, "encuesta": survey, "archivo_specs": specs})
     return u.select("fuente", "producto", "precio_usd", "categoria", "tienda")

@@ -16,7 +16,7 @@ from offerlake import rules
 
 def survey_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Raw survey rows: negative balance -> empty budget, every 97th budget non-numeric, every 33rd city missing."""
-    n = F.broadcast(nation.select("n_nationkey", "n_name"))  # 25 rows by definition of the table
+    n = nation.select("n_nationkey", "n_name")
     c = customer.join(n, customer.c_nationkey == n.n_nationkey)
     k = F.col("c_custkey")
     return c.select(
@@ -29,6 +29,17 @@ def survey_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+#: Market segment -> component category of the offers.
+SEGMENT_COMPONENT = {"MACHINERY": "CPU", "BUILDING": "GPU", "AUTOMOBILE": "RAM", "HOUSEHOLD": "SSD", "FURNITURE": "Monitor"}
+
+
+def component_survey(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """The survey with the component category that its segment stands for; other segments keep their name."""
+    seg = F.col("categoria_interes")
+    named = F.create_map(*[F.lit(x) for kv in SEGMENT_COMPONENT.items() for x in kv])
+    return survey_from_customers(customer, nation).withColumn("categoria_interes", F.coalesce(F.try_element_at(named, seg), seg))
+
+
 def spec_file_from_parts(part: DataFrame) -> DataFrame:
     """Spec-file-shaped rows keyed by ``p_partkey`` (file order)."""
     pk = F.col("p_partkey")

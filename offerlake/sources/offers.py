@@ -29,7 +29,7 @@ def offers_from_tables(lineitem: DataFrame, part: DataFrame, supplier: DataFrame
     """Offer-shaped rows, one per line item (columns ``k1, k2, tienda ... fecha_extraccion``).
 
     Plan shape: line items join parts and suppliers on their keys (Catalyst sizes each side; AQE turns a small side
-    into a broadcast at run time and splits skewed partitions); the 25-row nation table is broadcast.
+    into a broadcast at run time and splits skewed partitions).
     """
     li = lineitem.select(
         F.col("l_orderkey").alias("k1"),
@@ -41,7 +41,7 @@ def offers_from_tables(lineitem: DataFrame, part: DataFrame, supplier: DataFrame
     )
     p = part.select("p_partkey", "p_name", "p_brand", "p_type")
     s = supplier.select("s_suppkey", "s_name", "s_nationkey")
-    n = F.broadcast(nation.select("n_nationkey", "n_name"))
+    n = nation.select("n_nationkey", "n_name")
     j = (
         li.join(p, li.l_partkey == p.p_partkey)
         .join(s, li.l_suppkey == s.s_suppkey)

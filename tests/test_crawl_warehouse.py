@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from offerlake import rules
-from offerlake.operators.crawl import (crawl_seeds, extract_items, first_k, item_policy, page_cap,
+from offerlake.operators.crawl import (crawl_seeds, extract_items, item_policy, page_cap,
                                        store_filter, whitelist_filter)
 from offerlake.operators.warehouse import (calendar, check_rules, fk_violations, product_dim, store_dim,
                                            unique_violations, with_dense_id)
@@ -34,20 +34,16 @@ def test_whitelist(spark):
     assert sorted(r.producto for r in whitelist_filter(df).collect()) == ["Monitor 24", "Mouse gamer", "Procesador Ryzen"]
 
 
-def test_first_k_on_a_hot_group(spark):
-    rows = [("hot", i) for i in range(1000)] + [("cold", 5), ("cold", 3)]
-    df = spark.createDataFrame(rows, "g string, p int").repartition(8)
-    got = sorted((r.g, r.p, r.rank) for r in first_k(df, "g", "p", 3).collect())
-    assert got == [("cold", 3, 1), ("cold", 5, 2), ("hot", 0, 1), ("hot", 1, 2), ("hot", 2, 3)]
-
-
 def test_page_cap_stop_rule(spark):
     rows = [("a", 1, 0), ("a", 2, 4), ("a", 3, 4), ("a", 4, 4),   # empty first page does not stop; cap at 3
             ("b", 1, 5), ("b", 2, 0), ("b", 3, 5),                 # empty page 2 stops (visited, yields nothing)
             ("c", 7, 2)]
     df = spark.createDataFrame(rows, "s string, page int, items int")
-    got = sorted((r.s, r.page) for r in page_cap(df, "s", "page", "items").collect())
+    out = page_cap(df, ["s"], "page", "items", 3).collect()
+    got = sorted((r.s, r.page) for r in out if r.visitada)
     assert got == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2), ("c", 7)]
+    assert sorted((r.s, r.page, r.rank, r.motivo) for r in out if not r.visitada) == [
+        ("a", 4, None, "tope de paginas"), ("b", 3, None, "pagina vacia")]
 
 
 def test_dense_ids_match_rank(spark):

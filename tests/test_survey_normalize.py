@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
+from offerlake.operators.median import exact_median
 from offerlake.operators.normalize import invalid_categories, normalize_columns, standardize
-from offerlake.operators.survey import generate_survey, impute_budget, stage_survey, survey_ids, survey_nulls
+from offerlake.operators.survey import impute_budget, stage_survey, survey_nulls
 
 SURVEY = "id_anonimo string, ciudad string, categoria_interes string, presupuesto_usd string"
 
@@ -24,16 +25,19 @@ def test_median_imputation(spark):
     assert impute_budget(df).columns == df.columns
 
 
-def test_generator_shape(spark):
-    s = generate_survey(spark.range(1, 501).withColumnRenamed("id", "k"), "k", "2026-06-16")
-    ids = survey_ids(s).first()
-    assert ids.registros == ids.ids_unicos == 500
-    assert s.filter(~F.col("id_anonimo").rlike("^ENC-\\d{4,}$")).count() == 0
-    assert s.filter((F.col("importancia_precio") < 1) | (F.col("importancia_precio") > 5)).count() == 0
-    nulls = s.filter(F.col("presupuesto_usd").isNull()).count()
-    assert 5 <= nulls <= 70
-    bad = s.filter((F.col("categoria_interes") == "CPU") & ((F.col("presupuesto_usd") < 120) | (F.col("presupuesto_usd") > 700)))
-    assert bad.count() == 0
+def test_exact_median_of_skewed_groups(spark):
+    import random
+    import statistics
+    rng = random.Random(7)
+    groups = {"hot": [rng.choice([-3.5, 0.0, 1e-9, 2.0, 2.0000001, 7e8]) for _ in range(3000)], "even": [1.0, 2.0], "one": [-4.0],
+              "wide": [rng.uniform(-1e6, 1e6) for _ in range(400)], None: [5.0, 6.0, 9.0], "tied": [3.0] * 10}
+    rows = [(g, x) for g, xs in groups.items() for x in xs] + [("hot", None), ("empty", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    got = {r.g: (r.filas, r.mediana) for r in exact_median(df, "g", "x").collect()}
+    want = {g: (len(xs), statistics.median(xs)) for g, xs in groups.items()} | {"empty": (2, None)}
+    want["hot"] = (3001, want["hot"][1])
+    assert got == want
+    assert exact_median(df.limit(0), "g", "x").count() == 0
 
 
 def test_normalize_aliases(spark):
