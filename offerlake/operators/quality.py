@@ -7,6 +7,7 @@ half-to-even rounding of the reference report.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,3 +126,53 @@ def report_long(report: DataFrame, id_cols: Sequence[str] = ("fecha_ejecucion",)
     numeric = [c for c, t in report.dtypes if c not in id_cols and t in ("int", "bigint", "double", "float")]
     return report.select(*id_cols, *[F.col(c).cast("double").alias(c) for c in numeric]).unpivot(
         list(id_cols), numeric, "metrica", "valor")
+
+
+REPORT_SCHEMA = "seccion string, clave string, valor double, texto string"
+
+
+def _section(df: DataFrame, name: str, key: Column, value: Column | None = None, text: Column | None = None) -> DataFrame:
+    value = F.lit(None) if value is None else value
+    text = F.lit(None) if text is None else text
+    return df.select(F.lit(name).alias("seccion"), key.cast("string").alias("clave"), value.cast("double").alias("valor"),
+                     text.cast("string").alias("texto"))
+
+
+def _counters(df: DataFrame, name: str) -> DataFrame:
+    """A one-row result as rows ``(column name, value)``."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in df.columns])
+    return _section(df.select(F.inline(pairs)), name, F.col("k"), F.col("v"))
+
+
+def full_report(standardized: DataFrame, priced: DataFrame, keyed: DataFrame, staged: DataFrame, survey: DataFrame | None = None,
+                specs: DataFrame | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """The whole quality report in long form: duplicates and their criterion, nulls, casts, categories outside the master list,
+    the homologation map, final metrics, key coverage, distributions, survey and spec counts.
+
+    ``survey`` is the survey before imputation, ``specs`` the staged spec table. Every section is one aggregate (or, for the cast
+    examples, a top-k) of its input; a caller that has landed the staged table passes the landed one.
+    """
+    from offerlake.operators.normalize import homologation_map, invalid_categories
+    from offerlake.operators.survey import survey_nulls
+
+    spark = standardized.sparkSession
+    criterion = spark.createDataFrame([("criterio", ", ".join(rules.DEDUP_KEYS))], "k string, t string")
+    examples = cast_examples(priced, order or ["producto", "tienda", "precio_raw"])
+    parts = [
+        _counters(dedup_metrics(keyed), "duplicados"),
+        _section(criterion, "duplicados", F.col("k"), text=F.col("t")),
+        _section(null_profile(priced), "nulos_pct", F.col("campo"), F.col("pct_nulos")),
+        _counters(cast_failures(priced), "conversion"),
+        _section(examples, "conversion_ejemplo", F.col("precio_raw"), F.col("precio_usd"), F.col("ejemplo")),
+        _section(invalid_categories(standardized), "categoria_no_estandar", F.col("categoria")),
+        _section(homologation_map(spark), "homologacion", F.concat_ws(".", "campo", "fuente"), text=F.col("expresion")),
+        _counters(final_metrics(standardized, staged), "metricas"),
+        _counters(key_coverage(staged), "clave_canonica"),
+        _section(staged.filter(F.col("tienda").isNotNull()).groupBy("tienda").count(), "tienda", F.col("tienda"), F.col("count")),
+        _section(staged.filter(F.col("categoria").isNotNull()).groupBy("categoria").count(), "categoria", F.col("categoria"), F.col("count")),
+    ]
+    if survey is not None:
+        parts.append(_counters(survey_nulls(survey), "encuesta"))
+    if specs is not None:
+        parts.append(_counters(specs.agg(F.count(F.lit(1)).alias("registros")), "especificaciones"))
+    return reduce(DataFrame.unionByName, parts)

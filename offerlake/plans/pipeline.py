@@ -9,20 +9,20 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from offerlake import rules
 from offerlake.operators import quality
 from offerlake.operators.compare import best_prices, order_by_saving
 from offerlake.operators.dedup import keep_most_complete
-from offerlake.operators.normalize import invalid_category_list
+from offerlake.operators.normalize import invalid_category_list, normalize_columns
 from offerlake.operators.specs import stage_specs, validate_schema
-from offerlake.operators.staging import add_canonical_key, convert_currencies_table, drop_unpriced
+from offerlake.operators.staging import add_canonical_key, convert_currencies_table, drop_unpriced, invalid_date_flag
 from offerlake.operators.survey import stage_survey, survey_nulls
 from offerlake.plans.offers import priced, standardized
 from offerlake.sinks.writers import append_error_log, error_log_frame, write_staged, write_table, write_quality_report
-from offerlake.sources.files import rates_from_files, read_specs, read_survey
+from offerlake.sources.files import fx_faults, rates_from_files, read_specs, read_survey
 from offerlake.sources.offers import read_raw_offers
 
 
@@ -56,7 +56,6 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
         n_invalid.alias("categorias_no_estandar_n"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("fecha_ejecucion"))
     write_quality_report(report, out["reporte_calidad"])
-    write_table(quality.report_long(spark.read.json(out["reporte_calidad"])), out["reporte_calidad_largo"])
 
     waterfall = quality.relevance_waterfall(std)
     log = error_log_frame(waterfall.filter(F.col("bundles") > 0).select(
@@ -65,6 +64,14 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
         .alias("descripcion"),
         F.lit("Quedan fuera de la comparacion por producto").alias("accion_tomada")))
 
+    dates = normalize_columns(raw).agg(F.count_if(invalid_date_flag()).alias("n")).filter(F.col("n") > 0)
+    log = log.unionByName(error_log_frame(dates.select(
+        F.lit("Staging:fechas").alias("fuente"), F.lit("Formato").alias("tipo_error"),
+        F.concat(F.col("n").cast("string"), F.lit(" ofertas con fecha nula o en otro formato")).alias("descripcion"),
+        F.lit("Llevan la fecha del proceso").alias("accion_tomada"))))
+    log = log.unionByName(error_log_frame(fx_faults(spark, fx_path)))
+
+    survey = staged_specs = None
     if survey_path:
         survey = read_survey(spark, survey_path)
         write_table(stage_survey(survey), out["stg_encuesta"])
@@ -81,16 +88,13 @@ def run(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, out_dir:
         missing = [c for c in rules.SPEC_REQUIRED_COLUMNS if c not in specs.columns]
         if not missing:
             write_table(stage_specs(specs, ["_row"]), out["stg_cpu_specs"])
+            staged_specs = spark.read.parquet(out["stg_cpu_specs"])
         else:
             log = log.unionByName(error_log_frame(check.select(
                 F.lit("Archivo:cpu_specs").alias("fuente"), F.lit("Esquema").alias("tipo_error"),
                 F.concat(F.lit("Faltan en el archivo: "), F.array_join("faltantes", ", ")).alias("descripcion"),
                 F.lit("El archivo no se carga").alias("accion_tomada"))))
     append_error_log(log, out["errores_pipeline"])
+    keyed = add_canonical_key(drop_unpriced(pr))
+    write_table(quality.full_report(std, pr, keyed, staged, survey, staged_specs), out["reporte_calidad_largo"])
     return out
-
-
-def staged_offers_from_files(spark: SparkSession, offer_paths: Sequence[str], fx_path: str, run_date: str) -> DataFrame:
-    raw = read_raw_offers(spark, offer_paths).drop("_source_file")
-    keyed = add_canonical_key(drop_unpriced(priced(raw, run_date)))
-    return convert_currencies_table(keep_most_complete(keyed), rates_from_files(spark, fx_path))

@@ -769,3 +769,47 @@ def unified_schema(t: Tables) -> DataFrame:
     specs = stage_specs(spec_file_from_parts(t.part), ["p_partkey"]).select(F.col("modelo").alias("producto"))
     u = unify_sources({"scraping_tiendas": offers, "encuesta": survey, "archivo_specs": specs})
     return u.select("fuente", "producto", "precio_usd", "categoria", "tienda")
+
+
+# ---------------------------------------------------------------- the whole quality report -------------------------
+def _report_row(section: str, key: str, value: str = "NULL", text: str = "NULL", tail: str = "") -> str:
+    return (f"SELECT {o.q(section)} AS seccion, CAST({key} AS VARCHAR) AS clave, CAST({value} AS DOUBLE) AS valor, "
+            f"CAST({text} AS VARCHAR) AS texto {tail}")
+
+
+_REPORT = [
+    _report_row("duplicados", "'antes'", "count(*)", tail="FROM keyed"),
+    _report_row("duplicados", "'despues'", "count(*)", tail="FROM deduped"),
+    _report_row("duplicados", "'duplicados_eliminados'", "(SELECT count(*) FROM keyed) - (SELECT count(*) FROM deduped)"),
+    _report_row("duplicados", "'criterio'", text=o.q(", ".join(rules.DEDUP_KEYS))),
+    *[_report_row("nulos_pct", o.q(c), f"round_even(avg(CAST({c} IS NULL AS DOUBLE)) * 100, 2)", tail="FROM priced")
+      for c in ("tienda", "categoria", "producto", "precio_usd")],
+    _report_row("conversion", "'no_parseables'", "count(*) FILTER (WHERE precio_usd IS NULL)", tail="FROM priced"),
+    _report_row("conversion_ejemplo", "precio_raw", "precio_usd", "ejemplo", """FROM (
+SELECT precio_raw, precio_usd, '''' || trim(substring(precio_raw, 1, 30)) || ''' -> ' || CAST(precio_usd AS VARCHAR) AS ejemplo
+FROM priced WHERE precio_usd IS NOT NULL ORDER BY k1, k2, precio_raw, tienda, producto LIMIT 8)"""),
+    _report_row("categoria_no_estandar", "categoria", tail="FROM (SELECT DISTINCT categoria FROM std WHERE categoria IS NULL "
+                f"OR categoria NOT IN ({_enum(rules.VALID_CATEGORIES)}))"),
+    *[_report_row("homologacion", o.q(f"{f}.{src}"), text=o.q(e)) for f, src, e in rules.HOMOLOGATION_MAP],
+    *[_report_row("metricas", o.q(c), c, tail=f"FROM ({ORACLE['quality_metrics']})")
+      for c in ("total_registros_raw", "registros_descartados_relevancia", "registros_eliminados_nulos",
+                "registros_depurados_duplicados", "total_registros_staging", "tasa_completitud_general_pct", "tasa_error_pct")],
+    *[_report_row("clave_canonica", o.q(c), c, tail=f"FROM ({ORACLE['key_coverage']})")
+      for c in ("cobertura_clave_canonica_pct", "claves_distintas")],
+    _report_row("tienda", "tienda", "count(*)", tail="FROM deduped WHERE tienda IS NOT NULL GROUP BY tienda"),
+    _report_row("categoria", "categoria", "count(*)", tail="FROM deduped WHERE categoria IS NOT NULL GROUP BY categoria"),
+    *[_report_row("encuesta", o.q(c), c, tail=f"FROM ({ORACLE['survey_nulls']})")
+      for c in ("registros", "presupuesto_imputado", "ciudad_imputada")],
+    _report_row("especificaciones", "'registros'", "count(*)", tail="FROM specs_stg"),
+]
+
+
+@register("quality_report_long", STAGED_DUP[:-1] + ",\n" + _SPECS_STAGED + "\n" + "\nUNION ALL\n".join(f"({x})" for x in _REPORT))
+def quality_report_long(t: Tables) -> DataFrame:
+    from offerlake.operators.specs import stage_specs
+    from offerlake.sources.derived import spec_file_from_parts, survey_from_customers
+    view = chain.offer_view_with_copies(t)
+    return quality.full_report(
+        chain.standardized(view), chain.priced(view), chain.keyed(view), chain.staged(view),
+        survey_from_customers(t.customer, t.nation), stage_specs(spec_file_from_parts(t.part), ["p_partkey"]),
+        order=["k1", "k2", "precio_raw", "tienda", "producto"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,11 +40,27 @@ def read_fx_files(spark: SparkSession, path: str) -> DataFrame:
 
 def rates_from_files(spark: SparkSession, path: str) -> DataFrame:
     """``(moneda, tasa)`` from the newest FX file, or the fallback table when none could be read."""
+    latest = _newest_rates(spark, path)
+    return fallback_rates(spark) if latest is None else with_fallback(latest, fallback_rates(spark))
+
+
+def _newest_rates(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rates of the newest file, None where the folder is missing; any other fault (rights, schema) is raised."""
     try:
-        latest = latest_rates(read_fx_files(spark, path)).filter(F.col("tasa").isNotNull())
-    except Exception:  # noqa: BLE001 - a missing folder means "no file": use the fallback rates
-        return fallback_rates(spark)
-    return with_fallback(latest, fallback_rates(spark))
+        return latest_rates(read_fx_files(spark, path)).filter(F.col("tasa").isNotNull())
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def fx_faults(spark: SparkSession, path: str) -> DataFrame:
+    """Error-log fields of a missing or unreadable rate file: one row, or none if its rates are used."""
+    latest = _newest_rates(spark, path)
+    schema = "fuente string, tipo_error string, descripcion string, accion_tomada string"
+    kind, what = ("Fuente", "Falta la carpeta de tasas: ") if latest is None else ("Parseo", "Ningun archivo con tasas legibles: ")
+    row = spark.createDataFrame([("Staging:currency", kind, what + path, "Rigen las tasas fijas")], schema)
+    return row if latest is None else row.where(latest.agg(F.count(F.lit(1))).scalar() == 0)
 
 
 def read_survey(spark: SparkSession, path: str) -> DataFrame:

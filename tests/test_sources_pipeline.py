@@ -103,7 +103,28 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     assert enc["ENC-0002"] == ("No especificada", 200.0)
     assert spark.read.parquet(out["stg_cpu_specs"]).count() == 1
     log = spark.read.parquet(out["errores_pipeline"]).collect()
-    assert {r.fuente for r in log} == {"Staging:relevancia", "Staging:encuesta"}
+    assert {r.fuente for r in log} == {"Staging:relevancia", "Staging:encuesta", "Staging:fechas", "Staging:currency"}
+    assert next(r.descripcion for r in log if r.fuente == "Staging:fechas").startswith("1 ")
+    long = {(r.seccion, r.clave): r for r in spark.read.parquet(out["reporte_calidad_largo"]).collect()}
+    assert [long["duplicados", k].valor for k in ("antes", "despues", "duplicados_eliminados")] == [3, 2, 1]
+    assert long["duplicados", "criterio"].texto and long["conversion", "no_parseables"].valor == 1
+    assert long["tienda", "TiendaA"].valor == 1 and long["categoria", "CPU"].valor == 2
+    assert long["metricas", "total_registros_raw"].valor == 5 and long["encuesta", "presupuesto_imputado"].valor == 1
+    assert long["especificaciones", "registros"].valor == 1
+
+
+def test_rate_faults_are_logged_and_others_raised(spark, tmp_dir):
+    import json
+
+    from offerlake.sources.files import fx_faults
+    assert [r.tipo_error for r in fx_faults(spark, os.path.join(tmp_dir, "none")).collect()] == ["Fuente"]
+    bad, good = os.path.join(tmp_dir, "bad"), os.path.join(tmp_dir, "good")
+    for folder, text in ((bad, "{broken"), (good, json.dumps({"latest": {"rates": {"EUR": 0.9}}}))):
+        os.makedirs(folder)
+        with open(os.path.join(folder, "rates_2026-06-30.json"), "w") as f:
+            f.write(text)
+    assert [r.tipo_error for r in fx_faults(spark, bad).collect()] == ["Parseo"]
+    assert fx_faults(spark, good).count() == 0
 
 
 def test_landing_stream_is_incremental(spark, tmp_dir):
