@@ -9,7 +9,8 @@ from offerlake import rules
 from offerlake.functions.price import rint_round
 
 COMPARISON_COLUMNS = ["clave_canonica", "categoria", "tiendas_comparadas", "tienda_mas_barata", "precio_min_usd",
-                      "precio_max_usd", "ahorro_usd", "ahorro_pct", "producto_ejemplo"]
+                      "precio_max_usd", "ahorro_usd", "ahorro_pct", "producto_ejemplo",
+                      "producto"]
 
 
 def best_prices(staged: DataFrame, min_stores: int = 2, example_chars: int = 70) -> DataFrame:
@@ -36,6 +37,7 @@ def best_prices(staged: DataFrame, min_stores: int = 2, example_chars: int = 70)
         rint_round(pmax - pmin, 2).alias("ahorro_usd"),
         F.when(pmax != 0, rint_round((1 - pmin / pmax) * 100, 1)).otherwise(F.lit(0.0)).alias("ahorro_pct"),
         F.substring(F.col("_min.producto"), 1, example_chars).alias("producto_ejemplo"),
+        F.col("_min.producto").alias("producto"),
     )
 
 

@@ -95,7 +95,8 @@ def fetch_status(events: DataFrame) -> DataFrame:
 
 
 def fetch_errors(fetches: DataFrame) -> DataFrame:
-    """Failed fetches (status >= 400) in the error-log schema; description cleaned and capped to 300 chars."""
+    """Failed fetches (status >= 400) in the error-log schema; description cleaned and capped to 300 chars, and whole as
+    ``detalle``."""
     bad = fetches.filter(F.col("status") >= 400)
     desc = F.concat(F.lit("Codigo "), F.col("status").cast("string"), F.lit(" en busqueda "),
                     F.col("event_id").cast("string"), F.lit("\n props="), F.col("props"), F.lit("\n"))
@@ -104,7 +105,8 @@ def fetch_errors(fetches: DataFrame) -> DataFrame:
         F.concat(F.lit("tienda_"), F.col("user_id").cast("string")).alias("fuente"),
         F.lit("HTTP").alias("tipo_error"),
         clean_log_text(desc, rules.ERROR_LOG_MAX_CHARS).alias("descripcion"),
-        F.lit("Se omite esta consulta y se pasa a la que sigue").alias("accion_tomada"),
+        F.lit("Consulta sin datos; siguen las demas").alias("accion_tomada"),
+        desc.alias("detalle"),
     )
 
 
@@ -128,8 +130,8 @@ def host_of(url: Column) -> Column:
 
 
 def selector_coverage(pages: DataFrame) -> DataFrame:
-    """Per site: pages, pages whose item container repeats (>= 2 items), named items among the first three of each
-    page, and which name selector hit first (``title`` before ``h1``)."""
+    """Per site: pages, pages whose item container repeats (>= 2 items), named items (all, and among the first three of each
+    page), and which name selector hit first (``title`` before ``h1``)."""
     names = F.regexp_extract_all(F.col("html"), F.lit(ITEM_PATTERN), 2)
     title = F.trim(F.regexp_extract(F.col("html"), r"<title>([^<]*)</title>", 1))
     h1 = F.trim(F.regexp_extract(F.col("html"), r"<h1>([^<]*)</h1>", 1))
@@ -137,6 +139,7 @@ def selector_coverage(pages: DataFrame) -> DataFrame:
     return p.groupBy("sitio").agg(
         F.count(F.lit(1)).alias("paginas"),
         F.count_if(F.size("items") >= 2).alias("con_contenedor"),
+        F.sum(F.size(F.filter("items", lambda x: F.trim(x) != ""))).cast("bigint").alias("items_con_nombre"),
         F.sum(F.size(F.filter(F.slice("items", 1, 3), lambda x: F.trim(x) != ""))).cast("bigint").alias("items_muestra"),
         F.count_if(F.col("t") != "").alias("nombre_por_title"),
         F.count_if((F.col("t") == "") & (F.col("h") != "")).alias("nombre_por_h1"),

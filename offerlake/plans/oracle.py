@@ -198,6 +198,6 @@ GROUP BY clave_canonica HAVING count(DISTINCT tienda) >= 2
 SELECT clave_canonica, categoria, tiendas_comparadas, tienda_mas_barata,
   round_even(pmin, 2) AS precio_min_usd, round_even(pmax, 2) AS precio_max_usd, round_even(pmax - pmin, 2) AS ahorro_usd,
   CASE WHEN pmax <> 0 THEN round_even((1 - pmin / pmax) * 100, 1) ELSE 0.0 END AS ahorro_pct,
-  substring(producto_min, 1, 70) AS producto_ejemplo
+  substring(producto_min, 1, 70) AS producto_ejemplo, producto_min AS producto
 FROM cmp
 )"""

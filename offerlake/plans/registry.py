@@ -467,7 +467,8 @@ def page_cap(t: Tables) -> DataFrame:
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, 'tienda_' || CAST(user_id AS VARCHAR) AS fuente, 'HTTP' AS tipo_error,
   substring(trim(replace('Codigo 500 en busqueda ' || CAST(event_id AS VARCHAR) || chr(10) || ' props=' || props || chr(10),
     chr(10), ' ')), 1, 300) AS descripcion,
-  'Se omite esta consulta y se pasa a la que sigue' AS accion_tomada
+  'Consulta sin datos; siguen las demas' AS accion_tomada,
+  'Codigo 500 en busqueda ' || CAST(event_id AS VARCHAR) || chr(10) || ' props=' || props || chr(10) AS detalle
 FROM events WHERE event_type = 'error'""")
 def fetch_errors(t: Tables) -> DataFrame:
     from offerlake.operators.crawl import fetch_errors as fe, fetch_status
@@ -497,6 +498,7 @@ WITH p AS (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS sitio, regexp
   trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS t, trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)) AS h
 FROM pages)
 SELECT sitio, count(*) AS paginas, count(*) FILTER (WHERE len(items) >= 2) AS con_contenedor,
+  CAST(sum(len(list_filter(items, lambda x: trim(x) <> ''))) AS BIGINT) AS items_con_nombre,
   CAST(sum(len(list_filter(list_slice(items, 1, 3), lambda x: trim(x) <> ''))) AS BIGINT) AS items_muestra,
   count(*) FILTER (WHERE t <> '') AS nombre_por_title, count(*) FILTER (WHERE t = '' AND h <> '') AS nombre_por_h1
 FROM p GROUP BY sitio""")
