@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,24 @@ KEPT_BORDERS = 400_000
 NEVER = 1 << 60
 
 
+#: The same where letters and numbers of newer Unicode versions, {0}, count as marks.
+OLDER = r"""'s|'t|'re|'ve|'m|'ll|'d| ?(?:(?!{0})\p{{L}})+| ?(?:(?!{0})\p{{N}})+| ?(?:[^\s\p{{L}}\p{{N}}]|{0})+|\s+(?!\S)|\s+"""
+
+
+def newer_characters() -> list[list[str]]:
+    """Letters and numbers of the ``regex`` module that Python's older tables, like the tokenizers library's, do not assign: [first, last] of
+    every run."""
+    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    runs: list[list[str]] = []
+    for ch in regex.findall(r"[\p{L}\p{N}]", everything):
+        if unicodedata.category(ch) == "Cn":
+            if runs and ord(runs[-1][1]) == ord(ch) - 1:
+                runs[-1][1] = ch
+            else:
+                runs.append([ch, ch])
+    return runs
+
+
 def byte_alphabet() -> dict[str, int]:
     """Character -> byte of byte-level vocabularies: printable Latin-1 stands for itself, the rest follows from 256."""
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -82,6 +102,10 @@ class TrieBPE:
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.marks = regex.compile(f"({marks})") if marks else None
         self.split = regex.compile(SPLIT)
+        newer = newer_characters()
+        one_of = "[" + "".join(f"{a}-{b}" for a, b in newer) + "]" if newer else "(?!)"
+        self.newer, self.older = re.compile(one_of), regex.compile(OLDER.format(one_of))
+        self.high = re.compile(f"[{newer[0][0]}-\U0010ffff]" if newer else "(?!)")
         self.pieces = [self.text_of.get(i, b"") for i in range(max(self.text_of) + 1)]
 
     def apart(self, a: int, b: int, until: int = NEVER) -> bool:
@@ -155,7 +179,8 @@ class TrieBPE:
                 if k % 2:
                     mine.append(struct.pack("<I", self.special[seg]))
                 elif seg:
-                    words = self.split.findall(seg)
+                    rare = not seg.isascii() and self.high.search(seg) and self.newer.search(seg)
+                    words = (self.older if rare else self.split).findall(seg)
                     ids = list(map(known.get, words))
                     try:
                         mine.append(b"".join(ids))
