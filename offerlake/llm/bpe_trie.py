@@ -42,13 +42,22 @@ NEVER = 1 << 60
 OLDER = r"""'s|'t|'re|'ve|'m|'ll|'d| ?(?:(?!{0})\p{{L}})+| ?(?:(?!{0})\p{{N}})+| ?(?:[^\s\p{{L}}\p{{N}}]|{0})+|\s+(?!\S)|\s+"""
 
 
+#: Letters and numbers of Unicode 16, which the tokenizers library knows and Python 3.13 does not (fixed values).
+UNICODE_16 = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7,
+    0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9),
+    (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139), (0x16D40, 0x16D6C), (0x16D70, 0x16D79), (0x18CFF,
+    0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA),
+]
+
+
 def newer_characters() -> list[list[str]]:
-    """Letters and numbers of the ``regex`` module that Python's older tables, like the tokenizers library's, do not assign: [first, last] of
-    every run."""
+    """Letters and numbers of the ``regex`` module that the tokenizers library's older tables do not assign: [first, last] of every run."""
     everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     runs: list[list[str]] = []
     for ch in regex.findall(r"[\p{L}\p{N}]", everything):
-        if unicodedata.category(ch) == "Cn":
+        if unicodedata.category(ch) == "Cn" and not any(a <= ord(ch) <= b for a, b in UNICODE_16):
             if runs and ord(runs[-1][1]) == ord(ch) - 1:
                 runs[-1][1] = ch
             else:
