@@ -10,8 +10,8 @@ number. The cut is calibrated on the rule-decided URLs: the one with the best me
 Counting combines map-side. The model (bounded as above: 4 * SUPPORT + 1 rows of one short array) is broadcast, so scoring
 moves one row per URL and no characters.
 
-Defined cases: a null URL or one without ``://`` has an empty host and path, fits no rule and is judged by its end mark
-alone; repeated rows are judged each; a null page id is carried through; without training URLs of both kinds every score
+Defined cases: a null URL or one without ``://`` has an empty host and path and fits no rule; the model judges it by its
+characters, a null one as empty by its end mark alone; repeated rows are judged each; a null page id is carried through; without training URLs of both kinds every score
 is 0 and the verdict is allow.
 """
 
@@ -124,11 +124,11 @@ def cut(scored: DataFrame, verdict: str) -> float:
 
 
 def judge(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
-    """Add host, path, rule, verdict and score to ``pages``; the url itself is dropped."""
+    """Add host, path, rule, verdict and score to ``pages``. Rules read host and path, the model reads the whole url."""
     host, path = host_of(F.col(url)), path_of(F.col(url))
-    base = pages.withColumns({"host": host, "path": path}).drop(url)
+    base = pages.withColumns({"host": host, "path": path})
     rule, given = rule_of(F.col("host"), F.col("path"), rules)
-    base = base.withColumns({"rule": rule, "_given": given, "_text": F.concat("host", "path")})
+    base = base.withColumns({"rule": rule, "_given": given, "_text": F.coalesce(F.col(url), F.lit(""))})
     models = fit(base.where(F.col("_given").isNotNull()), "_text", "_given")
     scored = staged(score(base, models, "_text"), "url-scores")
     allow = F.when(F.col("score") >= cut(scored, "_given"), "allow").otherwise("block")

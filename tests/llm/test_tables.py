@@ -104,6 +104,16 @@ def test_urls(spark):
     assert {r.verdict for r in only} == {"allow"}
 
 
+def test_url_model_reads_the_whole_url(spark):
+    urls = [f"http://a{i}.org/p?ref=news" for i in range(20)] + [f"http://a{i}.com/de/p?spam=1#feed" for i in range(20)]
+    urls += ["http://x.net/p?ref=news", "http://x.net/p?spam=1#feed", "http://x.net/p", "ref=news", "spam=1#feed", "http://x.net/p?ref=news#feed", None]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(df).collect()}
+    assert {i: r.url for i, r in got.items()} == dict(enumerate(urls))
+    assert len({got[i].score for i in range(40, 47)}) == 7
+    assert got[40].score > got[45].score > got[41].score and got[43].score > got[44].score
+
+
 def test_url_model_is_smoothed_and_normalised(spark):
     pages = spark.read.parquet(f"{SF_SMOKE}/pages.parquet").select(F.concat(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))).alias("t"), F.when(F.col("page_id") % 3 == 0, "block").otherwise("allow").alias("v"))
     models = url_filter.fit(pages, "t", "v")
