@@ -53,9 +53,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]+", 0, 16),
 )
+#: What may stand between two lines of a key: white space, escaped line ends, quotes, marks of quoted or commented lines.
+_GAP = r"""(?:\\[nrt]|//[\x20\t]|\+(?=\s)|[\s>#|*"',\\])"""
+#: A private key from its BEGIN line through the END line. Without one: the header lines that say how the body is encrypted
+#: and the run of base64 lines (of 16 characters or more; the last one may be shorter).
+PEM = (r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+-{5,}END (?:[A-Z]+ )?PRIVATE KEY-----"
+       rf"|(?:{_GAP}*+(?:Proc-Type:\x20?4,ENCRYPTED|DEK-Info:\x20?[A-Z0-9-]+,[0-9A-Fa-f]+))*+"
+       rf"(?:(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+={{0,2}})++(?:(?<!=)(?:{_GAP}++[A-Za-z0-9+/]++(?:={{1,2}}|(?=[\r\n\"',\\]|\Z))|[\x20\t]++[A-Za-z0-9+/]++))?)?+)")
 #: Rules the scan adds: public formats of keys and tokens (fixed values).
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
+    Rule("private_key", PEM),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39),

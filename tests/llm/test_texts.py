@@ -110,6 +110,24 @@ def test_secret_scan_equals_a_full_scan(spark):
     assert clean[0] == "<assign>'" and clean[len(texts) - 2] is None and clean[len(texts) - 1] == "xxx"
 
 
+def test_whole_private_keys_are_redacted(spark):
+    line = lambda n: "".join(RND.choice("ABCDEFabcdef0123456789+/") for _ in range(n))
+    body = [*(line(64) for _ in range(24)), line(30) + "=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    sealed = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF", ""]
+    texts = ["\n".join([begin, *body, end]), "\r\n".join([begin, *sealed, *body, end]), "\\n".join([begin, *body, end]), " ".join([begin, *body, end]),
+             begin + "".join(body) + end, "\n".join(f"-{x}" for x in (begin, *body, end)), "\n".join([begin, *body]), "\n".join([begin, *sealed, *body]), f"{begin}\n{body[0][:19]}", "\n".join([begin, *body[:3], "Ab0"])]
+    whole = "\n".join([begin, *body, end])
+    rows = [f"before\n{t}" for t in texts] + [f"{whole}\nbetween\n{whole.replace('RSA ', '')}\nafter", *["\n".join([begin, *b, "", "Then it goes on."]) for b in (body, body[:3])], f"The {begin} line, then text - as here."]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    for i in range(len(texts)):
+        assert clean[i].replace("-", "") == "before\n<private_key>", clean[i]
+    assert [clean[i] for i in range(len(texts), len(rows))] == ["<private_key>\nbetween\n<private_key>\nafter", "<private_key>\n\nThen it goes on.", "<private_key>\n\nThen it goes on.", "The <private_key> line, then text - as here."]
+    spans = [(s.start, s.end) for s in secret_scan.scan(df.where("doc_id = 0")).first().secrets if s.kind == "private_key"]
+    assert spans == [(7, len(rows[0]))]
+
+
 def test_trigram_queries():
     q = secret_scan.trigram_query
     assert q("abcd") == {frozenset({"abc", "bcd"})}
