@@ -15,7 +15,8 @@ from offerlake.llm.common import crc_of_id, staged, table
 from offerlake.llm.queries import vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A document stays from this quality on, and if one language covers this share of its letters.
+#: A document stays from this quality on, and if one language covers this share of its letters and its trigrams account for
+#: them (``lang_id``'s score: the share, less where the text is unlike what was learned).
 QUALITY, LANGUAGE = 0.7, 0.4
 
 
@@ -27,7 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters, and those of which no language covers LANGUAGE."""
+    """Drop documents without letters, and those with a language score below LANGUAGE: mixtures, scripts and languages that
+    were not learned, gibberish."""
     docs = docs.select(*COLUMNS)
     model = lang_id.fit(docs.where(crc_of_id(F.col("doc_id")) % 5 != 0))
     if not model["langs"]:  # nothing to judge by

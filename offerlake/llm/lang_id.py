@@ -3,14 +3,16 @@
 A word's letters are looked up in the script ranges; only languages whose training letters use such a script stay
 candidates. Among them a word scores the sum of its character trigrams' log probabilities. Over the words of a text the
 best path of labels is found with a penalty for each switch; equal labels in a row are a span. A document gets the label
-that covers most letters, and as score that share.
+that covers most letters. Its score is that share, times how well the label's trigrams account for the words it covers
+(``fit_of``): 1 for text like the learned one, 0 for gibberish and for most text of a language that was not learned.
 
 The model is fitted on a bounded sample (``PER_LANG`` documents a language, drawn by a hash of the text); every document is
 then labelled, whole. Long and short texts of a block run through the same steps side by side, so Python work per word is
 a lookup.
 
 Defined cases: a null or empty text, or one without letters, is ``und`` with score 0, and so is every text if nothing was
-learned; equal shares go to the first label in alphabetical order; repeated rows give repeated results; null labels are
+learned; a word whose scripts no learned language uses adds nothing to any share, only to the total, so a text of such words
+alone gets score 0 (and the first label); equal shares go to the first label in alphabetical order; repeated rows give repeated results; null labels are
 not learned from.
 """
 
@@ -99,10 +101,33 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
             scripts.setdefault(r["x"], np.zeros(len(langs)))[at[r["l"]]] = r["n"]
     logp = np.log((n + ADD) / (n.sum(0) + ADD * len(n)))
     letters = sum(scripts.values())
-    return {"langs": langs, "grams": number, "logp": logp.astype(np.float32),
+    return {"langs": langs, "grams": number, "logp": logp.astype(np.float32), "expected": expected(n),
             "scripts": {s: v >= SCRIPT_SHARE * letters for s, v in scripts.items()}}
 
 
+def expected(n: np.ndarray) -> np.ndarray:
+    """By language what a text's mean log probability of a trigram is held against: rows (none, full, spread).
+
+    The mean of the language's own trigrams is taken with each left out of its counts. ``none`` is halfway from there to the
+    trigrams never seen or, if nearer, what trigrams drawn evenly from all known ones would get (2 nats below at least);
+    ``full`` is halfway between ``none`` and the mean, ``spread`` one trigram's standard deviation.
+    """
+    total, known = n.sum(0), len(n) - 1
+    own = np.log(np.maximum(n - 1, 0) + ADD) - np.log(total - 1 + ADD * len(n))
+    mean = (n * own).sum(0) / total
+    spread = np.sqrt((n * (own - mean) ** 2).sum(0) / total)
+    unseen = np.log(ADD / (total + ADD * len(n)))
+    none = np.maximum((mean + unseen) / 2, np.minimum(-np.log(known), mean - 2))
+    return np.stack([none, (none + mean) / 2, spread])
+
+
+def fit_of(expected: np.ndarray, label: int, logp: float, grams: float) -> float:
+    """0 to 1: how well a label accounts for ``grams`` trigrams of log probability ``logp``, with a standard error's grace."""
+    none, full, spread = expected[:, label]
+    mean = logp / grams + spread / np.sqrt(grams)
+    return float(np.clip((mean - none) / max(full - none, 1e-9), 0.0, 1.0))
+
+
 class Labeller:
     def __init__(self, model: dict):
         self.model, self.langs = model, model["langs"]
@@ -112,6 +137,8 @@ class Labeller:
         self.row: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.langs)), np.float32)
         self.letters = np.zeros(0, np.int32)
+        self.seen = np.zeros(0, bool)  # some learned language uses the word's scripts
+        self.best = np.zeros(0, np.float32)  # log probability of its trigrams (as many as letters) under the best language
 
     def _learn(self, words: list[str]) -> None:
         """Score new words: the sum of their trigrams' log probabilities, best language 0, others WORST below at most."""
@@ -135,15 +162,18 @@ class Labeller:
         made = np.add.reduceat(self.model["logp"][np.array(flat, np.int64)], np.array(starts), axis=0)
         some = open_to.any(1)
         made = np.where(open_to | ~some[:, None], made, -np.inf)
-        made = np.maximum(made - made.max(1, keepdims=True), -WORST)
+        best = made.max(1)
+        made = np.maximum(made - best[:, None], -WORST)
         made[letters == 0] = 0
         made[~some] = 0
         self.row.update(zip(words, range(len(self.row), len(self.row) + len(words)), strict=True))
         self.scores = np.concatenate([self.scores, made.astype(np.float32)])
         self.letters = np.concatenate([self.letters, letters])
+        self.seen = np.concatenate([self.seen, some & (letters > 0)])
+        self.best = np.concatenate([self.best, best.astype(np.float32)])
 
-    def label(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Per text the label and the number of letters of every word."""
+    def label(self, texts: list[str]) -> tuple[list[np.ndarray], list[int], list[float]]:
+        """Per text the label of every word, the text's label (-1 without letters) and its score."""
         if len(self.row) > KEPT_WORDS:
             self._clear()
         words = [t.lower().split() for t in texts]
@@ -155,8 +185,15 @@ class Labeller:
         ends = np.cumsum(sizes)
         rows = np.fromiter((row[w] for ws in words for w in ws), np.int64, int(ends[-1]) if len(ends) else 0)
         labels = viterbi(self.scores[rows], ends - sizes, sizes, SWITCH)
-        letters = self.letters[rows]
-        return [labels[e - s:e] for s, e in zip(sizes, ends, strict=True)], [letters[e - s:e] for s, e in zip(sizes, ends, strict=True)]
+        seen, k = self.seen[rows], len(self.langs)
+        cell = np.repeat(np.arange(len(texts)), sizes) * k + labels
+        logs = self.best[rows].astype(np.float64) + self.scores[rows, labels]
+        of = lambda x: np.bincount(cell, np.where(seen, x, 0), len(texts) * k).reshape(-1, k)
+        share, logp = of(self.letters[rows]), of(logs)
+        total = np.bincount(cell // k, self.letters[rows], len(texts))
+        win = share.argmax(1)
+        score = [float(share[i, w] / total[i]) * fit_of(self.model["expected"], w, logp[i, w], share[i, w]) if share[i, w] else 0.0 for i, w in enumerate(win.tolist())]
+        return [labels[e - s:e] for s, e in zip(sizes, ends, strict=True)], np.where(total > 0, win, -1).tolist(), score
 
 
 def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, switch: float) -> np.ndarray:
@@ -206,13 +243,11 @@ def predict(df: DataFrame, model: dict, text: str = "text", spans: bool = True)
         out: dict[str, list] = {"lang_pred": [], "lang_score": [], "lang_spans": []}
         if not labeller.langs:
             return {"lang_pred": ["und"] * len(texts), "lang_score": [0.0] * len(texts), "lang_spans": [[]] * len(texts)}
-        for labels, letters in zip(*labeller.label(texts), strict=True):
-            share = np.bincount(labels, letters, len(labeller.langs))
-            total, win = share.sum(), int(share.argmax())
-            out["lang_pred"].append(labeller.langs[win] if total else "und")
-            out["lang_score"].append(float(share[win] / total) if total else 0.0)
+        for labels, win, score in zip(*labeller.label(texts), strict=True):
+            out["lang_pred"].append(labeller.langs[win] if win >= 0 else "und")
+            out["lang_score"].append(score)
             if spans:
-                cut = [0, *(np.flatnonzero(np.diff(labels)) + 1).tolist(), len(labels)] if total else [0]
+                cut = [0, *(np.flatnonzero(np.diff(labels)) + 1).tolist(), len(labels)] if win >= 0 else [0]
                 out["lang_spans"].append([{"start": a, "end": b, "lang": labeller.langs[labels[a]]} for a, b in zip(cut, cut[1:], strict=False)])
         return out
 

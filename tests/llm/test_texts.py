@@ -204,6 +204,26 @@ def test_language_spans(spark, empty):
     assert lang_id.predict(empty, model).count() == 0
 
 
+def test_unlearned_text_has_no_language(spark):
+    import corpus_pipeline
+
+    words = {"en": "the and of that with this house when where there other another thing nothing between", "de": "der und ist nicht mit einem haus wenn dort andere nichts zwischen welche schule"}
+    rnd = random.Random(6)
+    make = lambda k, n: " ".join(rnd.choice(words[k].split()) for _ in range(n))
+    gibberish = lambda: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9))) for _ in range(60))
+    docs = [(i, make(k, 40), k, "s", 0) for i, k in enumerate(["en", "de"] * 40)]
+    odd = {200: "家国天下 " * 30, 201: "мир и дом " * 30, 202: gibberish(), 203: gibberish(), 204: "przez jeszcze czy wszystko się dzień który " * 9,
+           205: make("en", 10) + " 家国天下" * 40}
+    good = {300: make("en", 60), 301: make("de", 3), 302: make("en", 30) + " " + make("de", 25), 303: make("en", 40) + " 家国天下" * 10}
+    df = spark.createDataFrame(docs + [(i, t, None, "s", 0) for i, t in (odd | good).items()], "doc_id long, text string, lang string, source string, n_chars long")
+    model = lang_id.fit(df)
+    got = {r.doc_id: r.lang_score for r in lang_id.predict(df, model).collect()}
+    assert [got[i] for i in (200, 201, 202, 203)] == [0.0] * 4 and got[204] < 0.4 and got[205] < 0.4
+    assert got[300] == got[301] == 1.0 and got[302] > 0.4 and got[303] > 0.6
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, df, "").collect()}
+    assert kept == {d[0] for d in docs} | set(good)
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
