@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm import bpe_trie, embed_dedup, exact_topk, katz_lm, lang_id, line_crf, ngram_jaccard, packing, secret_scan, url_filter
+from offerlake.llm import bpe_trie, embed_dedup, exact_topk, katz_lm, lang_id, line_crf, ngram_jaccard, packing, secret_scan, source_mix, spectral_whiten, token_align, url_filter
 from offerlake.llm.common import crc_of_id, table
 
 
@@ -72,9 +72,23 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_align.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")).select("doc_id", *token_align.RESULTS)
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = source_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_spectral_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spectral_whiten.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_packing, op4_bpe_trie, op5_embed_dedup, op6_exact_topk,
-                                op7_katz_lm, op8_ngram_jaccard, op9_lang_id, op10_line_crf)
+                                op7_katz_lm, op8_ngram_jaccard, op9_lang_id, op10_line_crf, op11_token_align, op12_source_mix, op13_spectral_whiten)
 }
 ORACLE: dict[str, str] = {
     "op5_embed_dedup": """
@@ -135,4 +149,34 @@ with good as (
   select *, row_number() over (partition by query_row order by score desc, vec_id) as rank from pairs
 )
 select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5""",
+    "op12_source_mix": """
+with docs as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size,
+    greatest(coalesce(length(regexp_replace(text, '[^A-Za-z\\x{80}-\\x{10FFFF}]+', '', 'g')) / nullif(length(text), 0), 0), 0.05::double) as quality,
+    (('0x' || substr(md5('mix' || coalesce(doc_id::varchar, '~' || md5(coalesce(text, '')))), 1, 13))::bigint::double + 0.5) / 4503599627370496.0::double as u
+  from documents
+), keyed as (
+  select *, -ln(u) / quality as k from docs
+), sources as (
+  select source, sum(size)::bigint as source_size from keyed group by source
+), weighed as (
+  select *, [1.0::double, 2.0, 3.0][((row_number() over (order by source nulls last)) - 1) % 3 + 1] as weight from sources
+), levels as (
+  select *, row_number() over o as i,
+    (sum(source_size) over () - coalesce(sum(3 * source_size) over (o rows between unbounded preceding and 1 preceding), 0))::double
+    / (sum(weight) over () - coalesce(sum(weight) over (o rows between unbounded preceding and 1 preceding), 0)) as level
+  from weighed window o as (order by source_size / weight, source nulls last)
+), reached as (
+  select arg_min(level, i) as level from levels where weight * level <= 3 * source_size
+), plan as (
+  select source, source_size, coalesce(least(weight * r.level, (3 * source_size)::double), (3 * source_size)::double) as target
+  from levels left join reached r on true
+), budgets as (
+  select *, coalesce(floor(target / nullif(source_size, 0)), 0)::bigint as epochs from plan
+), placed as (
+  select d.doc_id, d.size, b.source_size, b.target, b.epochs, round(b.target - b.epochs * b.source_size)::bigint as budget,
+    sum(d.size) over (partition by d.source order by d.k, d.doc_id nulls last, d.size rows between unbounded preceding and current row) - d.size as start
+  from keyed d join budgets b on d.source is not distinct from b.source
+)
+select doc_id, size, source_size, target, (epochs * size + least(greatest(budget - start, 0), size))::bigint as taken from placed""",
 }
