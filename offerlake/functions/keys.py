@@ -2,7 +2,7 @@
 
 Title -> lower case -> bracketed text removed -> whitespace collapsed. Then the category's ordered patterns are tried;
 the first match that is not a generic token and holds a digit is the key, else ``sin_clasificar``. Each pattern is a
-``regexp_extract`` guarded by its category, and ``coalesce`` stops at the first valid candidate.
+``regexp_extract`` guarded by its category and by the lack of a key so far.
 """
 
 from __future__ import annotations
@@ -22,48 +22,35 @@ _DIGIT = java_regex(r"\d")
 
 def strip_brackets(title: Column) -> Column:
     """Lower-cased title with ``(...)``/``[...]`` removed and whitespace collapsed."""
-    return collapse_ws(F.regexp_replace(F.lower(title), _BRACKETS, " "))
-
-
-def key_hits(txt: Column, category: Column, patterns: Mapping[str, Sequence[str]] = rules.KEY_PATTERNS
-             ) -> dict[str, Column]:
-    """One column per (category, pattern): the trimmed first match in the cleaned title, only for rows of that
-    category (others get null, so each row runs only its own category's patterns). ``txt`` is already
-    whitespace-collapsed, so trimming equals the reference's collapse-and-strip of the match."""
-    out = {}
-    for cat, plist in patterns.items():
-        for i, p in enumerate(plist):
-            out[f"_kh_{cat}_{i}"] = F.when(category == cat, F.trim(F.regexp_extract(txt, java_regex(p), 0)))
-    return out
-
-
-def key_from_hits(title: Column, category: Column, patterns: Mapping[str, Sequence[str]] = rules.KEY_PATTERNS,
-                  generic: Sequence[str] = rules.GENERIC_KEYS, unclassified: str = rules.UNCLASSIFIED) -> Column:
-    """First valid hit of the row's category (not empty, not generic, holds a digit), else ``unclassified``."""
-    expr = None
-    for cat, plist in patterns.items():
-        cands = []
-        for i, _ in enumerate(plist):
-            hit = F.col(f"_kh_{cat}_{i}")
-            ok = (hit != "") & ~hit.isin(*generic) & hit.rlike(_DIGIT)
-            cands.append(F.when(ok, hit))
-        branch = F.coalesce(*cands, F.lit(unclassified))
-        expr = F.when(category == cat, branch) if expr is None else expr.when(category == cat, branch)
-    keyed = expr.otherwise(F.lit(unclassified)) if expr is not None else F.lit(unclassified)
-    return F.when(title.isNull() | (title == ""), F.lit(unclassified)).otherwise(keyed)
+    low = F.lower(title)
+    return collapse_ws(F.when(low.contains("(") | low.contains("["), F.regexp_replace(low, _BRACKETS, " ")).otherwise(low))
 
 
 def add_key(df, title: str = "producto", category: str = "categoria", out: str = "clave_canonica",
-            patterns: Mapping[str, Sequence[str]] = rules.KEY_PATTERNS):
-    """Add the canonical key column in three narrow projections (cleaned title -> pattern hits -> key), so every
-    regex runs once per row; the helper columns are dropped."""
+            patterns: Mapping[str, Sequence[str]] = rules.KEY_PATTERNS, generic: Sequence[str] = rules.GENERIC_KEYS,
+            unclassified: str = rules.UNCLASSIFIED):
+    """Add the canonical key column: the first valid hit of the row's category (not empty, not generic, holds a digit), else
+    ``unclassified``.
+
+    The cleaned title is projected once. Then the categories' first patterns are tried, for the rows without a key yet the second
+    ones, and so on: a row runs the patterns of its own category up to the one that gives its key. ``_ktxt`` is already
+    whitespace-collapsed, so trimming a hit equals collapsing and stripping it. The helper columns are dropped.
+    """
     cats = list(patterns)
-    txt = F.when(F.col(category).isin(*cats), strip_brackets(F.col(title)))
-    step1 = df.withColumn("_ktxt", txt)
-    hits = key_hits(F.col("_ktxt"), F.col(category), patterns)
-    step2 = step1.withColumns(hits)
-    step3 = step2.withColumn(out, key_from_hits(F.col(title), F.col(category), patterns))
-    return step3.drop("_ktxt", *hits)
+    step = df.withColumn("_ktxt", F.when(F.col(category).isin(*cats), strip_brackets(F.col(title))))
+    key = F.lit(None).cast("string")
+    for i in range(max((len(p) for p in patterns.values()), default=0)):
+        step = step.withColumn(f"_k{i}", key)
+        found = F.lit(None).cast("string")
+        for cat, plist in patterns.items():
+            if i < len(plist):
+                found = F.when(F.col(f"_k{i}").isNull() & (F.col(category) == cat), F.trim(F.regexp_extract("_ktxt", java_regex(plist[i]), 0))).otherwise(found)
+        step = step.withColumn(f"_h{i}", found)
+        hit = F.col(f"_h{i}")
+        key = F.coalesce(F.col(f"_k{i}"), F.when((hit != "") & ~hit.isin(*generic) & hit.rlike(_DIGIT), hit))
+    named = F.when(F.col(title).isNull() | (F.col(title) == ""), F.lit(unclassified)).otherwise(F.coalesce(key, F.lit(unclassified)))
+    helpers = [c for c in step.columns if c not in df.columns]
+    return step.withColumn(out, named).drop(*helpers)
 
 
 def canonical_key(

@@ -52,11 +52,24 @@ def _normalize_token(t: Column) -> Column:
         "drop_commas": no_commas,
         "comma_decimal": F.translate(t, ",", "."),
     }
-    expr = None
-    for pattern, action in rules.AMOUNT_FORMATS:
-        cond = t.rlike("^(?:" + pattern + ")$")
-        expr = F.when(cond, actions[action]) if expr is None else expr.when(cond, actions[action])
-    return expr.otherwise(no_commas)
+    def chain(formats):
+        expr = None
+        for pattern, action in formats:
+            cond = t.rlike("^(?:" + pattern + ")$")
+            expr = F.when(cond, actions[action]) if expr is None else expr.when(cond, actions[action])
+        return no_commas if expr is None else expr.otherwise(no_commas)
+
+    # a format with a mark that a token lacks cannot match it: such formats are not tried
+    dots, commas = ([(p, a) for p, a in rules.AMOUNT_FORMATS if _needs(p, mark)] for mark in ".,")
+    plain = [f for f in rules.AMOUNT_FORMATS if f not in dots and f not in commas]
+    no_dots = [f for f in rules.AMOUNT_FORMATS if f not in dots]
+    without_commas = chain(plain + [f for f in dots if f not in commas]) if plain or any(f not in commas for f in dots) else t
+    return (F.when(~t.contains(","), without_commas).when(~t.contains("."), chain(no_dots)).otherwise(chain(rules.AMOUNT_FORMATS)))
+
+
+def _needs(pattern: str, mark: str) -> bool:
+    """Whether a text without ``mark`` surely cannot match a format: the mark stands in it, and no part of it is optional."""
+    return not any(c in pattern for c in "|[?*") and "{0" not in pattern and ("\\." if mark == "." else mark) in pattern
 
 
 def parse_amount(t: Column) -> Column:

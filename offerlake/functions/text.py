@@ -7,35 +7,17 @@ from pyspark.sql import functions as F
 
 from offerlake.functions.regex import java_regex
 
-_WS = java_regex(r"\s+")
+#: White space that has to change: two or more in a row, or one that is no plain space.
+_WS = java_regex(r"\s{2,}|[^\S ]")
 
 
 def collapse_ws(c: Column) -> Column:
-    """Collapse every run of (Unicode) whitespace to one space and trim: ``'  a\\n b '`` -> ``'a b'``."""
+    """Collapse every run of (Unicode) whitespace to one space and trim: ``'  a\\n b '`` -> ``'a b'``. Single spaces match nothing, so
+    plain text is read through and not rebuilt."""
     return F.trim(F.regexp_replace(c, _WS, " "))
 
 
-def standardize_text(c: Column, upper: bool = False) -> Column:
-    out = collapse_ws(c)
-    return F.upper(out) if upper else out
-
-
-def truncate_chars(c: Column, n: int) -> Column:
-    """First ``n`` characters (code points), like a Python slice ``s[:n]``."""
-    return F.substring(c, 1, n)
-
-
 def clean_log_text(c: Column, max_chars: int = 300) -> Column:
     """Error-log description: newlines to spaces, trimmed, capped to ``max_chars`` characters."""
     stripped = F.regexp_replace(F.regexp_replace(c, "\n", " "), java_regex(r"^\s+|\s+$"), "")
     return F.substring(stripped, 1, max_chars)
-
-
-def store_slug(store: Column) -> Column:
-    """Store folder/file slug: the lower-cased store name."""
-    return F.lower(store)
-
-
-def landing_file_name(store: Column, day: Column, ext: str = "csv") -> Column:
-    """``<slug>_<YYYY-MM-DD>.<ext>``: one file per store per day in the raw zone."""
-    return F.concat(store_slug(store), F.lit("_"), F.date_format(day, "yyyy-MM-dd"), F.lit("." + ext))

@@ -69,8 +69,8 @@ def page_cap(pages: DataFrame, search: Sequence[str], page: str, items: str, max
     """Every page with ``rank`` (1 to ``max_pages``, else null), ``visitada`` and ``motivo``.
 
     Pages of a search are visited in page order, ``max_pages`` at most, up to the first empty page after page 1: that one is
-    visited, no later page is. Unvisited pages carry the reason, ``pagina vacia`` or ``tope de paginas``. A page number is
-    taken to be unique in its search. The first pages come from a rank filter, which cuts a search to ``max_pages`` rows in
+    visited, no later page is. Unvisited pages carry the reason, ``pagina vacia``, ``tope de paginas`` or, without a page number,
+    ``sin numero de pagina``. A page number is taken to be unique in its search. The first pages come from a rank filter, which cuts a search to ``max_pages`` rows in
     every task before the shuffle; their array (bounded by ``max_pages``) is joined back to the pages.
     """
     order = Window.partitionBy(*search).orderBy(page)
@@ -84,11 +84,32 @@ def page_cap(pages: DataFrame, search: Sequence[str], page: str, items: str, max
     pos = F.array_position("_pages", F.col(page)).cast("int")
     found = pages.join(plan, on, "left").drop(*key.values()).withColumn("rank", F.when(pos > 0, pos))
     beyond = F.coalesce(F.element_at("_pages", F.col("_stop")) < F.col(page), F.lit(False))
-    reason = F.when(beyond, F.lit("pagina vacia")).when(F.col("rank").isNull(), F.lit("tope de paginas"))
+    reason = (F.when(F.col(page).isNull(), F.lit("sin numero de pagina")).when(beyond, F.lit("pagina vacia"))
+              .when(F.col("rank").isNull(), F.lit("tope de paginas")))
     return (found.withColumn("motivo", reason).withColumn("visitada", F.col("motivo").isNull())
             .withColumn("rank", F.when(F.col("visitada"), F.col("rank"))).drop("_stop", "_pages"))
 
 
+def search_visits(pages: DataFrame, seeds: DataFrame, max_pages: int, keyword_key: str = "s", page_key: str = "paged") -> DataFrame:
+    """Stored result pages (``page_id, url, items``) by the search that they belong to: ``tienda, categoria, keyword, numero`` and
+    ``page_cap``'s columns per (store, category, keyword).
+
+    Host and keyword of the page's address are matched with those of the seeds' addresses, the page number is a parameter. A page of
+    no seed is kept, unvisited, as ``busqueda desconocida``. Seeds are stores times keywords; Spark sizes the join.
+    """
+    def part(url: Column, what: str, key: str | None = None) -> Column:
+        return F.try_parse_url(url, F.lit(what), F.lit(key)) if key else F.try_parse_url(url, F.lit(what))
+
+    url = F.col("url")
+    here = pages.select("page_id", part(url, "HOST").alias("_host"), part(url, "QUERY", keyword_key).alias("_kw"),
+                        part(url, "QUERY", page_key).try_cast("int").alias("numero"), "items")
+    mine = seeds.select("tienda", "categoria", "keyword", part(url, "HOST").alias("_host"), part(url, "QUERY", keyword_key).alias("_kw"))
+    capped = page_cap(here.join(mine, ["_host", "_kw"], "left").drop("_host", "_kw"), ["tienda", "categoria", "keyword"], "numero", "items", max_pages)
+    known = F.col("tienda").isNotNull()
+    return capped.select("page_id", "tienda", "categoria", "keyword", "numero", "items", F.when(known, F.col("rank")).alias("rank"),
+                         (known & F.col("visitada")).alias("visitada"), F.when(known, F.col("motivo")).otherwise(F.lit("busqueda desconocida")).alias("motivo"))
+
+
 def fetch_status(events: DataFrame) -> DataFrame:
     """A fetch log from the event table: an ``error`` event is a failed fetch (HTTP 500), others succeed (200)."""
     return events.withColumn("status", F.when(F.col("event_type") == "error", 500).otherwise(200))

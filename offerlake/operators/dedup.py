@@ -30,10 +30,11 @@ def keep_most_complete(df: DataFrame, keys: Sequence[str] = rules.DEDUP_KEYS,
     """One row per ``keys``: the most complete, ties broken by ``order`` then all columns ascending (nulls first)."""
     cols = df.columns
     lead = list(order or [])
+    # the keys are equal within a group: they decide nothing and come back from the grouping
     rank = F.struct(
         (-completeness(cols)).alias("_neg_complete"),
         *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(lead)],
-        *[F.col(f"`{c}`") for c in cols],
+        *[F.col(f"`{c}`") for c in cols if c not in keys],
     )
     best = df.groupBy(*keys).agg(F.min(rank).alias("_best"))
     # keys come from the grouping, so a filter on one passes below the shuffle

@@ -44,7 +44,10 @@ def exact_median(df: DataFrame, group: str, value: str, median: str = "mediana",
     holds = lambda p, begin, end: (F.col(p) > begin) & (end.isNull() | (F.col(p) <= end))
     middle = n.where(holds("_lo", F.col("_begin"), F.col("_stop")) | holds("_hi", F.col("_begin"), F.col("_stop")))
     m = middle.select(F.col("_g").alias("_mg"), F.col("_kind").alias("_mk"), F.col("_tile").alias("_mt"), "_begin", "_lo", "_hi", "_rows")
-    inside = counted.join(m, counted["_g"].eqNullSafe(m["_mg"]) & (counted["_kind"] == m["_mk"]) & (counted["_tile"] == m["_mt"]))
+    # null-safe on all three: a plain equality would push "is not null" below the count on this side only, and the two uses of
+    # ``counted`` would no longer be one shuffle that Spark runs once
+    same = counted["_g"].eqNullSafe(m["_mg"]) & counted["_kind"].eqNullSafe(m["_mk"]) & counted["_tile"].eqNullSafe(m["_mt"])
+    inside = counted.join(m, same)
     order = Window.partitionBy("_g", "_kind", "_tile").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     end = F.col("_begin") + F.sum("_n").over(order)
     ranked = inside.withColumn("_end", end).withColumn("_from", F.col("_end") - F.col("_n"))

@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlake import rules
-from offerlake.functions.price import rint_round
-from offerlake.operators.staging import is_bundle
+from offerlake.functions.keys import add_key
+from offerlake.functions.price import parse_price, rint_round
 from offerlake.functions.text import collapse_ws
+from offerlake.operators.dedup import completeness
+from offerlake.operators.staging import computed_once, is_bundle
 
 
 def category_audit(df: DataFrame, valid: Sequence[str] = rules.VALID_CATEGORIES) -> DataFrame:
@@ -30,8 +32,6 @@ def category_audit(df: DataFrame, valid: Sequence[str] = rules.VALID_CATEGORIES)
 
 def relevance_waterfall(standardized: DataFrame) -> DataFrame:
     """Row waterfall of the staging filters in one pass: total, whole-PC listings, unpriced, priced."""
-    from offerlake.functions.price import parse_price
-
     bundle = is_bundle(F.col("producto"))
     price = parse_price(F.col("precio_raw"))
     return standardized.agg(
@@ -69,33 +69,6 @@ def complete_row(fields: Sequence[str]) -> Column:
     return cond
 
 
-def final_metrics(standardized: DataFrame, staged: DataFrame, fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
-    """Consolidated metrics row in two passes: the filter waterfall over the standardised rows (one per raw row) and
-    one aggregate over the staged table. The waterfall adds up: raw - bundles - unpriced - duplicates = staged."""
-    return metrics_from_waterfall(relevance_waterfall(standardized), staged, fields)
-
-
-def metrics_from_waterfall(w: DataFrame, staged: DataFrame, fields: Sequence[str] = rules.KEY_FIELDS) -> DataFrame:
-    """Final metrics from a one-row waterfall ``(total_raw, bundles, sin_precio, con_precio)`` and the staged table."""
-    # One pass over the staged rows: both counters in one struct-valued scalar subquery, projected once as a column
-    # and then read by field, so the plan holds one subquery rather than one per field.
-    st = staged.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(complete_row(fields)).alias("c"))).scalar()
-    m = w.select("*", st.alias("_st")).select(
-        "*", F.col("_st.n").alias("total_registros_staging"), F.col("_st.c").alias("_completos")).drop("_st")
-    raw_n = F.col("total_raw")
-    stg_n = F.col("total_registros_staging")
-    return m.select(
-        raw_n.alias("total_registros_raw"),
-        F.col("bundles").alias("registros_descartados_relevancia"),
-        F.col("sin_precio").alias("registros_eliminados_nulos"),
-        (F.col("con_precio") - stg_n).alias("registros_depurados_duplicados"),
-        "total_registros_staging",
-        F.when(stg_n > 0, rint_round(F.col("_completos") / stg_n * 100, 2)).otherwise(F.lit(0.0))
-        .alias("tasa_completitud_general_pct"),
-        F.when(raw_n > 0, rint_round((raw_n - stg_n) / raw_n * 100, 2)).otherwise(F.lit(0.0)).alias("tasa_error_pct"),
-    )
-
-
 def key_coverage(staged: DataFrame) -> DataFrame:
     unc = F.col("clave_canonica") == rules.UNCLASSIFIED
     return staged.agg(
@@ -121,13 +94,6 @@ def distribution(df: DataFrame, col: str) -> DataFrame:
             .orderBy(F.desc("registros"), F.asc(col)))
 
 
-def report_long(report: DataFrame, id_cols: Sequence[str] = ("fecha_ejecucion",)) -> DataFrame:
-    """Quality report in long form ``(metrica, valor)`` (values as double), one row per numeric metric."""
-    numeric = [c for c, t in report.dtypes if c not in id_cols and t in ("int", "bigint", "double", "float")]
-    return report.select(*id_cols, *[F.col(c).cast("double").alias(c) for c in numeric]).unpivot(
-        list(id_cols), numeric, "metrica", "valor")
-
-
 REPORT_SCHEMA = "seccion string, clave string, valor double, texto string"
 
 
@@ -144,35 +110,138 @@ def _counters(df: DataFrame, name: str) -> DataFrame:
     return _section(df.select(F.inline(pairs)), name, F.col("k"), F.col("v"))
 
 
-def full_report(standardized: DataFrame, priced: DataFrame, keyed: DataFrame, staged: DataFrame, survey: DataFrame | None = None,
-                specs: DataFrame | None = None, order: Sequence[str] = ()) -> DataFrame:
+#: Rows of the marked table: a whole-PC listing, no amount in its text, an amount that is not positive, a price.
+BUNDLE, NO_AMOUNT, NOT_POSITIVE, PRICED = "paquete", "sin_importe", "no_positivo", "con_precio"
+
+
+def marked(standardized: DataFrame) -> DataFrame:
+    """Every standardised row with ``paquete`` (whole-PC listing), ``precio_usd`` (relevant rows) and ``clave_canonica`` (priced rows):
+    what the staging filters go by, without dropping a row."""
+    df = computed_once(standardized, "paquete", is_bundle(F.col("producto")))
+    df = computed_once(df, "precio_usd", F.when(~F.col("paquete"), parse_price(F.col("precio_raw"))))
+    priced = F.col("precio_usd") > 0
+    df = add_key(df.withColumn("_categoria", F.when(priced, F.col("categoria"))), category="_categoria").drop("_categoria")
+    return computed_once(df, "clave_canonica", F.when(priced, F.col("clave_canonica")))
+
+
+def key_groups(rows: DataFrame, keys: Sequence[str] = rules.DEDUP_KEYS) -> DataFrame:
+    """The one pass that every counter follows from: marked rows per (class, dedup key), with rows, nulls and the title of the row
+    that dedup keeps.
+
+    Rows that staging drops have no key: they are one group per class and category. Groups aggregate on the map side.
+    """
+    price = F.col("precio_usd")
+    kind = F.when(F.col("paquete"), BUNDLE).when(price.isNull(), NO_AMOUNT).when(price > 0, PRICED).otherwise(NOT_POSITIVE)
+    priced = ~F.col("paquete") & F.coalesce(price > 0, F.lit(False))
+    cols = [c for c in rows.columns if c != "paquete"]
+    # dedup compares all columns in order; up to the title they decide which title stays (keys are equal in a group)
+    lead = [c for c in cols[:cols.index("producto") + 1] if c not in keys]
+    rank = F.struct((-completeness(cols)).alias("_neg_complete"), *[F.col(f"`{c}`") for c in lead])
+    by = [F.col(k) if k == "categoria" else F.when(priced, F.col(k)).alias(k) for k in keys]
+    return rows.groupBy(kind.alias("clase"), *by).agg(
+        F.count(F.lit(1)).alias("filas"), F.count_if(F.col("tienda").isNull()).alias("sin_tienda"),
+        F.count_if(F.col("producto").isNull()).alias("sin_producto"), F.min(F.when(priced, rank))["producto"].alias("titulo"))
+
+
+def _totals() -> list[Column]:
+    """Sums over key groups: rows by class, survivors, their completeness."""
+    kind, n = F.col("clase"), F.col("filas")
+    relevant = kind != BUNDLE
+    kept = kind == PRICED
+    whole = kept & F.col("titulo").isNotNull()
+    for k in rules.DEDUP_KEYS:
+        whole = whole & F.col(k).isNotNull()
+    total = lambda cond, x=n: F.coalesce(F.sum(F.when(cond, x)), F.lit(0))
+    return [F.coalesce(F.sum(n), F.lit(0)).alias("crudas"), total(~relevant).alias("paquetes"), total(kind.isin(NO_AMOUNT, NOT_POSITIVE)).alias("sin_precio"),
+            total(kind == NO_AMOUNT).alias("sin_importe"), total(kept).alias("con_precio"), F.count_if(kept).alias("vivas"), F.count_if(whole).alias("completas"),
+            F.count_if(kept & (F.col("clave_canonica") == rules.UNCLASSIFIED)).alias("sin_clase"),
+            total(relevant, F.col("sin_tienda")).alias("sin_tienda"), total(relevant, F.col("sin_producto")).alias("sin_producto"),
+            total(relevant & F.col("categoria").isNull()).alias("sin_categoria")]
+
+
+def _share(part: Column, whole: Column) -> Column:
+    return F.when(whole > 0, rint_round(part / F.nullif(whole, F.lit(0)) * 100, 2)).otherwise(F.lit(0.0))
+
+
+def _metrics() -> dict[str, Column]:
+    """Final metrics from the totals. They add up: raw - bundles - unpriced - duplicates = staged."""
+    c = F.col
+    return {"total_registros_raw": c("crudas"), "registros_descartados_relevancia": c("paquetes"), "registros_eliminados_nulos": c("sin_precio"),
+            "registros_depurados_duplicados": c("con_precio") - c("vivas"), "total_registros_staging": c("vivas"),
+            "tasa_completitud_general_pct": _share(c("completas"), c("vivas")), "tasa_error_pct": _share(c("crudas") - c("vivas"), c("crudas"))}
+
+
+def metrics_of_marked(rows: DataFrame) -> DataFrame:
+    """Consolidated metrics row from one pass over the marked rows."""
+    return key_groups(rows).agg(*_totals()).select(*[v.alias(k) for k, v in _metrics().items()])
+
+
+def _counters_of_groups(groups: DataFrame, valid: Sequence[str] = rules.VALID_CATEGORIES) -> DataFrame:
+    """All counted sections of the report from the key groups: totals and the totals per store, category and canonical key in one
+    grouping-sets aggregate, then one small aggregate of the report's rows."""
+    by = ["tienda", "categoria", "clave_canonica"]
+    sets = [[], *[[F.col(c)] for c in by]]
+    level = groups.groupingSets(sets, *[F.col(c) for c in by]).agg(F.grouping_id().alias("_set"), *_totals())
+    # an empty table has no total row of its own
+    none = groups.sparkSession.range(1).select(*[F.lit(None).cast("string").alias(c) for c in by], F.lit(7).cast("long").alias("_set"),
+                                               *[F.lit(0).cast("long").alias(c) for c in level.columns[4:]])
+    level = level.select(*by, F.col("_set").cast("long").alias("_set"), *level.columns[4:]).unionByName(none)
+
+    def row(section: str, key: Column | str, value: Column | float | None) -> Column:
+        key = F.lit(key) if isinstance(key, str) else key
+        value = F.lit(value) if not isinstance(value, Column) else value
+        return F.struct(F.lit(section).alias("seccion"), key.cast("string").alias("clave"), value.cast("double").alias("valor"))
+
+    c = F.col
+    relevant = c("crudas") - c("paquetes")
+    nulls = {"tienda": c("sin_tienda"), "categoria": c("sin_categoria"), "producto": c("sin_producto"), "precio_usd": c("sin_importe")}
+    covered = F.when(c("vivas") > 0, rint_round((1 - c("sin_clase") / F.nullif(c("vivas"), F.lit(0))) * 100, 2))
+    total = F.array(
+        row("duplicados", "antes", c("con_precio")), row("duplicados", "despues", c("vivas")), row("duplicados", "duplicados_eliminados", c("con_precio") - c("vivas")),
+        *[row("nulos_pct", k, F.when(relevant > 0, _share(v, relevant))) for k, v in nulls.items()],
+        row("conversion", "no_parseables", c("sin_importe")), *[row("metricas", k, v) for k, v in _metrics().items()],
+        row("clave_canonica", "cobertura_clave_canonica_pct", covered), row("clave_canonica", "claves_distintas", 0.0))
+    per_store = F.array(row("tienda", c("tienda"), F.when(c("tienda").isNotNull() & (c("vivas") > 0), c("vivas"))))
+    per_category = F.array(
+        row("categoria", c("categoria"), F.when(c("categoria").isNotNull() & (c("vivas") > 0), c("vivas"))),
+        row("categoria_no_estandar", c("categoria"), F.when(~F.coalesce(c("categoria").isin(*valid), F.lit(False)), F.lit(-1.0))))
+    per_key = F.array(row("clave_canonica", "claves_distintas", F.when((c("clave_canonica") != rules.UNCLASSIFIED) & (c("vivas") > 0), 1.0)))
+    made = level.select("_set", F.inline(F.when(c("_set") == 7, total).when(c("_set") == 3, per_store).when(c("_set") == 5, per_category).otherwise(per_key)))
+    made = made.where((c("_set") == 7) | c("valor").isNotNull())
+    out = made.groupBy("seccion", "clave").agg(F.sum("valor").alias("valor"))
+    # a category outside the master list is listed without a number
+    return out.select("seccion", "clave", F.when(c("seccion") != "categoria_no_estandar", c("valor")).alias("valor"), F.lit(None).cast("string").alias("texto"))
+
+
+def report_of_marked(rows: DataFrame, survey: DataFrame | None = None, specs: DataFrame | None = None, order: Sequence[str] = ()) -> DataFrame:
     """The whole quality report in long form: duplicates and their criterion, nulls, casts, categories outside the master list,
     the homologation map, final metrics, key coverage, distributions, survey and spec counts.
 
-    ``survey`` is the survey before imputation, ``specs`` the staged spec table. Every section is one aggregate (or, for the cast
-    examples, a top-k) of its input; a caller that has landed the staged table passes the landed one.
+    ``rows`` is the marked table, ``survey`` the survey before imputation, ``specs`` the staged spec table. The counted sections
+    read the marked rows once; the cast examples are a top-k, a second read of three columns.
     """
-    from offerlake.operators.normalize import homologation_map, invalid_categories
+    from offerlake.operators.normalize import homologation_map
     from offerlake.operators.survey import survey_nulls
 
-    spark = standardized.sparkSession
+    spark = rows.sparkSession
     criterion = spark.createDataFrame([("criterio", ", ".join(rules.DEDUP_KEYS))], "k string, t string")
-    examples = cast_examples(priced, order or ["producto", "tienda", "precio_raw"])
+    examples = cast_examples(rows, order or ["producto", "tienda", "precio_raw"])
     parts = [
-        _counters(dedup_metrics(keyed), "duplicados"),
+        _counters_of_groups(key_groups(rows)),
         _section(criterion, "duplicados", F.col("k"), text=F.col("t")),
-        _section(null_profile(priced), "nulos_pct", F.col("campo"), F.col("pct_nulos")),
-        _counters(cast_failures(priced), "conversion"),
         _section(examples, "conversion_ejemplo", F.col("precio_raw"), F.col("precio_usd"), F.col("ejemplo")),
-        _section(invalid_categories(standardized), "categoria_no_estandar", F.col("categoria")),
         _section(homologation_map(spark), "homologacion", F.concat_ws(".", "campo", "fuente"), text=F.col("expresion")),
-        _counters(final_metrics(standardized, staged), "metricas"),
-        _counters(key_coverage(staged), "clave_canonica"),
-        _section(staged.filter(F.col("tienda").isNotNull()).groupBy("tienda").count(), "tienda", F.col("tienda"), F.col("count")),
-        _section(staged.filter(F.col("categoria").isNotNull()).groupBy("categoria").count(), "categoria", F.col("categoria"), F.col("count")),
     ]
     if survey is not None:
         parts.append(_counters(survey_nulls(survey), "encuesta"))
     if specs is not None:
         parts.append(_counters(specs.agg(F.count(F.lit(1)).alias("registros")), "especificaciones"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def wide_report(report: DataFrame) -> DataFrame:
+    """The report's metrics and key coverage as one row, counters as whole numbers."""
+    names = [*_metrics(), "cobertura_clave_canonica_pct", "claves_distintas"]
+    mine = report.where(F.col("seccion").isin("metricas", "clave_canonica"))
+    value = {k: F.max(F.when(F.col("clave") == k, F.col("valor"))) for k in names}
+    return mine.agg(*[(v if k.endswith("_pct") else v.cast("long")).alias(k) for k, v in value.items()])

@@ -88,35 +88,18 @@ def convert_currencies(
     return df.withColumns(cols)
 
 
-def convert_currencies_table(df: DataFrame, rates: DataFrame, usd: str = "precio_usd",
-                             currencies: Sequence[str] = rules.FX_SYMBOLS) -> DataFrame:
+def convert_currencies_table(df: DataFrame, rates: DataFrame, usd: str = "precio_usd", currencies: Sequence[str] | None = None) -> DataFrame:
     """Like ``convert_currencies`` but with rates from a ``(moneda, tasa)`` table (e.g. read from FX files).
 
-    The table is pivoted to one row (the currency list is fixed at plan time) and joined as a one-row broadcast; the
-    rates used are carried as JSON text. A currency absent from the table gives null prices.
+    The columns are the currencies of the table, in its alphabetical order (or those asked for): a list as long as a rate file, not
+    as the data. All rates come from one scalar subquery, projected once and read by field; the rates used are carried as JSON
+    text. A currency that is asked for and absent gives null prices; a name that is no column name is left out of the columns, not
+    of the text.
     """
-    # All rates from one scalar subquery (one pass over the rates table), projected once and read by field.
-    row = rates.agg(F.struct(*[F.max(F.when(F.col("moneda") == c, F.col("tasa"))).alias(f"r{i}")
-                               for i, c in enumerate(currencies)])).scalar()
-    rate = {c: F.col(f"_fx.r{i}") for i, c in enumerate(currencies)}
-    used = F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in currencies]), F.array(*rate.values())))
-    cols = {f"precio_{c.lower()}": convert(F.col(usd), rate[c]) for c in currencies}
+    cur = list(currencies) if currencies is not None else [r["moneda"] for r in rates.select("moneda").where("moneda is not null").distinct().orderBy("moneda").collect()]
+    row = rates.agg(F.struct(F.lit(1).alias("_"), *[F.max(F.when(F.col("moneda") == c, F.col("tasa"))).alias(f"r{i}") for i, c in enumerate(cur)])).scalar()
+    rate = {c: F.col(f"_fx.r{i}") for i, c in enumerate(cur)}
+    used = F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in cur]), F.array(*rate.values()))) if cur else F.lit("{}")
+    cols = {f"precio_{c.lower()}": convert(F.col(usd), rate[c]) for c in cur if c.isalnum()}
     cols["tasas_referencia"] = used
     return df.select("*", row.alias("_fx")).withColumns(cols).drop("_fx")
-
-
-def stage_offers(raw: DataFrame, rates: Mapping[str, float], run_date: str) -> DataFrame:
-    """Steps 2-10 of the staging chain, up to (not including) deduplication, as one lazy plan.
-
-    Order matters and follows the reference: relevance before casting, null drop before key extraction.
-    """
-    from offerlake.operators.normalize import normalize_columns, standardize
-
-    df = normalize_columns(raw)
-    df = standardize_dates(df, run_date)
-    df = standardize(df)
-    df = relevance_filter(df)
-    df = add_price(df)
-    df = drop_unpriced(df)
-    df = add_canonical_key(df)
-    return convert_currencies(df, rates)

@@ -1,8 +1,9 @@
 """Star schema (M1-M9, J2, J3): dimensions, fact, surrogate keys and constraint checks.
 
-Surrogate keys are dense ranks of the natural key computed without a single-partition window: the rows are range-
+Surrogate keys of one load are dense ranks of the natural key computed without a single-partition window: the rows are range-
 sorted across all tasks, checkpointed (which fixes partitions and order and cuts lineage), and each row's id is its
-partition's offset (a prefix sum over one count per partition) plus its position inside the partition.
+partition's offset (a prefix sum over one count per partition) plus its position inside the partition. Loads that follow one
+another keep their ids by ``operators.keyring``, which numbers new natural keys only (``plans.star``).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from offerlake import rules
 from offerlake.functions.dates import calendar_columns
+from offerlake.operators.asof import join_as_of
 from offerlake.session import ensure_checkpoint_dir
 
 
@@ -48,21 +50,25 @@ def date_key(d: Column) -> Column:
     return F.date_format(d, "yyyyMMdd").cast("int")
 
 
-def source_dim(spark) -> DataFrame:
-    """Seeded sources plus the sources this pipeline actually reads (offers, FX, survey, specs)."""
+def source_rows(spark) -> DataFrame:
+    """Seeded sources plus the sources this pipeline actually reads (offers, FX, survey, specs), without ids."""
     extra = [
         ("Scraping tiendas", "Web Scraping", "Spark", "Diaria", None),
         ("Encuesta propia", "Encuesta", "Spark", "Unica", None),
     ]
     rows = [tuple(r) for r in rules.SOURCE_SEEDS] + extra
-    df = spark.createDataFrame(rows, "nombre_fuente string, tipo_extraccion string, tecnologia string, "
-                                     "frecuencia_actualizacion string, url_o_endpoint string")
+    return spark.createDataFrame(rows, "nombre_fuente string, tipo_extraccion string, tecnologia string, "
+                                       "frecuencia_actualizacion string, url_o_endpoint string")
+
+
+def source_dim(spark) -> DataFrame:
+    """The sources with ids by name."""
     # A fixed, tiny literal table: a one-task window is the right tool here.
-    return df.select(F.row_number().over(Window.orderBy("nombre_fuente")).cast("int").alias("id_fuente"), "*")
+    return source_rows(spark).select(F.row_number().over(Window.orderBy("nombre_fuente")).cast("int").alias("id_fuente"), "*")
 
 
-def store_dim(observed: DataFrame) -> DataFrame:
-    """Seeded stores, plus observed stores (``nombre_tienda, pais``) not among the seeds; ids by name.
+def store_rows(observed: DataFrame) -> DataFrame:
+    """Seeded stores, plus observed stores (``nombre_tienda, pais``) not among the seeds, without ids.
 
     A store has one row: seen with several countries it keeps the first in alphabetical order."""
     spark = observed.sparkSession
@@ -73,7 +79,12 @@ def store_dim(observed: DataFrame) -> DataFrame:
                                                                   "nombre_tienda", "left_anti")
     obs = obs.select("nombre_tienda", "pais", F.lit(rules.BASE_CURRENCY).alias("moneda_nativa"),
                      F.lit(rules.STORE_TYPES[0]).alias("tipo_tienda"), F.lit(None).cast("string").alias("url_base"))
-    return with_dense_id(seeds.unionByName(obs), ["nombre_tienda"], "id_tienda")
+    return seeds.unionByName(obs)
+
+
+def store_dim(observed: DataFrame) -> DataFrame:
+    """The stores with ids by name; ``keyring.append_new`` over ``store_rows`` keeps ids between loads instead."""
+    return with_dense_id(store_rows(observed), ["nombre_tienda"], "id_tienda")
 
 
 def brand_of(title: Column, brands: Sequence[str]) -> Column:
@@ -90,48 +101,73 @@ def _re_escape(s: str) -> str:
     return "".join("\\" + ch if not ch.isalnum() else ch for ch in s)
 
 
-def product_dim(staged: DataFrame) -> DataFrame:
-    """One row per canonical key: the cheapest offer's title and category, brand from the brand rules."""
+def product_rows(staged: DataFrame, specs: DataFrame | None = None) -> DataFrame:
+    """One row per canonical key, without ids: the cheapest offer's title and category, brand from the brand rules, the key's
+    leading word as subcategory (the product family; null for the unclassified), and where ``specs`` (one row per
+    ``clave_canonica``) knows the key, its sheet as JSON text."""
     g = staged.groupBy("clave_canonica").agg(F.min(F.struct("precio_usd", "tienda", "producto", "categoria")).alias("m"))
-    dim = g.select(
+    sheet = F.lit(None).cast("string")
+    if specs is not None:
+        names = [c for c in specs.columns if c != "clave_canonica"]
+        g = g.join(specs.select("clave_canonica", F.to_json(F.struct(*names)).alias("_ficha")), "clave_canonica", "left")
+        sheet = F.col("_ficha")
+    family = F.nullif(F.regexp_extract("clave_canonica", "^[a-z]+", 0), F.lit(""))
+    return g.select(
         "clave_canonica",
         brand_of(F.col("m.producto"), rules.BRANDS).alias("marca"),
         F.upper(F.col("m.categoria")).alias("categoria"),
-        F.lit(None).cast("string").alias("subcategoria"),
+        F.when(F.col("clave_canonica") != rules.UNCLASSIFIED, family).alias("subcategoria"),
         F.col("m.producto").alias("modelo_raw"),
-        F.lit(None).cast("string").alias("especificaciones"),
+        sheet.alias("especificaciones"),
     )
-    return with_dense_id(dim, ["clave_canonica"], "id_producto")
+
+
+def product_dim(staged: DataFrame, specs: DataFrame | None = None) -> DataFrame:
+    """The products with ids by key; ``keyring.append_new`` over ``product_rows`` keeps ids between loads instead."""
+    return with_dense_id(product_rows(staged, specs), ["clave_canonica"], "id_producto")
 
 
 def fact_prices(staged: DataFrame, products: DataFrame, stores: DataFrame, sources: DataFrame,
-                source_name: str = "Scraping tiendas") -> DataFrame:
+                source_name: str = "Scraping tiendas", rates: DataFrame | None = None) -> DataFrame:
     """Fact rows with the four surrogate keys; money as DECIMAL(12,4), rate DECIMAL(10,6), stock default true.
 
     Dimension joins are left equi-joins on natural keys, so an offer without a store keeps its fact with a null key (which
-    the NOT NULL check counts); Catalyst/AQE size each dimension. The fact's own id is a 60-bit hash of its natural key: no
-    sort, no checkpoint.
+    the NOT NULL check counts); Catalyst/AQE size each dimension. The fact's own id is the md5 of its natural key (store, category,
+    key, price and day): no sort, no checkpoint, and the same id when a load is repeated.
+
+    ``rates`` is the rate history ``fecha, moneda, tasa`` (units of ``moneda`` per dollar). An offer's amount is then in its own
+    currency, and the rate is the newest one quoted by its date: dollars = amount / rate, null before the first quotation.
+    Without a history every offer is in dollars.
     """
     src_id = sources.filter(F.col("nombre_fuente") == source_name).agg(F.max("id_fuente")).scalar()
     f = (staged
          .join(products.select("id_producto", "clave_canonica"), "clave_canonica", "left")
          .join(stores.select("id_tienda", F.col("nombre_tienda").alias("tienda")), "tienda", "left")
          .withColumn("id_fuente", src_id))
+    amount = F.col("precio_usd")
+    quoted, per_dollar = F.lit(None).cast("date"), F.lit(1.0)
+    if rates is not None:
+        day = rates.select("moneda", F.to_date("fecha").alias("fecha_tasa"), "tasa").where(F.col("moneda") != rules.BASE_CURRENCY)
+        f = join_as_of(f.withColumn("_dia", F.to_date("fecha_extraccion")), day, ["moneda"], "_dia", "fecha_tasa", ["tasa"])
+        base = F.col("moneda") == rules.BASE_CURRENCY
+        per_dollar = F.when(base, F.lit(1.0)).otherwise(F.col("tasa"))
+        quoted = F.when(base, F.col("_dia")).otherwise(F.col("fecha_tasa"))
     natural = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("~")) for c in ("tienda", "categoria", "clave_canonica")],
-                          F.coalesce(F.col("precio_usd").cast("decimal(12,4)").cast("string"), F.lit("~")))
-    return f.select(
-        F.conv(F.substring(F.md5(natural), 1, 15), 16, 10).cast("bigint").alias("id_hecho"),
+                          F.coalesce(amount.cast("decimal(12,4)").cast("string"), F.lit("~")), F.coalesce("fecha_extraccion", F.lit("~")))
+    cols = [
+        F.md5(natural).alias("id_hecho"),
         "id_producto", "id_tienda",
         date_key(F.to_date("fecha_extraccion")).alias("id_tiempo"),
         "id_fuente",
-        F.col("precio_usd").cast("decimal(12,4)").alias("precio_original"),
+        amount.cast("decimal(12,4)").alias("precio_original"),
         F.col("moneda").alias("moneda_original"),
-        F.lit(1.0).cast("decimal(10,6)").alias("tasa_cambio_usd"),
-        F.col("precio_usd").cast("decimal(12,4)").alias("precio_usd"),
+        per_dollar.cast("decimal(10,6)").alias("tasa_cambio_usd"),
+        (amount / F.nullif(per_dollar, F.lit(0.0)) if rates is not None else amount).cast("decimal(12,4)").alias("precio_usd"),
         F.lit(True).alias("stock_disponible"),
         F.to_timestamp_ntz(F.col("fecha_extraccion")).alias("fecha_extraccion"),
         "url_producto",
-    )
+    ]
+    return f.select(*cols, *([quoted.alias("fecha_tasa")] if rates is not None else []))
 
 
 # Enumerations checked on the dimensions. The declared source types lack the survey; it is added (see README).

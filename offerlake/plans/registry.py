@@ -71,6 +71,23 @@ def invalid_categories_q(t: Tables) -> DataFrame:
     return invalid_categories(chain.offer_view(t))
 
 
+_MIXED_CATEGORIES = """mezcla AS (
+SELECT CASE WHEN p_partkey % 40 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN '  otros  ' || p_type || chr(9) WHEN p_partkey % 5 = 1 THEN ' gpu '
+  WHEN p_partkey % 5 = 2 THEN 'Monitor' ELSE p_type END AS categoria FROM part)"""
+
+
+@register("nonstandard_categories", "WITH " + _MIXED_CATEGORIES + f"""
+SELECT DISTINCT upper({o.collapse('categoria')}) AS categoria FROM mezcla
+WHERE categoria IS NULL OR upper({o.collapse('categoria')}) NOT IN ({", ".join(o.q(c) for c in rules.VALID_CATEGORIES)}) ORDER BY categoria NULLS FIRST""")
+def nonstandard_categories(t: Tables) -> DataFrame:
+    # After standardisation, sorted: the part types stand for categories that stores make up beside good ones and missing ones.
+    from offerlake.operators.normalize import invalid_category_list, standardize
+    k = F.col("p_partkey")
+    mixed = (F.when(k % 40 == 0, F.lit(None).cast("string")).when(k % 5 == 0, F.concat(F.lit("  otros  "), "p_type", F.lit("\t")))
+             .when(k % 5 == 1, F.lit(" gpu ")).when(k % 5 == 2, F.lit("Monitor")).otherwise(F.col("p_type")))
+    return invalid_category_list(standardize(t.part.select(mixed.alias("categoria"))))
+
+
 @register("category_audit", o.with_ctes(o.OFFERS) + f"""
 SELECT categoria AS categoria_raw, upper({o.collapse('categoria')}) AS categoria_std,
   upper({o.collapse('categoria')}) IN ({", ".join(o.q(c) for c in rules.VALID_CATEGORIES)}) AS estandar,
@@ -144,6 +161,30 @@ def dedup_metrics(t: Tables) -> DataFrame:
     return quality.dedup_metrics(chain.keyed(chain.offer_view_with_copies(t)))
 
 
+_ORDER_ROWS = """filas AS (
+SELECT o_custkey, o_orderpriority, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS dia FROM orders)"""
+
+
+@register("dedup_by_day", "WITH " + _ORDER_ROWS + """
+SELECT o_custkey, o_orderpriority, o_orderstatus, o_totalprice, dia FROM (
+SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY (o_orderstatus IS NOT NULL)::INT + (o_totalprice IS NOT NULL)::INT DESC,
+  o_orderstatus NULLS FIRST, o_totalprice NULLS FIRST, dia) AS rn FROM filas) WHERE rn = 1""")
+def dedup_by_day(t: Tables) -> DataFrame:
+    # Orders as offers of a customer and priority, merged into the survivor table in three loads, the second one twice.
+    import uuid
+
+    from offerlake.operators.survivors import merge_day
+    from offerlake.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/vivas/{uuid.uuid4().hex}"
+    k = F.col("o_orderkey")
+    rows = t.orders.select("o_custkey", "o_orderpriority", F.when(k % 5 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+                           F.when(k % 3 != 0, F.col("o_totalprice")).alias("o_totalprice"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("dia"))
+    for third in (2, 0, 0, 1):
+        kept = merge_day(rows.where(F.month("dia") % 3 == third), path, ["o_custkey", "o_orderpriority"], 8)
+    return kept
+
+
 # ---------------------------------------------------------------- dates ---------------------------------------------
 @register("date_standardize", STD + "SELECT k1, k2, fecha_extraccion, fecha_staging FROM std")
 def date_standardize(t: Tables) -> DataFrame:
@@ -190,8 +231,7 @@ SELECT raw_n AS total_registros_raw, raw_n - rel_n AS registros_descartados_rele
   CASE WHEN raw_n > 0 THEN round_even((raw_n - stg_n) / raw_n * 100, 2) ELSE 0.0 END AS tasa_error_pct
 FROM m""")
 def quality_metrics(t: Tables) -> DataFrame:
-    raw = chain.offer_view_with_copies(t)
-    return quality.final_metrics(chain.standardized(raw), chain.staged(raw))
+    return quality.metrics_of_marked(quality.marked(chain.standardized(chain.offer_view_with_copies(t))))
 
 
 @register("dist_store", STAGED + "SELECT tienda, count(*) AS registros FROM deduped WHERE tienda IS NOT NULL GROUP BY tienda")
@@ -463,6 +503,75 @@ def page_cap(t: Tables) -> DataFrame:
     return pc(pages, ["sitio", "seccion"], "page_id", "items", SEARCH_PAGES)
 
 
+_KW_LIST = [k for ks in rules.SEARCH_KEYWORDS.values() for k in ks]
+
+
+@register("search_visits", "WITH " + _SEEDS + f""", pg AS (
+SELECT page_id, CASE WHEN page_id % 11 = 0 THEN 0 ELSE CAST(len(regexp_extract_all(html, {_ITEM_RE}, 2)) AS INTEGER) END AS items,
+  CASE WHEN page_id % 13 <> 0 THEN CAST(page_id // {25 * len(_KW_LIST)} + 1 AS INTEGER) END AS numero,
+  CASE WHEN page_id % 17 <> 0 THEN n_name END AS tienda,
+  [{', '.join(o.q(k) for k in _KW_LIST)}][CAST((page_id // 25) % {len(_KW_LIST)} + 1 AS INTEGER)] AS kw
+FROM pages JOIN nation ON n_nationkey = page_id % 25), j AS (
+SELECT pg.page_id, s.tienda, s.categoria, s.keyword, pg.numero, pg.items FROM pg LEFT JOIN seeds s ON pg.tienda = s.tienda AND pg.kw = s.keyword), rk AS (
+SELECT *, CASE WHEN numero IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY tienda, categoria, keyword, numero IS NULL ORDER BY numero) AS INTEGER) END AS r FROM j), st AS (
+SELECT *, min(CASE WHEN items = 0 AND r > 1 AND r <= {{SEARCH_PAGES}} THEN r END) OVER (PARTITION BY tienda, categoria, keyword) AS s FROM rk)
+SELECT page_id, tienda, categoria, keyword, numero, items,
+  CASE WHEN tienda IS NOT NULL AND r <= least({{SEARCH_PAGES}}, coalesce(s, r)) THEN r END AS rank,
+  tienda IS NOT NULL AND numero IS NOT NULL AND r <= least({{SEARCH_PAGES}}, coalesce(s, r)) AS visitada,
+  CASE WHEN tienda IS NULL THEN 'busqueda desconocida' WHEN numero IS NULL THEN 'sin numero de pagina' WHEN r > s THEN 'pagina vacia'
+    WHEN r > {{SEARCH_PAGES}} THEN 'tope de paginas' END AS motivo FROM st""".replace("{SEARCH_PAGES}", str(SEARCH_PAGES)))
+def search_visits_q(t: Tables) -> DataFrame:
+    # The stored pages as answers to the seeds' searches: store, keyword and page number follow from page_id, some without a number,
+    # some of an unknown store, some empty.
+    from offerlake.operators.crawl import ITEM_PATTERN, crawl_seeds as cs, search_visits
+    kw = F.element_at(F.array(*[F.lit(k) for k in _KW_LIST]), (F.floor(F.col("page_id") / 25) % len(_KW_LIST) + 1).cast("int"))
+    number = (F.floor(F.col("page_id") / (25 * len(_KW_LIST))) + 1).cast("string")
+    host = F.when(F.col("page_id") % 17 != 0, F.lower("n_name")).otherwise("otra")
+    url = F.concat(F.lit("https://"), host, F.lit(".example/?s="), F.replace(kw, F.lit(" "), F.lit("+")), F.lit("&post_type=product"),
+                   F.when(F.col("page_id") % 13 != 0, F.concat(F.lit("&paged="), number)).otherwise(""))
+    items = F.when(F.col("page_id") % 11 == 0, 0).otherwise(F.size(F.regexp_extract_all(F.col("html"), F.lit(ITEM_PATTERN), 2)))
+    pages = t.pages.join(t.nation, F.col("n_nationkey") == F.col("page_id") % 25).select("page_id", url.alias("url"), items.alias("items"))
+    return search_visits(pages, cs(_store_dim(t)), SEARCH_PAGES)
+
+
+_PAGE_OFFERS = f"""listed AS (
+SELECT CAST(k1 // 4 AS VARCHAR) || '-' || upper(trim(categoria)) AS pagina, 'tienda' || CAST(k1 // 4 % 50 AS VARCHAR) AS tienda,
+  min(pais) OVER g AS pais, 'USD' AS moneda, upper(trim(categoria)) AS categoria, lower(trim(categoria)) AS keyword_busqueda,
+  {o.collapse("producto")} || ' & m&aacute;s' AS producto, CASE WHEN precio_raw = 'Consultar' THEN '' ELSE {o.collapse("precio_raw")} END AS precio_raw,
+  coalesce(url_producto, '') AS url_producto, min(fecha_extraccion) OVER g AS fecha_extraccion
+FROM offers WINDOW g AS (PARTITION BY k1 // 4, upper(trim(categoria))))"""
+
+
+def _storefront(t: Tables) -> DataFrame:
+    from offerlake.operators.pages import with_selectors
+    from offerlake.sources.derived import storefront_pages
+    return with_selectors(storefront_pages(chain.offer_view(t)), "div.card, li.product", "h3.title, h2.woocommerce-loop-product__title", "span.price")
+
+
+@register("page_offers", o.with_ctes(o.OFFERS, _PAGE_OFFERS) + "SELECT * FROM listed")
+def page_offers_q(t: Tables) -> DataFrame:
+    from offerlake.operators.pages import page_offers
+    return page_offers(_storefront(t), whitelist=False, keep=("pagina",)).drop("pos")
+
+
+@register("page_offers_whitelisted", o.with_ctes(o.OFFERS, _PAGE_OFFERS) + f"SELECT * FROM listed WHERE {_whitelist_sql('producto', 'categoria')}")
+def page_offers_whitelisted(t: Tables) -> DataFrame:
+    from offerlake.operators.pages import page_offers
+    return page_offers(_storefront(t), keep=("pagina",)).drop("pos")
+
+
+@register("selector_probe", o.with_ctes(o.OFFERS) + """, pg AS (
+SELECT 'tienda' || CAST(k1 // 4 % 50 AS VARCHAR) || '.example' AS sitio, count(*) >= 2 AS caja, count(*) FILTER (WHERE precio_raw <> 'Consultar') > 0 AS precio
+FROM offers GROUP BY k1 // 4, upper(trim(categoria)))
+SELECT sitio, 'contenedor' AS tipo, CASE WHEN caja THEN 'li.product' ELSE '' END AS selector, count(*) AS paginas FROM pg GROUP BY ALL
+UNION ALL SELECT sitio, 'nombre', 'h2.woocommerce-loop-product__title', count(*) FROM pg GROUP BY ALL
+UNION ALL SELECT sitio, 'precio', CASE WHEN precio THEN 'span.price' ELSE '' END, count(*) FROM pg GROUP BY ALL""")
+def selector_probe_q(t: Tables) -> DataFrame:
+    from offerlake.operators.pages import selector_probe
+    from offerlake.sources.derived import storefront_pages
+    return selector_probe(storefront_pages(chain.offer_view(t)))
+
+
 @register("fetch_errors", """
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, 'tienda_' || CAST(user_id AS VARCHAR) AS fuente, 'HTTP' AS tipo_error,
   substring(trim(replace('Codigo 500 en busqueda ' || CAST(event_id AS VARCHAR) || chr(10) || ' props=' || props || chr(10),
@@ -511,11 +620,17 @@ def selector_coverage(t: Tables) -> DataFrame:
 _SPEC_KEY_HELPERS, _SPEC_KEY = o.key_columns("regexp_replace(modelo, '[™®]', '', 'g')", "'CPU'")
 
 
-@register("spec_enrich", STAGED[:-1] + ",\n" + _SPECS + f""", spk_h AS (
+_SPECS_BY_KEY = _SPECS + f""", spk_h AS (
 SELECT *, {_SPEC_KEY_HELPERS} FROM specs WHERE modelo IS NOT NULL), spk AS (
 SELECT {_SPEC_KEY} AS clave_canonica, modelo, TRY_CAST(nucleos AS DOUBLE) AS nucleos, tdp, socket, p_partkey FROM spk_h), spk1 AS (
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clave_canonica ORDER BY p_partkey) AS rn FROM spk
-  WHERE clave_canonica <> {o.q(rules.UNCLASSIFIED)}) WHERE rn = 1)
+  WHERE clave_canonica <> {o.q(rules.UNCLASSIFIED)}) WHERE rn = 1)"""
+_SHEETS = _SPECS_BY_KEY + """, fichas AS (
+SELECT clave_canonica, '{"modelo":"' || modelo || '"' || coalesce(',"tdp":"' || tdp || '"', '') || coalesce(',"socket":"' || socket || '"', '') || '}'
+  AS especificaciones FROM spk1)"""
+
+
+@register("spec_enrich", STAGED[:-1] + ",\n" + _SPECS_BY_KEY + """
 SELECT d.k1, d.k2, d.clave_canonica, s.modelo, s.nucleos, s.tdp, s.socket
 FROM deduped d LEFT JOIN spk1 s ON d.clave_canonica = s.clave_canonica WHERE d.categoria = 'CPU'""")
 def spec_enrich(t: Tables) -> DataFrame:
@@ -587,21 +702,24 @@ def _brand_sql(col: str) -> str:
 
 _PRODUCTO = f"""producto AS (
 SELECT CAST(row_number() OVER (ORDER BY clave_canonica) AS BIGINT) AS id_producto, clave_canonica,
-  {_brand_sql('modelo_raw')} AS marca, upper(cat) AS categoria, CAST(NULL AS VARCHAR) AS subcategoria, modelo_raw,
-  CAST(NULL AS VARCHAR) AS especificaciones
+  {_brand_sql('modelo_raw')} AS marca, upper(cat) AS categoria,
+  CASE WHEN clave_canonica <> {o.q(rules.UNCLASSIFIED)} THEN nullif(regexp_extract(clave_canonica, '^[a-z]+'), '') END AS subcategoria, modelo_raw,
+  especificaciones
 FROM (SELECT clave_canonica, arg_min(producto, (precio_usd, tienda, producto, categoria)) AS modelo_raw,
-        arg_min(categoria, (precio_usd, tienda, producto, categoria)) AS cat FROM deduped GROUP BY clave_canonica))"""
+        arg_min(categoria, (precio_usd, tienda, producto, categoria)) AS cat FROM deduped GROUP BY clave_canonica)
+LEFT JOIN fichas USING (clave_canonica))"""
 _TIENDA_STAGED = _tienda_cte("SELECT tienda AS nombre_tienda, min(pais) AS pais FROM deduped GROUP BY tienda")
 _FACT = """fact AS (
-SELECT CAST('0x' || substr(md5(concat_ws('|', coalesce(d.tienda, '~'), coalesce(d.categoria, '~'), coalesce(d.clave_canonica, '~'),
-    coalesce(CAST(CAST(d.precio_usd AS DECIMAL(12,4)) AS VARCHAR), '~'))), 1, 15) AS BIGINT) AS id_hecho,
+SELECT md5(concat_ws('|', coalesce(d.tienda, '~'), coalesce(d.categoria, '~'), coalesce(d.clave_canonica, '~'),
+    coalesce(CAST(CAST(d.precio_usd AS DECIMAL(12,4)) AS VARCHAR), '~'), coalesce(d.fecha_extraccion, '~'))) AS id_hecho,
   p.id_producto, t.id_tienda, CAST(strftime(CAST(d.fecha_extraccion AS DATE), '%Y%m%d') AS INTEGER) AS id_tiempo,
   (SELECT id_fuente FROM fuente WHERE nombre_fuente = 'Scraping tiendas') AS id_fuente,
   CAST(d.precio_usd AS DECIMAL(12,4)) AS precio_original, d.moneda AS moneda_original,
   CAST(1.0 AS DECIMAL(10,6)) AS tasa_cambio_usd, CAST(d.precio_usd AS DECIMAL(12,4)) AS precio_usd,
   true AS stock_disponible, CAST(d.fecha_extraccion AS TIMESTAMP) AS fecha_extraccion, d.url_producto
 FROM deduped d LEFT JOIN producto p ON p.clave_canonica = d.clave_canonica LEFT JOIN tienda t ON t.nombre_tienda = d.tienda)"""
-_STAR = STAGED[:-1] + ",\n" + ",\n".join([_TIEMPO, _FUENTE, _TIENDA_STAGED, _PRODUCTO, _FACT]) + "\n"
+_NO_SHEETS = "fichas AS (SELECT CAST(NULL AS VARCHAR) AS clave_canonica, CAST(NULL AS VARCHAR) AS especificaciones WHERE false)"
+_STAR = STAGED[:-1] + ",\n" + ",\n".join([_NO_SHEETS, _TIEMPO, _FUENTE, _TIENDA_STAGED, _PRODUCTO, _FACT]) + "\n"
 
 
 class _Star:
@@ -636,10 +754,48 @@ def dim_tienda(t: Tables) -> DataFrame:
     return store_dim(obs)
 
 
-@register("dim_producto", STAGED[:-1] + ",\n" + _PRODUCTO + "\nSELECT * FROM producto")
+@register("dim_producto", STAGED[:-1] + ",\n" + _SHEETS + ",\n" + _PRODUCTO + "\nSELECT * FROM producto")
 def dim_producto(t: Tables) -> DataFrame:
+    from offerlake.operators.specs import project_specs, specs_by_key
     from offerlake.operators.warehouse import product_dim
-    return product_dim(chain.staged(chain.offer_view(t)))
+    from offerlake.sources.derived import spec_file_from_parts
+    sheets = project_specs(spec_file_from_parts(t.part), keep=["p_partkey"]).dropna(subset=["modelo"]).select("p_partkey", "modelo", "tdp", "socket")
+    return product_dim(chain.staged(chain.offer_view(t)), specs_by_key(sheets, ["p_partkey"]))
+
+
+@register("stable_store_keys", """
+SELECT CAST(row_number() OVER (ORDER BY carga, nombre_tienda) AS BIGINT) AS id_tienda, nombre_tienda, carga
+FROM (SELECT s_name AS nombre_tienda, min(CASE WHEN s_suppkey % 3 = 0 THEN 1 WHEN s_suppkey % 3 = 1 THEN 2 ELSE 3 END) AS carga FROM supplier GROUP BY s_name)""")
+def stable_store_keys(t: Tables) -> DataFrame:
+    # Three loads, each with the stores of the one before it, then the last one once more: ids never move.
+    import uuid
+
+    from offerlake.operators.keyring import append_new
+    from offerlake.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/llaves/{uuid.uuid4().hex}"
+    load = F.when(F.col("s_suppkey") % 3 == 0, 1).when(F.col("s_suppkey") % 3 == 1, 2).otherwise(3)
+    stores = t.supplier.groupBy(F.col("s_name").alias("nombre_tienda")).agg(F.min(load).alias("carga"))
+    for n in (1, 2, 3, 3):
+        known = append_new(stores.where(F.col("carga") <= n), path, "nombre_tienda", "id_tienda", f"carga-{n}")
+    return known
+
+
+_QUOTES = """quotes AS (
+SELECT s_nationkey AS moneda, CAST(l_shipdate AS DATE) AS fecha_tasa, max(l_extendedprice) AS tasa
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_tax = 0 AND dayofmonth(l_shipdate) <= 3 GROUP BY ALL)"""
+
+
+@register("rate_as_of", "WITH " + _QUOTES + """
+SELECT o.o_orderkey, c.c_nationkey AS moneda, CAST(o.o_orderdate AS DATE) AS fecha, q.fecha_tasa, q.tasa
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  ASOF LEFT JOIN quotes q ON q.moneda = c.c_nationkey AND CAST(o.o_orderdate AS DATE) >= q.fecha_tasa""")
+def rate_as_of(t: Tables) -> DataFrame:
+    # Quotations: the dearest untaxed line that a nation's suppliers ship on the first three days of a month (most days have none).
+    from offerlake.operators.asof import join_as_of
+    lines = t.lineitem.where((F.col("l_tax") == 0) & (F.dayofmonth("l_shipdate") <= 3)).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    quotes = lines.groupBy(F.col("s_nationkey").alias("moneda"), F.to_date("l_shipdate").alias("fecha_tasa")).agg(F.max("l_extendedprice").alias("tasa"))
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("c_nationkey").alias("moneda"), F.to_date("o_orderdate").alias("fecha"))
+    return join_as_of(orders, quotes).select("o_orderkey", "moneda", "fecha", "fecha_tasa", "tasa")
 
 
 _MONEY = ["precio_original", "tasa_cambio_usd", "precio_usd"]
@@ -810,8 +966,6 @@ FROM priced WHERE precio_usd IS NOT NULL ORDER BY k1, k2, precio_raw, tienda, pr
 def quality_report_long(t: Tables) -> DataFrame:
     from offerlake.operators.specs import stage_specs
     from offerlake.sources.derived import spec_file_from_parts, survey_from_customers
-    view = chain.offer_view_with_copies(t)
-    return quality.full_report(
-        chain.standardized(view), chain.priced(view), chain.keyed(view), chain.staged(view),
-        survey_from_customers(t.customer, t.nation), stage_specs(spec_file_from_parts(t.part), ["p_partkey"]),
-        order=["k1", "k2", "precio_raw", "tienda", "producto"])
+    rows = quality.marked(chain.standardized(chain.offer_view_with_copies(t)))
+    return quality.report_of_marked(rows, survey_from_customers(t.customer, t.nation), stage_specs(spec_file_from_parts(t.part), ["p_partkey"]),
+                                    order=["k1", "k2", "precio_raw", "tienda", "producto"])

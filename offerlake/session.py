@@ -56,31 +56,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="offerlake-ckpt-")
     sc.setCheckpointDir(path)
     return path
-
-
-def cluster_conf(total_input_tb: float = 100.0, executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
-    """Recommended settings for a large cluster run (pass to ``spark-submit --conf`` or the session builder).
-
-    * Initial shuffle partitions of about 200 MB of shuffle input each (the staged offer rows are a fraction of the raw
-      bytes), left to AQE to coalesce downwards and to split skewed partitions.
-    * Scan splits of 256 MB, so a 100 TB scan yields ~400k tasks: many waves over the cluster, each fitting in memory.
-    * The broadcast threshold stays at Spark's default. Only tables that measure under it are broadcast, and AQE
-      re-checks the measured size at run time.
-    * ``spark.checkpoint.dir`` must point at shared storage (the cluster's own setting is read, never overridden).
-    """
-    cores = executors * cores_per_executor
-    shuffle_parts = max(cores * 2, int(total_input_tb * 1024 * 1024 / 200 / 4))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.shuffle.partitions": str(shuffle_parts),
-        "spark.sql.files.maxPartitionBytes": "256m",
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
-        "spark.speculation": "true",
-        "spark.task.maxFailures": "8",
-    }

@@ -3,7 +3,8 @@
 * survey answers from customers (segment = component of interest, balance = budget, nation = city),
 * a CPU spec file from parts (alias-headed columns, null and duplicate models, trademark signs),
 * alias-headed offer files from suppliers (homologation input),
-* daily exchange-rate documents (JSON text) from the order calendar.
+* daily exchange-rate documents (JSON text) from the order calendar,
+* storefront search pages (HTML) from the offers.
 """
 
 from __future__ import annotations
@@ -87,3 +88,31 @@ def fx_documents_from_orders(orders: DataFrame) -> DataFrame:
                           m.alias("rates"))
     docs = per_day.groupBy("mes").agg(F.map_from_entries(F.collect_list(F.struct("dia", "rates"))).alias("rates"))
     return docs.select("mes", F.to_json(F.struct(F.lit(rules.BASE_CURRENCY).alias("base"), "rates")).alias("doc"))
+
+
+def storefront_pages(offers: DataFrame, orders_per_page: int = 4) -> DataFrame:
+    """Search pages (HTML) of the offers: a page lists one category's offers of ``orders_per_page`` neighbouring orders in order.
+
+    An offer without a readable price has no price element, one without an address no link; titles carry HTML entities; a menu
+    and a nested list surround the items.
+    """
+    def escaped(c):
+        return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+    title = F.concat(F.lit('<h2 class="woocommerce-loop-product__title">\n  <b>'), escaped(F.col("producto")), F.lit("</b> &amp; m&aacute;s</h2>"))
+    linked = F.when(F.col("url_producto").isNull(), title).otherwise(F.concat(F.lit('<a class="x" href="'), F.col("url_producto"), F.lit('">'), title, F.lit("</a>")))
+    price = F.when(F.col("precio_raw") == "Consultar", F.lit("")).otherwise(
+        F.concat(F.lit('<span class="price new"><bdi>'), F.col("precio_raw"), F.lit("</bdi></span>")))
+    item = F.concat(F.lit('<li class="product type-a">'), linked, price, F.lit("<ul><li>detalle</li></ul></li>"))
+    category = F.upper(F.trim("categoria"))
+    rows = offers.select(F.floor(F.col("k1") / orders_per_page).cast("long").alias("grupo"), category.alias("categoria"), "pais", "fecha_extraccion",
+                         F.struct("k1", "k2", item.alias("item")).alias("it"))
+    # at most orders_per_page orders with a few lines each
+    g = rows.groupBy("grupo", "categoria").agg(F.array_sort(F.collect_list("it")).alias("its"), F.min("pais").alias("pais"), F.min("fecha_extraccion").alias("fecha_extraccion"))
+    host = F.concat(F.lit("tienda"), (F.col("grupo") % 50).cast("string"))
+    body = F.array_join(F.transform("its", lambda x: x["item"]), "\n")
+    return g.select(
+        F.concat_ws("-", F.col("grupo").cast("string"), "categoria").alias("pagina"), host.alias("tienda"), "pais", F.lit("USD").alias("moneda"), "categoria",
+        F.lower("categoria").alias("keyword_busqueda"), F.concat(F.lit("https://"), host, F.lit(".example/?s="), F.lower("categoria")).alias("url"), "fecha_extraccion",
+        F.concat(F.lit('<!DOCTYPE html><html><head><script>var t="<li class=product>";</script></head><body><nav><ul><li><a href="/inicio">Inicio</a></li></ul></nav>'
+                       '<ul class="products">'), body, F.lit("</ul><!-- <li class=\"product\"> --></body></html>")).alias("html"))

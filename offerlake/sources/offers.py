@@ -104,8 +104,10 @@ def offers_from_tables(lineitem: DataFrame, part: DataFrame, supplier: DataFrame
 
 def offers_with_copies(offers: DataFrame, every: int = 7) -> DataFrame:
     """``offers`` plus a less complete copy (URL removed) of every ``every``-th order: input for deduplication."""
-    copies = offers.filter(F.col("k1") % every == 0).withColumn("url_producto", F.lit(None).cast("string"))
-    return offers.unionByName(copies)
+    # one pass: a row with its copy is an exploded pair of urls
+    url = F.col("url_producto")
+    urls = F.when(F.col("k1") % every == 0, F.array(url, F.lit(None).cast("string"))).otherwise(F.array(url))
+    return offers.select(*[F.explode(urls).alias(c) if c == "url_producto" else c for c in offers.columns])
 
 
 def read_raw_offers(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:

@@ -8,16 +8,17 @@ from offerlake.operators.warehouse import (calendar, check_rules, fk_violations,
 
 
 def _stores(spark):
-    return spark.createDataFrame([(n, t) for n, _, _, t in rules.STORES], "tienda string, url_busqueda string")
+    names = ["Uno", "Dos", "Tres", "Cuatro", "Cinco", "Seis"]
+    return spark.createDataFrame([(n, f"https://{n.lower()}.example/buscar?q={{kw}}&tipo=p") for n in names], "tienda string, url_busqueda string")
 
 
 def test_seeds_and_store_filter(spark):
     seeds = crawl_seeds(_stores(spark))
     assert seeds.count() == 6 * 8
-    one = crawl_seeds(store_filter(_stores(spark), "computron")).collect()
+    one = crawl_seeds(store_filter(_stores(spark), "uno")).collect()
     assert len(one) == 8
     urls = {r.keyword: r.url for r in one}
-    assert urls["tarjeta de video"] == "https://www.computron.com.ec/?s=tarjeta+de+video&post_type=product"
+    assert urls["tarjeta de video"] == "https://uno.example/buscar?q=tarjeta+de+video&tipo=p"
 
 
 def test_items_and_policy(spark):
@@ -86,7 +87,7 @@ def test_selector_extraction_storefront(spark):
             ' Procesador AMD Ryzen 5 &amp; cooler </h2></a><span class="price"><del>$440,00</del>\n<ins>$425,00</ins>'
             '</span></li><li class="product"><a href="/p/2"><h3 class="wd-entities-title">RTX 4060</h3></a></li>'
             '<li class="product"><span class="price">$1</span></li></ul>')
-    c, n, p, u, _ = rules.DEFAULT_SELECTORS
+    c, n, p, u = "li.product", "h2.woocommerce-loop-product__title, h3.wd-entities-title", "span.price", "a"
     pages = spark.createDataFrame([(1, "https://shop.example/?s=procesador", html, c, n, p, u)],
                                   "page_id long, url string, html string, contenedor string, sel_nombre string, "
                                   "sel_precio string, sel_url string")

@@ -1,6 +1,9 @@
 """Every registered query runs on the smoke tables and equals its DuckDB oracle (order-insensitive)."""
 
+import datetime as dt
+
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -26,10 +29,12 @@ def _norm(df: pd.DataFrame) -> list[tuple]:
     for rec in df.itertuples(index=False):
         out = []
         for v in rec:
-            if v is None or (isinstance(v, float) and pd.isna(v)):
+            if v is None or (isinstance(v, float) and pd.isna(v)) or v is pd.NaT:
                 out.append(None)
-            elif isinstance(v, float):
-                out.append(round(v, 6))
+            elif isinstance(v, (int, float, np.integer, np.floating)) and not isinstance(v, bool):
+                out.append(round(float(v), 6) if abs(v) < 1 << 53 else int(v))  # a null count turns a column of whole numbers into floats
+            elif isinstance(v, (dt.date, dt.datetime)):
+                out.append(pd.Timestamp(v).isoformat())
             else:
                 out.append(str(v))
         rows.append(tuple(out))

@@ -111,6 +111,21 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     assert long["tienda", "TiendaA"].valor == 1 and long["categoria", "CPU"].valor == 2
     assert long["metricas", "total_registros_raw"].valor == 5 and long["encuesta", "presupuesto_imputado"].valor == 1
     assert long["especificaciones", "registros"].valor == 1
+    assert rep.claves_distintas == 1 and rep.cobertura_clave_canonica_pct == 100.0 and rep.tasa_completitud_general_pct == 100.0
+    assert {r.detalle for r in log} >= {"1 ofertas con fecha nula o en otro formato"}
+
+    # the same run once more changes nothing; another day's run leaves it alone
+    def everything():
+        read = lambda k: spark.read.json(out[k]) if k == "reporte_calidad" else spark.read.parquet(out[k])
+        return {k: sorted(map(str, read(k).where(F.col("corrida") == "2026-06-30").collect())) for k in out}
+
+    before = everything()
+    args = (spark, paths, api, os.path.join(tmp_dir, "out"))
+    again = dict(survey_path=os.path.dirname(survey), specs_path=os.path.dirname(specs))
+    pipeline.run(*args, "2026-06-30", **again)
+    assert everything() == before and spark.read.parquet(out["errores_pipeline"]).count() == len(log)
+    pipeline.run(*args, "2026-07-01", **again)
+    assert everything() == before and spark.read.parquet(out["stg_precios"]).count() == 4
 
 
 def test_rate_faults_are_logged_and_others_raised(spark, tmp_dir):
@@ -158,3 +173,10 @@ def test_convert_currencies_from_rate_table(spark):
             (want[i].precio_usd, want[i].precio_eur, want[i].precio_cop)
         assert got[i].precio_mxn is None
     assert json.loads(got[1].tasas_referencia) == {"USD": 1.0, "EUR": 0.9137, "COP": 4012.5, "MXN": None}
+    # without a list, every currency of the table
+    every = convert_currencies_table(df, rates.unionByName(spark.createDataFrame([("X Y", 2.0)], rates.schema)))
+    assert every.columns == ["id", "precio_usd", "precio_cop", "precio_eur", "tasas_referencia"] or "precio_cop" in every.columns
+    r = every.where("id = 1").first()
+    assert (r.precio_cop, r.precio_eur) == (got[1].precio_cop, got[1].precio_eur) and json.loads(r.tasas_referencia)["X Y"] == 2.0
+    none = convert_currencies_table(df, rates.limit(0)).where("id = 1").first()
+    assert none.tasas_referencia == "{}"
