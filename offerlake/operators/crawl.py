@@ -97,13 +97,12 @@ def search_visits(pages: DataFrame, seeds: DataFrame, max_pages: int, keyword_ke
     Host and keyword of the page's address are matched with those of the seeds' addresses, the page number is a parameter. A page of
     no seed is kept, unvisited, as ``busqueda desconocida``. Seeds are stores times keywords; Spark sizes the join.
     """
-    def part(url: Column, what: str, key: str | None = None) -> Column:
-        return F.try_parse_url(url, F.lit(what), F.lit(key)) if key else F.try_parse_url(url, F.lit(what))
+    def parameter(key: str) -> Column:
+        return F.try_parse_url("url", F.lit("QUERY"), F.lit(key))
 
-    url = F.col("url")
-    here = pages.select("page_id", part(url, "HOST").alias("_host"), part(url, "QUERY", keyword_key).alias("_kw"),
-                        part(url, "QUERY", page_key).try_cast("int").alias("numero"), "items")
-    mine = seeds.select("tienda", "categoria", "keyword", part(url, "HOST").alias("_host"), part(url, "QUERY", keyword_key).alias("_kw"))
+    host = F.lower(host_of(F.col("url")))  # a URL parser knows no host with an underscore
+    here = pages.select("page_id", host.alias("_host"), parameter(keyword_key).alias("_kw"), parameter(page_key).try_cast("int").alias("numero"), "items")
+    mine = seeds.select("tienda", "categoria", "keyword", host.alias("_host"), parameter(keyword_key).alias("_kw"))
     capped = page_cap(here.join(mine, ["_host", "_kw"], "left").drop("_host", "_kw"), ["tienda", "categoria", "keyword"], "numero", "items", max_pages)
     known = F.col("tienda").isNotNull()
     return capped.select("page_id", "tienda", "categoria", "keyword", "numero", "items", F.when(known, F.col("rank")).alias("rank"),

@@ -786,7 +786,7 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_tax = 0 AND dayofmo
 
 
 @register("rate_as_of", "WITH " + _QUOTES + """
-SELECT o.o_orderkey, c.c_nationkey AS moneda, CAST(o.o_orderdate AS DATE) AS fecha, q.fecha_tasa, q.tasa
+SELECT o.o_orderkey, c.c_nationkey AS moneda, strftime(o.o_orderdate, '%Y-%m-%d') AS fecha, strftime(q.fecha_tasa, '%Y-%m-%d') AS fecha_tasa, q.tasa
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   ASOF LEFT JOIN quotes q ON q.moneda = c.c_nationkey AND CAST(o.o_orderdate AS DATE) >= q.fecha_tasa""")
 def rate_as_of(t: Tables) -> DataFrame:
@@ -795,7 +795,8 @@ def rate_as_of(t: Tables) -> DataFrame:
     lines = t.lineitem.where((F.col("l_tax") == 0) & (F.dayofmonth("l_shipdate") <= 3)).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     quotes = lines.groupBy(F.col("s_nationkey").alias("moneda"), F.to_date("l_shipdate").alias("fecha_tasa")).agg(F.max("l_extendedprice").alias("tasa"))
     orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("c_nationkey").alias("moneda"), F.to_date("o_orderdate").alias("fecha"))
-    return join_as_of(orders, quotes).select("o_orderkey", "moneda", "fecha", "fecha_tasa", "tasa")
+    found = join_as_of(orders, quotes)
+    return found.select("o_orderkey", "moneda", *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("fecha", "fecha_tasa")], "tasa")
 
 
 _MONEY = ["precio_original", "tasa_cambio_usd", "precio_usd"]
