@@ -22,8 +22,12 @@ _DIGIT = java_regex(r"\d")
 
 def strip_brackets(title: Column) -> Column:
     """Lower-cased title with ``(...)``/``[...]`` removed and whitespace collapsed."""
+    return collapse_ws(without_brackets(title))
+
+
+def without_brackets(title: Column) -> Column:
     low = F.lower(title)
-    return collapse_ws(F.when(low.contains("(") | low.contains("["), F.regexp_replace(low, _BRACKETS, " ")).otherwise(low))
+    return F.when(title.contains("(") | title.contains("["), F.regexp_replace(low, _BRACKETS, " ")).otherwise(low)
 
 
 def add_key(df, title: str = "producto", category: str = "categoria", out: str = "clave_canonica",
@@ -37,7 +41,8 @@ def add_key(df, title: str = "producto", category: str = "categoria", out: str =
     whitespace-collapsed, so trimming a hit equals collapsing and stripping it. The helper columns are dropped.
     """
     cats = list(patterns)
-    step = df.withColumn("_ktxt", F.when(F.col(category).isin(*cats), strip_brackets(F.col(title))))
+    step = df.withColumn("_kbare", F.when(F.col(category).isin(*cats), without_brackets(F.col(title))))
+    step = step.withColumn("_ktxt", collapse_ws(F.col("_kbare")))
     key = F.lit(None).cast("string")
     for i in range(max((len(p) for p in patterns.values()), default=0)):
         step = step.withColumn(f"_k{i}", key)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlake import rules
-from offerlake.functions.dates import parse_any_timestamp, standardize_date
+from offerlake.functions.dates import parse_any_date, standardize_date
 from offerlake.functions.fx import convert, rates_json, rates_map
 from offerlake.functions.keys import add_key
 from offerlake.functions.price import parse_price
@@ -63,12 +63,11 @@ def add_canonical_key(df: DataFrame, patterns: Mapping[str, Sequence[str]] = rul
 def standardize_dates(df: DataFrame, run_date: str, col: str = "fecha_extraccion") -> DataFrame:
     """``fecha_extraccion`` to ANSI ``YYYY-MM-DD`` text (invalid -> the run date); ``fecha_staging`` = run date."""
     rd = F.to_date(F.lit(run_date))
-    return df.withColumns({col: F.date_format(standardize_date(F.col(col), rd), "yyyy-MM-dd"),
-                           "fecha_staging": F.date_format(rd, "yyyy-MM-dd")})
+    return df.withColumns({col: standardize_date(F.col(col), rd).cast("string"), "fecha_staging": rd.cast("string")})
 
 
 def invalid_date_flag(col: str = "fecha_extraccion") -> Column:
-    return parse_any_timestamp(F.col(col)).isNull()
+    return parse_any_date(F.col(col)).isNull()
 
 
 def convert_currencies(
