@@ -29,7 +29,7 @@ def _norm(df: pd.DataFrame) -> list[tuple]:
     for rec in df.itertuples(index=False):
         out = []
         for v in rec:
-            if v is None or (isinstance(v, float) and pd.isna(v)) or v is pd.NaT:
+            if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and pd.isna(v)):
                 out.append(None)
             elif isinstance(v, (int, float, np.integer, np.floating)) and not isinstance(v, bool):
                 out.append(round(float(v), 6) if abs(v) < 1 << 53 else int(v))  # a null count turns a column of whole numbers into floats
