@@ -35,10 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a scratch one only where that is unset."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a scratch one only in a local session without that setting."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="offerlake-shared-")
         sc.setCheckpointDir(path)
     return path.rstrip("/")
@@ -57,12 +59,12 @@ def crc_of_id(col: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(col.cast("string"), "UTF-8")), F.lit(0))
 
 
-def slices(batch: pa.RecordBatch, text: str, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, rows: int = SLICE_ROWS, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows bounded by rows and by characters of the text column."""
     sizes = np.diff(np.asarray(_offsets(batch.column(batch.schema.get_field_index(text)))))
     start, held = 0, 0
     for i, n in enumerate(sizes):
-        if i > start and (i - start >= rows or held + n > SLICE_CHARS):
+        if i > start and (i - start >= rows or held + n > chars):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(n)
@@ -77,7 +79,8 @@ def _offsets(col: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
 
 
-def map_text(df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch], dict[str, object]], rows: int = SLICE_ROWS) -> DataFrame:
+def map_text(df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch], dict[str, object]], rows: int = SLICE_ROWS,
+             chars: int = SLICE_CHARS) -> DataFrame:
     """``mapInArrow`` over bounded slices: ``fn`` gets a slice and returns the new columns, which follow the old ones.
 
     ``schema`` names the new columns; an old column of the same name gives way.
@@ -94,15 +97,13 @@ def map_text(df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch
 
         types = to_arrow_schema(new)
         for batch in batches:
-            for part in slices(batch, text, rows):
+            for part in slices(batch, text, rows, chars):
                 made = fn(part)
                 cols = [part.column(part.schema.get_field_index(c)) for c in keep]
                 cols += [pa.array(made[f.name], type=f.type) for f in types]
                 yield pa.RecordBatch.from_arrays(cols, names=[*keep, *new.names])
 
-    # the old columns' of the same name are still needed as input when one of them is the text itself
-    src = df if text not in new.names else df
-    return src.mapInArrow(run, out)
+    return df.mapInArrow(run, out)
 
 
 def pack(a: np.ndarray) -> bytes:

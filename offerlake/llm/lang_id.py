@@ -6,9 +6,10 @@ best path of labels is found with a penalty for each switch; equal labels in a r
 that covers most letters. Its score is that share, times how well the label's trigrams account for the words it covers
 (``fit_of``): 1 for text like the learned one, 0 for gibberish and for most text of a language that was not learned.
 
-The model is fitted on a bounded sample (``PER_LANG`` documents a language, drawn by a hash of the text); every document is
-then labelled, whole. Long and short texts of a block run through the same steps side by side, so Python work per word is
-a lookup.
+The model is fitted on a bounded sample: of every label's distinct texts ``PER_LANG`` on average, drawn by a hash of the text, one
+at least, each once however often it is copied. Every document is then labelled, whole. Long and short texts of a block run through
+the same steps side by side, so Python work per word is a lookup; a block is bounded by its words times the languages. Trigram
+counts are kept where they are not zero, so the model follows the trigrams that were seen, not trigrams times languages.
 
 Defined cases: a null or empty text, or one without letters, is ``und`` with score 0, and so is every text if nothing was
 learned; a word whose scripts no learned language uses adds nothing to any share, only to the total, so a text of such words
@@ -37,14 +38,16 @@ SCRIPTS = (
     ("georgian", 0x10A0, 0x10FF), ("hangul", 0x1100, 0x11FF), ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x9FFF),
     ("hangul", 0xAC00, 0xD7AF), ("han", 0x20000, 0x2FFFF),
 )
-#: Documents a language to learn from, on average, and languages learned at most (the most frequent ones).
-PER_LANG, MOST_LANGS = 2500, 400
+#: Distinct texts a language to learn from, on average.
+PER_LANG = 2500
 #: Nats that a switch of language costs, the most one word can speak against a language, and the trigram smoothing.
 SWITCH, WORST, ADD = 9.0, 12.0, 0.2
 #: A script belongs to a language if it has at least this share of its training letters.
 SCRIPT_SHARE = 0.01
 KEPT_WORDS = 300_000
 BLOCK_ROWS = 2048
+#: Words times languages of a block, about (a single text may have more).
+CELLS = 8_000_000
 
 
 def script_of(ch: str) -> str:
@@ -63,12 +66,13 @@ def grams_of(word: str) -> list[str]:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     """Learn from the labelled rows of ``docs``: trigram counts and scripts by language."""
-    known = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null and t <> ''")
-    sizes = {r["l"]: r["count"] for r in known.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGS).collect()}
-    if not sizes:
-        return {"langs": [], "grams": {}, "scripts": {}}
-    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, PER_LANG / n))]), F.col("l"))
-    sample = known.where((F.pmod(F.xxhash64("t"), F.lit(1_000_003)) / 1_000_003) < rate)
+    known = docs.select(F.col(f"`{text}`").alias("t"), F.col(f"`{lang}`").alias("l")).where("t is not null and l is not null and t <> ''").withColumn("h", F.xxhash64("t"))
+    # distinct texts a label: rate and draw are in the same unit; the label's least hash is always drawn
+    sizes = known.select("l", "h").distinct().groupBy("l").agg(F.count(F.lit(1)).alias("texts"), F.min("h").alias("least"))
+    rate = F.lit(float(PER_LANG)) / F.col("texts")
+    # one row a label, and the model holds a column for each
+    drawn = known.join(F.broadcast(sizes), "l").where((F.pmod(F.col("h"), F.lit(1_000_003)) / 1_000_003 < rate) | (F.col("h") == F.col("least")))
+    sample = drawn.groupBy("l", "h").agg(F.min("t").alias("t")).select("t", "l")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: Counter = Counter()
@@ -87,36 +91,42 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
         if grams:
             yield pa.RecordBatch.from_pydict({"l": [k[0] for k in grams], "kind": [k[1] for k in grams], "x": [k[2] for k in grams], "n": list(grams.values())})
 
+    # bounded: trigrams of the sample
     rows = sample.mapInArrow(count, "l string, kind string, x string, n long").groupBy("l", "kind", "x").agg(F.sum("n").alias("n")).collect()
+    if not rows:
+        return {"langs": [], "grams": {}, "scripts": {}}
     langs = sorted({r["l"] for r in rows})
     at = {k: i for i, k in enumerate(langs)}
-    names = sorted({r["x"] for r in rows if r["kind"] == "g"})
+    grams = sorted((r["x"], at[r["l"]], r["n"]) for r in rows if r["kind"] == "g")
+    names = sorted({g for g, _, _ in grams})
     number = {g: i for i, g in enumerate(names)}
-    n = np.zeros((len(names) + 1, len(langs)))  # the last row: a trigram never seen
     scripts: dict[str, np.ndarray] = {}
     for r in rows:
-        if r["kind"] == "g":
-            n[number[r["x"]], at[r["l"]]] = r["n"]
-        else:
+        if r["kind"] == "s":
             scripts.setdefault(r["x"], np.zeros(len(langs)))[at[r["l"]]] = r["n"]
-    logp = np.log((n + ADD) / (n.sum(0) + ADD * len(n)))
+    col, n = np.array([k for _, k, _ in grams], np.int64), np.array([c for _, _, c in grams], float)
+    total = np.bincount(col, n, len(langs))
+    unseen = np.log(ADD / (total + ADD * (len(names) + 1)))
+    ends = np.searchsorted(np.array([number[g] for g, _, _ in grams]), np.arange(len(names) + 1))
     letters = sum(scripts.values())
-    return {"langs": langs, "grams": number, "logp": logp.astype(np.float32), "expected": expected(n),
-            "scripts": {s: v >= SCRIPT_SHARE * letters for s, v in scripts.items()}}
+    # a trigram's log probability is ``unseen`` plus what its counts add: entries ends[g] to ends[g + 1], one a language
+    return {"langs": langs, "grams": number, "ends": ends, "lang": col.astype(np.int32), "adds": np.log((n + ADD) / ADD), "unseen": unseen,
+            "expected": expected(col, n, len(langs), len(names)), "scripts": {s: v >= SCRIPT_SHARE * letters for s, v in scripts.items()}}
 
 
-def expected(n: np.ndarray) -> np.ndarray:
+def expected(lang: np.ndarray, n: np.ndarray, langs: int, known: int) -> np.ndarray:
     """By language what a text's mean log probability of a trigram is held against: rows (none, full, spread).
 
-    The mean of the language's own trigrams is taken with each left out of its counts. ``none`` is halfway from there to the
-    trigrams never seen or, if nearer, what trigrams drawn evenly from all known ones would get (2 nats below at least);
-    ``full`` is halfway between ``none`` and the mean, ``spread`` one trigram's standard deviation.
+    ``lang`` and ``n`` are the counts that are not zero. The mean of the language's own trigrams is taken with each left out of its
+    counts. ``none`` is halfway from there to the trigrams never seen or, if nearer, what trigrams drawn evenly from all known ones
+    would get (2 nats below at least); ``full`` is halfway between ``none`` and the mean, ``spread`` one trigram's standard
+    deviation.
     """
-    total, known = n.sum(0), len(n) - 1
-    own = np.log(np.maximum(n - 1, 0) + ADD) - np.log(total - 1 + ADD * len(n))
-    mean = (n * own).sum(0) / total
-    spread = np.sqrt((n * (own - mean) ** 2).sum(0) / total)
-    unseen = np.log(ADD / (total + ADD * len(n)))
+    total, size = np.bincount(lang, n, langs), known + 1
+    own = np.log(n - 1 + ADD) - np.log(total - 1 + ADD * size)[lang]
+    mean = np.bincount(lang, n * own, langs) / total
+    spread = np.sqrt(np.bincount(lang, n * (own - mean[lang]) ** 2, langs) / total)
+    unseen = np.log(ADD / (total + ADD * size))
     none = np.maximum((mean + unseen) / 2, np.minimum(-np.log(known), mean - 2))
     return np.stack([none, (none + mean) / 2, spread])
 
@@ -159,7 +169,15 @@ class Labeller:
                         open_to[i] &= scripts.get(s, ~open_to[i])
             else:
                 flat.append(unseen)
-        made = np.add.reduceat(self.model["logp"][np.array(flat, np.int64)], np.array(starts), axis=0)
+        flat_, starts_ = np.array(flat, np.int64), np.array(starts)
+        n_grams = np.diff(np.append(starts_, len(flat_)))
+        made = n_grams[:, None] * self.model["unseen"]
+        seen = flat_ < unseen
+        word, gram = np.repeat(np.arange(len(words)), n_grams)[seen], flat_[seen]
+        begin, size = self.model["ends"][gram], self.model["ends"][gram + 1] - self.model["ends"][gram]
+        entry = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        cell = np.repeat(word, size) * len(self.langs) + self.model["lang"][entry]
+        made += np.bincount(cell, self.model["adds"][entry], made.size).reshape(made.shape)
         some = open_to.any(1)
         made = np.where(open_to | ~some[:, None], made, -np.inf)
         best = made.max(1)
@@ -252,4 +270,4 @@ def predict(df: DataFrame, model: dict, text: str = "text", spans: bool = True)
         return out
 
     kind = "lang_pred string, lang_score double" + (", lang_spans array<struct<start:int,end:int,lang:string>>" if spans else "")
-    return map_text(df, text, kind, run, BLOCK_ROWS)
+    return map_text(df, text, kind, run, BLOCK_ROWS, max(10_000, 5 * CELLS // max(1, len(model["langs"]))))
