@@ -6,7 +6,9 @@ with room, found by descending a tournament tree whose nodes hold the largest ro
 tasks, so their number grows with the corpus and nothing else does.
 
 Defined cases: null text counts as empty, and an empty document is its closing id alone; repeated rows are packed as often
-as they occur; a null id is carried through; ids that occur in several rows may not be told apart in the result.
+as they occur; a null id is carried through; ids that occur in several rows may not be told apart in the result. Pieces of equal length
+are packed in the order of their group; an empty table gives an empty one. Other columns are passed through, whatever their names; one
+with the name of a result gives way.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from offerlake.llm.common import held, map_text, staged
 
@@ -137,25 +140,32 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def pack(df: DataFrame, size: str = "length", length: int = LENGTH, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """Give every row of ``df`` (one piece each) a ``sequence_id`` and an ``offset``. ``df`` must be a stored table: its
-    rows are dealt out by a hash of their place in it."""
+    """Give every row of ``df`` (one piece each) a ``sequence_id`` and an ``offset`` (columns of these names give way). ``df`` must
+    be a stored table: its rows are dealt out by a hash of their place in it."""
     groups = max(1, -(-df.count() // group_pieces))
-    dealt = df.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", sequence_id long, offset long"
+    kept = [c for c in df.columns if c not in ("sequence_id", "offset")]
+    dealt = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_in"), F.col(f"`{size}`").cast("long").alias("_size"),
+                      F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("_group"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bins, offsets = first_fit_decreasing(pdf[size].to_numpy(), length)
-        return pdf.drop(columns="_group").assign(sequence_id=int(pdf["_group"].iloc[0]) * (1 << 32) + bins, offset=offsets)
+    def run(t: pa.Table) -> pa.Table:
+        bins, offsets = first_fit_decreasing(t["_size"].to_numpy(), length)
+        return pa.table([t["_in"], pa.array(t["_group"][0].as_py() * (1 << 32) + bins), pa.array(offsets)], names=["_in", "sequence_id", "offset"])
 
-    return dealt.groupBy("_group").applyInPandas(run, out)
+    out = StructType([dealt.schema["_in"], *StructType.fromDDL("sequence_id long, offset long").fields])
+    packed = dealt.groupBy("_group").applyInArrow(run, out)
+    return packed.select(*[F.col("_in").getField(c).alias(c) for c in kept], "sequence_id", "offset")
 
 
 def pack_documents(df: DataFrame, path: str, end_id: int = 1, length: int = LENGTH, text: str = "text", ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack: one row per piece with the other columns of ``df``."""
-    cut = staged(pieces(df, path, end_id, length, text, ids), "pieces")
-    keep = [F.col(f"`{c}`") for c in cut.columns if c != "pieces"]
-    flat = cut.select(*keep, F.explode("pieces").alias("p")).select(*keep, "p.*")
-    return pack(flat, length=length)
+    """Tokenise, cut and pack: one row per piece with the other columns of ``df``. A column with the name of a result (``doc_tokens,
+    start, length, ids_crc32, sequence_id, offset``, on request ``ids``) gives way."""
+    made = ["doc_tokens", "start", "length", "ids_crc32", *(["ids"] if ids else [])]
+    kept = [c for c in df.columns if c not in (text, *made, "sequence_id", "offset")]
+    rows = df.select(*([F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_in")] if kept else []), F.col(f"`{text}`").alias("_text"))
+    cut = staged(pieces(rows, path, end_id, length, "_text", ids), "pieces")
+    inside = ["_in"] if kept else []
+    flat = cut.select(*inside, "doc_tokens", F.explode("pieces").alias("p")).select(*inside, "doc_tokens", "p.*")
+    return pack(flat, length=length).select(*[F.col("_in").getField(c).alias(c) for c in kept], *made, "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame, length: int = LENGTH, pad_id: int = 0) -> DataFrame:
