@@ -5,14 +5,16 @@ URLs. A context of up to four characters is kept if at least one in ``1 / SUPPOR
 order has at most ``SUPPORT`` contexts, however large the corpus is. A kept context's next-character distribution is
 interpolated with that of its suffix: P_k(c) = (n(c) + M * P_{k-1}(c)) / (n + M), down to the uniform distribution. A URL's
 score is the sum of ln P_accept - ln P_reject over its characters, each in its longest kept context, divided by their
-number. The cut is calibrated on the rule-decided URLs: the one with the best mean of both classes' hit rates.
+number. One in HELD_OUT of the rule-decided URLs, by hash, is kept from the models; the cut is calibrated on those: the one with the
+best mean of both classes' hit rates.
 
 Counting combines map-side. The model (bounded as above: 4 * SUPPORT + 1 rows of one short array) is broadcast, so scoring
-moves one row per URL and no characters.
+moves one row per URL and no characters. Only a row number and the URL go through the model.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and fits no rule; the model judges it by its
 characters, a null one as empty by its end mark alone; repeated rows are judged each; a null page id is carried through; without training URLs of both kinds every score
-is 0 and the verdict is allow.
+is 0 and the verdict is allow; an empty table gives an empty one; equal cuts go to the lowest. Other columns are passed through, whatever
+their names; one with the name of a result gives way.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ SUPPORT = 4000
 M = 4.0
 #: Steps of the calibrated cut, per nat.
 STEPS = 500
+#: One in so many rule-decided URLs calibrates the cut.
+HELD_OUT = 5
 
 
 def host_of(url: Column) -> Column:
@@ -99,18 +103,17 @@ def fit(labelled: DataFrame, text: str, verdict: str) -> list[DataFrame] | None:
     return models
 
 
-def score(df: DataFrame, models: list[DataFrame] | None, text: str) -> DataFrame:
-    """Add ``score``: the mean log ratio of the characters of ``text``. Every column of ``df`` but these is kept."""
+def score(rows: DataFrame, models: list[DataFrame] | None) -> DataFrame:
+    """``_row, _text`` -> ``_row, score``: the mean log ratio of the characters of ``_text``."""
     if models is None:
-        return df.withColumn("score", F.lit(0.0))
-    names = df.columns
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_g", F.explode(_grams(F.col(text))))
+        return rows.select("_row", F.lit(0.0).alias("score"))
+    grams = rows.select("_row", F.explode(_grams(F.col("_text"))).alias("_g"))
     for k in range(ORDER, -1, -1):
         # bounded: SUPPORT contexts an order
         model = F.broadcast(models[k].select(F.col("ctx").alias(f"_c{k}"), F.col("ratio").alias(f"_r{k}")))
-        rows = rows.join(model, _context(F.col("_g"), k) == F.col(f"_c{k}"), "left")
+        grams = grams.join(model, _context(F.col("_g"), k) == F.col(f"_c{k}"), "left")
     ratio = F.get(F.coalesce(*[F.col(f"_r{k}") for k in range(ORDER, -1, -1)]), _symbol(F.col("_g")))
-    return rows.groupBy("_row", *names).agg(F.avg(ratio).alias("score")).drop("_row")
+    return grams.groupBy("_row").agg(F.avg(ratio).alias("score"))
 
 
 def cut(scored: DataFrame, verdict: str) -> float:
@@ -123,13 +126,31 @@ def cut(scored: DataFrame, verdict: str) -> float:
     return 0.0 if best is None or best["hit"] is None or best["kept_out"] is None else best["at"] / STEPS
 
 
+def held_out(text: Column) -> Column:
+    """Whether a rule-decided URL is kept from the models for the cut: one in HELD_OUT, by a hash of the URL."""
+    return F.pmod(F.xxhash64(text), F.lit(HELD_OUT)) == 0
+
+
 def judge(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
-    """Add host, path, rule, verdict and score to ``pages``. Rules read host and path, the model reads the whole url."""
-    host, path = host_of(F.col(url)), path_of(F.col(url))
-    base = pages.withColumns({"host": host, "path": path})
+    """Add host, path, rule, verdict and score to ``pages``. Rules read host and path, the model reads the whole url.
+
+    The models are fitted on four fifths of the rule-decided URLs and the cut is chosen on the rest; where a part lacks one of the
+    verdicts, all of them serve instead.
+    """
+    results = ("host", "path", "rule", "verdict", "score")
+    kept = [c for c in pages.columns if c not in results or c == url]
+    base = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_in"), F.col(f"`{url}`").alias("_url"))
     rule, given = rule_of(F.col("host"), F.col("path"), rules)
-    base = base.withColumns({"rule": rule, "_given": given, "_text": F.coalesce(F.col(url), F.lit(""))})
-    models = fit(base.where(F.col("_given").isNotNull()), "_text", "_given")
-    scored = staged(score(base, models, "_text"), "url-scores")
-    allow = F.when(F.col("score") >= cut(scored, "_given"), "allow").otherwise("block")
-    return scored.withColumn("verdict", F.coalesce("_given", allow)).drop("_given", "_text")
+    base = base.withColumns({"host": host_of(F.col("_url")), "path": path_of(F.col("_url"))})
+    base = base.select("_in", "host", "path", rule.alias("rule"), given.alias("_given"), F.coalesce("_url", F.lit("")).alias("_text"))
+    base = staged(base.withColumn("_row", F.monotonically_increasing_id()), "url-rows")
+    decided = base.where(F.col("_given").isNotNull())
+    models = fit(decided.where(~held_out(F.col("_text"))), "_text", "_given") or fit(decided, "_text", "_given")
+    scores = staged(score(base.select("_row", "_text"), models), "url-scores")
+    judged = base.join(scores, "_row")
+    calibration = judged.where(F.col("_given").isNotNull() & held_out(F.col("_text")))
+    both = calibration.agg(F.count_distinct("_given")).first()[0] == 2
+    at = cut(calibration if both else judged, "_given")
+    verdict = F.coalesce("_given", F.when(F.col("score") >= at, "allow").otherwise("block"))
+    out = [c for c in kept if c not in results]
+    return judged.select(*[F.col("_in").getField(c).alias(c) for c in out], "host", "path", "rule", verdict.alias("verdict"), "score")
