@@ -8,7 +8,7 @@ of the lengths reaches some floor, and inside a block rows whose bound stays bel
 Whatever survives is scored exactly in integers, so the rotation only decides what is skipped.
 
 Queries and candidates meet block by block (a stated set of queries against all rows); a block is bounded, so no task or
-group grows with the table. The moments are one d x d sum per task.
+group grows with the table. The moments are one d x d sum per task. Blocks are numbered by their heads, a length and two numbers each.
 
 Defined cases: vectors that are null or empty, or hold a null, nan or infinite component, take no part, nor do rows without
 an id; vectors of different length are compared as if filled with zeros; a repeated row counts as often as it occurs, and a
@@ -151,9 +151,10 @@ def _blocks(df: DataFrame, size: int, name: str, dim: int) -> DataFrame:
     parts = max(1, -(-df.count() // (4 * size)))
     dealt = df.repartitionByRange(parts, F.desc("len"), "id", "row").sortWithinPartitions(F.desc("len"), "id", "row")
     made = staged(dealt.mapInArrow(cut, "ids array<long>, rows array<long>, x binary, longest double"), name)
-    # one row a block: numbering them sorts a table smaller by the block size
-    order = Window.orderBy(F.desc("longest"), F.get("ids", F.lit(0)), F.get("rows", F.lit(0)))
-    return made.withColumn("block", F.row_number().over(order) - 1)
+    # only the heads of the blocks (a length and two numbers each) are put in one line; the vectors stay where they are
+    heads = made.select("longest", F.get("ids", F.lit(0)).alias("id"), F.get("rows", F.lit(0)).alias("_first"))
+    numbered = heads.select("_first", (F.row_number().over(Window.orderBy(F.desc("longest"), "id", "_first")) - 1).alias("block"))
+    return made.withColumn("_first", F.get("rows", F.lit(0))).join(numbered, "_first").drop("_first")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vec: str = "embedding",
@@ -172,23 +173,30 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_
     base = staged(_blocks(rows, BLOCK, "topk-base", dim), "topk-blocks")
     asks = _blocks(rows.where("is_query"), QUERY_BLOCK, "topk-ask", dim).select(F.col("ids").alias("qids"), F.col("rows").alias("qrows"), F.col("x").alias("qx"), F.col("longest").alias("qlongest"), F.col("block").alias("qblock"))
 
-    def meet(batches: Iterator[pa.RecordBatch], floors_only: bool) -> Iterator[pa.RecordBatch]:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
                 ids, q = np.array(r["qids"], np.int64), np.frombuffer(r["qx"], "<i8").reshape(-1, dim)
-                best = Best(k, np.array(r["qrows"], np.int64), ids, q, turn, head, np.array(r["floors"], np.float64) if not floors_only else np.full(len(ids), -np.inf))
+                best = Best(k, np.array(r["qrows"], np.int64), ids, q, turn, head, np.array(r["floors"], np.float64))
                 best.meet(np.array(r["rows"], np.int64), np.array(r["ids"], np.int64), np.frombuffer(r["x"], "<i8").reshape(-1, dim), turn)
-                if floors_only:
-                    yield pa.RecordBatch.from_pydict({"qblock": pa.array([r["qblock"]], pa.int32()), "floors": pa.array([best.floor.tolist()], pa.list_(pa.float64()))})
-                else:
-                    flat = [(int(ids[i]), r["qrows"][i], v, -s) for i, f in enumerate(best.found) for s, v in f]
-                    yield pa.RecordBatch.from_pydict({"query_id": pa.array([f[0] for f in flat], pa.int64()), "query_row": pa.array([f[1] for f in flat], pa.int64()),
-                                                      "vec_id": pa.array([f[2] for f in flat], pa.int64()), "score": pa.array([f[3] for f in flat], pa.int64())})
+                flat = [(int(ids[i]), r["qrows"][i], v, -s) for i, f in enumerate(best.found) for s, v in f]
+                yield pa.RecordBatch.from_pydict({"query_id": pa.array([f[0] for f in flat], pa.int64()), "query_row": pa.array([f[1] for f in flat], pa.int64()),
+                                                  "vec_id": pa.array([f[2] for f in flat], pa.int64()), "score": pa.array([f[3] for f in flat], pa.int64())})
 
     asks = staged(asks, "topk-asks")
-    # every block of queries meets the longest block first; that one is a single bounded row
-    first = asks.withColumn("block", F.lit(0)).join(F.broadcast(base.where("block = 0")), "block")
-    floors = staged(first.mapInArrow(lambda it: meet(it, True), "qblock int, floors array<double>"), "topk-floors")
+    # every block of queries meets the longest block first; that one is a single row of at most BLOCK vectors
+    longest = base.where("block = 0").select("ids", "rows", "x").first()
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, ids, x = np.array(longest["rows"], np.int64), np.array(longest["ids"], np.int64), np.frombuffer(longest["x"], "<i8").reshape(-1, dim)
+        for b in batches:
+            for r in b.to_pylist():
+                mine = np.array(r["qids"], np.int64)
+                best = Best(k, np.array(r["qrows"], np.int64), mine, np.frombuffer(r["qx"], "<i8").reshape(-1, dim), turn, head, np.full(len(mine), -np.inf))
+                best.meet(rows, ids, x, turn)
+                yield pa.RecordBatch.from_pydict({"qblock": pa.array([r["qblock"]], pa.int32()), "floors": pa.array([best.floor.tolist()], pa.list_(pa.float64()))})
+
+    floors = staged(asks.select("qblock", "qids", "qrows", "qx").mapInArrow(start, "qblock int, floors array<double>"), "topk-floors")
     # a floor needs rows of at least floor / |q| length: as blocks descend in length, a block of queries is shipped to those up
     # to the last block of its length's bucket. Sixteen buckets an octave: bounded by the range of doubles, not by the rows.
     ends = base.groupBy(_bucket(F.col("longest")).alias("bucket")).agg(F.max("block").alias("last")).orderBy("bucket").collect()
@@ -199,6 +207,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_
     last = F.when(least.isNull() | (least <= 0), max(e["last"] for e in ends)).otherwise(last)
     wanted = asks.select("qblock", "qlongest").join(floors, "qblock").select("qblock", F.explode(F.sequence(F.lit(0), last)).alias("block"))
     pairs = wanted.join(asks.join(floors, "qblock"), "qblock").join(base.select("block", "ids", "rows", "x"), "block")
-    found = pairs.select("qblock", "qids", "qrows", "qx", "floors", "ids", "rows", "x").mapInArrow(lambda it: meet(it, False), schema)
+    found = pairs.select("qblock", "qids", "qrows", "qx", "floors", "ids", "rows", "x").mapInArrow(meet, schema)
     rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
