@@ -6,7 +6,10 @@ medoid, and what the search visited is pruned robustly (a candidate goes if a ke
 with edges back that are pruned in turn. A vector's adjacency lists from its shards are united. On the united graph every
 vector is then searched for from the medoid of each of its shards: greedily down to its nearest vectors, then expanding over
 all vectors within the range until no new one turns up. The pairs are verified in double precision, recall is audited against
-brute force for a bounded sample of queries, and below ``RECALL`` everything is repeated with twice the overlap.
+brute force for a bounded sample of queries, and below ``RECALL`` everything is repeated with twice the overlap. The audit takes the
+lower of two figures, the share of all links and the mean share over vectors with links, so that one large group does not hide what
+small ones miss. If the largest overlap still falls short, the exact way follows: one shard of all vectors, cut into chunks that
+meet two by two and are compared outright.
 
 A shard above ``SHARD_ROWS`` is cut into chunks that meet two by two, so no task holds more than two chunks. A shard hands on
 each vector's partners as one list (so copies and near copies are never expanded into rows of pairs) and, for the components,
@@ -37,6 +40,8 @@ DEGREE, ROOM, BEAM, ALPHA = 24, 36, 48, 1.2
 INSERTS, STARTS = 128, 4
 #: Vectors that centroids are fitted on, centroids at most, and queries of the audit.
 SAMPLE, MOST_CENTROIDS, AUDIT, RECALL = 20_000, 4096, 300, 0.95
+#: Largest overlap that is tried before all vectors are compared.
+MOST_OVERLAP = 16
 #: Edges of the graph are followed a little beyond the range.
 MARGIN = 0.02
 
@@ -211,13 +216,14 @@ def _forest(n: int, pairs: list[np.ndarray]) -> list[tuple[int, int]]:
     return out
 
 
-def _shards(classes: DataFrame, dim: int, size: int, overlap: int) -> DataFrame:
-    """Rows (shard, node, v, members): every class in its nearest shards, large shards cut into chunks that meet in pairs."""
+def _shards(classes: DataFrame, dim: int, size: int, overlap: int, exact: bool = False) -> DataFrame:
+    """Rows (shard, node, v, members): every class in its nearest shards (``exact``: all in one), large shards cut into chunks that
+    meet in pairs."""
     share = min(1.0, SAMPLE / size)
     sample = classes.where(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1_000_003)) / 1_000_003 < share).orderBy(F.xxhash64("node")).limit(SAMPLE + SAMPLE // 10)
     x = unit_rows([r["v"] for r in sample.select("v").collect()], dim)  # bounded by SAMPLE
     k = int(min(MOST_CENTROIDS, max(1, len(x) // 2), max(1, math.ceil(overlap * size / SHARD_TARGET))))
-    c = centroids(x, k) if len(x) else np.zeros((1, dim))
+    c = np.zeros((1, dim)) if exact or not len(x) else centroids(x, k)
     most = min(overlap, len(c))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,9 +242,9 @@ def _shards(classes: DataFrame, dim: int, size: int, overlap: int) -> DataFrame:
     return cut.select(name.alias("shard"), "node", "v", "members")
 
 
-def _links(classes: DataFrame, dim: int, size: int, overlap: int) -> DataFrame:
+def _links(classes: DataFrame, dim: int, size: int, overlap: int, exact: bool = False) -> DataFrame:
     """Rows (node, partners: array of (node, members), forest: array of nodes)."""
-    shards = staged(_shards(classes, dim, size, overlap), "shard-rows")
+    shards = staged(_shards(classes, dim, size, overlap, exact), "shard-rows")
 
     def load(pdf: pd.DataFrame) -> tuple[pd.DataFrame, Graph]:
         # a fixed order, unlike that of the vectors
@@ -251,13 +257,11 @@ def _links(classes: DataFrame, dim: int, size: int, overlap: int) -> DataFrame:
         node = pdf["node"].to_numpy()
         return pd.DataFrame({"node": node, "out": pd.Series([node[graph.out[u, :graph.degree[u]]] for u in range(len(node))], dtype=object)})
 
-    lists = shards.groupBy("shard").applyInPandas(build, "node long, out array<long>")
-    # at most overlap * DEGREE neighbours (times the chunks that a vector meets)
-    united = staged(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("out"))).alias("out")), "adjacency")
-
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, graph = load(pdf)
         node, members = pdf["node"].to_numpy(), pdf["members"].to_numpy()
+        if exact:
+            return linked(node, members, compared(graph.x))
         order = np.argsort(node)
         local = []
         for out in pdf["out"]:
@@ -265,7 +269,17 @@ def _links(classes: DataFrame, dim: int, size: int, overlap: int) -> DataFrame:
             at = order[at]
             local.append(at[node[at] == out])
         graph.unite(local)
-        found = list(graph.within(RANGE))
+        return linked(node, members, list(graph.within(RANGE)))
+
+    def compared(x: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for i in range(0, len(x), 512):
+            near = x[i:i + 512] @ x.T >= RANGE
+            near[np.arange(len(near)), np.arange(i, i + len(near))] = False
+            out += [np.flatnonzero(row) for row in near]
+        return out
+
+    def linked(node: np.ndarray, members: np.ndarray, found: list[np.ndarray]) -> pd.DataFrame:
         # a pair found from one side counts for both
         a = np.repeat(np.arange(len(node)), [len(f) for f in found])
         b = np.concatenate([*found, np.array([], np.int64)]).astype(np.int64)
@@ -278,13 +292,17 @@ def _links(classes: DataFrame, dim: int, size: int, overlap: int) -> DataFrame:
         partners = [[{"node": int(node[j]), "members": int(members[j])} for j in both[i]] for i in has]
         return pd.DataFrame({"node": node[has], "partners": pd.Series(partners, dtype=object), "forest": pd.Series([tree[i] for i in has], dtype=object)})
 
-    found = shards.join(united, "node").groupBy("shard").applyInPandas(search, "node long, partners array<struct<node:long,members:long>>, forest array<long>")
+    lists = shards.groupBy("shard").applyInPandas(build, "node long, out array<long>") if not exact else None
+    # at most overlap * DEGREE neighbours (times the chunks that a vector meets)
+    united = staged(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("out"))).alias("out")), "adjacency") if not exact else None
+    rows = shards if exact else shards.join(united, "node")
+    found = rows.groupBy("shard").applyInPandas(search, "node long, partners array<struct<node:long,members:long>>, forest array<long>")
     return staged(found.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"),
                                             F.array_distinct(F.flatten(F.collect_list("forest"))).alias("forest")), "links")
 
 
 def audit(classes: DataFrame, links: DataFrame, dim: int, size: int) -> float:
-    """Share of the true links of a bounded sample of vectors that were found."""
+    """Share of the true links of a bounded sample of vectors that were found: of all of them or by vector, whichever is lower."""
     drawn = classes.where(F.pmod(F.xxhash64("node", F.lit(11)), F.lit(1_000_003)) / 1_000_003 < min(1.0, AUDIT / size)).select("node", "v").limit(2 * AUDIT)
     rows = drawn.collect()
     if not rows:
@@ -299,8 +317,10 @@ def audit(classes: DataFrame, links: DataFrame, dim: int, size: int) -> float:
                 yield pa.RecordBatch.from_pydict({"node": ids, "n": near.sum(0)})
 
     wanted = classes.select("node", "v").mapInArrow(true, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    both = wanted.join(links.select("node", F.size("partners").alias("found")), "node", "left").agg(F.sum("n").alias("n"), F.sum(F.coalesce("found", F.lit(0))).alias("found")).first()
-    return both["found"] / both["n"] if both["n"] else 1.0
+    found = F.coalesce("found", F.lit(0))
+    both = wanted.where("n > 0").join(links.select("node", F.size("partners").alias("found")), "node", "left").agg(
+        F.sum("n").alias("n"), F.sum(found).alias("found"), F.avg(found / F.col("n")).alias("mean")).first()
+    return min(both["found"] / both["n"], both["mean"]) if both["n"] else 1.0
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embedding", overlap: int = OVERLAP, recall: float = RECALL) -> DataFrame:
@@ -317,7 +337,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
         while True:
             links = _links(classes, dim, size, overlap)
             got = audit(classes, links, dim, size)
-            if got >= recall or overlap >= 16:
+            if got >= recall:
+                break
+            if overlap >= MOST_OVERLAP:
+                links, got = _links(classes, dim, size, 1, exact=True), 1.0
                 break
             overlap *= 2
         whole = components(links.select(F.col("node").alias("a"), F.explode("forest").alias("b")))
