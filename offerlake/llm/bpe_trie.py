@@ -222,7 +222,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Add column ``decoded`` to ``df``; a null array gives null."""
+    """Add column ``decoded`` to ``df`` (one of that name gives way); a null array gives null."""
 
     def run(part: pa.RecordBatch) -> dict:
         rows = part.column(part.schema.get_field_index(ids)).to_pylist()
@@ -230,14 +230,15 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
     from pyspark.sql.types import StringType, StructField, StructType
 
-    out = StructType([*df.schema.fields, StructField(text, StringType())])
-    names = df.columns
+    out = StructType([*[f for f in df.schema.fields if f.name != text], StructField(text, StringType())])
+    names = [f.name for f in out.fields]
+    old = [i for i, f in enumerate(df.schema.fields) if f.name != text]
 
     def over(batches):
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(run(part)[text], pa.string())], names=[*names, text])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in old), pa.array(run(part)[text], pa.string())], names=names)
 
     return df.mapInArrow(over, out)
 
