@@ -149,9 +149,9 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE)))
 def test_query_covers_its_table(spark, name):
-    table = "pages" if name.startswith("op1_") else "documents"
+    table, key = {"op1": ("pages", "page_id"), "op13": ("embeddings", "vec_id")}.get(name.split("_")[0], ("documents", "doc_id"))
     got = queries.QUERIES[name](spark, SF_SMOKE)
-    ids = {r[0] for r in spark.read.parquet(f"{SF_SMOKE}/{table}.parquet").select("page_id" if table == "pages" else "doc_id").collect()}
+    ids = {r[0] for r in spark.read.parquet(f"{SF_SMOKE}/{table}.parquet").select(key).collect()}
     assert {r[0] for r in got.select(got.columns[0]).collect()} == ids
 
 
