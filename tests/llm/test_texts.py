@@ -136,14 +136,16 @@ def test_trigram_queries():
     assert q("x*abc.*def") == {frozenset({"abc", "def"})}
 
 
-def _katz(texts, train):
+def _katz(texts, train, order=2):
     tok = lambda t: [w.encode() for w in re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))] + [None]
-    uni, bi = Counter(), defaultdict(Counter)
+    uni, bi, tri = Counter(), defaultdict(Counter), defaultdict(Counter)
     for t, keep in zip(texts, train, strict=True):
         if keep:
             uni.update(tok(t))
             for a, b in zip(["start", *tok(t)], tok(t), strict=False):
                 bi[a][b] += 1
+            for a, b, c in zip(["start", *tok(t)], tok(t), tok(t)[1:], strict=False):
+                tri[a, b][c] += 1
     total, top = sum(uni.values()), katz_lm.TOP
     n1, n2 = Counter(uni.values()), Counter(c for f in bi.values() for c in f.values())
     d1, d2 = (katz_lm.discounts([0, *(n[r] for r in range(1, top + 2))]) for n in (n1, n2))
@@ -160,19 +162,37 @@ def _katz(texts, train):
             c, left = c + 1, 1 / (c + 1)
         return d(d2, f[w]) * f[w] / c if w in f else left / (1 - sum(map(p1, f))) * p1(w)
 
-    score = [sum(math.log10(p2(b, a)) for a, b in zip(["start", *tok(t)], tok(t), strict=False)) for t in texts]
-    return score, total, [sum(w in uni for w in tok(t)) for t in texts], [sum(p2(w, v) for w in uni) + p2(b"\0", v) for v in list(bi)[:20]]
+    d3 = katz_lm.discounts([0, *(Counter(c for f in tri.values() for c in f.values())[r] for r in range(1, top + 2))])
 
+    def p3(w, u, v):
+        if order == 2 or (u, v) not in tri:
+            return p2(w, v)
+        f, c = tri[u, v], sum(tri[u, v].values())
+        left = 1 - sum(d(d3, r) * r / c for r in f.values())
+        if min(f.values()) > top:
+            c, left = c + 1, 1 / (c + 1)
+        return d(d3, f[w]) * f[w] / c if w in f else left / (1 - sum(p2(x, v) for x in f)) * p2(w, v)
+
+    def text_score(t):
+        ws = tok(t)
+        return math.log10(p2(ws[0], "start")) + sum(math.log10(p3(c, a, b)) for a, b, c in zip(["start", *ws], ws, ws[1:], strict=False))
+
+    masses = [sum(p2(w, v) for w in uni) + p2(b"\0", v) for v in list(bi)[:20]]
+    if order == 3:
+        masses += [sum(p3(w, *c) for w in uni) + p3(b"\0", *c) for c in list(tri)[:20]]
+    return [text_score(t) for t in texts], total, [sum(w in uni for w in tok(t)) for t in texts], masses
 
+
+@pytest.mark.parametrize("order", [2, 3])
 @pytest.mark.parametrize("hot", [20, katz_lm.HOT])
-def test_katz_scores(spark, hot):
+def test_katz_scores(spark, hot, order):
     rnd = random.Random(3)
     texts = [" ".join(rnd.choice(["the", "the", "of", "a", "cat", "Dog", "é", f"r{rnd.randint(0, 60)}"]) for _ in range(rnd.randint(0, 40))) for _ in range(300)]
     texts += ["same same"] * 50 + [None, "", "unknown1 the unknown2"]
     train = [i % 5 != 1 and t != "unknown1 the unknown2" for i, t in enumerate(texts)]
     df = spark.createDataFrame([(i, t, k, 0) for i, (t, k) in enumerate(zip(texts, train, strict=True))], "doc_id long, text string, keep boolean, block int").repartition(5)
-    got = {r.doc_id: r for r in katz_lm.score(df, F.col("keep"), hot=hot, words_per_part=30, pairs_per_part=200).collect()}
-    score, total, known, mass = _katz(texts, train)
+    got = {r.doc_id: r for r in katz_lm.score(df, F.col("keep"), order=order, hot=hot, words_per_part=30, pairs_per_part=200).collect()}
+    score, total, known, mass = _katz(texts, train, order)
     assert all(abs(m - 1) < 1e-9 for m in mass)
     assert len(got) == len(texts)
     for i in range(len(texts)):
@@ -180,6 +200,18 @@ def test_katz_scores(spark, hot):
         assert got[i].score == pytest.approx(score[i], rel=1e-9)
 
 
+def test_katz_takes_any_id_and_long_texts(spark):
+    text = "a b c " * 20_000
+    df = spark.createDataFrame([("x", text), (None, "a b"), ("x", "a b")], "doc_id string, text string")
+    got = katz_lm.score(df, F.lit(True), order=3).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got) == [("None", 3), ("x", 3), ("x", 60_001)]
+    score, total, _, _ = _katz([text, "a b", "a b"], [True] * 3, 3)
+    assert {r.train_tokens for r in got} == {total}
+    assert sorted(r.score for r in got) == pytest.approx(sorted(score), rel=1e-9)
+    with pytest.raises(ValueError):
+        katz_lm.score(df, F.lit(True), order=4)
+
+
 def test_katz_without_training(spark, empty):
     df = spark.createDataFrame([(1, "a b"), (None, None)], "doc_id long, text string")
     assert [(r.n_tokens, r.score, r.base_score) for r in katz_lm.score(df, F.lit(False)).orderBy("n_tokens").collect()] == [(1, 0.0, 0.0), (3, 0.0, 0.0)]
