@@ -1,8 +1,8 @@
-"""Offers from stored listing pages (C3, C4, C9), as JVM expressions.
+"""Offers from stored listing pages.
 
-A page is cut into tags and texts by one regular expression, scripts, styles and comments removed. The tokens are folded in
-document order by ``aggregate`` with a small state: how deep the current item container is, which field is being read, what has
-been read. An item ends where its container's tag closes, so nested tags of the same name stay inside. A page without a
+A page is cut at its tags by one regular expression, scripts, styles and comments removed. Tags and texts are read in
+document order, page by page in Arrow batches, with a small state: how deep the current item container is, which field is being
+read, what has been read. An item ends where its container's tag closes, so nested tags of the same name stay inside. A page without a
 closing tag ends its last item with the page.
 
 Selectors are lists of ``(tag, class)``; an empty tag or class fits any. The first element in document order that fits counts.
@@ -11,19 +11,31 @@ They are columns, so every store's pages go by that store's selectors in one pas
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import re
+import sys
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlake import rules
 from offerlake.functions.text import collapse_ws
 from offerlake.operators.crawl import host_of, item_policy, whitelist_filter
+from offerlake.operators.staging import computed_once
 
 Selector = Sequence[tuple[str, str]]
 SELECTOR_TYPE = "array<struct<etiqueta:string,clase:string>>"
-_HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-_TOKEN = r"""(?s)</?[a-zA-Z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|[^<]+|<"""
+_HIDDEN = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
+_TAG = re.compile(r"""(</?[a-zA-Z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>)""")
+_NAME = re.compile("</?([a-zA-Z][a-zA-Z0-9-]*)")
+_CLASS, _HREF = (re.compile(r"\s" + a + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.ASCII | re.IGNORECASE) for a in ("class", "href"))
+_SPACE = re.compile(r"\s+", re.ASCII)
+#: Sets of selectors of a batch that are held at once (speed only).
+_SELECTORS_KEPT = 100
 #: Named entities of item texts (fixed values); ``&amp;`` comes last, so that it opens no other one.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&euro;", "€"), ("&amp;", "&")]
 CONTAINER, NAME, PRICE, LINK = "sel_contenedor", "sel_nombre", "sel_precio", "sel_enlace"
@@ -45,86 +57,115 @@ def selector(css: str) -> Column:
     return F.array(*[F.struct(F.lit(t).alias("etiqueta"), F.lit(c).alias("clase")) for t, c in parse_selector(css)])
 
 
-def _attribute(tag: Column, name: str) -> tuple[Column, Column]:
-    """(An attribute as written, null where the tag has none; its value without quotes.)"""
-    found = F.regexp_extract(tag, r"(?i)\s" + name + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
-    return F.nullif(found, F.lit("")), F.regexp_replace(found, r"""^["']|["']$""", "")
-
-
 def unescape(text: Column) -> Column:
     for name, value in ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(value))
     return text
 
 
-def tokens(html: Column) -> Column:
-    """Tags and texts in document order: ``array<struct<etiqueta, cierra, clases, enlace, texto>>`` (``etiqueta`` null: a text)."""
-    raw = F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, " "), F.lit(_TOKEN), 0)
-
-    def token(t: Column) -> Column:
-        is_tag = t.rlike("^</?[a-zA-Z]")
-        has_class, classes = _attribute(t, "class")
-        has_href, href = _attribute(t, "href")
-        return F.struct(
-            F.when(is_tag, F.lower(F.regexp_extract(t, "^</?([a-zA-Z][a-zA-Z0-9-]*)", 1))).alias("etiqueta"), t.startswith("</").alias("cierra"),
-            F.when(is_tag & has_class.isNotNull(), F.split(F.trim(classes), r"\s+")).alias("clases"), F.when(is_tag & has_href.isNotNull(), href).alias("enlace"),
-            F.when(~is_tag, t).alias("texto"))
+def visible(html: Column) -> Column:
+    """The page without scripts, styles and comments."""
+    return F.regexp_replace(html, _HIDDEN, " ")
 
-    return F.transform(raw, token)
 
+class Tags(dict):
+    """What is known of a tag as written: its name, whether it closes, for each of a list of selectors whether it fits (None: none
+    does), its link.
 
-def fits(token: Column, choices: Column) -> Column:
-    """Whether an opening tag fits one of a selector's alternatives (all classes of it)."""
-    none = F.array().cast("array<string>")
-    one = lambda s: (((s["etiqueta"] == "") | (s["etiqueta"] == token["etiqueta"]))
-                     & ((s["clase"] == "") | (F.size(F.array_except(F.split(s["clase"], r"\."), F.coalesce(token["clases"], none))) == 0)))
-    return F.coalesce(token["etiqueta"].isNotNull() & ~token["cierra"] & F.exists(choices, one), F.lit(False))
-
+    Tags are judged once and looked up from then on; the table is emptied when it is full (speed only).
+    """
 
-_ITEM = "struct<nombre:string,precio_raw:string,enlace:string>"
-_STATE = f"struct<capas:int,caja:string,campo:string,marca:string,hondo:int,nombre:string,precio:string,enlace:string,items:array<{_ITEM}>>"
+    KEPT = 20_000
+
+    def __init__(self, selectors: Sequence[Sequence[Mapping[str, str]] | None]):
+        super().__init__()
+        # an alternative that is null, or has a null part, fits nothing
+        self.selectors = [[(s["etiqueta"], set(s["clase"].split(".")) if s["clase"] else set()) for s in choices or () if s and None not in (s.get("etiqueta"), s.get("clase"))]
+                          for choices in selectors]
+
+    def __missing__(self, tag: str) -> tuple[str, bool, list[bool] | None, str | None]:
+        name, closes = _NAME.match(tag)[1].lower(), tag[1] == "/"
+        fits = link = None
+        if not closes:
+            written = _CLASS.search(tag)
+            classes = set(_SPACE.split(_bare(written[1]).strip(" "))) if written else set()
+            fits = [any(t in ("", name) and c <= classes for t, c in choices) for choices in self.selectors]
+            if any(fits):
+                link = _HREF.search(tag)
+            else:
+                fits = None
+        if len(self) >= self.KEPT:
+            self.clear()
+        self[tag] = found = (name, closes, fits, _bare(link[1]) if link else None)
+        return found
+
+
+def _bare(value: str) -> str:
+    return value[1:-1] if value[0] in "\"'" else value
+
+
+def page_items(html: str, tags: Tags) -> Iterator[tuple[str | None, str | None, str | None]]:
+    """Name, price text and link of every item of a page; ``tags`` goes by the selectors of container, name, price and link."""
+    depth, box = 0, ""  # how deep the item's container is, and its tag; 0: outside
+    field, mark, level = None, "", 0  # the field that is being read, its tag and its own nesting
+    name = price = link = None
+    parts = _TAG.split(html)
+    for token, text in zip(parts[1::2], parts[2::2]):
+        tag, closes, fits, href = tags[token]
+        if depth:
+            if tag == box:
+                depth += -1 if closes else 1
+                if not depth:
+                    yield _text(name), _text(price), link
+                    field = None
+                    continue
+            if field is not None and tag == mark:
+                level += -1 if closes else 1
+                if not level:
+                    field = None
+            if fits is not None:
+                if link is None and fits[3]:
+                    link = href
+                if field is None:
+                    if name is None and fits[1]:
+                        field, mark, level = [], tag, 1
+                        name = field
+                    elif price is None and fits[2]:
+                        field, mark, level = [], tag, 1
+                        price = field
+            if field is not None:
+                field.append(text)
+        elif fits is not None and fits[0]:
+            depth, box, name, price, link = 1, tag, None, None, None
+    if depth:
+        yield _text(name), _text(price), link
+
+
+def _text(parts: list[str] | None) -> str | None:
+    return None if parts is None else "".join(parts)
 
 
 def fold_items(html: Column, container: Column, name: Column, price: Column, link: Column) -> Column:
     """Items of a page, ``array<struct<nombre, precio_raw, enlace>>`` in document order; a field that is not there is null."""
 
-    def step(s: Column, t: Column) -> Column:
-        inside = s["capas"] > 0
-        starts = ~inside & fits(t, container)
-        same = inside & (t["etiqueta"] == s["caja"])
-        depth = (F.when(starts, 1).when(same & t["cierra"], s["capas"] - 1).when(same, s["capas"] + 1).otherwise(s["capas"]))
-        ends = inside & (depth == 0)
-        # the field that is being read, and its own nesting
-        reading = inside & (s["campo"] != "")
-        mine = reading & (t["etiqueta"] == s["marca"])
-        hondo = F.when(mine & t["cierra"], s["hondo"] - 1).when(mine, s["hondo"] + 1).otherwise(s["hondo"])
-        free = inside & (~reading | (hondo == 0))
-        opens_name = free & ~F.coalesce(t["cierra"], F.lit(False)) & s["nombre"].isNull() & fits(t, name)
-        opens_price = free & ~opens_name & s["precio"].isNull() & fits(t, price)
-        opens = opens_name | opens_price
-        campo = F.when(opens_name, "n").when(opens_price, "p").when(reading & (hondo > 0), s["campo"]).otherwise("")
-        text = reading & t["texto"].isNotNull()
-        nombre = F.when(opens_name, "").when(text & (s["campo"] == "n"), F.concat(s["nombre"], t["texto"])).otherwise(s["nombre"])
-        precio = F.when(opens_price, "").when(text & (s["campo"] == "p"), F.concat(s["precio"], t["texto"])).otherwise(s["precio"])
-        enlace = F.when(inside & s["enlace"].isNull() & fits(t, link), t["enlace"]).otherwise(s["enlace"])
-        item = F.struct(s["nombre"].alias("nombre"), s["precio"].alias("precio_raw"), s["enlace"].alias("enlace"))
-        clear = starts | ends
-        gone = F.lit(None).cast("string")
-        return F.struct(
-            depth.cast("int").alias("capas"), F.when(starts, t["etiqueta"]).otherwise(s["caja"]).alias("caja"), F.when(clear, "").otherwise(campo).alias("campo"),
-            F.when(opens, t["etiqueta"]).otherwise(s["marca"]).alias("marca"), F.when(opens, 1).otherwise(hondo).cast("int").alias("hondo"),
-            F.when(clear, gone).otherwise(nombre).alias("nombre"), F.when(clear, gone).otherwise(precio).alias("precio"), F.when(clear, gone).otherwise(enlace).alias("enlace"),
-            F.when(ends, F.concat(s["items"], F.array(item))).otherwise(s["items"]).alias("items")).cast(_STATE)
-
-    empty = F.lit(None).cast("string")
-    start = F.struct(F.lit(0).alias("capas"), F.lit("").alias("caja"), F.lit("").alias("campo"), F.lit("").alias("marca"), F.lit(0).alias("hondo"), empty.alias("nombre"),
-                     empty.alias("precio"), empty.alias("enlace"), F.array().cast(f"array<{_ITEM}>").alias("items")).cast(_STATE)
-
-    def finish(s: Column) -> Column:
-        last = F.struct(s["nombre"].alias("nombre"), s["precio"].alias("precio_raw"), s["enlace"].alias("enlace"))
-        return F.when(s["capas"] > 0, F.concat(s["items"], F.array(last))).otherwise(s["items"])
-
-    return F.aggregate(tokens(html), start, step, finish)
+    @F.arrow_udf("array<struct<nombre:string,precio_raw:string,enlace:string>>")
+    def read(pages: pa.Array, selectors: pa.Array) -> pa.Array:
+        known: dict[str, Tags] = {}
+        ends, found = [0], []
+        for page, css in zip(pages, selectors.to_pylist()):
+            if css not in known:
+                if len(known) >= _SELECTORS_KEPT:
+                    known.clear()
+                by = json.loads(css)
+                known[css] = Tags([by.get(k) for k in ("c", "n", "p", "l")])
+            if page.is_valid:
+                found.extend(page_items(page.as_py(), known[css]))
+            ends.append(len(found))
+        fields = [pa.array([item[i] for item in found], pa.string()) for i in range(3)]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["nombre", "precio_raw", "enlace"]))
+
+    selectors = F.to_json(F.struct(container.alias("c"), name.alias("n"), price.alias("p"), link.alias("l")))
+    return read(visible(html), selectors)
 
 
 def resolve_url(base: Column, href: Column) -> Column:
@@ -149,9 +190,11 @@ def page_offers(pages: DataFrame, whitelist: bool = True, keep: Sequence[str] =
     """
     of_page = ["tienda", "pais", "moneda", "categoria", "keyword_busqueda", "fecha_extraccion"]
     items = fold_items(F.col("html"), F.col(CONTAINER), F.col(NAME), F.col(PRICE), F.col(LINK))
-    read = pages.select(*of_page, *[c for c in keep if c not in of_page], "url", F.posexplode(items).alias("_pos", "_it"))
-    rows = read.select(
-        *of_page, *[c for c in keep if c not in of_page], (F.col("_pos") + 1).alias("pos"), F.trim(unescape(collapse_ws(F.col("_it.nombre")))).alias("nombre"),
+    read = pages.select(*of_page, *[c for c in keep if c not in of_page], "url", items.alias("_items")).select("*", F.posexplode("_items").alias("_pos", "_it")).drop("_items")
+    # the filters below test the name: it is computed before them, once
+    named = computed_once(read, "nombre", F.trim(unescape(collapse_ws(F.col("_it.nombre")))))
+    rows = named.select(
+        *of_page, *[c for c in keep if c not in of_page], (F.col("_pos") + 1).alias("pos"), "nombre",
         F.trim(unescape(collapse_ws(F.col("_it.precio_raw")))).alias("precio_raw"), resolve_url(F.col("url"), unescape(F.trim("_it.enlace"))).alias("url_producto"))
     rows = item_policy(rows).withColumnRenamed("nombre", "producto")
     if whitelist:
@@ -169,22 +212,33 @@ def selector_probe(pages: DataFrame, containers: Sequence[str] = rules.PROBE_CON
     """Per site and kind (``contenedor, nombre, precio``): which candidate fits first on how many pages (none: ''). A container
     must repeat.
 
-    Candidates that look into another element (``.price bdi``) are judged by the last one. Pages are cut into tokens once.
+    Candidates that look into another element (``.price bdi``) are judged by the last one. A page is read once for all candidates.
     """
-    def last(css: str) -> str:
-        return css.split()[-1]
-
-    def hits(choice: Column) -> Column:
-        return F.size(F.filter("_t", lambda x: fits(x, choice)))
-
-    def first(choices: Sequence[str], least: int) -> Column:
-        expr = F.lit(None).cast("string")
-        for css in reversed(choices):
-            expr = F.when(hits(selector(last(css))) >= least, css).otherwise(expr)
-        return expr
-
-    made = pages.select(host_of(F.col("url")).alias("sitio"), F.explode(F.array(tokens(F.col("html")))).alias("_t"))
-    found = made.select("sitio", first(containers, 2).alias("contenedor"), first(names, 1).alias("nombre"), first(prices, 1).alias("precio"))
+    kinds = {"contenedor": (containers, 2), "nombre": (names, 1), "precio": (prices, 1)}
+    candidates = [(kind, css, least) for kind, (choices, least) in kinds.items() for css in choices]
+    selectors = [[{"etiqueta": t, "clase": c} for t, c in parse_selector(css.split()[-1])] for _, css, _ in candidates]
+
+    @F.arrow_udf("struct<contenedor:string,nombre:string,precio:string>")
+    def probe(html: pa.Array) -> pa.Array:
+        tags = Tags(selectors)
+        first = {kind: [] for kind in kinds}
+        for page in html:
+            # a null page has no tags
+            seen = Counter(_TAG.findall(page.as_py() or ""))
+            found = [(fits, n) for fits, n in ((tags[tag][2], n) for tag, n in seen.items()) if fits]
+            hit = dict.fromkeys(kinds)
+            for i, (kind, css, least) in enumerate(candidates):
+                if hit[kind] is None and sum(n for fits, n in found if fits[i]) >= least:
+                    hit[kind] = css
+            for kind, css in hit.items():
+                first[kind].append(css)
+        return pa.StructArray.from_arrays([pa.array(v, pa.string()) for v in first.values()], list(first))
+
+    found = pages.select(host_of(F.col("url")).alias("sitio"), probe(visible(F.col("html"))).alias("_f")).select("sitio", "_f.*")
     pairs = F.array(*[F.struct(F.lit(k).alias("tipo"), F.col(k).alias("selector")) for k in ("contenedor", "nombre", "precio")])
     per = found.select("sitio", F.inline(pairs)).groupBy("sitio", "tipo", "selector").agg(F.count(F.lit(1)).alias("paginas"))
     return per.select("sitio", "tipo", F.coalesce("selector", F.lit("")).alias("selector"), "paginas")
+
+
+# the reader goes to the tasks with the plan, so that it runs where this package is not installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -97,3 +97,14 @@ def test_newest_snapshot_prunes_partitions(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     filters = [x for x in plan.split("PartitionFilters: ")[1:]]
     assert any("fecha" in x[:200] and "ubquery" in x[:200] for x in filters), plan
+
+
+LONG = "<li class='product'><h2 class='t'>Memoria RAM</h2><span class='price'>1</span><a href='/p'></a></li>"
+
+
+@pytest.mark.parametrize("whitelist", [False, True])
+def test_time_of_a_page_follows_its_length(spark, whitelist):
+    import time
+    t0 = time.perf_counter()
+    assert pg.page_offers(frame(spark, [("T", None, None, "RAM", "k", "https://t.example/", LONG * 12_000, None)]), whitelist=whitelist).count() == 12_000
+    assert time.perf_counter() - t0 < 15
