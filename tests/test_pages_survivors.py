@@ -108,3 +108,13 @@ def test_time_of_a_page_follows_its_length(spark, whitelist):
     t0 = time.perf_counter()
     assert pg.page_offers(frame(spark, [("T", None, None, "RAM", "k", "https://t.example/", LONG * 12_000, None)]), whitelist=whitelist).count() == 12_000
     assert time.perf_counter() - t0 < 15
+
+
+def test_probe_counts_tags_once_for_all_candidates(spark):
+    import time
+    t0 = time.perf_counter()
+    # a closing tag's attribute is no tag of its own
+    pages = spark.range(0, 40, 1, 1).select(F.lit("https://t.example/").alias("url"), F.concat(F.lit("</a t='<li class=\"product\">'>"), F.repeat(F.lit(LONG[:-5] + "</x>"), 10_000)).alias("html"))
+    got = {(r.tipo, r.selector): r.paginas for r in pg.selector_probe(pages, names=["h4", "h3.title", "h2.t"]).collect()}
+    assert got == {("contenedor", "li.product"): 40, ("nombre", "h2.t"): 40, ("precio", "span.price"): 40}
+    assert time.perf_counter() - t0 < 10
