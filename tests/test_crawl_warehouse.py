@@ -131,3 +131,12 @@ def test_every_fact_reaches_the_rollup(spark):
     total = sum(r.ofertas for r in QUERIES["star_rollup"](spark, SF_SMOKE).collect())
     facts = QUERIES["fact_precios"](spark, SF_SMOKE)
     assert total == facts.count() == facts.select("id_hecho").distinct().count()
+
+
+def test_rules_of_a_table_are_one_aggregate(spark):
+    a = spark.createDataFrame([(1, None), (13, 0), (None, 5)], "mes int, x int")
+    b = spark.createDataFrame([(0,)], "x int")
+    got = check_rules([("a", "mes", a, F.col("mes").between(1, 12)), ("b", "x", b, F.col("x") > 0), ("a", "x", a, F.col("x") > 0), ("a", "todo", a, F.lit(True))])
+    assert {(r.tabla, r.regla): r.violaciones for r in got.collect()} == {("a", "mes"): 2, ("a", "x"): 2, ("a", "todo"): 0, ("b", "x"): 1}
+    assert got._jdf.queryExecution().analyzed().toString().count("Aggregate [") == 2
+    assert check_rules([("a", "x", a.where("false"), F.col("x") > 0)]).first().violaciones == 0
