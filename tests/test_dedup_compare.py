@@ -121,3 +121,13 @@ def test_dedup_metrics_counts_key_groups(spark):
     m = dedup_metrics(df).collect()[0]
     assert (m.antes, m.despues) == (df.count(), keep_most_complete(df).count()) == (311, 5)
     assert m.duplicados_eliminados == 306
+
+
+def test_dedup_sorts_by_a_number_first(spark):
+    from offerlake.operators.dedup import keep_most_complete
+    rows = [("t", "CPU", "k", 0.0, "a"), ("t", "CPU", "k", -0.0, "b"), ("t", "CPU", "k", float("nan"), "c"), ("t", "CPU", "k", float("nan"), None),
+            (None, "CPU", "k", 1.0, "d"), (None, "CPU", "k", 1.0, "e"), ("t", None, "k", 1.0, "f")]
+    got = keep_most_complete(spark.createDataFrame(rows, "tienda string, categoria string, clave_canonica string, precio_usd double, producto string"))
+    assert got.columns == ["tienda", "categoria", "clave_canonica", "precio_usd", "producto"]
+    assert sorted(r.producto for r in got.collect()) == ["a", "c", "d", "f"]
+    assert "Aggregate [xxhash64(" in got._jdf.queryExecution().analyzed().toString()
