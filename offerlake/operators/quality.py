@@ -114,11 +114,16 @@ def _counters(df: DataFrame, name: str) -> DataFrame:
 BUNDLE, NO_AMOUNT, NOT_POSITIVE, PRICED = "paquete", "sin_importe", "no_positivo", "con_precio"
 
 
+def marked_prices(standardized: DataFrame) -> DataFrame:
+    """Every standardised row with ``paquete`` (whole-PC listing) and ``precio_usd`` (relevant rows)."""
+    df = computed_once(standardized, "paquete", is_bundle(F.col("producto")))
+    return computed_once(df, "precio_usd", F.when(~F.col("paquete"), parse_price(F.col("precio_raw"))))
+
+
 def marked(standardized: DataFrame) -> DataFrame:
     """Every standardised row with ``paquete`` (whole-PC listing), ``precio_usd`` (relevant rows) and ``clave_canonica`` (priced rows):
     what the staging filters go by, without dropping a row."""
-    df = computed_once(standardized, "paquete", is_bundle(F.col("producto")))
-    df = computed_once(df, "precio_usd", F.when(~F.col("paquete"), parse_price(F.col("precio_raw"))))
+    df = marked_prices(standardized)
     priced = F.col("precio_usd") > 0
     df = add_key(df.withColumn("_categoria", F.when(priced, F.col("categoria"))), category="_categoria").drop("_categoria")
     return computed_once(df, "clave_canonica", F.when(priced, F.col("clave_canonica")))
@@ -138,7 +143,9 @@ def key_groups(rows: DataFrame, keys: Sequence[str] = rules.DEDUP_KEYS) -> DataF
     lead = [c for c in cols[:cols.index("producto") + 1] if c not in keys]
     rank = F.struct((-completeness(cols)).alias("_neg_complete"), *[F.col(f"`{c}`") for c in lead])
     by = [F.col(k) if k == "categoria" else F.when(priced, F.col(k)).alias(k) for k in keys]
-    return rows.groupBy(kind.alias("clase"), *by).agg(
+    # struct minima are aggregated by sorting: a number as the first key spares comparing texts that begin alike
+    number = F.when(priced, F.xxhash64(*keys))
+    return rows.groupBy(number.alias("_h"), kind.alias("clase"), *by).agg(
         F.count(F.lit(1)).alias("filas"), F.count_if(F.col("tienda").isNull()).alias("sin_tienda"),
         F.count_if(F.col("producto").isNull()).alias("sin_producto"), F.min(F.when(priced, rank))["producto"].alias("titulo"))
 
@@ -213,19 +220,21 @@ def _counters_of_groups(groups: DataFrame, valid: Sequence[str] = rules.VALID_CA
     return out.select("seccion", "clave", F.when(c("seccion") != "categoria_no_estandar", c("valor")).alias("valor"), F.lit(None).cast("string").alias("texto"))
 
 
-def report_of_marked(rows: DataFrame, survey: DataFrame | None = None, specs: DataFrame | None = None, order: Sequence[str] = ()) -> DataFrame:
+def report_of_marked(rows: DataFrame, survey: DataFrame | None = None, specs: DataFrame | None = None, order: Sequence[str] = (),
+                     prices: DataFrame | None = None) -> DataFrame:
     """The whole quality report in long form: duplicates and their criterion, nulls, casts, categories outside the master list,
     the homologation map, final metrics, key coverage, distributions, survey and spec counts.
 
     ``rows`` is the marked table, ``survey`` the survey before imputation, ``specs`` the staged spec table. The counted sections
-    read the marked rows once; the cast examples are a top-k, a second read of three columns.
+    read the marked rows once; the cast examples are a top-k, a second read of three columns, from ``prices`` (``marked_prices`` of
+    the same rows) without making keys again.
     """
     from offerlake.operators.normalize import homologation_map
     from offerlake.operators.survey import survey_nulls
 
     spark = rows.sparkSession
     criterion = spark.createDataFrame([("criterio", ", ".join(rules.DEDUP_KEYS))], "k string, t string")
-    examples = cast_examples(rows, order or ["producto", "tienda", "precio_raw"])
+    examples = cast_examples(rows if prices is None else prices, order or ["producto", "tienda", "precio_raw"])
     parts = [
         _counters_of_groups(key_groups(rows)),
         _section(criterion, "duplicados", F.col("k"), text=F.col("t")),

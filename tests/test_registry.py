@@ -60,3 +60,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(got.columns) == sorted(exp.columns)
     assert len(got) == len(exp)
     assert _norm(got) == _norm(exp)
+
+
+def test_report_makes_keys_once(spark):
+    from offerlake.plans.registry import QUERIES
+    plan = QUERIES["quality_report_long"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert plan.count(" AS _ktxt#") == 1
