@@ -53,6 +53,12 @@ class WordTokens(dict):
         self.tok.no_truncation()
         self.tok.no_padding()
         self.old: dict[bytes, bytes] = {}
+        # a tokenizer that hands a-z on as they are, in one piece, gives what its model gives for a run of them
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        text = self.tok.normalizer.normalize_str(letters) if self.tok.normalizer else letters
+        cut = [piece for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(text)] if self.tok.pre_tokenizer else [text]
+        added = any(t.content.isalpha() for t in self.tok.get_added_tokens_decoder().values())
+        self.model = self.tok.model if cut == [letters] and not added else None
 
     def __missing__(self, run: bytes) -> bytes:
         ids = self.old.get(run)
@@ -71,7 +77,10 @@ class WordTokens(dict):
         return ids
 
     def _encoded(self, run: bytes) -> bytes:
-        ids = array("I", self.tok.encode(run.decode(), add_special_tokens=False).ids)
+        if self.model is not None and run.isalpha() and run.islower():
+            ids = array("I", [t.id for t in self.model.tokenize(run.decode())])
+        else:
+            ids = array("I", self.tok.encode(run.decode(), add_special_tokens=False).ids)
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()

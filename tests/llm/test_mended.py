@@ -225,3 +225,26 @@ def test_missed_recall_takes_the_exact_way(spark, monkeypatch):
     got = {r.vec_id: r for r in embed_dedup.near_duplicates(df, overlap=16).collect()}
     assert [got[i].n_links for i in range(len(x))] == (near.sum(1) - 1).tolist()
     assert {r.audited_recall for r in got.values()} == {1.0}
+
+
+def test_plain_words_go_to_the_model_alone():
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from offerlake.llm.packing import WordTokens
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, words = Tokenizer.from_file(path), WordTokens(path)
+    texts = ["the Quick brown. fox's jumpedé startoftext endoftext unhappinesszzqx don't", "<|endoftext|> a z  \n I'LL (see) résumé, KK İx", "q" * 3000, "", "s't w"]
+    for got, text in zip(words.encode(texts), texts):
+        assert np.frombuffer(got, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+    class Calls(list):
+        def encode(self, text, **_):
+            self.append(text)
+            return whole.encode(text, add_special_tokens=False)
+
+    words.tok = Calls()
+    words.encode(["nevermet wordsss, Likethese here."])
+    assert not [t for t in words.tok if t.isalpha()]
