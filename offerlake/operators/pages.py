@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import re
 import sys
-from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -31,7 +30,7 @@ Selector = Sequence[tuple[str, str]]
 SELECTOR_TYPE = "array<struct<etiqueta:string,clase:string>>"
 _HIDDEN = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 _TAG = re.compile(r"""(</?[a-zA-Z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>)""")
-_NAME = re.compile("</?([a-zA-Z][a-zA-Z0-9-]*)")
+_NAME = re.compile("<?/?([a-zA-Z][a-zA-Z0-9-]*)")
 _CLASS, _HREF = (re.compile(r"\s" + a + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.ASCII | re.IGNORECASE) for a in ("class", "href"))
 _SPACE = re.compile(r"\s+", re.ASCII)
 #: Sets of selectors of a batch that are held at once (speed only).
@@ -69,10 +68,10 @@ def visible(html: Column) -> Column:
 
 
 class Tags(dict):
-    """What is known of a tag as written: its name, whether it closes, for each of a list of selectors whether it fits (None: none
-    does), its link.
+    """What is known of a tag as written: its name, whether it closes, which of a list of selectors it fits (a bit for each), its
+    link.
 
-    Tags are judged once and looked up from then on; the table is emptied when it is full (speed only).
+    Tags, and names with the same classes, are judged once and looked up from then on; a full table is emptied (speed only).
     """
 
     KEPT = 20_000
@@ -82,24 +81,48 @@ class Tags(dict):
         # an alternative that is null, or has a null part, fits nothing
         self.selectors = [[(s["etiqueta"], set(s["clase"].split(".")) if s["clase"] else set()) for s in choices or () if s and None not in (s.get("etiqueta"), s.get("clase"))]
                           for choices in selectors]
+        self.judged: dict[tuple[str, str | None], int] = {}
 
-    def __missing__(self, tag: str) -> tuple[str, bool, list[bool] | None, str | None]:
+    def __missing__(self, tag: str) -> tuple[str, bool, int, str | None]:
         name, closes = _NAME.match(tag)[1].lower(), tag[1] == "/"
-        fits = link = None
-        if not closes:
-            written = _CLASS.search(tag)
+        fits = 0 if closes else self.fits(tag, name)
+        link = _HREF.search(tag) if fits else None
+        return self.keep(tag, (name, closes, fits, _bare(link[1]) if link else None))
+
+    def fits(self, tag: str, name: str) -> int:
+        written = _CLASS.search(tag)
+        key = (name, written[1] if written else None)
+        bits = self.judged.get(key)
+        if bits is None:
             classes = set(_SPACE.split(_bare(written[1]).strip(" "))) if written else set()
-            fits = [any(t in ("", name) and c <= classes for t, c in choices) for choices in self.selectors]
-            if any(fits):
-                link = _HREF.search(tag)
-            else:
-                fits = None
+            bits = sum(1 << i for i, choices in enumerate(self.selectors) if any(t in ("", name) and c <= classes for t, c in choices))
+            if len(self.judged) >= self.KEPT:
+                self.judged.clear()
+            self.judged[key] = bits
+        return bits
+
+    def keep(self, tag: str, found):
         if len(self) >= self.KEPT:
             self.clear()
-        self[tag] = found = (name, closes, fits, _bare(link[1]) if link else None)
+        self[tag] = found
         return found
 
 
+class OpeningTags(Tags):
+    """Which selectors an opening tag fits, as ``pattern`` finds it; no text fits none."""
+
+    def pattern(self) -> re.Pattern:
+        """The tags that ``_TAG`` finds, without their marks, up to a class that comes first; no text for closing ones, and for a run of
+        texts and of tags that have neither attributes nor a name that some selector fits by itself."""
+        plain = "|".join(sorted(re.escape(t) for choices in self.selectors for t, c in choices if not c))
+        name, rest = "[a-zA-Z][a-zA-Z0-9-]*+", r"""[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+"""
+        classed = rf'{name}\s++(?i:class)\s*+=\s*+"[^"]*+"'
+        return re.compile(rf"(?:[^<]++|<(?:/|(?!(?i:{plain})>)){name}>)++|<(?:/[a-zA-Z]{rest}>|({classed}|[a-zA-Z]{rest}){rest}>)?", re.ASCII)
+
+    def __missing__(self, tag: str) -> int:
+        return self.keep(tag, self.fits(tag, _NAME.match(tag)[1].lower()) if tag else 0)
+
+
 def _bare(value: str) -> str:
     return value[1:-1] if value[0] in "\"'" else value
 
@@ -123,19 +146,19 @@ def page_items(html: str, tags: Tags) -> Iterator[tuple[str | None, str | None,
                 level += -1 if closes else 1
                 if not level:
                     field = None
-            if fits is not None:
-                if link is None and fits[3]:
+            if fits:
+                if link is None and fits & 8:
                     link = href
                 if field is None:
-                    if name is None and fits[1]:
+                    if name is None and fits & 2:
                         field, mark, level = [], tag, 1
                         name = field
-                    elif price is None and fits[2]:
+                    elif price is None and fits & 4:
                         field, mark, level = [], tag, 1
                         price = field
             if field is not None:
                 field.append(text)
-        elif fits is not None and fits[0]:
+        elif fits & 1:
             depth, box, name, price, link = 1, tag, None, None, None
     if depth:
         yield _text(name), _text(price), link
@@ -218,25 +241,30 @@ def selector_probe(pages: DataFrame, containers: Sequence[str] = rules.PROBE_CON
     candidates = [(kind, css, least) for kind, (choices, least) in kinds.items() for css in choices]
     selectors = [[{"etiqueta": t, "clase": c} for t, c in parse_selector(css.split()[-1])] for _, css, _ in candidates]
 
+    def first(once: int, again: int) -> list[str | None]:
+        hits = [(kind, css) for i, (kind, css, least) in enumerate(candidates) if (once if least == 1 else again) >> i & 1]
+        return [next((css for kind, css in hits if kind == k), None) for k in kinds]
+
     @F.arrow_udf("struct<contenedor:string,nombre:string,precio:string>")
     def probe(html: pa.Array) -> pa.Array:
-        tags = Tags(selectors)
-        first = {kind: [] for kind in kinds}
+        tags, known, places = OpeningTags(selectors), {}, []
+        find, look = tags.pattern().findall, tags.__getitem__
         for page in html:
-            # a null page has no tags
-            seen = Counter(_TAG.findall(page.as_py() or ""))
-            found = [(fits, n) for fits, n in ((tags[tag][2], n) for tag, n in seen.items()) if fits]
-            hit = dict.fromkeys(kinds)
-            for i, (kind, css, least) in enumerate(candidates):
-                if hit[kind] is None and sum(n for fits, n in found if fits[i]) >= least:
-                    hit[kind] = css
-            for kind, css in hit.items():
-                first[kind].append(css)
-        return pa.StructArray.from_arrays([pa.array(v, pa.string()) for v in first.values()], list(first))
+            # candidates that fit a tag, and those that fit two; a null page has no tags
+            once = again = 0
+            for fits in map(look, find(page.as_py() or "")):
+                if fits:
+                    again |= once & fits
+                    once |= fits
+            places.append(known.setdefault((once, again), len(known)))
+        found = [first(*bits) for bits in known]
+        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in range(len(kinds))], list(kinds)).take(pa.array(places, pa.int32()))
 
     found = pages.select(host_of(F.col("url")).alias("sitio"), probe(visible(F.col("html"))).alias("_f")).select("sitio", "_f.*")
-    pairs = F.array(*[F.struct(F.lit(k).alias("tipo"), F.col(k).alias("selector")) for k in ("contenedor", "nombre", "precio")])
-    per = found.select("sitio", F.inline(pairs)).groupBy("sitio", "tipo", "selector").agg(F.count(F.lit(1)).alias("paginas"))
+    # pages with the same answers are counted before the answers become rows
+    same = found.groupBy("sitio", *kinds).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = F.array(*[F.struct(F.lit(k).alias("tipo"), F.col(k).alias("selector")) for k in kinds])
+    per = same.select("sitio", "_n", F.inline(pairs)).groupBy("sitio", "tipo", "selector").agg(F.sum("_n").alias("paginas"))
     return per.select("sitio", "tipo", F.coalesce("selector", F.lit("")).alias("selector"), "paginas")
 
 

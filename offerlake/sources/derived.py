@@ -107,10 +107,12 @@ def storefront_pages(offers: DataFrame, orders_per_page: int = 4) -> DataFrame:
     category = F.upper(F.trim("categoria"))
     rows = offers.select(F.floor(F.col("k1") / orders_per_page).cast("long").alias("grupo"), category.alias("categoria"), "pais", "fecha_extraccion",
                          F.struct("k1", "k2", item.alias("item")).alias("it"))
-    # at most orders_per_page orders with a few lines each
-    g = rows.groupBy("grupo", "categoria").agg(F.array_sort(F.collect_list("it")).alias("its"), F.min("pais").alias("pais"), F.min("fecha_extraccion").alias("fecha_extraccion"))
+    # dealt by page first: lists begun before the shuffle would be sorted and spilled there, and save nothing
+    g = rows.repartition("grupo", "categoria").groupBy("grupo", "categoria").agg(
+        # at most orders_per_page orders with a few lines each
+        F.sort_array(F.collect_list("it")).alias("its"), F.min("pais").alias("pais"), F.min("fecha_extraccion").alias("fecha_extraccion"))
     host = F.concat(F.lit("tienda"), (F.col("grupo") % 50).cast("string"))
-    body = F.array_join(F.transform("its", lambda x: x["item"]), "\n")
+    body = F.array_join(F.col("its")["item"], "\n")
     return g.select(
         F.concat_ws("-", F.col("grupo").cast("string"), "categoria").alias("pagina"), host.alias("tienda"), "pais", F.lit("USD").alias("moneda"), "categoria",
         F.lower("categoria").alias("keyword_busqueda"), F.concat(F.lit("https://"), host, F.lit(".example/?s="), F.lower("categoria")).alias("url"), "fecha_extraccion",

@@ -118,3 +118,24 @@ def test_probe_counts_tags_once_for_all_candidates(spark):
     got = {(r.tipo, r.selector): r.paginas for r in pg.selector_probe(pages, names=["h4", "h3.title", "h2.t"]).collect()}
     assert got == {("contenedor", "li.product"): 40, ("nombre", "h2.t"): 40, ("precio", "span.price"): 40}
     assert time.perf_counter() - t0 < 10
+
+
+def test_probe_looks_up_tags_of_many_addresses_once(spark):
+    # every link is another text; what is judged is its name and its classes
+    tags = pg.OpeningTags([[{"etiqueta": t, "clase": k} for t, k in pg.parse_selector(c)] for c in ("li.product", "a", ".price", "bdi")])
+    find = tags.pattern().findall
+    page = "".join(f'<li class="product n"><a class="x" href="/p/{i}">t</a><b>x</b><SPAN title="a > b" class=price>1</span><BDI></bdi></li>' for i in range(500))
+    assert [tags[t] for t in find(page) if tags[t]] == [1, 2, 4, 8] * 500
+    assert len(tags) < 10
+    odd = "5 < 4 <!DOCTYPE html><li class=\"product\" x=\"<a>\"></a t='<li class=\"product\">'><li class=\"product\" '<A><li\u00a0class=\"product\"><li class=\"a\" class=\"product\">"
+    assert [tags[t] for t in find(odd) if tags[t]] == [1, 2]
+
+
+def test_pages_are_dealt_before_their_items_are_listed(spark):
+    from offerlake.sources.derived import storefront_pages
+    rows = [(k1, k2, "E", "CPU", f"t{k2 % 2}", "1", None, "2026-06-30") for k1 in (1, 0, 5) for k2 in (2, 1, 1)]
+    pages = storefront_pages(spark.createDataFrame(rows, "k1 long, k2 int, pais string, categoria string, producto string, precio_raw string, url_producto string, fecha_extraccion string"))
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    # no list is serialized for a shuffle
+    assert plan.index("partial_collect_list") < plan.index("Exchange") and plan.count("Exchange") == 1
+    assert {r.pagina: [x[:2] for x in r.html.split("<b>")[1:]] for r in pages.collect()} == {"0-CPU": ["t1", "t1", "t0"] * 2, "1-CPU": ["t1", "t1", "t0"]}
